@@ -20,7 +20,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -33,8 +32,8 @@ K_GT = 5
 EPSILON = 1e-4
 #: A word is hot with 1/HOT of the training tokens, so at most HOT words are broadcast.
 HOT = 50_000
-BUCKET_TOKENS = 2_500_000
-FLUSH_TOKENS = 1_000_000
+BUCKET_TOKENS = 2_000_000
+FLUSH_TOKENS = 500_000
 CACHE_WORDS = 300_000
 END = b"\n"
 START = -1
@@ -156,23 +155,24 @@ def occurrences(docs: DataFrame, hot, n_buckets: int) -> DataFrame:
 PART = "kind int, key long, id long, n1 int, n2 int, n3 int, n4 int, n5 int, n6 int, big long, n int, known int, base double, s double"
 
 
-def _counted(pdf: pd.DataFrame, hot_c: np.ndarray, uni: dict) -> pd.DataFrame:
+def _counted(rows: list[dict], hot_c: np.ndarray, uni: dict) -> Iterator[pa.RecordBatch]:
     """What one bucket can say; see the module's plan. ``kind`` 0: history, 1: row, 2: back-off."""
     grow = zstandard.ZstdDecompressor().decompress
-    arr = lambda name, t: [np.frombuffer(grow(x), t) for x in pdf[name]]
-    w = np.concatenate([np.cumsum(x) for x in arr("w", np.int64)])
-    h = np.concatenate(arr("h", np.int64))
+    arr = lambda name, t: [np.frombuffer(grow(x[name]), t) for x in rows]
     uid, ids, train = arr("uid", np.int64), arr("id", np.int64), arr("train", np.int8)
     base_at = np.cumsum([0] + [len(x) for x in uid[:-1]])
-    row = np.concatenate([x.astype(np.int64) + o for x, o in zip(arr("at", np.int32), base_at)])
+    row = np.concatenate([x + np.int32(o) for x, o in zip(arr("at", np.int32), base_at)])
     uid, ids, train = (np.concatenate(x) for x in (uid, ids, train))
-    learn = train[row].astype(np.float64)
-
-    uw, wi = np.unique(w, return_inverse=True)
-    uh, hi = np.unique(h, return_inverse=True)
-    up, pi = np.unique(wi * len(uh) + hi, return_inverse=True)
+    uw, wi = np.unique(np.concatenate([np.cumsum(x) for x in arr("w", np.int64)]), return_inverse=True)
+    uh, hi = np.unique(np.concatenate(arr("h", np.int64)), return_inverse=True)
+    pair = wi * len(uh) + hi
+    wi, hi = wi.astype(np.int32), hi.astype(np.int32)
+    up, pi = np.unique(pair, return_inverse=True)
+    del pair
+    pi, learn = pi.astype(np.int32), train[row]
     c_pair = np.bincount(pi, learn, len(up)).astype(np.int64)
     c_word = np.bincount(wi, learn, len(uw)).astype(np.int64)
+    del learn
     is_hot = uw < len(hot_c)
     c_word[is_hot] = hot_c[uw[is_hot]]
     p_word = word_probability(c_word, uni)
@@ -183,26 +183,46 @@ def _counted(pdf: pd.DataFrame, hot_c: np.ndarray, uni: dict) -> pd.DataFrame:
     of_h["big"] = np.bincount(ph, pc * (pc > K_GT), len(uh)).astype(np.int64)
     of_h["s"] = np.bincount(ph, p_word[pw], len(uh))
     has = np.bincount(ph, minlength=len(uh)) > 0
-    history = pd.DataFrame({"kind": 0, "key": uh, **of_h})[has]
+    yield _part(0, has.sum(), key=uh[has], **{k: v[has] for k, v in of_h.items()})
+    del ph, pc, pw, of_h
 
     c = c_pair[pi]
-    cw = c_word[wi]
-    end = uni["end_id"]
-    s = np.where(c > K_GT, np.log10(np.maximum(c, 1)), 0.0)
-    s += np.where(c == 0, np.log10(p_word)[wi], 0.0)
-    s -= np.where((w != end) & (cw > 0), np.log10(np.maximum(cw, 1)), 0.0)
-    base = np.log10((cw + 0.5) / (uni["N"] + 0.5 * (uni["V"] + 1)))
+    del pi
+    not_end = uw != uni["end_id"]
+    s_word = -np.where(not_end & (c_word > 0), np.log10(np.maximum(c_word, 1)), 0.0)
+    s = s_word[wi]
+    s += np.where(c == 0, np.log10(p_word)[wi], np.where(c > K_GT, np.log10(np.maximum(c, 1)), 0.0))
+    base = np.log10((c_word + 0.5) / (uni["N"] + 0.5 * (uni["V"] + 1)))
     add = lambda v: np.bincount(row, v, len(uid))
     of_row = {f"n{r}": add(c == r).astype(np.int64) for r in range(1, K_GT + 1)}
-    of_row |= {"big": add(c > K_GT).astype(np.int64), "n": add(None).astype(np.int64), "known": add(cw > 0).astype(np.int64), "base": add(base), "s": add(s)}
-    rows = pd.DataFrame({"kind": 1, "key": uid, "id": ids, **of_row})
-
+    of_row |= {"big": add(c > K_GT).astype(np.int64), "n": add(None), "known": add((c_word > 0)[wi]).astype(np.int64), "base": add(base[wi]), "s": add(s)}
+    yield _part(1, len(uid), key=uid, id=ids, **of_row)
+    del s, of_row
     off = np.flatnonzero(c == 0)
-    pair, n = np.unique(row[off] * len(uh) + hi[off], return_counts=True)
-    back = pd.DataFrame({"kind": 2, "key": uid[pair // len(uh)], "id": uh[pair % len(uh)], "n": n})
-    names = [x.split()[0] for x in PART.split(", ")]
-    # fill_value, not NaN: ids of 62 bits don't survive a turn as doubles
-    return pd.concat([x.reindex(columns=names, fill_value=0) for x in (history, rows, back)], ignore_index=True)
+    back, n = np.unique(row[off].astype(np.int64) * len(uh) + hi[off], return_counts=True)
+    yield _part(2, len(back), key=uid[back // len(uh)], id=uh[back % len(uh)], n=n)
+
+
+def _part(kind: int, size: int, **cols: np.ndarray) -> pa.RecordBatch:
+    """One kind's rows in the columns of PART; columns without a value are 0."""
+    types = {"int": (pa.int32(), np.int32), "long": (pa.int64(), np.int64), "double": (pa.float64(), np.float64)}
+    fields = [x.split() for x in PART.split(", ")]
+    cols["kind"] = np.full(size, kind)
+    arrays = [pa.array(np.asarray(cols[n], types[t][1]) if n in cols else np.zeros(size, types[t][1]), types[t][0]) for n, t in fields]
+    return pa.RecordBatch.from_arrays(arrays, names=[n for n, _ in fields])
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch], hot_c: np.ndarray, uni: dict) -> Iterator[pa.RecordBatch]:
+    held: list[dict] = []
+    for b in batches:
+        for k in range(len(b)):
+            r = {n: b.column(n)[k].as_py() for n in b.schema.names}
+            if held and held[0]["bucket"] != r["bucket"]:
+                yield from _counted(held, hot_c, uni)
+                held = []
+            held.append(r)
+    if held:
+        yield from _counted(held, hot_c, uni)
 
 
 def word_probability(c, uni: dict):
@@ -248,7 +268,8 @@ def katz_scores(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
     n_buckets = 1 + int(1.25 * uni["N"]) // BUCKET_TOKENS
     shared = spark.sparkContext.broadcast(words)
     dealt = occurrences(rows, shared, n_buckets)
-    parts = materialize(dealt.groupBy("bucket").applyInPandas(lambda pdf: _counted(pdf, hot_c, uni), PART), "katz")
+    dealt = dealt.repartition(n_buckets, "bucket").sortWithinPartitions("bucket")
+    parts = materialize(dealt.mapInArrow(lambda batches: _by_bucket(batches, hot_c, uni), PART), "katz")
 
     history = parts.where("kind = 0").groupBy("key").agg(*(F.sum(f"n{r}").alias(f"n{r}") for r in range(1, K_GT + 2)), F.sum("big").alias("big"), F.sum("s").alias("p"))
     history = materialize(history, "histories")
