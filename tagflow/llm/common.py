@@ -46,6 +46,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     schema = df.schema
     del df
     gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
 
 
