@@ -1,6 +1,66 @@
-"""The registered queries and their SQL."""
+"""The registered queries, each an operator over the fixture views, and their SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tagflow.fixtures import VIEWS
+from tagflow.functions import normalize
+from tagflow.operators import assess, coverage, fanout, merge, relate, rollup, state
+from tagflow.plans import planning
+from tagflow.sqlops import Graph
+
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+GRAPH = Graph(TABLES)
+BIND = {
+    "equipment": "classify_equipment", "points": "classify_points", "sites": "sites_v", "history": "history_v", "jobs": "jobs_v", "evidence": "evidence_v", "lineage": "lineage_v",
+    "detections": "detections_v", "samples": "samples_v", "versions": "versions_v", "dues": "dues_v", "entities": "entities_v", "current": "entities_v", "prior": "prior_v",
+    "staged": "resend_v", "resend": "resend_v", "base": "base_v", "windows": "windows12_v", "copies": "windows12_v", "steps": "windows12_v", "grants": "grants_v", "depths": "lineage_depth",
+    "classified": "classify_points", "virtual": "replicate_equipment", "feed": "certified_batch_feed", "runs": "run_status", "checkpoints": "contiguous_through", "merged": "merge_history",
+    "pages": "pack_pages", "verdicts": "history_coverage", "split": "quarantine_split", "coverage": "hour_coverage", "requested": "classify_points", "returned": "history_v",
+    "inventory": "site_inventory", "batches": "assign_batches", "a": "entities_v", "b": "prior_v", "rows": "history_v", "c": "classify_equipment",
+}
+RAW = {"equipment": "equipment_v", "points": "points_v"}
+#: Operators over rows as exported rather than as classified.
+OVER_RAW = ("classify_equipment", "export_crossref", "first_occurrence", "normalise_refs", "historized_flags", "lead_columns", "plan_guard")
+SPECIAL = {"classify_points": {"points": "points_v"}, "fan_out_history": {"virtual": "replicate_points"}, "lookback_windows": {"windows": "history_windows"}}
+
+for _name, _view in VIEWS.items():
+    GRAPH.add(_name, _view, **{k: BIND[k] for k in _view.inputs() if k in BIND})
+for _module in (assess, coverage, relate, rollup, merge, state, fanout, normalize, planning):
+    for _name, _op in vars(_module).items():
+        if type(_op).__name__ == "Operator":
+            GRAPH.add(_name, _op, **{**BIND, **(RAW if _name in OVER_RAW else {}), **SPECIAL.get(_name, {})})
+
+
+def _query(name: str):
+    return lambda spark, sf_dir: GRAPH.frame(spark, sf_dir, name)
+
+
+def export_assessment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship query: both exports classified, then summed by site."""
+    return GRAPH.frame(spark, sf_dir, "site_summary")
+
+
+def bisect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over-size batches of samples, halved until they fit."""
+    counts = GRAPH.frame(spark, sf_dir, "samples_v").groupBy("point_id").agg(F.count("*").alias("n"))
+    by = counts.groupBy((F.pmod(F.xxhash64("point_id"), F.lit(64))).alias("b")).agg(F.array_sort(F.collect_list(F.struct("point_id", "n"))).alias("x"))
+    return planning.bisect_batches(by.select(F.concat(F.lit("b"), F.col("b").cast("string")).alias("batch_id"), F.col("x.point_id").alias("ids"), F.col("x.n").alias("counts")), cap=60)
+
+
+def local_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours of each local day: 23 or 25 when the clock changes."""
+    days = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_shipdate").cast("date").alias("day")).distinct()
+    a, b = planning.local_day_window(F.col("day"), "America/Chicago")
+    return days.select("day", ((F.unix_timestamp(b) - F.unix_timestamp(a)) / 3600).cast("bigint").alias("hours"))
+
+
+QUERIES = {name: _query(name) for name in GRAPH.nodes if name not in VIEWS}
+QUERIES |= {"export_assessment": export_assessment, "bisect_batches": bisect, "local_day_window": local_days}
+ORACLE = {name: GRAPH.sql(name) for name in GRAPH.nodes if name not in VIEWS}
+ORACLE["export_assessment"] = GRAPH.sql("site_summary")
+ORACLE["local_day_window"] = """
+SELECT day, cast((epoch(timezone('America/Chicago', cast(day + 1 AS timestamp))) - epoch(timezone('America/Chicago', cast(day AS timestamp)))) / 3600 AS bigint) AS hours
+FROM (SELECT DISTINCT cast(l_shipdate AS date) AS day FROM lineitem) d"""
