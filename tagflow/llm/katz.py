@@ -98,6 +98,15 @@ def _deal(w: np.ndarray, h: np.ndarray, n_hot: int, n_buckets: int) -> np.ndarra
     return (x % np.uint64(n_buckets)).astype(np.int32)
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """All first bytes, then all second ones, and so on: ids' empty high bytes then shrink to nothing."""
+    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def _from_planes(raw: bytes, kind) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
 def _packed(w, h, row, uid, ids, train, n_hot, n_buckets) -> pa.RecordBatch:
     """One row per bucket: its occurrences sorted by pair, and the document rows they are from."""
     bucket = _deal(w, h, n_hot, n_buckets)
@@ -110,7 +119,7 @@ def _packed(w, h, row, uid, ids, train, n_hot, n_buckets) -> pa.RecordBatch:
         present, at = np.unique(row[lo:hi], return_inverse=True)
         blobs = (np.diff(w[lo:hi], prepend=0), h[lo:hi], at.astype(np.int32))
         rows = (uid[present], ids[present], train[present])
-        for c, v in zip(cols, (int(bucket[lo]), hi - lo, *(squeeze(x.tobytes()) for x in (*blobs, *rows)))):
+        for c, v in zip(cols, (int(bucket[lo]), hi - lo, *(squeeze(_planes(x)) for x in (*blobs, *rows)))):
             c.append(v)
     kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 6
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["bucket", "n", "w", "h", "at", "uid", "id", "train"])
@@ -158,7 +167,7 @@ PART = "kind int, key long, id long, n1 int, n2 int, n3 int, n4 int, n5 int, n6
 def _counted(rows: list[dict], hot_c: np.ndarray, uni: dict) -> Iterator[pa.RecordBatch]:
     """What one bucket can say; see the module's plan. ``kind`` 0: history, 1: row, 2: back-off."""
     grow = zstandard.ZstdDecompressor().decompress
-    arr = lambda name, t: [np.frombuffer(grow(x[name]), t) for x in rows]
+    arr = lambda name, t: [_from_planes(grow(x[name]), t) for x in rows]
     uid, ids, train = arr("uid", np.int64), arr("id", np.int64), arr("train", np.int8)
     base_at = np.cumsum([0] + [len(x) for x in uid[:-1]])
     row = np.concatenate([x + np.int32(o) for x, o in zip(arr("at", np.int32), base_at)])

@@ -28,6 +28,7 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 ORDINARY = r"[A-Za-z0-9_-]{12,}"
 #: Mean log-likelihood ratio a character pair from which a candidate is reported.
 RATIO = 1.0
+PRIOR = 20.0
 
 
 def spans(text: Column, pattern: str) -> Column:
@@ -71,17 +72,20 @@ def labelled_samples(rows: DataFrame, text_col: str = "text") -> DataFrame:
 def train(samples: DataFrame) -> list[float]:
     """Log-likelihood ratio of every pair of ALPHABET characters, row by row; at most 67 x 67 values.
 
-    ``samples`` are (token, random) rows. Pair counts are summed in the tasks first. Each model adds
-    one half to every count, so any pair has a ratio; with no samples at all every ratio is 0.
+    ``samples`` are (token, random) rows. Pair counts are summed in the tasks first. A pair's rate
+    is its count with PRIOR more of what the second character has alone: in the model of random
+    strings each character alike, in the other as often as it comes. With no samples every ratio is 0.
     """
     pairs = samples.select("random", F.explode(F.transform(F.sequence(F.lit(1), F.length("token") - 1), lambda i: F.substring("token", i, F.lit(2)))).alias("pair"))
     n = len(ALPHABET)
-    counts = {r: [[0.5] * n for _ in range(n)] for r in (False, True)}
+    counts = {r: [[0.0] * n for _ in range(n)] for r in (False, True)}
     at = {c: k for k, c in enumerate(ALPHABET)}
     for r in pairs.where(F.col("pair").rlike("^[A-Za-z0-9+/_=-]{2}$")).groupBy("random", "pair").count().collect():  # at most 2 x 67 x 67 rows
         counts[r["random"]][at[r["pair"][0]]][at[r["pair"][1]]] += r["count"]
-    total = {r: [sum(row) for row in counts[r]] for r in counts}
-    return [math.log(counts[True][i][j] / total[True][i]) - math.log(counts[False][i][j] / total[False][i]) for i in range(n) for j in range(n)]
+    column = [sum(row[j] for row in counts[False]) + 0.5 for j in range(n)]
+    alone = {True: [1 / n] * n, False: [c / sum(column) for c in column]}
+    rate = lambda r, i, j: math.log((counts[r][i][j] + PRIOR * alone[r][j]) / (sum(counts[r][i]) + PRIOR))
+    return [rate(True, i, j) - rate(False, i, j) for i in range(n) for j in range(n)]
 
 
 def ratio(token: Column, table: list[float]) -> Column:
