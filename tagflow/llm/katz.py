@@ -9,8 +9,8 @@ held-out alike, to one bucket, where its count is known. All that depends on cou
 buckets is linear, so a bucket returns (1) per history how many pairs it has of each count and
 their summed P(w), (2) per document how many tokens fell on each count, (3) per document and
 history the tokens that back off. These three are stored as one table partitioned by kind; from it
-come the discounts, the back-off weights and the scores. Words with at least a HOT-th of all
-training tokens, at most HOT of them, are broadcast with their counts and dealt by (h, w); other
+come the discounts, the back-off weights and the scores. Words seen twice and with at least a
+HOT-th of all training tokens, at most HOT of them, are broadcast with their counts and dealt by (h, w); other
 words are dealt by w, so no word's share of the corpus lands in one bucket.
 """
 
@@ -33,7 +33,7 @@ EPSILON = 1e-4
 #: A word is hot with 1/HOT of the training tokens, so at most HOT words are broadcast.
 HOT = 50_000
 BUCKET_TOKENS = 2_000_000
-FLUSH_TOKENS = 500_000
+FLUSH_TOKENS = 1_000_000
 CACHE_WORDS = 300_000
 END = b"\n"
 START = -1
@@ -66,7 +66,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 w = words_of(t.as_py())
                 got.update(w)
                 size += len(w)
-                if size > 4 * FLUSH_TOKENS:
+                if size > 2 * FLUSH_TOKENS:
                     yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.binary()), pa.array(list(got.values()), pa.int64())], names=["word", "c"])
                     got, size = Counter(), 0
             yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.binary()), pa.array(list(got.values()), pa.int64())], names=["word", "c"])
@@ -107,22 +107,32 @@ def _from_planes(raw: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
+PACKED = ("bucket", "uw", "uh", "pairs", "hi", "reps", "at", "uid", "id", "train")
+
+
 def _packed(w, h, row, uid, ids, train, n_hot, n_buckets) -> pa.RecordBatch:
-    """One row per bucket: its occurrences sorted by pair, and the document rows they are from."""
+    """One row per bucket: its words, the pairs of each, their occurrences, and the document rows these are from.
+
+    Words and histories are listed once (``uw``, ``uh``); ``pairs`` says how many pairs a word has,
+    ``hi`` which history each has, ``reps`` how often it occurs and ``at`` in which rows.
+    """
     bucket = _deal(w, h, n_hot, n_buckets)
     order = np.lexsort((h, w, bucket))
     w, h, row, bucket = w[order], h[order], row[order], bucket[order]
     edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
     squeeze = zstandard.ZstdCompressor(level=1).compress
-    cols: list[list] = [[] for _ in range(8)]
+    cols: list[list] = [[] for _ in PACKED]
     for lo, hi in zip(edges[:-1], edges[1:]):
         present, at = np.unique(row[lo:hi], return_inverse=True)
-        blobs = (np.diff(w[lo:hi], prepend=0), h[lo:hi], at.astype(np.int32))
-        rows = (uid[present], ids[present], train[present])
-        for c, v in zip(cols, (int(bucket[lo]), hi - lo, *(squeeze(_planes(x)) for x in (*blobs, *rows)))):
+        new_w = w[lo:hi] != np.r_[~w[lo], w[lo : hi - 1]]
+        new = np.flatnonzero(new_w | (h[lo:hi] != np.r_[h[lo], h[lo : hi - 1]]))
+        at_word = np.flatnonzero(new_w[new])
+        uh, of_h = np.unique(h[lo:hi][new], return_inverse=True)
+        counts = (np.diff(np.r_[at_word, len(new)]), of_h, np.diff(np.r_[new, hi - lo]), at)
+        blobs = (np.diff(w[lo:hi][new[at_word]], prepend=0), np.diff(uh, prepend=0), *(x.astype(np.int32) for x in counts))
+        for c, v in zip(cols, (int(bucket[lo]), *(squeeze(_planes(x)) for x in (*blobs, uid[present], ids[present], train[present])))):
             c.append(v)
-    kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 6
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["bucket", "n", "w", "h", "at", "uid", "id", "train"])
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k else pa.int32()) for k, c in enumerate(cols)], names=list(PACKED))
 
 
 def occurrences(docs: DataFrame, hot, n_buckets: int) -> DataFrame:
@@ -158,7 +168,7 @@ def occurrences(docs: DataFrame, hot, n_buckets: int) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.select("uid", "id", "train", "text").mapInArrow(run, "bucket int, n long, w binary, h binary, at binary, uid binary, id binary, train binary")
+    return docs.select("uid", "id", "train", "text").mapInArrow(run, "bucket int, " + ", ".join(f"{x} binary" for x in PACKED[1:]))
 
 
 PART = "kind int, key long, id long, n1 int, n2 int, n3 int, n4 int, n5 int, n6 int, big long, n int, known int, base double, s double"
@@ -172,13 +182,12 @@ def _counted(rows: list[dict], hot_c: np.ndarray, uni: dict) -> Iterator[pa.Reco
     base_at = np.cumsum([0] + [len(x) for x in uid[:-1]])
     row = np.concatenate([x + np.int32(o) for x, o in zip(arr("at", np.int32), base_at)])
     uid, ids, train = (np.concatenate(x) for x in (uid, ids, train))
-    uw, wi = np.unique(np.concatenate([np.cumsum(x) for x in arr("w", np.int64)]), return_inverse=True)
-    uh, hi = np.unique(np.concatenate(arr("h", np.int64)), return_inverse=True)
-    pair = wi * len(uh) + hi
-    wi, hi = wi.astype(np.int32), hi.astype(np.int32)
-    up, pi = np.unique(pair, return_inverse=True)
-    del pair
-    pi, learn = pi.astype(np.int32), train[row]
+    uw, wi = np.unique(np.concatenate([np.repeat(np.cumsum(x), n) for x, n in zip(arr("uw", np.int64), arr("pairs", np.int32))]), return_inverse=True)
+    uh, hi = np.unique(np.concatenate([np.cumsum(x)[k] for x, k in zip(arr("uh", np.int64), arr("hi", np.int32))]), return_inverse=True)
+    up, pi = np.unique(wi * len(uh) + hi, return_inverse=True)
+    reps = np.concatenate(arr("reps", np.int32))
+    wi, hi, pi = (np.repeat(x.astype(np.int32), reps) for x in (wi, hi, pi))
+    learn = train[row]
     c_pair = np.bincount(pi, learn, len(up)).astype(np.int64)
     c_word = np.bincount(wi, learn, len(uw)).astype(np.int64)
     del learn
@@ -268,9 +277,10 @@ def katz_scores(docs: DataFrame, train, id_col: str = "doc_id", text_col: str =
         F.coalesce(train, F.lit(False)).alias("train"),
         docs[text_col].alias("text"),
     )
-    counts = materialize(word_counts(rows.where("train")), "words")
+    # a word seen once is never hot, so that the table need not spell it
+    counts = materialize(word_counts(rows.where("train")).select(F.when(F.col("c") > 1, F.col("word")).alias("word"), "c"), "words")
     uni = unigram_model(counts)
-    least = max(1, -(-uni["N"] // HOT))
+    least = max(2, -(-uni["N"] // HOT))
     hot = counts.where(F.col("c") >= least).orderBy(F.desc("c"), "word").collect()
     words, hot_c = [bytes(r.word) for r in hot], np.array([r.c for r in hot], np.int64)
     uni["end_id"] = _Ids(words)[END]
