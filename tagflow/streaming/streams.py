@@ -1,9 +1,10 @@
-"""Tumbling counts, deduplication and merges over a file stream."""
+"""Tumbling counts, deduplication, merges, coverage and cursors over a file stream."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,3 +29,35 @@ def stream_dedup(feed: DataFrame, key: str, at: str, lag: str = "5 minutes") ->
 def stream_merge(staged: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str):
     """Run ``apply(batch, batch_id)`` on each micro-batch; applying a batch id twice must change nothing."""
     return staged.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stream_coverage(returned: DataFrame, batches: DataFrame, size: str = "5 minutes", lag: str = "5 minutes") -> DataFrame:
+    """Windows' batches once the watermark has passed them: the ids seen, and whether all requested ones were.
+
+    ``returned`` streams (batch_id, id, ts); ``batches`` holds (batch_id, scope_ids), a batch's ids being bounded by its plan.
+    """
+    seen = returned.withWatermark("ts", lag).groupBy(F.window("ts", size).alias("w"), "batch_id").agg(F.collect_set("id").alias("ids"))
+    missing = F.size(F.array_except("scope_ids", "ids"))
+    return seen.join(batches, "batch_id").select("batch_id", F.col("w.start").alias("window_start"), F.size("ids").alias("n_seen"), missing.alias("n_missing"), (missing == 0).alias("complete"))
+
+
+def stream_checkpoint(certified: DataFrame, baseline: int = -1) -> DataFrame:
+    """(site_ref, through) whenever a site's cursor moves over windows without a gap; it never goes back.
+
+    ``certified`` streams (site_ref, window_no). State by site: the cursor, and the windows that wait behind a gap.
+    Windows that come again, or lie at or before the cursor, change nothing; null windows are left out.
+    """
+
+    def move(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        before, pending = state.get if state.exists else (baseline, [])
+        waiting, through = set(pending), before
+        for f in frames:
+            waiting.update(f["window_no"].tolist())
+        while through + 1 in waiting:
+            through += 1
+        state.update((through, sorted(w for w in waiting if w > through)))
+        if through > before:
+            yield pd.DataFrame({"site_ref": [key[0]], "through": [through]})
+
+    rows = certified.select("site_ref", F.col("window_no").cast("long").alias("window_no")).where(F.col("window_no").isNotNull())
+    return rows.groupBy("site_ref").applyInPandasWithState(move, "site_ref string, through long", "through long, pending array<long>", "append", "NoTimeout")

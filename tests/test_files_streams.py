@@ -49,3 +49,29 @@ def test_normalise_columns(spark):
     typed = spark.sql("SELECT parse_json(x) AS v FROM VALUES ('true'), ('1'), ('\"1\"'), ('{\"_kind\":\"na\"}') t(x)")
     rows = typed.select(*(c.alias(k) for k, c in normalize.typed_value(F.col("v")).items())).collect()
     assert [r.val_bool for r in rows] == [True, None, None, None] and rows[1].val_num == 1 and rows[2].val_str == "1" and rows[3].val_na
+
+
+def _run(spark, df, name, mode="append"):
+    q = df.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
+    assert q.awaitTermination(180)
+    return spark.table(name).collect()
+
+
+def test_checkpoint_moves_over_windows_without_gaps(spark, tmp_path):
+    steps = [[("a", 0), ("a", 2), ("b", 1), ("b", None)], [("a", 1), ("a", 2)], [("b", 0), ("a", 0), ("a", 5)]]
+    for i, rows in enumerate(steps):
+        spark.createDataFrame(rows, "site_ref string, window_no int").coalesce(1).write.parquet(str(tmp_path / f"d{i}"))
+    raw = spark.readStream.schema("site_ref string, window_no int").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "d*"))
+    got = [tuple(r) for r in _run(spark, streams.stream_checkpoint(raw), "cursors")]
+    assert len(got) == len(set(got))
+    assert {s: max(t for x, t in got if x == s) for s in "ab"} == {"a": 2, "b": 1}
+
+
+def test_coverage_of_batches(spark, tmp_path):
+    rows = [("j1", "p", 0), ("j1", "q", 60), ("j2", "p", 10), ("late", "z", 3600)]
+    df = spark.createDataFrame(rows, "batch_id string, id string, s long").selectExpr("batch_id", "id", "timestamp_seconds(s) AS ts")
+    df.coalesce(1).write.parquet(str(tmp_path / "r"))
+    batches = spark.createDataFrame([("j1", ["p", "q"]), ("j2", ["p", "q"])], "batch_id string, scope_ids array<string>")
+    raw = spark.readStream.schema(df.schema).parquet(str(tmp_path / "r"))
+    got = {(r.batch_id, r.n_seen, r.n_missing, r.complete) for r in _run(spark, streams.stream_coverage(raw, batches), "covered")}
+    assert got == {("j1", 2, 0, True), ("j2", 1, 1, False)}
