@@ -30,6 +30,47 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGE).option("multiLine", True).json(path).withColumn("path", F.col("_metadata.file_path"))
 
 
+#: Receipt fields of a page's ``meta`` (fixed names of the landed format), by type.
+RECEIPT = {"project": "string", "site": "string", "complete": "boolean", "returned_rows": "long", "total_rows": "long"}
+WINDOWED = {"query_id": "string", "window_start": "string", "window_end": "string", "requested_ids": "array<string>", "completed_ids": "array<string>", "truncated": "boolean"}
+CHAINED = {"page_index": "long", "next_page": "string"}
+
+
+def _receipts(spark: SparkSession, path: str, fields: dict[str, str]) -> DataFrame:
+    """Pages with their receipt fields as columns (null where absent or of another type), and ``actual_rows``."""
+    pages = read_pages(spark, path)
+    meta = (F.try_variant_get("meta", f"$.{k}", t).alias(k) for k, t in fields.items())
+    return pages.select("path", *meta, F.coalesce(F.size("rows"), F.lit(0)).cast("long").alias("actual_rows"), "cols", "rows")
+
+
+def read_history_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Landed wide grids of samples, one row a page."""
+    return _receipts(spark, path, RECEIPT | WINDOWED)
+
+
+def read_metadata_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Landed equipment or point pages, with their snapshot and place in the chain."""
+    return _receipts(spark, path, RECEIPT | {"snapshot": "string"} | CHAINED)
+
+
+def read_rules_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Landed grids of detections, with their local day and zone."""
+    return _receipts(spark, path, RECEIPT | WINDOWED | {"day": "string", "timezone": "string", "requested_count": "long"} | CHAINED)
+
+
+def history_wide_to_long(pages: DataFrame) -> DataFrame:
+    """(path, point_id, ts, cell) of every cell that is set; a column's id is its ``meta.id``, else its name."""
+    return pages.sparkSession.sql(
+        """
+WITH r AS (
+  SELECT path, transform(cols, x -> x.name) AS names, transform(cols, x -> coalesce(try_variant_get(x.meta, '$.id', 'string'), x.name)) AS ids, explode(rows) AS line
+  FROM {pages})
+SELECT r.path, r.ids[array_position(r.names, e.key) - 1] AS point_id, try_variant_get(r.line, '$.ts', 'string') AS ts, e.value AS cell
+FROM r, LATERAL variant_explode(r.line) e WHERE e.key <> 'ts' AND array_contains(r.names, e.key) AND NOT is_variant_null(e.value)""",
+        pages=pages,
+    )
+
+
 def latest_export(spark: SparkSession, pattern: str) -> DataFrame:
     """Path and time of the newest file that the pattern finds."""
     files = spark.read.format("binaryFile").load(pattern).select("path", "modificationTime")

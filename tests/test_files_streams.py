@@ -1,5 +1,7 @@
 """Round trips of readers and writers, and a stream against its batch form."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,6 +34,24 @@ def test_inventory(spark, tmp_path):
     assert got == {("equipment", "e"), ("point", "p"), ("point", "q")}
 
 
+def test_landed_pages(spark, tmp_path):
+    meta = {"project": "1001", "site": "s", "complete": True, "returned_rows": 2, "total_rows": 2}
+    cols = [{"name": "ts", "meta": {}}, {"name": "v0", "meta": {"id": "p-1"}}, {"name": "p-2"}]
+    rows = [{"ts": "t1", "v0": 1.5, "p-2": None}, {"ts": "t2", "p-2": {"_kind": "na"}, "stray": 1}]
+    (tmp_path / "h.json").write_text(json.dumps({"meta": meta | {"requested_ids": ["p-1", "p-2"], "truncated": False}, "cols": cols, "rows": rows}))
+    (tmp_path / "m.json").write_text(json.dumps({"meta": meta | {"snapshot": "x", "page_index": 0, "next_page": None}, "rows": []}))
+    (tmp_path / "r.json").write_text(json.dumps({"meta": meta | {"day": "2024-01-01", "requested_count": "two"}, "rows": rows}))
+    pages = files.read_history_pages(spark, str(tmp_path / "h.json"))
+    page = pages.first()
+    assert page.requested_ids == ["p-1", "p-2"] and page.complete and page.truncated is False and page.actual_rows == page.total_rows == 2
+    cells = files.history_wide_to_long(pages).selectExpr("point_id", "ts", "to_json(cell) AS cell").collect()
+    assert {tuple(c) for c in cells} == {("p-1", "t1", "1.5"), ("p-2", "t2", '{"_kind":"na"}')}
+    m = files.read_metadata_pages(spark, str(tmp_path / "m.json")).first()
+    assert m.snapshot == "x" and m.page_index == 0 and m.next_page is None and m.actual_rows == 0
+    r = files.read_rules_pages(spark, str(tmp_path / "r.json")).first()
+    assert r.day == "2024-01-01" and r.requested_count is None and r.timezone is None
+
+
 def test_stream_equals_batch(spark, tmp_path):
     src = tmp_path / "events.parquet"
     spark.read.parquet("/root/testdata/sf0.001/events.parquet").write.parquet(str(src))
