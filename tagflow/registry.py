@@ -9,7 +9,7 @@ from tagflow.fixtures import VIEWS
 from tagflow.functions import normalize
 from tagflow.operators import assess, coverage, fanout, merge, relate, rollup, state
 from tagflow.plans import planning
-from tagflow.sqlops import Graph
+from tagflow.sqlops import Graph, Operator
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 GRAPH = Graph(TABLES)
@@ -30,7 +30,7 @@ for _name, _view in VIEWS.items():
     GRAPH.add(_name, _view, **{k: BIND[k] for k in _view.inputs() if k in BIND})
 for _module in (assess, coverage, relate, rollup, merge, state, fanout, normalize, planning):
     for _name, _op in vars(_module).items():
-        if type(_op).__name__ == "Operator":
+        if isinstance(_op, Operator):
             GRAPH.add(_name, _op, **{**BIND, **(RAW if _name in OVER_RAW else {}), **SPECIAL.get(_name, {})})
 
 

@@ -45,6 +45,17 @@ class Operator:
         return spark.sql(render(self.text(**given), _SPARK), **frames)
 
 
+class Native(Operator):
+    """An operator whose plan is built by ``plan(inputs, params)``; its SQL is only for comparison."""
+
+    def __init__(self, plan, sql: str, doc: str = "", **params):
+        super().__init__(sql, doc, **params)
+        self.plan = plan
+
+    def __call__(self, **given) -> DataFrame:
+        return self.plan(**{k: given[k] for k in self.inputs()}, **{k: given.get(k, v) for k, v in self.params.items()})
+
+
 class Graph:
     """Named nodes, each an operator bound to base tables or other nodes."""
 
