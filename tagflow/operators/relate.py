@@ -1,6 +1,36 @@
 """Joins, set operations and recursion over lineage."""
 
-from tagflow.sqlops import Operator
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tagflow.sqlops import Native, Operator
+
+
+def walk_levels(lineage: DataFrame) -> DataFrame:
+    """Root and depth of each batch, a level at a time; each level is written as a table and the next one joins it.
+
+    The loop is over levels, not rows. An acyclic lineage has no more levels than edges; a deeper walk is refused.
+    """
+    from tagflow.llm.common import new_path
+
+    spark, path = lineage.sparkSession, new_path(lineage.sparkSession, "lineage")
+    kind = lineage.schema["parent_id"].dataType
+    edges = lineage.where("parent_id IS NOT NULL").select(F.col("parent_id").cast(kind).alias("id"), F.col("child_id").cast(kind).alias("child_id"))
+    roots = edges.select("id").join(edges.select(F.col("child_id").alias("id")), "id", "left_anti").distinct()
+    level, levels, most = roots.select("id", F.col("id").alias("root"), F.lit(0).alias("depth")), [], None
+    while True:
+        at = f"{path}/level-{len(levels)}"
+        level.write.option("compression", "zstd").parquet(at)
+        schema, levels = level.schema, [*levels, at]
+        level = spark.read.schema(schema).parquet(at)
+        if level.isEmpty():
+            return spark.read.schema(schema).parquet(*levels)
+        if len(levels) % 100 == 0:
+            most = most or edges.count()
+            if len(levels) > most + 1:
+                raise ValueError("the lineage has a cycle")
+        level = level.join(edges, "id").select(F.col("child_id").alias("id"), "root", F.lit(len(levels)).alias("depth"))
+
 
 batch_evidence = Operator(
     "SELECT j.batch_id, j.status, e.raw_key, coalesce(e.receipts, 0) AS receipts FROM {jobs} j LEFT JOIN {evidence} e ON j.batch_id = e.batch_id", "Batches with what evidence they have."
@@ -60,7 +90,8 @@ common_ids = Operator("SELECT id FROM {points} WHERE outcome = 'accepted' INTERS
 set_equality = Operator(
     "SELECT (SELECT count(*) FROM (SELECT source_id FROM {a} EXCEPT SELECT source_id FROM {b}) x) = 0 AND (SELECT count(*) FROM (SELECT source_id FROM {b} EXCEPT SELECT source_id FROM {a}) y) = 0 AS equal", "Whether two id sets are equal."
 )
-lineage_depth = Operator(
+lineage_depth = Native(
+    walk_levels,
     """
 WITH RECURSIVE walk(id, root, depth) AS (
   SELECT DISTINCT parent_id, parent_id, 0 FROM {lineage} WHERE parent_id NOT IN (SELECT child_id FROM {lineage})

@@ -13,3 +13,13 @@ def test_rule_scope_covers_every_day(spark):
     found = Counter((r.targetRef, r.rule_date) for r in registry.GRAPH.frame(spark, DATA, "detections_v").collect())
     days = {d for _, d in found}
     assert days and Counter(rows) == Counter((e, d, found[e, d]) for e in entities for d in days)
+
+
+def test_lineage_has_no_row_limit(spark):
+    from tagflow.operators.relate import lineage_depth
+
+    edges = spark.createDataFrame([(1, 2), (1, 3), (2, 4), (9, 10), (9, None)], "parent_id bigint, child_id bigint")
+    got = {tuple(r) for r in lineage_depth(lineage=edges).where("id IS NOT NULL").select("id", "root", "depth").collect()}
+    assert got == {(1, 1, 0), (2, 1, 1), (3, 1, 1), (4, 1, 2), (9, 9, 0), (10, 9, 1)}
+    wide = spark.range(1, 1_050_001).selectExpr("id % 1000 - 1000 AS parent_id", "id AS child_id")
+    assert lineage_depth(lineage=wide).count() == 1_051_000
