@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagflow.sqlops import Operator
@@ -21,6 +21,18 @@ def local_day_window(day: Column, zone: str) -> tuple[Column, Column]:
     return F.to_utc_timestamp(day.cast("timestamp"), zone), F.to_utc_timestamp(F.date_add(day, 1).cast("timestamp"), zone)
 
 
+def bounded_batches(counts: DataFrame, rows: int, rows_each: int = 2048, max_ids: int = 4096) -> DataFrame:
+    """Batches for ``bisect_batches`` of (point_id, n): their number grows with ``rows``, none has over ``max_ids`` ids.
+
+    At most 2 ** max_depth ids a batch are single ids at the last depth, so only an id over the cap is quarantined.
+    """
+    dealt = counts.withColumn("b", F.pmod(F.xxhash64("point_id"), F.lit(max(64, -(-rows // rows_each)))))
+    at = F.row_number().over(Window.partitionBy("b").orderBy("point_id")) - 1
+    by = dealt.withColumn("k", F.floor(at / max_ids)).groupBy("b", "k").agg(F.array_sort(F.collect_list(F.struct("point_id", "n"))).alias("x"))
+    name = F.concat(F.lit("b"), F.col("b").cast("string"), F.when(F.col("k") > 0, F.concat(F.lit("."), F.col("k").cast("string"))).otherwise(""))
+    return by.select(name.alias("batch_id"), F.col("x.point_id").alias("ids"), F.col("x.n").alias("counts"))
+
+
 def bisect_batches(batches: DataFrame, cap: int, max_depth: int = 12) -> DataFrame:
     """Halve batches of more than ``cap`` rows until none is left or ``max_depth`` is reached.
 

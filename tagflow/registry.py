@@ -45,9 +45,9 @@ def export_assessment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bisect(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over-size batches of samples, halved until they fit."""
-    counts = GRAPH.frame(spark, sf_dir, "samples_v").groupBy("point_id").agg(F.count("*").alias("n"))
-    by = counts.groupBy((F.pmod(F.xxhash64("point_id"), F.lit(64))).alias("b")).agg(F.array_sort(F.collect_list(F.struct("point_id", "n"))).alias("x"))
-    return planning.bisect_batches(by.select(F.concat(F.lit("b"), F.col("b").cast("string")).alias("batch_id"), F.col("x.point_id").alias("ids"), F.col("x.n").alias("counts")), cap=60)
+    samples = GRAPH.frame(spark, sf_dir, "samples_v")
+    counts = samples.groupBy("point_id").agg(F.count("*").alias("n"))
+    return planning.bisect_batches(planning.bounded_batches(counts, samples.count()), cap=60)
 
 
 def local_days(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,3 +23,28 @@ def test_lineage_has_no_row_limit(spark):
     assert got == {(1, 1, 0), (2, 1, 1), (3, 1, 1), (4, 1, 2), (9, 9, 0), (10, 9, 1)}
     wide = spark.range(1, 1_050_001).selectExpr("id % 1000 - 1000 AS parent_id", "id AS child_id")
     assert lineage_depth(lineage=wide).count() == 1_051_000
+
+
+def test_bisect_depth_suffices_at_any_size(spark, tmp_path):
+    lines = spark.range(350_000 * 40).selectExpr("id div 40 AS l_orderkey", "timestamp_ntz '1995-01-02' AS l_shipdate", "1.0 AS l_extendedprice", "'R' AS l_returnflag")
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = registry.QUERIES["bisect_batches"](spark, str(tmp_path)).groupBy("state").agg({"*": "count", "n_rows": "sum"}).collect()
+    assert [(r[0], r["count(1)"], r["sum(n_rows)"]) for r in got] == [("ready", 350_000, 14_000_000)]
+
+
+def test_bounded_batches_as_by_brute_force(spark):
+    from tagflow.plans.planning import bisect_batches, bounded_batches
+
+    counts = spark.createDataFrame([(f"p-{i}", 1 + i * 7 % 13) for i in range(3000)], "point_id string, n bigint")
+    batches = bounded_batches(counts, 21_000, max_ids=16)
+    dealt = [list(zip(r.ids, r.counts, strict=True)) for r in batches.collect()]
+    assert max(map(len, dealt)) <= 16 and sorted(x for b in dealt for x in b) == sorted(map(tuple, counts.collect()))
+
+    def halve(x):
+        n = sum(c for _, c in x)
+        if n <= 10 or len(x) == 1:
+            return [(",".join(i for i, _ in x), n, "ready" if n <= 10 else "quarantined")]
+        return halve(x[: len(x) // 2]) + halve(x[len(x) // 2 :])
+
+    got = [(r.ids, r.n_rows, r.state) for r in bisect_batches(batches, cap=10, max_depth=4).collect()]
+    assert Counter(got) == Counter(y for b in dealt for y in halve(b))
