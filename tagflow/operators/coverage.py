@@ -1,15 +1,53 @@
 """Coverage checks by batch. A batch with a fault gives no rows; the others go on."""
 
-from tagflow.sqlops import Operator
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-pack_pages = Operator(
+from tagflow.plans.planning import dealt_rank
+from tagflow.sqlops import Native, Operator
+
+
+def with_batch(history: DataFrame, max_rows: int) -> DataFrame:
+    """Rows with their batch: a day, cut where it has over ``max_rows`` samples. Equal samples share a batch."""
+    keys = ["observed_at", "point_id", "value_kind"]
+    ranked = dealt_rank(history.withColumn("day", F.col("observed_at").cast("date")), "day", F.date_trunc("second", "observed_at"), keys, "at")
+    part = F.floor(F.col("at") / max_rows)
+    return ranked.withColumn("batch_id", F.concat(F.lit("h-"), F.col("day").cast("string"), F.when(part > 0, F.concat(F.lit("."), part.cast("string"))).otherwise("")))
+
+
+def pages_of(history: DataFrame, max_rows: int) -> DataFrame:
+    rows = with_batch(history, max_rows).select("batch_id", "point_id", "observed_at", "value_kind").distinct()
+    return rows.groupBy("batch_id").agg(
+        F.expr("listagg(point_id, ',') WITHIN GROUP (ORDER BY point_id)").alias("completed_ids"), F.count("*").alias("returned_rows"), F.min("observed_at").alias("first_at"),
+        F.max("observed_at").alias("last_at"), (F.expr("count(*) FILTER (WHERE value_kind = 'na')") % 7 == 0).alias("truncated"),
+    )
+
+
+def verdicts_of(pages: DataFrame, history: DataFrame, max_rows: int) -> DataFrame:
+    planned = with_batch(history, max_rows).groupBy("batch_id", "day").agg(F.count("*").alias("n"))
+    day, after = F.col("day").cast("timestamp_ntz"), F.date_add("day", 1).cast("timestamp_ntz")
+    reason = (
+        F.when(F.col("truncated"), "truncated").when(F.col("returned_rows") != F.col("n"), "row_count").when(F.col("returned_rows") > max_rows, "row_cap")
+        .when((F.col("first_at") < day) | (F.col("last_at") >= after), "outside_window")
+    )
+    return pages.join(planned, "batch_id").select("batch_id", reason.isNull().alias("ok"), F.coalesce(reason, F.lit("")).alias("reason"))
+
+
+def split_of(rows: DataFrame, verdicts: DataFrame, max_rows: int) -> DataFrame:
+    return with_batch(rows, max_rows).join(verdicts, "batch_id").select("row_no", "point_id", "observed_at", "ok")
+
+
+pack_pages = Native(
+    pages_of,
     """
 SELECT concat('h-', cast(cast(observed_at AS date) AS string)) AS batch_id, @list[point_id|point_id] AS completed_ids, count(*) AS returned_rows,
   min(observed_at) AS first_at, max(observed_at) AS last_at, count(*) FILTER (WHERE value_kind = 'na') % 7 = 0 AS truncated
 FROM (SELECT DISTINCT cast(observed_at AS date) AS d, point_id, observed_at, value_kind FROM {history}) x GROUP BY cast(observed_at AS date)""",
-    "One page a day with its receipt.",
+    "One page a day, or a part of it, with its receipt.",
+    max_rows=100000,
 )
-history_coverage = Operator(
+history_coverage = Native(
+    verdicts_of,
     """
 SELECT batch_id, reason IS NULL AS ok, coalesce(reason, '') AS reason FROM (
   SELECT p.batch_id, CASE WHEN p.truncated THEN 'truncated' WHEN p.returned_rows <> b.n THEN 'row_count' WHEN p.returned_rows > $max_rows THEN 'row_cap'
@@ -24,8 +62,9 @@ history_rows = Operator(
     "SELECT point_id, count(*) AS duplicate_keys, cast(sum(n) AS bigint) AS rows_in FROM (SELECT point_id, observed_at, count(*) AS n FROM {samples} GROUP BY point_id, observed_at HAVING count(*) > 1) x GROUP BY point_id",
     "Points with more than one sample at an instant.",
 )
-quarantine_split = Operator(
-    "SELECT r.row_no, r.point_id, r.observed_at, v.ok FROM {rows} r JOIN {verdicts} v ON v.batch_id = concat('h-', cast(cast(r.observed_at AS date) AS string))", "Rows with their batch's verdict."
+quarantine_split = Native(
+    split_of,
+    "SELECT r.row_no, r.point_id, r.observed_at, v.ok FROM {rows} r JOIN {verdicts} v ON v.batch_id = concat('h-', cast(cast(r.observed_at AS date) AS string))", "Rows with their batch's verdict.", max_rows=100000
 )
 accepted_rows = Operator("SELECT row_no, point_id, observed_at FROM {split} WHERE ok", "Rows of batches without a fault.")
 entity_links = Operator(

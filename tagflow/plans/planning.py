@@ -21,6 +21,19 @@ def local_day_window(day: Column, zone: str) -> tuple[Column, Column]:
     return F.to_utc_timestamp(day.cast("timestamp"), zone), F.to_utc_timestamp(F.date_add(day, 1).cast("timestamp"), zone)
 
 
+def dealt_rank(df: DataFrame, group: str, piece: Column, keys: list[str], name: str) -> DataFrame:
+    """dense_rank from 0 of ``keys`` in ``group``, but no task holds a group: ranks inside a piece plus its offset.
+
+    ``piece`` must rise with ``keys``; a group's pieces (seconds of a day, prefixes of an id) are few.
+    """
+    cut = df.withColumn("_piece", piece)
+    sizes = cut.select(group, "_piece", *keys).distinct().groupBy(group, "_piece").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(group, "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    at = F.dense_rank().over(Window.partitionBy(group, "_piece").orderBy(*keys)) - 1
+    return cut.withColumn("_at", at).join(starts, [group, "_piece"]).withColumn(name, F.col("_start") + F.col("_at")).drop("_piece", "_at", "_start")
+
+
 def bounded_batches(counts: DataFrame, rows: int, rows_each: int = 2048, max_ids: int = 4096) -> DataFrame:
     """Batches for ``bisect_batches`` of (point_id, n): their number grows with ``rows``, none has over ``max_ids`` ids.
 
