@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from tagflow.sqlops import Operator
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tagflow.sqlops import Native, Operator
+
+
+def twelve_windows(events: DataFrame) -> DataFrame:
+    """The windows of all events, not only of the first."""
+    return events.select((F.col("event_id") % 12).cast("int").alias("window_no")).distinct()
+
 
 VIEWS = {
     "sites_v": Operator("SELECT concat('site-', lpad(cast(n_nationkey AS string), 2, '0')) AS site_ref, n_name AS site_uri FROM {nation} WHERE n_nationkey < 23"),
@@ -48,6 +57,6 @@ SELECT cast(p_partkey - k + floor((k - 1) / 2) AS bigint) AS parent_id, p_partke
     "entities_v": Operator("SELECT id AS source_id, siteRef AS site_ref, cast(row_no AS bigint) AS row_no, concat('v', cast(row_no % 13 AS string)) AS payload FROM {c} WHERE outcome = 'accepted'"),
     "prior_v": Operator("SELECT source_id, site_ref, row_no, CASE WHEN row_no % 7 = 0 THEN 'old' ELSE payload END AS payload FROM {entities} WHERE row_no % 10 <> 3"),
     "evidence_v": Operator("SELECT batch_id, CASE WHEN window_no % 5 = 4 THEN NULL ELSE concat('raw-', batch_id) END AS raw_key, CASE WHEN window_no % 7 = 6 THEN 0 ELSE 1 END AS receipts FROM {jobs} WHERE status = 'certified'"),
-    "windows12_v": Operator("SELECT DISTINCT cast(event_id % 12 AS int) AS window_no FROM {events} WHERE event_id < 1000"),
+    "windows12_v": Native(twelve_windows, "SELECT DISTINCT cast(event_id % 12 AS int) AS window_no FROM {events} WHERE event_id < 1000"),
     "grants_v": Operator("SELECT cast(ts AS date) AS grant_day, min(ts) AS grant_start, max(ts) + INTERVAL '5' MINUTE AS grant_end, 60 AS job_cap FROM {events} GROUP BY cast(ts AS date)"),
 }

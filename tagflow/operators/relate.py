@@ -3,9 +3,21 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagflow.plans.planning import dealt_rank
 from tagflow.sqlops import Native, Operator
 
 
+def pair_in_turn(entities: DataFrame) -> DataFrame:
+    """Each site's entities paired in turn with all entities of one whole site, the first by name."""
+    ranked = dealt_rank(entities.select("site_ref", "source_id"), "site_ref", F.substring("source_id", 1, 6), ["source_id"], "i")
+    first = entities.agg(F.min("site_ref").alias("site_ref"))
+    template = ranked.join(F.broadcast(first), "site_ref").select(F.col("source_id").alias("copy_of"), "i")
+    n = entities.join(F.broadcast(first), "site_ref").agg(F.count("*").alias("n"))
+    turns = ranked.crossJoin(F.broadcast(n)).select("source_id", (F.col("i") % F.col("n")).alias("i"))
+    return turns.join(template, "i").select("source_id", "copy_of")
+
+
+
 def walk_levels(lineage: DataFrame) -> DataFrame:
     """Root and depth of each batch, a level at a time; each level is written as a table and the next one joins it.
 
@@ -66,7 +78,9 @@ link_status = Operator(
     "Detections on known and unknown equipment.",
 )
 coverage_spine = Operator("SELECT p.id AS point_id, w.window_no FROM {points} p CROSS JOIN {windows} w WHERE p.outcome = 'accepted'", "Every accepted point in every window; windows are few.")
-cyclic_join = Operator(
+#: The SQL takes the template from the first rows only, which the plan does not; see README.
+cyclic_join = Native(
+    pair_in_turn,
     """
 SELECT a.source_id, b.source_id AS copy_of
 FROM (SELECT source_id, i, n FROM (SELECT source_id, row_number() OVER (PARTITION BY site_ref ORDER BY source_id) - 1 AS i, site_ref FROM {entities}) e

@@ -64,3 +64,18 @@ def test_large_days_are_cut_and_not_refused(spark):
     twice = history.union(history.where("row_no = 63"))
     bad = coverage.history_coverage(pages=coverage.pack_pages(history=twice, max_rows=64), history=twice, max_rows=64)
     assert bad.where("reason = 'row_count'").count() == 1
+
+
+def test_cyclic_join_uses_a_whole_site(spark):
+    rows = registry.GRAPH.frame(spark, DATA, "entities_v").collect()
+    sites: dict[str, list[str]] = {}
+    for r in sorted(rows, key=lambda r: r.source_id):
+        sites.setdefault(r.site_ref, []).append(r.source_id)
+    template = sites[min(sites)]
+    want = Counter((e, template[i % len(template)]) for x in sites.values() for i, e in enumerate(x))
+    assert template and Counter((r.source_id, r.copy_of) for r in registry.QUERIES["cyclic_join"](spark, DATA).collect()) == want
+
+
+def test_windows_come_from_all_events(spark, tmp_path):
+    spark.range(1000, 1012).withColumnRenamed("id", "event_id").write.parquet(str(tmp_path / "events.parquet"))
+    assert registry.GRAPH.frame(spark, str(tmp_path), "windows12_v").count() == 12
