@@ -8,10 +8,11 @@ Plan. One pass counts words. One shuffle then brings each pair's occurrences, tr
 held-out alike, to one bucket, where its count is known. All that depends on counts of other
 buckets is linear, so a bucket returns (1) per history how many pairs it has of each count and
 their summed P(w), (2) per document how many tokens fell on each count, (3) per document and
-history the tokens that back off. These three are stored as one table partitioned by kind; from it
+history the tokens that back off. These three are rows of one unpartitioned table, told apart by kind; from it
 come the discounts, the back-off weights and the scores. Words seen twice and with at least a
 HOT-th of all training tokens, at most HOT of them, are broadcast with their counts and dealt by (h, w); other
-words are dealt by w, so no word's share of the corpus lands in one bucket.
+words are dealt by w, so no word's share of the corpus lands in one bucket. Pair counts are dropped
+with their bucket: no model is kept, and other texts need a new count.
 """
 
 from __future__ import annotations
