@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tagflow.plans.planning import dealt_rank
 from tagflow.sqlops import Native, Operator
+from tagflow.tables import new_path
 
 
 def pair_in_turn(entities: DataFrame) -> DataFrame:
@@ -23,8 +24,6 @@ def walk_levels(lineage: DataFrame) -> DataFrame:
 
     The loop is over levels, not rows. An acyclic lineage has no more levels than edges; a deeper walk is refused.
     """
-    from tagflow.llm.common import new_path
-
     spark, path = lineage.sparkSession, new_path(lineage.sparkSession, "lineage")
     kind = lineage.schema["parent_id"].dataType
     edges = lineage.where("parent_id IS NOT NULL").select(F.col("parent_id").cast(kind).alias("id"), F.col("child_id").cast(kind).alias("child_id"))
