@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import gc
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagflow.tables import materialize, new_path
+
+__all__ = ["WORD", "fold", "fresh", "materialize", "new_path", "table", "text_of"]
+
 #: Words are maximal runs of anything but space, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -18,38 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: the session's ``spark.checkpoint.dir``.
-
-    Only where the session names none (tests on one machine) is a folder of our own set.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + os.path.join(tempfile.gettempdir(), "checkpoints")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/tagflow-{spark.sparkContext.applicationId}"
-
-
-def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Cut lineage: write ``df`` as Parquet in the shared folder and read it back.
-
-    A lost executor costs a re-read, not the stages before. Afterwards the driver's
-    garbage is collected so that Spark may drop the shuffle files behind the table.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
-    schema = df.schema
-    del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
-
-
 def fold(col_name: str, n: int):
     """crc32 of the id's text, modulo n: the fold of a row (null id: fold of the text '')."""
     return F.pmod(F.crc32(F.coalesce(F.col(col_name).cast("string"), F.lit("")).cast("binary")), F.lit(n))

@@ -163,7 +163,10 @@ def fit(x: np.ndarray, y: np.ndarray) -> Gam:
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str, learn, rows: int = SAMPLE_ROWS) -> Gam:
-    """Learn from at most ``rows`` labelled rows; their features are computed where they are read."""
+    """Learn from at most ``rows`` labelled rows; their features, a fixed number, are computed where they are read.
+
+    Whole texts, null ones as empty; which rows, and what becomes of repeats, says ``sample``.
+    """
     names = ", ".join(f"f{k} double" for k in range(len(FEATURES)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -176,8 +179,12 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, learn, rows: int =
 
 
 def score(docs: DataFrame, model: Gam, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row: doc_id, score. Null texts are empty and scored so; repeated rows and null
-    ids keep their rows; other columns are not read."""
+    """One row per row: doc_id, score.
+
+    Null texts are empty and scored so; very long ones are read whole. Values on a bin's edge belong
+    to the upper bin. Repeated rows and null ids keep their rows; an empty table gives no rows; other
+    columns, whatever their names, are not read.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,6 +196,7 @@ def score(docs: DataFrame, model: Gam, id_col: str = "doc_id", text_col: str = "
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
+    """Scores of all documents; edge cases as in ``score``."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     out = score(docs, train(docs, labels, "quality", fold("doc_id", 5) != 0))
     return out.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -2,20 +2,38 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagflow.llm.common import materialize
+
 
 def sample(docs: DataFrame, labels: DataFrame, label_col: str, learn, rows: int, extra: tuple[str, ...] = ()) -> DataFrame:
     """(s_order, label, text, extra...) of at most ``rows`` labelled documents.
 
     The rows with the smallest hashes of their id; ``learn`` is a boolean column over doc_id. Rows
-    without an id or a 0/1 label are left out; an id labelled twice counts twice, as do documents
-    that share an id (so the result may then be larger than ``rows``). The bound makes the picked
-    labels safe to broadcast: the documents are filtered where they are read.
+    without an id or a 0/1 label are left out. An id counts once: labels that disagree give 0, and
+    of documents that share an id that with the smallest text (then the smallest ``extra``) is
+    taken. The bound makes the picked labels safe to broadcast: the documents are filtered where
+    they are read.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label_col).isin(0, 1)).where(learn)
-    picked = known.select(F.col("doc_id").alias("s_id"), F.xxhash64("doc_id").alias("s_order"), F.col(label_col).cast("int").alias("label"))
-    picked = picked.orderBy("s_order", "s_id", "label").limit(rows)
+    picked = known.groupBy(F.col("doc_id").alias("s_id")).agg(F.min(F.col(label_col).cast("int")).alias("label")).withColumn("s_order", F.xxhash64("s_id"))
+    picked = picked.orderBy("s_order", "s_id").limit(rows)
     own = docs.select(docs["doc_id"].alias("d_id"), F.coalesce(docs["text"], F.lit("")).alias("text"), *(docs[c].alias(c) for c in extra))
-    return own.join(F.broadcast(picked), F.col("d_id") == F.col("s_id")).select("s_order", "label", "text", *extra)
+    found = own.join(F.broadcast(picked), F.col("d_id") == F.col("s_id")).groupBy("s_order", "s_id", "label").agg(F.min(F.struct("text", *extra)).alias("d"))
+    return found.select("s_order", "label", "d.text", *(f"d.{c}" for c in extra))
+
+
+def collected(features: DataFrame, size, max_bytes: int) -> pd.DataFrame:
+    """The sample's features on the driver, by s_order, up to the row at which their ``size`` exceeds ``max_bytes``.
+
+    So the driver's share is bounded in bytes as well as in rows, whatever the lengths of the texts.
+    """
+    stored = materialize(features, "sample")
+    sizes = stored.groupBy("s_order").agg(F.sum(size).alias("n")).toPandas().sort_values("s_order")  # a row a sampled id
+    fit = sizes["s_order"][sizes["n"].cumsum() <= max_bytes]
+    if fit.empty:
+        return stored.limit(0).toPandas()
+    return stored.where(F.col("s_order") <= int(fit.iloc[-1])).toPandas().sort_values("s_order", kind="stable")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-import corpus_pipeline
 from tagflow.llm import decontaminate, gam, katz, linedup, packing, rules, secrets, simhash, toxicity, warc
 from tagflow.llm.common import table
 
@@ -40,9 +39,6 @@ QUERIES = {
     "op8_secrets": secrets.op8,
     "op9_quality_rules": rules.op9,
     "op10_decontaminate": op10,
-    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {"op5_warc": warc.ORACLE, "op7_line_dedup": linedup.ORACLE, "op10_decontaminate": decontaminate.ORACLE}
-if corpus_pipeline.ORACLE_SQL:
-    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -1,8 +1,8 @@
 """Quality rules: fixed measures of a text, and a hashed n-gram logistic regression.
 
-The regression reads words and groups of four bytes by their hashed shares of the text, is trained
-on a bounded sample of labelled rows and calibrated by Platt's method on rows that training did not
-see. Measures and probability come from one pass in Arrow batches, against fixed thresholds.
+The regression reads words, pairs of neighbouring words and groups of four characters by their
+hashed shares of the text, is trained on a bounded sample of labelled rows and calibrated by Platt's
+method on rows that training did not see. Measures and probability come from one pass in Arrow batches, against fixed thresholds.
 """
 
 from __future__ import annotations
@@ -17,11 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagflow.llm.common import fold, table
-from tagflow.llm.labelled import sample
+from tagflow.llm.labelled import collected, sample
 
+#: Labelled rows to learn from, at most, and bytes of their n-grams. A text has at most 2 ** 19 distinct ones.
 SAMPLE_ROWS = 6_000
-SAMPLE_CHARS = 65_536
-WORD_BITS, CHAR_BITS, GRAM = 16, 18, 4
+SAMPLE_BYTES = 160 << 20
+#: Hash table sizes of words, word pairs and character groups, in bits.
+BITS, GRAM = (16, 17, 18), 4
 EPOCHS, RATE, SCALE = 6, 0.5, 20.0
 #: Fixed thresholds.
 FEWEST_WORDS, REPEATED_PERCENT, WINDOW, KEEP_FROM = 20, 30, 8, 0.3
@@ -55,26 +57,26 @@ def measures(text: str) -> tuple[int, int, int, int, int]:
     return n, len(text) - sum(map(text.count, BLANK)), sum(map(text.count, SYMBOLS)), dup, repeat
 
 
-def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed words and hashed groups of GRAM bytes, repeats included."""
-    raw = text.encode("utf-8", "replace")
-    words = raw.split()
-    w = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) >> np.uint32(32 - WORD_BITS)
-    b = np.frombuffer(raw, np.uint8).astype(np.uint32)
-    m = max(0, len(b) - GRAM + 1)
-    key = sum(b[i : m + i] << np.uint32(8 * i) for i in range(GRAM)) if m else np.empty(0, np.uint32)
-    return w, (key * np.uint32(2654435761)) >> np.uint32(32 - CHAR_BITS)
+def grams(text: str) -> list[np.ndarray]:
+    """Hashed words, pairs of words and groups of GRAM characters, repeats included."""
+    words = text.encode("utf-8", "replace").split()
+    w = np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
+    pair = (w[:-1] * np.uint32(2246822519)) ^ (w[1:] * np.uint32(3266489917))
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    m = max(0, len(c) - GRAM + 1)
+    key = np.zeros(m, np.uint32)
+    for i in range(GRAM):
+        key = key * np.uint32(16777619) + c[i : m + i]
+    return [(x * np.uint32(2654435761)) >> np.uint32(32 - bits) for x, bits in zip((w, pair, key), BITS)]
 
 
 class Regression:
     def __init__(self):
-        self.words, self.chars = np.zeros(1 << WORD_BITS, np.float32), np.zeros(1 << CHAR_BITS, np.float32)
+        self.weights = [np.zeros(1 << b, np.float32) for b in BITS]
         self.bias, self.slope, self.shift = 0.0, 1.0, 0.0
 
     def margin(self, text: str) -> float:
-        w, c = grams(text)
-        parts = (self.words[w].mean(dtype=np.float64) if len(w) else 0.0) + (self.chars[c].mean(dtype=np.float64) if len(c) else 0.0)
-        return self.bias + SCALE * parts
+        return self.bias + SCALE * sum(float(w[g].mean(dtype=np.float64)) for w, g in zip(self.weights, grams(text)) if len(g))
 
     def probability(self, text: str) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.slope * self.margin(text) + self.shift, -30, 30))))
@@ -85,6 +87,9 @@ def _shares(x: np.ndarray, offset: int) -> tuple[np.ndarray, np.ndarray]:
     return (u + offset).astype(np.int32), (n * (SCALE / max(1, len(x)))).astype(np.float32)
 
 
+OFFSETS = (0, 1 << BITS[0], (1 << BITS[0]) + (1 << BITS[1]))
+
+
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> Regression:
     """Fit to sparse rows (indices, shares) and 0/1 ``y``; every fifth row calibrates only.
 
@@ -95,7 +100,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> Regression:
         model.slope, model.shift = 0.0, float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
         return model
     check = np.arange(len(y)) % 5 == 4
-    w, seen, r = np.zeros((1 << WORD_BITS) + (1 << CHAR_BITS), np.float32), None, np.random.default_rng(5)
+    w, r = np.zeros(sum(1 << b for b in BITS), np.float32), np.random.default_rng(5)
     seen = np.full_like(w, 1e-2)
     bias, seen_b = 0.0, 1e-2
     for _ in range(EPOCHS):
@@ -107,7 +112,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> Regression:
             w[idx] -= RATE * grad / np.sqrt(seen[idx])
             seen_b += g * g
             bias -= RATE * g / np.sqrt(seen_b)
-    model.words, model.chars, model.bias = w[: 1 << WORD_BITS], w[1 << WORD_BITS :], bias
+    model.weights, model.bias = np.split(w, OFFSETS[1:]), bias
     held = np.flatnonzero(check)
     if len(set(y[held].tolist())) == 2:
         z, t = np.array([bias + float(rows[i][1] @ w[rows[i][0]]) for i in held]), y[held]
@@ -130,17 +135,19 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> Regression:
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str, learn, rows: int = SAMPLE_ROWS) -> Regression:
+def train(docs: DataFrame, labels: DataFrame, label_col: str, learn, rows: int = SAMPLE_ROWS, max_bytes: int = SAMPLE_BYTES) -> Regression:
+    """Learn from at most ``rows`` labelled rows and ``max_bytes`` of n-grams, which are counted where the texts are read.
+
+    Whole texts, null ones as empty; which rows, and what becomes of repeats, says ``sample``.
+    """
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            sparse = []
-            for t in b["text"]:
-                w, c = grams(t)
-                sparse.append([np.concatenate(v).tobytes() for v in zip(_shares(w, 0), _shares(c, 1 << WORD_BITS))])
+            sparse = [[np.concatenate(v).tobytes() for v in zip(*(_shares(g, o) for g, o in zip(grams(t), OFFSETS)))] for t in b["text"]]
             yield b[["s_order", "label"]].assign(idx=[x[0] for x in sparse], val=[x[1] for x in sparse])
 
-    got = sample(docs, labels, label_col, learn, rows).where(F.length("text") <= SAMPLE_CHARS)
-    got = got.mapInPandas(run, "s_order long, label int, idx binary, val binary").toPandas().sort_values("s_order", kind="stable")
+    found = sample(docs, labels, label_col, learn, rows).mapInPandas(run, "s_order long, label int, idx binary, val binary")
+    got = collected(found, F.octet_length("idx") + F.octet_length("val"), max_bytes)
     sparse = [(np.frombuffer(i, np.int32), np.frombuffer(v, np.float32)) for i, v in zip(got["idx"], got["val"])]
     return fit(sparse, got["label"].to_numpy(np.float32))
 
@@ -148,8 +155,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, learn, rows: int =
 def judge(docs: DataFrame, model: Regression, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row: doc_id, the measures, base_failed, probability, kept.
 
-    Null and empty texts have no words and so fail. Repeated rows and null ids keep their rows;
-    other columns are not read.
+    Null and empty texts have no words and so fail; very long ones are read whole. Repeated rows and
+    null ids keep their rows; a probability equal to the threshold keeps; an empty table gives no
+    rows; other columns, whatever their names, are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -168,5 +176,6 @@ def judge(docs: DataFrame, model: Regression, id_col: str = "doc_id", text_col:
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
+    """Measures and verdicts of all documents; edge cases as in ``judge``."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return judge(docs, train(docs, labels, "quality", fold("doc_id", 5) != 0))

@@ -5,7 +5,9 @@ differ. Of the four 16-bit quarters at least one is then equal, so the trie is b
 each time rotated so that another quarter comes first, and its first 16 levels get an error budget
 of zero: a subtrie below level 16 is paired with itself alone. That makes subtries the unit which
 Spark deals out; below, node pairs are walked together level by level, differing bits add up, and a
-pair goes as soon as it is over budget.
+pair goes as soon as it is over budget. A subtrie with more than ROWS_PER_TRIE leaves is dealt out
+once more: of the four 12-bit parts below its root one is again equal, so it becomes four rotated
+subtries with 28 levels of budget zero, whose subtries go to tasks of their own.
 
 Only distinct fingerprints enter the join, so any number of exact copies is one leaf. Each task
 returns a star per connected set rather than all pairs; the stars are joined into components by
@@ -23,12 +25,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagflow.llm.common import fresh, materialize
+from tagflow.llm.common import fresh, materialize, text_of
 
 SEED = 42
 MAX_BITS = 3
-QUARTER = 16
-#: Fingerprint rows that one trie task gets on average.
+QUARTER, PART = 16, 12
+#: Fingerprint rows that one trie task gets on average, and that a subtrie is split beyond.
 ROWS_PER_TRIE = 100_000
 #: Node pairs walked at once in a task; longer frontiers are cut and walked piece by piece.
 FRONTIER = 1 << 20
@@ -53,14 +55,15 @@ def fingerprint(text: str | None, k: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): one row per document row; fp holds the 64 bits as a signed long."""
+    """(id, th, fp): one row per document row; ``th`` hashes the text, ``fp`` holds the 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t.as_py()) for t in b.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])
+            fps = np.array([fingerprint(t.as_py()) for t in b.column(2)], np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], names=["id", "th", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, fp long")
+    text = text_of(docs, text_col)
+    return docs.select(docs[id_col].cast("long").alias("id"), F.xxhash64(text).alias("th"), text.alias("text")).mapInArrow(run, "id long, th long, fp long")
 
 
 def _ranges(counts: np.ndarray) -> np.ndarray:
@@ -69,16 +72,16 @@ def _ranges(counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
 
 
-def trie_links(fps: np.ndarray, roots: np.ndarray, budget: int = MAX_BITS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def trie_links(fps: np.ndarray, roots: np.ndarray, budget: int = MAX_BITS, depth: int = QUARTER) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (i < j) of ``fps`` that share a root and differ in at most ``budget`` bits.
 
-    ``fps`` are distinct, rotated so that the root's quarter is on top, and sorted by (root, fp).
+    ``fps`` are distinct, rotated so that the root's ``depth`` bits are on top, and sorted by (root, fp).
     """
     edges = np.flatnonzero(np.r_[True, roots[1:] != roots[:-1]])
     lo, hi = edges, np.r_[edges[1:], len(fps)]
     keep = hi - lo > 1
     lo, hi = lo[keep], hi[keep]
-    stack = [(63 - QUARTER, lo, hi, lo, hi, np.zeros(len(lo), np.int8))]
+    stack = [(63 - depth, lo, hi, lo, hi, np.zeros(len(lo), np.int8))]
     zeros: dict[int, np.ndarray] = {}
     while stack:
         bit, alo, ahi, blo, bhi, err = stack.pop()
@@ -134,33 +137,43 @@ def _stars(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
 
 
 def _trie_task(pdf: pd.DataFrame) -> pd.DataFrame:
-    out = []
-    for turn, part in pdf.groupby("turn", sort=False):
-        fp = part["fp"].to_numpy().view(np.uint64)
-        shift = np.uint64(QUARTER * int(turn))
+    out, low48 = [], np.uint64((1 << 48) - 1)
+    for (turn, part), group in pdf.groupby(["turn", "part"], sort=False):
+        fp = group["fp"].to_numpy().view(np.uint64)
+        shift, depth = np.uint64(QUARTER * int(turn)), QUARTER
         rot = fp if not shift else (fp << shift) | (fp >> (np.uint64(64) - shift))
+        if part >= 0:
+            depth += PART
+            turned, low = np.uint64(PART * int(part)), rot & low48
+            rot = (rot & ~low48) | (((low << turned) | (low >> (np.uint64(48) - turned))) & low48)
         order = np.argsort(rot)
         rot, fp = rot[order], fp[order]
-        label = _stars(len(rot), trie_links(rot, rot >> np.uint64(64 - QUARTER)))
+        label = _stars(len(rot), trie_links(rot, rot >> np.uint64(64 - depth), depth=depth))
         off = np.flatnonzero(label != np.arange(len(label)))
         out.append(pd.DataFrame({"u": fp[off].view(np.int64), "v": fp[label[off]].view(np.int64)}))
     return pd.concat(out) if out else pd.DataFrame({"u": np.empty(0, np.int64), "v": np.empty(0, np.int64)})
 
 
-def links(classes: DataFrame, n: int) -> DataFrame:
+def links(classes: DataFrame, n: int, rows_per_trie: int = ROWS_PER_TRIE) -> DataFrame:
     """Star edges (u, v) that connect what links among ``n`` distinct fingerprints ``fp``."""
-    buckets = max(1, -(-4 * n // ROWS_PER_TRIE))
+    buckets = max(1, -(-4 * n // rows_per_trie))
     turns = classes.select("fp", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("turn"))
-    top = F.expr(f"shiftrightunsigned(fp, {64 - QUARTER} - {QUARTER} * turn) & {(1 << QUARTER) - 1}")
-    dealt = turns.withColumn("bucket", F.pmod(F.xxhash64("turn", top), F.lit(buckets)))
-    return dealt.groupBy("bucket").applyInPandas(_trie_task, "u long, v long")
-
-
-def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+    turns = turns.withColumn("rot", F.expr(f"shiftleft(fp, {QUARTER} * turn) | shiftrightunsigned(fp, 64 - {QUARTER} * turn)"))
+    turns = turns.withColumn("top", F.shiftrightunsigned("rot", 64 - QUARTER))
+    large = turns.groupBy("turn", "top").count().where(F.col("count") > rows_per_trie).select("turn", "top", F.lit(True).alias("large"))
+    split = turns.join(F.broadcast(large), ["turn", "top"], "left")  # at most four times 65,536 subtries
+    parts = F.when(F.col("large"), F.array(*map(F.lit, range(4)))).otherwise(F.array(F.lit(-1)))
+    split = split.select("fp", "turn", "top", "rot", F.explode(parts).alias("part"))
+    below = F.expr(f"CASE WHEN part >= 0 THEN shiftrightunsigned(rot, 48 - {PART} * (part + 1)) & {(1 << PART) - 1} END")
+    dealt = split.withColumn("bucket", F.pmod(F.xxhash64("turn", "top", "part", below), F.lit(buckets)))
+    return dealt.select("fp", "turn", "part", "bucket").groupBy("bucket").applyInPandas(_trie_task, "u long, v long")
+
+
+def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each node's connected component, for nodes with an edge.
 
-    Alternates large-star and small-star rounds until the edges stay as they are; nothing but two
-    aggregates per round comes to the driver.
+    Alternates large-star and small-star rounds until the edges stay as they are, which takes about
+    the squared logarithm of the longest path; nothing but two aggregates a round comes to the driver.
     """
 
     def sign(e: DataFrame) -> tuple:
@@ -168,7 +181,7 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
 
     edges = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     seen = sign(edges)
-    for _ in range(max_rounds):
+    while True:
         both = edges.union(edges.select("v", "u"))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -179,43 +192,45 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError("components did not settle")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v"), F.col("v")).distinct())
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document row: doc_id, fingerprint (16 hex digits), component_id.
-
-    ``component_id`` is the smallest id reachable over links of three bits or fewer, itself
-    included. A null or
-    empty text has fingerprint zero and links like any other; a row with a null id belongs to its
-    fingerprint's component but never names one. Repeated rows each give a row. Empty input gives
-    no rows. Other columns of ``docs``, whatever their names, are not read.
-    """
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """((id, th, fp) of every row, (fp, root, component_id) of every distinct fingerprint)."""
     own = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
     classes = materialize(own.groupBy("fp").agg(F.min("id").alias("first_id")), "classes")
     roots = components(links(classes, classes.count()))
     rooted = classes.join(roots, classes.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     rooted = materialize(rooted, "rooted")
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    member = materialize(rooted.join(named, "root").select("fp", "component_id"), "members")
-    out = own.join(member, "fp")
-    return out.select(
-        F.col("id").alias("doc_id"),
-        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-        "component_id",
-    )
+    return own, materialize(rooted.join(named, "root").select("fp", "root", "component_id"), "members")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document row: doc_id, fingerprint (16 hex digits), component_id.
+
+    ``component_id`` is the smallest id reachable over links of three bits or fewer, itself
+    included. A null or empty text has fingerprint zero and links like any other; very long texts
+    are read whole. A row with a null id belongs to its fingerprint's component but never names one
+    (a component of such rows alone has a null one). Repeated rows each give a row, ties can't
+    arise. Empty input gives no rows. Other columns of ``docs``, whatever their names, are not read.
+    """
+    own, member = grouped(docs, id_col, text_col)
+    return own.join(member, "fp").select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: that with the smallest id.
+    """``docs`` with one row of each component: that with the smallest id, nulls last.
 
-    Of rows that repeat that id one stays. Rows with a null id can't be told apart and stay.
+    Of rows that tie for it (a repeated id, or none but null ids) that with the smallest hash of its
+    text stays; rows alike in id and text are one document, of which one row stays. All columns are
+    kept as they are, and may have any name. Empty input gives no rows.
     """
-    near = near_duplicates(docs, id_col, text_col)
-    key = fresh(docs, "kept_id")
-    kept = near.where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
-    named = docs.join(kept, docs[id_col] == kept[key], "left_semi").dropDuplicates([id_col])
-    lonely = docs.where(docs[id_col].isNull())
-    return named.union(lonely)
+    own, member = grouped(docs, id_col, text_col)
+    order = F.struct(F.col("id").isNull().alias("no_id"), F.coalesce("id", F.lit(0)).alias("id"), "th")
+    first = own.groupBy("fp").agg(F.min(order).alias("k")).join(member.select("fp", "root"), "fp")
+    kept = materialize(first.groupBy("root").agg(F.min("k").alias("k")).select("k.no_id", "k.id", "k.th"), "kept")
+    names = [fresh(docs, x) for x in ("kept_no_id", "kept_id", "kept_th")]
+    ident = docs[id_col].cast("long")
+    keyed = docs.withColumns(dict(zip(names, (ident.isNull(), F.coalesce(ident, F.lit(0)), F.xxhash64(text_of(docs, text_col))))))
+    return keyed.join(kept.toDF(*names), names, "left_semi").dropDuplicates(names).select(*(F.col(f"`{c}`") for c in docs.columns))

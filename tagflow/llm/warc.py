@@ -63,7 +63,7 @@ def parse(data: bytes, at: int = 0) -> tuple[dict, int]:
     """(record, its end) at ``at``; ValueError names the check that failed."""
     if not data.startswith(VERSION, at):
         raise ValueError("no version line")
-    end = data.find(b"\r\n\r\n", at, at + (1 << 20))
+    end = data.find(b"\r\n\r\n", at)
     if end < 0:
         raise ValueError("no end of header")
     lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
@@ -121,7 +121,7 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str]]:
 
     Together they cover ``data``. Compressed and plain stretches may follow one another.
     """
-    at, n = 0, len(data)
+    at, n, last_end = 0, len(data), data.rfind(b"\r\n\r\n")
     read = lambda k: _member(data, k) if data[k : k + 3] == MAGIC else parse(data, k)
     while at < n:
         try:
@@ -138,8 +138,9 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str]]:
                 stop = n
                 break
             stop = min(hits)
-            if data[stop : stop + 3] == MAGIC and not _starts_well(data, stop):
-                continue
+            packed = data[stop : stop + 3] == MAGIC
+            if not _starts_well(data, stop) if packed else stop > last_end:
+                continue  # a version line beyond the last blank line can't be a record's
             try:
                 read(stop)
                 break
@@ -219,22 +220,38 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = False,
     return found.mapInArrow(run, schema)
 
 
-def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Archive ``pages`` (page_id, url, html) in the shared folder and read the archives back.
+def archived(pages: DataFrame, min_bytes: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Archive ``pages`` (page_id, url, html) in the shared folder and read the archives back: (records, gaps).
 
-    One row per page row: page_id, payload_bytes, payload_digest, record_type, refers_to. Null html
-    is empty, null url an empty one. Rows that repeat the response's page_id and payload are all
-    responses; a row with a null page_id revisits the payload's response, or is one where no row of
-    that payload has an id. Empty input gives no rows. Further columns are not read.
+    Records have page_id, payload_bytes, payload_digest, record_type, refers_to; gaps have path,
+    start, stop and reason of the bytes that the reader quarantined. The records of each archive are
+    counted against the manifest of the writer; a lost one is an error that names the archives.
     """
     spark = pages.sparkSession
     folder = new_path(spark, "warc")
     files = materialize(write_archives(plan_records(pages, min_bytes=min_bytes), folder), "manifest")
     if files.isEmpty():
-        return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
-    back = read_archives(spark, folder, files=files).where("kind = 'record'")
+        fields = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+        return spark.createDataFrame([], fields), spark.createDataFrame([], "path string, start long, stop long, reason string")
+    back = materialize(read_archives(spark, folder, files=files), "records")
+    read = back.where("kind = 'record'").groupBy(F.element_at(F.split("path", "/"), -1).alias("file")).agg(F.count("*").alias("n"))
+    lost = files.join(read, "file", "left").where(F.coalesce("n", F.lit(0)) != F.col("records")).limit(5).collect()
+    if lost:
+        raise ValueError(f"records lost between writing and reading, among others in {[(r.file, r.records, r.n) for r in lost]}")
     number = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1).try_cast("long")
-    return back.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+    found = back.where("kind = 'record'").select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+    return found, back.where("kind = 'gap'").select("path", "start", "stop", "reason")
+
+
+def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """The records of ``archived``: one row per page row.
+
+    Null html is empty, null url an empty one; very long payloads and urls are written whole. Rows
+    that repeat the response's page_id and payload are all responses; a row with a null page_id
+    revisits the payload's response, or is one where no row of that payload has an id. Empty input
+    gives no rows. Further columns are not read.
+    """
+    return archived(pages, min_bytes)[0]
 
 
 ORACLE = """
