@@ -4,36 +4,49 @@ P(w|h) is d(c)·c(h,w)/c(h) where the pair was seen, else alpha(h)·P(w); P(w) i
 order down, with the mass left by discounting given to one class of unknown words. Counts up to
 K_GT are discounted by Good-Turing, larger ones by EPSILON, so every history leaves mass.
 
-Plan. One pass counts words. One shuffle then brings each pair's occurrences, training and
-held-out alike, to one bucket, where its count is known. All that depends on counts of other
-buckets is linear, so a bucket returns (1) per history how many pairs it has of each count and
-their summed P(w), (2) per document how many tokens fell on each count, (3) per document and
-history the tokens that back off. These three are rows of one unpartitioned table, told apart by kind; from it
-come the discounts, the back-off weights and the scores. Words seen twice and with at least a
-HOT-th of all training tokens, at most HOT of them, are broadcast with their counts and dealt by (h, w); other
-words are dealt by w, so no word's share of the corpus lands in one bucket. Pair counts are dropped
-with their bucket: no model is kept, and other texts need a new count.
+The model is tables in one folder: ``ngrams`` (order, bucket; h, w, c, cw) with the counts of words
+(order 1) and of pairs (order 2), partitioned by order and bucket; ``weights`` (bucket; h, total,
+weight) with alpha(h)·c(h), partitioned by bucket; ``hot`` and ``meta`` with the frequent words and
+a handful of numbers. Any texts can be scored from them later (``load``, ``score``).
+
+Training. One pass counts words. One shuffle brings the pairs, summed by batch and packed, to their
+buckets, where they are counted and written; the weights come from the written pairs by one
+aggregation over histories. Words seen twice and with at least a HOT-th of all training tokens, at
+most HOT of them, are broadcast with their counts and dealt by (h, w); other words are dealt by w,
+so a bucket knows its words' counts and no word's share of the corpus lands in one bucket.
+
+Scoring. One shuffle brings every token with its history to its bucket, whose task reads the
+bucket's two count tables and evaluates token by token: the pair's discounted count if it was
+seen, else, one order down, the word's probability, to which the history's weight is still owed.
+What a bucket returns is summed by document: the tokens that owe a weight are listed by document and
+history, and joined with ``weights``. The denominator c(h) of a token is charged where h itself is
+looked up, as every word but the end is the history of just one token.
 """
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyarrow import fs as pafs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagflow.llm.common import fold, materialize
+from tagflow.llm.common import fold, materialize, new_path, table, text_of
 
 K_GT = 5
 EPSILON = 1e-4
 #: A word is hot with 1/HOT of the training tokens, so at most HOT words are broadcast.
 HOT = 50_000
-BUCKET_TOKENS = 2_000_000
+#: Training tokens a bucket of the tables; tokens that a scoring task gets at once.
+BUCKET_TOKENS, SCORE_TOKENS = 1_000_000, 1_500_000
 FLUSH_TOKENS = 1_000_000
 CACHE_WORDS = 300_000
 END = b"\n"
@@ -58,7 +71,7 @@ def discounts(n: list[int]) -> list[float]:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(word binary, c long) over (uid, id, text) rows; one end token a row."""
+    """(word binary, c long) over rows with a text; one end token a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -108,59 +121,67 @@ def _from_planes(raw: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-PACKED = ("bucket", "uw", "uh", "pairs", "hi", "reps", "at", "uid", "id", "train")
+PACKED = ("bucket", "uw", "uh", "pairs", "hi", "reps", "at", "uid", "all_uid", "all_id")
 
 
-def _packed(w, h, row, uid, ids, train, n_hot, n_buckets) -> pa.RecordBatch:
-    """One row per bucket: its words, the pairs of each, their occurrences, and the document rows these are from.
+def _packed(w, h, row, uid, ids, deal, with_rows: bool) -> pa.RecordBatch:
+    """One row per bucket: its words, the pairs of each, and, if asked, the document rows these are from.
 
     Words and histories are listed once (``uw``, ``uh``); ``pairs`` says how many pairs a word has,
-    ``hi`` which history each has, ``reps`` how often it occurs and ``at`` in which rows.
+    ``hi`` which history each has, ``reps`` how often it occurs and ``at`` in which of the rows
+    ``uid``. The first bucket also lists all rows with their ids.
     """
-    bucket = _deal(w, h, n_hot, n_buckets)
+    bucket = deal(w, h)
     order = np.lexsort((h, w, bucket))
     w, h, row, bucket = w[order], h[order], row[order], bucket[order]
     edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
     squeeze = zstandard.ZstdCompressor(level=1).compress
     cols: list[list] = [[] for _ in PACKED]
     for lo, hi in zip(edges[:-1], edges[1:]):
-        present, at = np.unique(row[lo:hi], return_inverse=True)
         new_w = w[lo:hi] != np.r_[~w[lo], w[lo : hi - 1]]
         new = np.flatnonzero(new_w | (h[lo:hi] != np.r_[h[lo], h[lo : hi - 1]]))
         at_word = np.flatnonzero(new_w[new])
         uh, of_h = np.unique(h[lo:hi][new], return_inverse=True)
-        counts = (np.diff(np.r_[at_word, len(new)]), of_h, np.diff(np.r_[new, hi - lo]), at)
-        blobs = (np.diff(w[lo:hi][new[at_word]], prepend=0), np.diff(uh, prepend=0), *(x.astype(np.int32) for x in counts))
-        for c, v in zip(cols, (int(bucket[lo]), *(squeeze(_planes(x)) for x in (*blobs, uid[present], ids[present], train[present])))):
+        ints = [np.diff(np.r_[at_word, len(new)]), of_h, np.diff(np.r_[new, hi - lo])]
+        longs = [np.diff(w[lo:hi][new[at_word]], prepend=0), np.diff(uh, prepend=0)]
+        blobs = [*longs, *(x.astype(np.int32) for x in ints)]
+        if with_rows:
+            present, at = np.unique(row[lo:hi], return_inverse=True)
+            blobs += [at.astype(np.int32), uid[present], *((uid, ids) if lo == 0 else (uid[:0], ids[:0]))]
+        for c, v in zip(cols, (int(bucket[lo]), *(squeeze(_planes(x)) for x in blobs), *[b""] * (9 - len(blobs)))):
             c.append(v)
     return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k else pa.int32()) for k, c in enumerate(cols)], names=list(PACKED))
 
 
-def occurrences(docs: DataFrame, hot, n_buckets: int) -> DataFrame:
-    """Every (history, word) of every row of (uid, id, train, text), packed by bucket and batch."""
+def occurrences(docs: DataFrame, hot, n_buckets: int, parts: int = 1, with_rows: bool = True) -> DataFrame:
+    """Every (history, word) of every row of (uid, id, text), packed by bucket and batch.
+
+    With ``parts`` a bucket's tokens are dealt out once more, by history.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = _Ids(hot.value)
         get, n_hot = lookup.__getitem__, len(hot.value)
+        deal = lambda w, h: _deal(w, h, n_hot, n_buckets) * np.int32(parts) + ((h * 0x9E3779B1 >> 20) % parts).astype(np.int32)
         held: list[tuple[np.ndarray, np.ndarray, int]] = []
-        rows: list[tuple[int, int, bool]] = []
+        rows: list[tuple[int, int]] = []
         size = 0
 
         def flush():
             w, h = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
             row = np.repeat([x[2] for x in held], [len(x[0]) for x in held])
-            uid, ids, train = (np.array([r[k] for r in rows], t) for k, t in ((0, np.int64), (1, np.int64), (2, np.int8)))
-            return _packed(w, h, row, uid, ids, train, n_hot, n_buckets)
+            uid, ids = (np.array([r[k] for r in rows], np.int64) for k in (0, 1))
+            return _packed(w, h, row, uid, ids, deal, with_rows)
 
         for b in batches:
-            for uid, ident, train, text in zip(*(b.column(k).to_pylist() for k in range(3)), b.column(3)):
+            for uid, ident, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 words = words_of(text.as_py())
                 words.append(END)
                 before = START
                 for at in range(0, len(words), FLUSH_TOKENS):
                     part = words[at : at + FLUSH_TOKENS]
                     w = np.fromiter(map(get, part), np.int64, len(part))
-                    rows.append((uid, ident, train))
+                    rows.append((uid, ident))
                     held.append((w, np.r_[before, w[:-1]], len(rows) - 1))
                     before, size = w[-1], size + len(w)
                     if size >= FLUSH_TOKENS:
@@ -169,79 +190,50 @@ def occurrences(docs: DataFrame, hot, n_buckets: int) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.select("uid", "id", "train", "text").mapInArrow(run, "bucket int, " + ", ".join(f"{x} binary" for x in PACKED[1:]))
-
+    packed = docs.select("uid", "id", "text").mapInArrow(run, "bucket int, " + ", ".join(f"{x} binary" for x in PACKED[1:]))
+    n = n_buckets * parts
+    return packed.repartition(n, "bucket").sortWithinPartitions("bucket")
 
-PART = "kind int, key long, id long, n1 int, n2 int, n3 int, n4 int, n5 int, n6 int, big long, n int, known int, base double, s double"
 
-
-def _counted(rows: list[dict], hot_c: np.ndarray, uni: dict) -> Iterator[pa.RecordBatch]:
-    """What one bucket can say; see the module's plan. ``kind`` 0: history, 1: row, 2: back-off."""
+def _arrays(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct words, distinct histories, distinct pairs, pair of each listed one, its repeats) of one bucket."""
     grow = zstandard.ZstdDecompressor().decompress
     arr = lambda name, t: [_from_planes(grow(x[name]), t) for x in rows]
-    uid, ids, train = arr("uid", np.int64), arr("id", np.int64), arr("train", np.int8)
-    base_at = np.cumsum([0] + [len(x) for x in uid[:-1]])
-    row = np.concatenate([x + np.int32(o) for x, o in zip(arr("at", np.int32), base_at)])
-    uid, ids, train = (np.concatenate(x) for x in (uid, ids, train))
     uw, wi = np.unique(np.concatenate([np.repeat(np.cumsum(x), n) for x, n in zip(arr("uw", np.int64), arr("pairs", np.int32))]), return_inverse=True)
     uh, hi = np.unique(np.concatenate([np.cumsum(x)[k] for x, k in zip(arr("uh", np.int64), arr("hi", np.int32))]), return_inverse=True)
     up, pi = np.unique(wi * len(uh) + hi, return_inverse=True)
-    reps = np.concatenate(arr("reps", np.int32))
-    wi, hi, pi = (np.repeat(x.astype(np.int32), reps) for x in (wi, hi, pi))
-    learn = train[row]
-    c_pair = np.bincount(pi, learn, len(up)).astype(np.int64)
-    c_word = np.bincount(wi, learn, len(uw)).astype(np.int64)
-    del learn
-    is_hot = uw < len(hot_c)
-    c_word[is_hot] = hot_c[uw[is_hot]]
-    p_word = word_probability(c_word, uni)
-
-    seen = c_pair > 0
-    ph, pc, pw = (up % len(uh))[seen], c_pair[seen], (up // len(uh))[seen]
-    of_h = {f"n{r}": np.bincount(ph[pc == r], minlength=len(uh)) for r in range(1, K_GT + 2)}
-    of_h["big"] = np.bincount(ph, pc * (pc > K_GT), len(uh)).astype(np.int64)
-    of_h["s"] = np.bincount(ph, p_word[pw], len(uh))
-    has = np.bincount(ph, minlength=len(uh)) > 0
-    yield _part(0, has.sum(), key=uh[has], **{k: v[has] for k, v in of_h.items()})
-    del ph, pc, pw, of_h
-
-    c = c_pair[pi]
-    del pi
-    not_end = uw != uni["end_id"]
-    s_word = -np.where(not_end & (c_word > 0), np.log10(np.maximum(c_word, 1)), 0.0)
-    s = s_word[wi]
-    s += np.where(c == 0, np.log10(p_word)[wi], np.where(c > K_GT, np.log10(np.maximum(c, 1)), 0.0))
-    base = np.log10((c_word + 0.5) / (uni["N"] + 0.5 * (uni["V"] + 1)))
-    add = lambda v: np.bincount(row, v, len(uid))
-    of_row = {f"n{r}": add(c == r).astype(np.int64) for r in range(1, K_GT + 1)}
-    of_row |= {"big": add(c > K_GT).astype(np.int64), "n": add(None), "known": add((c_word > 0)[wi]).astype(np.int64), "base": add(base[wi]), "s": add(s)}
-    yield _part(1, len(uid), key=uid, id=ids, **of_row)
-    del s, of_row
-    off = np.flatnonzero(c == 0)
-    back, n = np.unique(row[off].astype(np.int64) * len(uh) + hi[off], return_counts=True)
-    yield _part(2, len(back), key=uid[back // len(uh)], id=uh[back % len(uh)], n=n)
+    return uw, uh, up, pi.astype(np.int32), np.concatenate(arr("reps", np.int32))
+
+
+NGRAMS = "order int, bucket int, h long, w long, c long, cw long"
 
 
-def _part(kind: int, size: int, **cols: np.ndarray) -> pa.RecordBatch:
-    """One kind's rows in the columns of PART; columns without a value are 0."""
-    types = {"int": (pa.int32(), np.int32), "long": (pa.int64(), np.int64), "double": (pa.float64(), np.float64)}
-    fields = [x.split() for x in PART.split(", ")]
-    cols["kind"] = np.full(size, kind)
-    arrays = [pa.array(np.asarray(cols[n], types[t][1]) if n in cols else np.zeros(size, types[t][1]), types[t][0]) for n, t in fields]
-    return pa.RecordBatch.from_arrays(arrays, names=[n for n, _ in fields])
+def _count(bucket: int, rows: list[dict], hot_c: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One bucket's rows of ``ngrams``."""
+    uw, uh, up, pi, reps = _arrays(rows)
+    c = np.bincount(pi, reps, len(up)).astype(np.int64)
+    of_w = up // len(uh)
+    c_word = np.bincount(of_w, c, len(uw)).astype(np.int64)
+    cold = uw >= len(hot_c)
+    c_word[~cold] = hot_c[uw[~cold]]
+    names = [x.split()[0] for x in NGRAMS.split(", ")]
+    for order, h, w, n, cw in ((2, uh[up % len(uh)], uw[of_w], c, c_word[of_w]), (1, np.zeros(cold.sum(), np.int64), uw[cold], c_word[cold], c_word[cold])):
+        fixed = (pa.array(np.full(len(w), v, np.int32)) for v in (order, bucket))
+        yield pa.RecordBatch.from_arrays([*fixed, *map(pa.array, (h, w, n, cw))], names=names)
 
 
-def _by_bucket(batches: Iterator[pa.RecordBatch], hot_c: np.ndarray, uni: dict) -> Iterator[pa.RecordBatch]:
+def _by_bucket(batches: Iterator[pa.RecordBatch], use) -> Iterator[pa.RecordBatch]:
+    """``use(bucket, rows)`` for each bucket of a task, one after the other."""
     held: list[dict] = []
     for b in batches:
         for k in range(len(b)):
             r = {n: b.column(n)[k].as_py() for n in b.schema.names}
             if held and held[0]["bucket"] != r["bucket"]:
-                yield from _counted(held, hot_c, uni)
+                yield from use(held[0]["bucket"], held)
                 held = []
             held.append(r)
     if held:
-        yield from _counted(held, hot_c, uni)
+        yield from use(held[0]["bucket"], held)
 
 
 def word_probability(c, uni: dict):
@@ -252,6 +244,12 @@ def word_probability(c, uni: dict):
     return np.where(c == 0, uni["unknown"], p)
 
 
+def discounted(c, d: list[float]):
+    """Column: d(c)·c."""
+    small = F.element_at(F.array(*map(F.lit, d)), F.least(c, F.lit(K_GT)).cast("int"))
+    return c * F.when(c > K_GT, 1 - EPSILON).otherwise(small)
+
+
 def unigram_model(counts: DataFrame) -> dict:
     """N, V, discounts and the unknown class's mass; ``counts`` as of word_counts."""
     n_r = [F.count_if(F.col("c") == r).alias(f"n{r}") for r in range(1, K_GT + 2)]
@@ -262,67 +260,179 @@ def unigram_model(counts: DataFrame) -> dict:
     return {"N": total, "V": got["V"], "d": d, "unknown": 1 - kept / total if total else 1.0}
 
 
-def katz_scores(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_tokens, n_known, train_tokens, base_score, score.
+@dataclass
+class Katz:
+    """A model's folder and what of it is small: frequent words with counts, and ``meta``."""
+
+    folder: str
+    words: list[bytes]
+    counts: np.ndarray
+    meta: dict
+
+
+def load(spark: SparkSession, folder: str) -> Katz:
+    hot = spark.read.parquet(f"{folder}/hot").orderBy("id").collect()  # at most HOT rows
+    meta = json.loads(spark.read.parquet(f"{folder}/meta").first()["meta"])
+    return Katz(folder, [bytes(r.word) for r in hot], np.array([r.c for r in hot], np.int64), meta)
+
+
+def train(docs: DataFrame, text_col: str = "text", folder: str | None = None) -> Katz:
+    """Write the model of all rows of ``docs`` to ``folder`` (by default one that goes with the application).
 
-    ``train`` is a boolean column expression over ``docs``: rows to learn from. Null texts are
-    empty and have the end token alone. Repeated rows count and are scored each for itself; null
-    ids keep their rows (all get id null). Without training rows every word is unknown with
-    probability 1. Further columns are not read. Words are told apart by 62 bits of XXH64 unless hot.
+    Null texts are empty: the end token alone. Repeated rows count each for itself, very long texts
+    are read whole, an empty table gives a model in which every word is unknown with probability 1.
+    Further columns are not read. Words are told apart by 62 bits of XXH64 unless hot.
     """
     spark = docs.sparkSession
-    no_id = -(1 << 63)
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("uid"),
-        F.coalesce(docs[id_col].cast("long"), F.lit(no_id)).alias("id"),
-        F.coalesce(train, F.lit(False)).alias("train"),
-        docs[text_col].alias("text"),
-    )
+    folder = folder or new_path(spark, "katz")
+    zstd = {"compression": "zstd"}
+    rows = docs.select(F.lit(0).cast("long").alias("uid"), F.lit(0).cast("long").alias("id"), text_of(docs, text_col).alias("text"))
     # a word seen once is never hot, so that the table need not spell it
-    counts = materialize(word_counts(rows.where("train")).select(F.when(F.col("c") > 1, F.col("word")).alias("word"), "c"), "words")
+    counts = materialize(word_counts(rows).select(F.when(F.col("c") > 1, F.col("word")).alias("word"), "c"), "words", drop_shuffles=True)
     uni = unigram_model(counts)
     least = max(2, -(-uni["N"] // HOT))
-    hot = counts.where(F.col("c") >= least).orderBy(F.desc("c"), "word").collect()
+    hot = counts.where(F.col("c") >= least).orderBy(F.desc("c"), "word").collect()  # at most HOT rows
     words, hot_c = [bytes(r.word) for r in hot], np.array([r.c for r in hot], np.int64)
-    uni["end_id"] = _Ids(words)[END]
-    n_buckets = 1 + int(1.25 * uni["N"]) // BUCKET_TOKENS
+    frequent = spark.createDataFrame([(k, r.word, r.c) for k, r in enumerate(hot)], "id int, word binary, c long")
+    frequent.coalesce(1).write.options(**zstd).parquet(f"{folder}/hot")
+    n_buckets = 1 + uni["N"] // BUCKET_TOKENS
     shared = spark.sparkContext.broadcast(words)
-    dealt = occurrences(rows, shared, n_buckets)
-    dealt = dealt.repartition(n_buckets, "bucket").sortWithinPartitions("bucket")
-    parts = materialize(dealt.mapInArrow(lambda batches: _by_bucket(batches, hot_c, uni), PART), "katz")
-
-    history = parts.where("kind = 0").groupBy("key").agg(*(F.sum(f"n{r}").alias(f"n{r}") for r in range(1, K_GT + 2)), F.sum("big").alias("big"), F.sum("s").alias("p"))
-    history = materialize(history, "histories")
-    got = history.agg(*(F.coalesce(F.sum(f"n{r}"), F.lit(0)) for r in range(1, K_GT + 2))).first()
-    d = discounts(list(got))
-    first = history.where(F.col("key") == START).first()
-    starts = sum(r * first[f"n{r}"] for r in range(1, K_GT + 1)) + first["big"] if first else 0
-
-    raw = sum((F.col(f"n{r}") * r for r in range(1, K_GT + 1)), F.col("big"))
-    left = sum((F.col(f"n{r}") * (r * (1 - d[r - 1])) for r in range(1, K_GT + 1)), F.col("big") * EPSILON)
+    dealt = occurrences(rows, shared, n_buckets, with_rows=False)
+    count = lambda bucket, packed: _count(bucket, packed, hot_c)
+    counted = dealt.mapInArrow(lambda batches: _by_bucket(batches, count), NGRAMS)
+    counted.write.partitionBy("order", "bucket").options(**zstd).parquet(f"{folder}/ngrams")
+
+    pairs = spark.read.schema(NGRAMS).parquet(f"{folder}/ngrams").where("order = 2")
+    seen = {r.r: r.n for r in pairs.where(F.col("c") <= K_GT + 1).groupBy(F.col("c").alias("r")).agg(F.count("*").alias("n")).collect()}  # at most six rows
+    d = discounts([seen.get(r, 0) for r in range(1, K_GT + 2)])
+    history = pairs.groupBy("h").agg(F.sum("c").alias("total"), F.sum(F.col("c") - discounted(F.col("c"), d)).alias("left"), F.sum(discounted(F.col("cw"), uni["d"]) / max(uni["N"], 1)).alias("p"))
     # alpha(h)·c(h): the discounted counts' remainder over what P(w) leaves to unseen words
-    weights = history.where(raw > 0).select(F.col("key").alias("h"), F.log10(left / F.greatest(1 - F.col("p"), F.lit(uni["unknown"]))).alias("weight"))
-    backs = parts.where("kind = 2").select("key", F.col("id").alias("h"), "n")
-    is_hot = F.col("h") < len(words)
+    weight = F.col("left") / F.greatest(1 - F.col("p"), F.lit(uni["unknown"]))
+    n_parts = 1 + n_buckets // 16
+    weights = history.select("h", "total", weight.alias("weight"), F.pmod(F.xxhash64("h"), F.lit(n_parts)).cast("int").alias("bucket"))
+    weights.repartition(n_parts, "bucket").write.partitionBy("bucket").options(**zstd).parquet(f"{folder}/weights")
+    first = spark.read.parquet(f"{folder}/weights").where(F.col("h") == START).select("total").first() if seen or uni["N"] else None
+    meta = uni | {"d2": d, "starts": first.total if first else 0, "n_buckets": n_buckets, "end": int(_Ids(words)[END])}
+    spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.parquet(f"{folder}/meta")
+    return load(spark, folder)
+
+
+class _Tables:
+    """The count tables of one bucket after another, read where its tokens are."""
+
+    def __init__(self, folder: str):
+        self.store, self.root = pafs.FileSystem.from_uri(f"{folder}/ngrams")
+
+    def read(self, order: int, bucket: int, columns: list[str]) -> list[np.ndarray]:
+        where = pafs.FileSelector(f"{self.root}/order={order}/bucket={bucket}", allow_not_found=True)
+        files = [f.path for f in self.store.get_file_info(where) if f.path.endswith(".parquet")]
+        parts = [pq.read_table(self.store.open_input_file(f), columns=columns) for f in files]
+        return [np.concatenate([t.column(c).to_numpy() for t in parts]) if parts else np.empty(0, np.int64) for c in columns]
+
+
+def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The value of each wanted key, 0 where it is none of ``keys``."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64)
+    order = np.argsort(keys)
+    at = np.minimum(np.searchsorted(keys, wanted, sorter=order), len(keys) - 1)
+    return np.where(keys[order[at]] == wanted, values[order[at]], 0)
+
+
+SCORED = "uid long, id long, h long, n int, known int, base double, s double"
+
+
+def _evaluate(bucket: int, rows: list[dict], tables: _Tables, hot_c: np.ndarray, m: dict) -> Iterator[pa.RecordBatch]:
+    """One bucket's sums by row, and its tokens that back off, by row and history."""
+    grow = zstandard.ZstdDecompressor().decompress
+    arr = lambda name, t: [_from_planes(grow(x[name]), t) for x in rows]
+    uid = arr("uid", np.int64)
+    starts = np.cumsum([0] + [len(x) for x in uid[:-1]])
+    row, uid = np.concatenate([x + np.int32(o) for x, o in zip(arr("at", np.int32), starts)]), np.concatenate(uid)
+    yield _part(uid=np.concatenate(arr("all_uid", np.int64)), id=np.concatenate(arr("all_id", np.int64)))
+    uw, uh, up, pi, reps = _arrays(rows)
+
+    c_word = _found(*tables.read(1, bucket, ["w", "c"]), uw)
+    is_hot = uw < len(hot_c)
+    c_word[is_hot] = hot_c[uw[is_hot]]
+    w, h, c = tables.read(2, bucket, ["w", "h", "c"])
+    wi, hi = np.searchsorted(uw, w), np.searchsorted(uh, h)
+    ours = (uw[np.minimum(wi, len(uw) - 1)] == w) & (uh[np.minimum(hi, len(uh) - 1)] == h)
+    c_pair = _found(wi[ours] * len(uh) + hi[ours], c[ours], up)
+    del w, h, c, wi, hi, ours
+
+    of_w = up // len(uh)
+    d = np.r_[0.0, m["d2"]]
+    higher = np.log10(np.where(c_pair > K_GT, (1 - EPSILON) * c_pair, d[np.minimum(c_pair, K_GT)] * c_pair) + (c_pair == 0))
+    lower = np.log10(word_probability(c_word, m))
+    owed = np.where((uw != m["end"]) & (c_word > 0), np.log10(np.maximum(c_word, 1)), 0.0)
+    s_pair = np.where(c_pair > 0, higher, lower[of_w]) - owed[of_w]
+    base = np.log10((c_word + 0.5) / (m["N"] + 0.5 * (m["V"] + 1)))[of_w]
+    token = np.repeat(pi, reps)
+    add = lambda v: np.bincount(row, v, len(uid))
+    yield _part(uid=uid, n=add(None), known=add((c_word > 0)[of_w][token]), base=add(base[token]), s=add(s_pair[token]))
+    off = np.flatnonzero((c_pair == 0)[token])
+    back, n = np.unique(row[off].astype(np.int64) * len(uh) + (up % len(uh))[token[off]], return_counts=True)
+    yield _part(uid=uid[back // len(uh)], h=uh[back % len(uh)], n=n)
+
+
+def _part(**cols: np.ndarray) -> pa.RecordBatch:
+    """Rows in the columns of SCORED; ids and histories without a value are null, sums are 0."""
+    types = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
+    size, arrays, names = len(cols["uid"]), [], []
+    for name, kind in (x.split() for x in SCORED.split(", ")):
+        names.append(name)
+        if name in cols:
+            arrays.append(pa.array(np.asarray(cols[name]).astype(types[kind].to_pandas_dtype()), types[kind]))
+        else:
+            arrays.append(pa.nulls(size, types[kind]) if kind == "long" else pa.array(np.zeros(size), types[kind], safe=False))
+    return pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_tokens, n_known, train_tokens, base_score, score.
+
+    Null texts are empty and have the end token alone; very long ones are read whole. Repeated rows
+    are scored each for itself; rows with a null id keep theirs; an empty table gives no rows.
+    Further columns are not read. Texts may be others than those that the model is of.
+    """
+    spark, m, folder, hot_c = docs.sparkSession, model.meta, model.folder, model.counts
+    no_id = -(1 << 63)
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.coalesce(docs[id_col].cast("long"), F.lit(no_id)).alias("id"), text_of(docs, text_col).alias("text"))
+    size = docs.agg(F.sum(F.octet_length(text_of(docs, text_col)))).first()[0] or 0
+    parts = max(1, -(-(size // 6) // (m["n_buckets"] * SCORE_TOKENS)))
+    shared = spark.sparkContext.broadcast(model.words)
+    dealt = occurrences(rows, shared, m["n_buckets"], parts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = _Tables(folder)
+        return _by_bucket(batches, lambda bucket, packed: _evaluate(bucket // parts, packed, tables, hot_c, m))
+
+    found = materialize(dealt.mapInArrow(run, SCORED), "katz", drop_shuffles=True)
+    weights = spark.read.schema("h long, total long, weight double, bucket int").parquet(f"{folder}/weights").select("h", F.log10("weight").alias("weight"))
+    backs, is_hot = found.where("h IS NOT NULL").select("uid", "h", "n"), F.col("h") < len(model.words)
     small = F.broadcast(weights.where(is_hot))  # at most HOT + 1 rows
     backed = backs.where(is_hot).join(small, "h").unionByName(backs.where(~is_hot).join(weights.where(~is_hot), "h"))
-    backed = backed.select("key", F.lit(None).cast("long").alias("id"), F.lit(0).alias("n"), F.lit(0).alias("known"), F.lit(0.0).alias("base"), (F.col("n") * F.col("weight")).alias("s"))
-    on_count = sum((F.col(f"n{r}") * float(np.log10(d[r - 1] * r)) for r in range(1, K_GT + 1)), F.col("big") * float(np.log10(1 - EPSILON)) + F.col("s"))
-    seen = parts.where("kind = 1").select("key", "id", "n", "known", "base", on_count.alias("s"))
-    total = seen.unionByName(backed).groupBy("key").agg(F.max("id").alias("id"), F.sum("n").alias("n"), F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("s").alias("s"))
+    zero = F.lit(0)
+    backed = backed.select("uid", F.lit(None).cast("long").alias("id"), zero.alias("n"), zero.alias("known"), F.lit(0.0).alias("base"), (F.col("n") * F.col("weight")).alias("s"))
+    sums = found.where("h IS NULL").drop("h").unionByName(backed).groupBy("uid")
+    total = sums.agg(F.max("id").alias("id"), *(F.sum(x).alias(x) for x in ("n", "known", "base", "s")))
     return total.select(
         F.when(F.col("id") != no_id, F.col("id")).alias("doc_id"),
         F.col("n").cast("long").alias("n_tokens"),
         F.col("known").cast("long").alias("n_known"),
-        F.lit(uni["N"]).cast("long").alias("train_tokens"),
+        F.lit(m["N"]).cast("long").alias("train_tokens"),
         F.col("base").alias("base_score"),
-        (F.col("s") - F.lit(float(np.log10(starts)) if starts else 0.0)).alias("score"),
+        (F.col("s") - F.lit(float(np.log10(m["starts"])) if m["starts"] else 0.0)).alias("score"),
     )
 
 
-def op3(spark, sf_dir: str) -> DataFrame:
-    from tagflow.llm.common import table
+def katz_scores(docs: DataFrame, train_rows, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``score`` of all rows by the model of those where the boolean column ``train_rows`` holds (null: not)."""
+    return score(docs, train(docs.where(F.coalesce(train_rows, F.lit(False))), text_col), id_col, text_col)
+
 
-    docs = table(spark, sf_dir, "documents")
-    scored = katz_scores(docs, fold("doc_id", 5) != 1)
-    return scored.withColumn("held_out", fold("doc_id", 5) == 1)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by the model of the training fold; edge cases as in ``train`` and ``score``."""
+    scored = katz_scores(table(spark, sf_dir, "documents"), fold("doc_id", 5) != 1)
+    return scored.select("doc_id", (fold("doc_id", 5) == 1).alias("held_out"), *scored.columns[1:])

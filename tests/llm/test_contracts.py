@@ -295,3 +295,32 @@ def test_packing_has_little_padding(docs):
     rows = packing.pack_documents(docs)
     n = rows.groupBy("sequence_id").agg(F.sum("length").alias("n"))
     assert n.agg(F.sum("n")).first()[0] / (1024 * n.count()) > 0.97
+
+
+def test_katz_scores_other_texts_from_stored_tables(spark, docs, tmp_path, monkeypatch):
+    from tagflow.llm import katz
+
+    folder = f"file://{tmp_path}/model"
+    model = katz.train(docs, folder=folder)
+    pairs, weights = spark.read.parquet(f"{folder}/ngrams"), spark.read.parquet(f"{folder}/weights")
+    assert {r.order for r in pairs.select("order").distinct().collect()} == {1, 2} and {"order", "bucket"} < set(pairs.columns) and "bucket" in weights.columns
+    texts = {1: "the and of", 2: "never-seen-word the", 3: "", 4: docs.first().text}
+    other = spark.createDataFrame([*texts.items(), (None, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in katz.score(other, katz.load(spark, folder)).collect()}
+    m, words = model.meta, katz._Ids(model.words)
+    count = {r.w: r.c for r in pairs.where("order = 1").collect()} | dict(enumerate(model.counts.tolist()))
+    pair = {(r.h, r.w): r.c for r in pairs.where("order = 2").collect()}
+    weight = {r.h: (r.total, r.weight) for r in weights.collect()}
+    for i, t in [*texts.items(), (None, "")]:
+        ids = [words[x] for x in katz.words_of(t)] + [words[katz.END]]
+        s = 0.0
+        for h, w in zip([katz.START, *ids], ids):
+            c, low = pair.get((h, w), 0), float(katz.word_probability(count.get(w, 0), m))
+            total, owed = weight.get(h, (1, 1))
+            s += np.log10((c * (m["d2"][c - 1] if c <= katz.K_GT else 1 - katz.EPSILON) if c else owed * low) / total)
+        assert abs(got[i].score - s) < 1e-6 * max(1, abs(s)) and got[i].n_tokens == len(ids)
+    monkeypatch.setattr(katz, "SCORE_TOKENS", 40_000)
+    again = {r.doc_id: r for r in katz.score(docs, model).collect()}
+    monkeypatch.undo()
+    once = {r.doc_id: r for r in katz.score(docs, model).collect()}
+    assert len(once) == docs.count() and all(abs(again[i].score - r.score) < 1e-6 * abs(r.score) and again[i].n_tokens == r.n_tokens for i, r in once.items())
