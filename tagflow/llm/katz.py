@@ -114,7 +114,7 @@ def _deal(w: np.ndarray, h: np.ndarray, n_hot: int, n_buckets: int) -> np.ndarra
 
 def _planes(x: np.ndarray) -> bytes:
     """All first bytes, then all second ones, and so on: ids' empty high bytes then shrink to nothing."""
-    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
+    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
 
 
 def _from_planes(raw: bytes, kind) -> np.ndarray:
