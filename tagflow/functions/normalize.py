@@ -1,38 +1,48 @@
 """Normalisation of references, markers, kinds and typed values.
 
-Column functions for DataFrames, and the same rules as operators over tables.
+Column functions for DataFrames, and operators that apply them to tables.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagflow.sqlops import Operator
+from tagflow.sqlops import operator
 
 REF = r"^[A-Za-z0-9_:.-]+$"
 ZONED = r"(Z|[+-]\d\d:?\d\d)$"
+#: Fixed names: kinds of tagged objects that stand for their ``val``.
+VALUE_KINDS = ("ref", "number", "date", "time", "dateTime", "uri", "coord", "symbol")
+LEADING = ("fsk", "id", "dis", "navName", "siteRef", "equipRef")
+
+
+def _body(c: Column) -> Column:
+    return F.split_part(F.when(c.startswith("r:"), F.substring(c, 3, 1 << 30)).otherwise(c), F.lit(" "), F.lit(1))
 
 
 def normalise_ref(c: Column) -> Column:
     """The id of a reference: ``r:`` and the display name go; null where what is left is not an id."""
-    body = F.split_part(F.when(c.startswith("r:"), F.substring(c, 3, 1 << 30)).otherwise(c), F.lit(" "), F.lit(1))
-    return F.when(body.rlike(REF), body)
+    return F.when(_body(c).rlike(REF), _body(c))
 
 
 def legacy_ref(c: Column) -> Column:
     """Trimmed and without leading ``@``; not validated."""
-    return F.ltrim(F.trim(normalise_prefix(c)), F.lit("@"))
+    return F.ltrim(F.trim(c), F.lit("@"))
 
 
-def normalise_prefix(c: Column) -> Column:
-    return F.split_part(F.when(c.startswith("r:"), F.substring(c, 3, 1 << 30)).otherwise(c), F.lit(" "), F.lit(1))
+def historized_flag(c: Column) -> Column:
+    """true, false (also for null), or null for a marker that is neither."""
+    return F.when(c.isNull() | c.isin("", "false"), False).when(c.isin("true", "m:"), True)
 
 
-def historized_flag(c: Column) -> Column:
-    """true, false, or null for a marker that is neither."""
-    v = F.lower(F.trim(c))
-    return F.when(c.isNull() | v.isin("", "false"), False).when(v.isin("true", "m:"), True)
+def historized_marker(c: Column, true_set: set[str], false_set: set[str]) -> Column:
+    """``historized_flag`` with sets of one's own, of trimmed text in lower case; they must not overlap."""
+    both = set(true_set) & set(false_set)
+    if both:
+        raise ValueError(f"markers that mean both: {sorted(both)}")
+    v = F.lower(F.trim(F.coalesce(c, F.lit(""))))
+    return F.when(v.isin(*true_set), True).when(v.isin(*false_set), False)
 
 
 def flatten_kind(c: Column) -> Column:
@@ -44,46 +54,191 @@ def flatten_kind(c: Column) -> Column:
     return F.when(c == "m:", "true").when(c.startswith("r:") | c.startswith("n:"), F.split_part(body, F.lit(" "), F.lit(1))).when(F.substring(c, 2, 1) == ":", body).otherwise(c)
 
 
+def flatten_object(v: Column) -> Column:
+    """Kinds of the newer form, objects with ``_kind``, as text: a marker is true, a kind with a value
+    its ``val`` (the whole object where it has none), any other object or list its JSON."""
+    kind, shape = F.try_variant_get(v, "$._kind", "string"), F.schema_of_variant(v)
+    val = F.coalesce(F.try_variant_get(v, "$.val", "string"), F.to_json(v))
+    nested = shape.startswith("OBJECT") | shape.startswith("ARRAY")
+    return F.when(kind == "marker", "true").when(kind.isin(*VALUE_KINDS), val).when(nested, F.to_json(v)).otherwise(F.try_variant_get(v, "$", "string"))
+
+
 def instant_with_zone(c: Column) -> Column:
     """The UTC instant of an ISO text that names its zone; null without a zone."""
     return F.when(c.rlike(ZONED), F.try_to_timestamp(c))
 
 
+def _is_number(shape: Column) -> Column:
+    return shape.startswith("BIGINT") | shape.startswith("DECIMAL") | shape.startswith("DOUBLE")
+
+
 def typed_value(v: Column) -> dict[str, Column]:
-    """val_bool, val_num, val_str and val_na of a variant, told apart by its own type."""
-    kind = F.schema_of_variant(v)
+    """value_kind, val_bool, val_num, val_str, val_na and source_status of a variant, told apart by its own type.
+
+    An object of just ``value`` and ``status`` is unwrapped; its status must be a text, not empty.
+    ``value_kind`` is null where the value is of no such type, not finite or a malformed wrapper.
+    """
+    outer = F.schema_of_variant(v)
+    keys = F.array_sort(F.map_keys(F.try_variant_get(v, "$", "map<string,variant>")))
+    wrapped = F.coalesce(keys == F.array(F.lit("status"), F.lit("value")), F.lit(False))
+    status = F.when(wrapped, F.try_variant_get(v, "$.status", "string"))
+    malformed = wrapped & (~outer.startswith("OBJECT<status: STRING") | (F.coalesce(status, F.lit("")) == ""))
+    inner = F.when(wrapped, F.try_variant_get(v, "$.value", "variant")).otherwise(v)
+    shape = F.schema_of_variant(inner)
+    number = F.try_variant_get(inner, "$", "double")
+    finite = ~F.isnan(number) & (F.abs(number) < float("inf"))
+    kind = (
+        F.when(malformed, None).when(shape == "BOOLEAN", "bool").when(_is_number(shape) & finite, "num").when(shape == "STRING", "str")
+        .when(shape.startswith("OBJECT<_kind: STRING>") & (F.try_variant_get(inner, "$._kind", "string") == "na"), "na")
+    )
     return {
-        "val_bool": F.when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean")),
-        "val_num": F.when(kind.startswith("BIGINT") | kind.startswith("DECIMAL") | kind.startswith("DOUBLE"), F.try_variant_get(v, "$", "decimal(38,18)")),
-        "val_str": F.when(kind == "STRING", F.try_variant_get(v, "$", "string")),
-        "val_na": F.when(kind.startswith("OBJECT"), F.try_variant_get(v, "$._kind", "string") == "na"),
+        "value_kind": kind,
+        "val_bool": F.when(kind == "bool", F.try_variant_get(inner, "$", "boolean")),
+        "val_num": F.when(kind == "num", F.try_variant_get(inner, "$", "decimal(38,18)")),
+        "val_str": F.when(kind == "str", F.try_variant_get(inner, "$", "string")),
+        "val_na": F.when(kind == "na", True),
+        "source_status": status,
     }
 
 
-flatten_kinds = Operator(
-    """
-SELECT row_no, CASE WHEN v = 'm:' THEN 'true' WHEN substring(v, 1, 2) IN ('r:', 'n:') THEN split_part(substring(v, 3), ' ', 1) WHEN substring(v, 2, 1) = ':' THEN substring(v, 3) ELSE v END AS flat
-FROM (SELECT row_no, CASE value_kind WHEN 'num' THEN concat('n:', cast(val_num AS string), ' kW') WHEN 'bool' THEN 'm:' WHEN 'na' THEN 'z:' ELSE val_str END AS v FROM {history}) x""",
-    "Flat text of tagged values.",
-)
-normalise_refs = Operator(
-    "SELECT row_no, CASE WHEN siteRef = '' THEN NULL ELSE split_part(concat(siteRef, ' a name'), ' ', 1) END AS site_ref, trim(LEADING '@' FROM trim(concat(' @', equipRef))) AS legacy_ref FROM {points}",
-    "Ids of references, strict and legacy.",
-)
-historized_flags = Operator("SELECT his, CASE WHEN lower(trim(his)) IN ('', 'false') THEN false WHEN lower(trim(his)) IN ('true', 'm:') THEN true END AS historized, count(*) AS n FROM {points} GROUP BY his", "Markers and what they mean; null is invalid.")
-typed_values = Operator(
-    "SELECT row_no, value_kind, CASE WHEN val_bool IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN val_str IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN val_num IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN value_kind = 'na' THEN 1 ELSE 0 END = 1 AS exactly_one FROM {history}", "Whether exactly one value is set."
-)
-wide_to_long = Operator(
+def coerce_live_value(v: Column) -> Column:
+    """The lenient form, as text: scalars as they are, NA as its object, a number kind its number (its text
+    where not finite), a kind with ``val`` that value's text, anything else its JSON."""
+    shape, kind = F.schema_of_variant(v), F.try_variant_get(v, "$._kind", "string")
+    val = F.try_variant_get(v, "$.val", "string")
+    scalar = ~(shape.startswith("OBJECT") | shape.startswith("ARRAY"))
+    return F.when(scalar, F.try_variant_get(v, "$", "string")).when(kind == "na", F.lit('{"_kind":"na"}')).when(val.isNotNull(), val).otherwise(F.to_json(v))
+
+
+def ref_list(v: Column) -> Column:
+    """array<string> of unique ids: of a list its references, of one reference that one, else none.
+
+    Null (invalid) where a list repeats an id or holds what is no reference.
     """
-SELECT point_id, observed_at, coalesce(cast(val_num AS string), val_str, CASE WHEN val_bool THEN 'true' WHEN NOT val_bool THEN 'false' END) AS cell
-FROM {history} WHERE value_kind <> 'na'""",
-    "One row a cell that is set.",
-)
-row_hash = Operator("SELECT row_no, @sha[concat_ws('|', cast(observed_at AS string), coalesce(cast(val_num AS string), 'null'), coalesce(val_str, 'null'), point_id)] AS row_hash FROM {history}", "Hash of a row's fixed-order text; decimals as text, nulls kept.")
-detection_key = Operator("SELECT targetRef, ruleRef, rule_date, @sha[concat('t|1001|', targetRef, '|', ruleRef, '|', cast(rule_date AS string), '|UTC')] AS detection_key, count(*) AS n FROM {detections} GROUP BY targetRef, ruleRef, rule_date", "A key that corrections keep.")
-map_detections = Operator("SELECT targetRef AS equipment_id, ruleRef AS rule_id, rule_date AS source_date, severity, priority, concat('points of ', targetRef) AS point_ids FROM {detections}", "Source fields under their own names.")
-normalise_entities = Operator("SELECT 'equipment' AS kind, id AS source_id, siteRef AS site_ref, cast(NULL AS string) AS parent_id, false AS site_level FROM {equipment} WHERE outcome = 'accepted' UNION ALL SELECT 'point', id, siteRef, CASE WHEN trim(equipRef) <> '' THEN equipRef END, trim(equipRef) = '' FROM {points} WHERE outcome = 'accepted'", "Both kinds of entity in one shape.")
-lead_columns = Operator("SELECT '1001' AS fsk, id, coalesce(CASE WHEN id <> '' THEN id END, 'unnamed') AS point_dis, siteRef, equipRef, his FROM {points}", "Key columns first.")
-instants = Operator("SELECT row_no, cast(observed_at AS string) AS source_timestamp, 'UTC' AS source_timezone, observed_at FROM {history}", "Instant, with its text and zone kept.")
-ref_list = Operator("SELECT point_id, count(DISTINCT value_kind) AS n, @list[value_kind|value_kind] AS kinds FROM (SELECT DISTINCT point_id, value_kind FROM {history}) x GROUP BY point_id", "Sorted unique lists.")
+    shape = F.schema_of_variant(v)
+    many = F.transform(F.try_variant_get(v, "$", "array<string>"), normalise_ref)
+    bad = F.exists(many, lambda x: x.isNull()) | (F.size(F.array_distinct(many)) < F.size(many))
+    one = F.try_variant_get(v, "$", "string")
+    none = F.array().cast("array<string>")
+    single = F.when(one.rlike(REF) | one.startswith("r:"), F.when(normalise_ref(one).isNotNull(), F.array(normalise_ref(one)))).otherwise(none)
+    return F.when(shape.startswith("ARRAY"), F.when(F.size(many) == 0, none).when(~bad, many)).when(shape == "STRING", single).otherwise(none)
+
+
+def row_hash(**cols: Column) -> Column:
+    """SHA-256 of the canonical JSON of named columns: names sorted, nulls kept. Pass decimals, not doubles."""
+    text = F.to_json(F.struct(*(cols[k].alias(k) for k in sorted(cols))), {"ignoreNullFields": "false"})
+    return F.sha2(text, 256)
+
+
+def detection_key(tenant: Column, project: Column, site: Column, equipment: Column, rule: Column, day: Column, zone: Column) -> Column:
+    """A detection's identity, which corrections of its payload keep."""
+    return row_hash(tenant_id=tenant, project_id=project, site_ref=site, equipment_id=equipment, rule_id=rule, source_date=day.cast("string"), source_timezone=zone)
+
+
+@operator
+def flatten_kinds(tagged):
+    """Tagged texts flat."""
+    return tagged.select("row_no", flatten_kind(F.col("v")).alias("flat"))
+
+
+@operator
+def flatten_objects(json):
+    """Tagged objects flat."""
+    return json.select("row_no", flatten_object(F.try_parse_json("j")).alias("flat"))
+
+
+@operator
+def normalise_refs(tagged):
+    """Ids of references, strict and legacy."""
+    return tagged.select("row_no", normalise_ref(F.col("v")).alias("ref"), legacy_ref(F.col("v")).alias("legacy"))
+
+
+@operator
+def historized_flags(tagged):
+    """Markers and what they mean; null is invalid."""
+    return tagged.groupBy("v").agg(F.count("*").alias("n")).select("v", historized_flag(F.col("v")).alias("historized"), "n")
+
+
+@operator
+def historized_markers(tagged, true_set=("true", "m:", "yes"), false_set=("", "false", "no")):
+    """Markers by sets of one's own; null is invalid."""
+    marker = historized_marker(F.col("v"), set(true_set), set(false_set))
+    return tagged.groupBy(marker.alias("historized")).agg(F.count("*").alias("n"))
+
+
+@operator
+def typed_values(json):
+    """Values by type, and which are of none."""
+    typed = json.select("row_no", *(c.alias(k) for k, c in typed_value(F.try_parse_json("j")).items()))
+    return typed.withColumn("val_num", F.col("val_num").cast("decimal(18,2)"))
+
+
+@operator
+def coerced_values(json):
+    """Values as the lenient reader keeps them."""
+    return json.select("row_no", coerce_live_value(F.try_parse_json("j")).alias("value"))
+
+
+@operator
+def instants(stamps):
+    """UTC instants of texts that name their zone, and texts and zones as they came; others are invalid."""
+    at = instant_with_zone(F.col("stamp"))
+    zone = F.when(at.isNotNull(), F.regexp_extract("stamp", ZONED, 1))
+    return stamps.select("row_no", "stamp", zone.alias("source_timezone"), at.cast("timestamp_ntz").alias("observed_at"))
+
+
+@operator
+def ref_lists(json):
+    """Unique ids of reference lists; ``valid`` is false where a list is at fault."""
+    refs = ref_list(F.try_parse_json("j"))
+    return json.select("row_no", refs.isNotNull().alias("valid"), F.coalesce(refs, F.array().cast("array<string>")).alias("refs"))
+
+
+@operator
+def wide_to_long(pages):
+    """One row a cell that is set, of pages with columns and rows as maps."""
+    cells = pages.select("batch_id", F.explode("rows").alias("row"))
+    return cells.select("batch_id", F.col("row.ts").alias("observed_at"), F.explode("row.cells").alias("point_id", "cell")).where("cell IS NOT NULL")
+
+
+@operator
+def row_hashes(history):
+    """Hash of each sample's value; the instant as text, decimals as text, nulls kept."""
+    cols = {"observed_at": F.date_format("observed_at", "yyyy-MM-dd HH:mm:ss"), "point_id": F.col("point_id"), "val_num": F.col("val_num").cast("string"), "val_str": F.col("val_str")}
+    return history.select("row_no", row_hash(**cols).alias("row_hash"))
+
+
+@operator
+def detection_keys(detections, tenant="t", project="1001", site="s", zone="UTC"):
+    """Detections by identity."""
+    key = detection_key(F.lit(tenant), F.lit(project), F.lit(site), F.col("targetRef"), F.col("ruleRef"), F.col("rule_date"), F.lit(zone))
+    return detections.groupBy("targetRef", "ruleRef", "rule_date").agg(F.count("*").alias("n")).withColumn("detection_key", key)
+
+
+@operator
+def map_detections(found):
+    """Source fields under their own names."""
+    return found.select("equipment_id", "rule_id", F.col("found_day").cast("date").alias("source_date"), F.col("tz").alias("source_tz_tag"), F.col("spark").alias("priority"), "project")
+
+
+@operator
+def normalise_entities(equipment, points):
+    """Accepted rows of both kinds in one shape; a point without equipment is at site level."""
+    own = equipment.where("outcome = 'accepted'").select(F.lit("equipment").alias("kind"), F.col("id").alias("source_id"), F.col("siteRef").alias("site_ref"))
+    ref = F.when(F.trim("equipRef") != "", F.col("equipRef"))
+    parts = points.where("outcome = 'accepted'").select(F.lit("point").alias("kind"), F.col("id").alias("source_id"), F.col("siteRef").alias("site_ref"), ref.alias("parent_id"), ref.isNull().alias("site_level"), "historized")
+    return own.unionByName(parts, allowMissingColumns=True)
+
+
+def lead(df: DataFrame, drop: tuple[str, ...] = (), **constants: str) -> DataFrame:
+    """``df`` without ``drop``, constant columns and the known leading columns first, the others after."""
+    kept = [c for c in df.columns if c not in drop and c not in constants]
+    first = [c for c in LEADING if c in kept]
+    return df.select(*(F.lit(v).alias(k) for k, v in constants.items()), *first, *(c for c in kept if c not in first))
+
+
+@operator
+def lead_columns(points, drop=("his",)):
+    """Point rows with their key columns first; ``point_dis`` is the display name, else the id."""
+    named = points.withColumn("navName", F.when(F.col("id") != "", F.col("id"))).withColumn("dis", F.when(F.col("row_no") % 2 == 0, F.concat(F.lit("Point "), "id")))
+    return lead(named.withColumn("point_dis", F.coalesce("dis", "navName")), drop, project="1001").drop("dis", "navName")

@@ -1,6 +1,9 @@
 """Assessment of entity exports: first failing rule by row, counts, examples, site summary."""
 
-from tagflow.sqlops import Operator
+from pyspark.sql import functions as F
+
+from tagflow.functions.normalize import instant_with_zone
+from tagflow.sqlops import Operator, operator
 
 #: Rules in order; a duplicate is judged before the site rules, among rows that passed the two before.
 classify_equipment = Operator(
@@ -35,16 +38,26 @@ FROM {sites} s LEFT JOIN (SELECT siteRef, count(*) AS n FROM {equipment} WHERE o
 LEFT JOIN (SELECT siteRef, count(*) AS n, count(*) FILTER (WHERE historized) AS h, count(*) FILTER (WHERE site_level) AS l FROM {points} WHERE outcome = 'accepted' GROUP BY siteRef) p ON s.site_ref = p.siteRef""",
     "One row per expected site, sites without rows included.",
 )
-export_crossref = Operator(
-    """
-SELECT (SELECT count(DISTINCT id) FROM {equipment} WHERE trim(id) <> '') AS unique_equipment,
-  (SELECT count(*) - count(DISTINCT CASE WHEN trim(id) <> '' THEN id END) FROM {points}) AS missing_or_duplicate_points,
-  (SELECT count(*) FROM {points} WHERE trim(equipRef) = '' AND trim(siteRef) <> '') AS site_level_points,
-  (SELECT count(*) FROM {points} WHERE trim(equipRef) = '' AND trim(siteRef) = '') AS orphan_points,
-  (SELECT count(*) FROM {detections} d LEFT JOIN (SELECT DISTINCT id FROM {equipment}) e ON d.targetRef = e.id WHERE e.id IS NULL) AS rules_to_unknown,
-  (SELECT count(DISTINCT targetRef) FROM {detections}) AS distinct_targets,
-  (SELECT cast(sum(n - 1) AS bigint) FROM (SELECT count(*) AS n FROM {detections} GROUP BY targetRef, ruleRef, rule_date) g) AS duplicate_rule_rows,
-  (SELECT count(*) FROM {history} h LEFT JOIN (SELECT DISTINCT id FROM {points}) p ON h.point_id = p.id WHERE p.id IS NULL) AS history_to_unknown,
-  (SELECT min(observed_at) FROM {history}) AS first_at, (SELECT max(observed_at) FROM {history}) AS last_at""",
-    "Counts across the four exports in one row.",
-)
+
+
+@operator
+def export_crossref(equipment, points, detections, history, stamps):
+    """Counts across the four exports in one row: one aggregate an export, one join a reference."""
+    known = lambda df, name: df.where("trim(id) <> ''").select(F.trim("id").alias(name)).distinct()
+    own = equipment.agg(F.count_distinct(F.when(F.trim("id") != "", F.trim("id"))).alias("unique_equipment"), F.count("*").alias("n"))
+    own = own.select("unique_equipment", (F.col("n") - F.col("unique_equipment")).alias("missing_or_duplicate_equipment"))
+    free, placed = F.trim("equipRef") == "", F.trim("siteRef") != ""
+    parts = points.agg(F.count_distinct(F.when(F.trim("id") != "", F.trim("id"))).alias("unique_points"), F.count("*").alias("n"), F.count_if(free & placed).alias("site_level_points"), F.count_if(free & ~placed).alias("orphan_points"))
+    parts = parts.withColumn("missing_or_duplicate_points", F.col("n") - F.col("unique_points")).drop("n")
+    rules = detections.groupBy("targetRef", "ruleRef", "rule_date").agg(F.count("*").alias("n")).join(known(equipment, "targetRef").withColumn("known", F.lit(True)), "targetRef", "left")
+    rules = rules.agg(
+        F.sum(F.when(F.col("known"), F.col("n")).otherwise(0)).alias("rules_to_known"), F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)).alias("rules_to_unknown"), F.count_distinct("targetRef").alias("distinct_targets"), F.sum(F.col("n") - 1).alias("duplicate_rule_rows")
+    )
+    kinds = {k: F.sum(F.when(F.col("value_kind") == k, F.col("n")).otherwise(0)).alias(f"{k}_values") for k in ("bool", "str", "num", "na")}
+    samples = history.groupBy("point_id", "value_kind").agg(F.count("*").alias("n"), F.min("observed_at").alias("a"), F.max("observed_at").alias("z")).join(known(points, "point_id").withColumn("known", F.lit(True)), "point_id", "left")
+    samples = samples.agg(
+        F.sum(F.when(F.col("known"), F.col("n")).otherwise(0)).alias("history_to_known"), F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)).alias("history_to_unknown"), F.count_distinct("point_id").alias("distinct_points"),
+        *kinds.values(), F.min("a").alias("first_at"), F.max("z").alias("last_at"),
+    )
+    bad = stamps.agg(F.count_if(instant_with_zone(F.col("stamp")).isNull()).alias("bad_timestamps"))
+    return own.crossJoin(parts).crossJoin(rules).crossJoin(samples).crossJoin(bad)

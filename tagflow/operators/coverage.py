@@ -1,107 +1,208 @@
-"""Coverage checks by batch. A batch with a fault gives no rows; the others go on."""
+"""Coverage checks by batch. A batch with a fault gives no rows; the others go on.
 
-from pyspark.sql import DataFrame
+Every check gives (batch_id, ok, reason); the reason is the first fault in the order listed.
+"""
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagflow.plans.planning import dealt_rank
-from tagflow.sqlops import Native, Operator
+from tagflow.functions.normalize import detection_key
+from tagflow.sqlops import Operator, operator
 
 
-def with_batch(history: DataFrame, max_rows: int) -> DataFrame:
-    """Rows with their batch: a day, cut where it has over ``max_rows`` samples. Equal samples share a batch."""
-    keys = ["observed_at", "point_id", "value_kind"]
-    ranked = dealt_rank(history.withColumn("day", F.col("observed_at").cast("date")), "day", F.date_trunc("second", "observed_at"), keys, "at")
-    part = F.floor(F.col("at") / max_rows)
-    return ranked.withColumn("batch_id", F.concat(F.lit("h-"), F.col("day").cast("string"), F.when(part > 0, F.concat(F.lit("."), part.cast("string"))).otherwise("")))
+def first_fault(*rules: tuple[Column, str]) -> Column:
+    """The name of the first rule whose condition holds; a condition that is null counts as a fault."""
+    chain = None
+    for broken, name in rules:
+        broken = F.coalesce(broken, F.lit(True))
+        chain = F.when(broken, name) if chain is None else chain.when(broken, name)
+    return F.coalesce(chain, F.lit(""))
 
 
-def pages_of(history: DataFrame, max_rows: int) -> DataFrame:
-    rows = with_batch(history, max_rows).select("batch_id", "point_id", "observed_at", "value_kind").distinct()
-    return rows.groupBy("batch_id").agg(
-        F.expr("listagg(point_id, ',') WITHIN GROUP (ORDER BY point_id)").alias("completed_ids"), F.count("*").alias("returned_rows"), F.min("observed_at").alias("first_at"),
-        F.max("observed_at").alias("last_at"), (F.expr("count(*) FILTER (WHERE value_kind = 'na')") % 7 == 0).alias("truncated"),
-    )
+def verdict(df: DataFrame, *rules: tuple[Column, str]) -> DataFrame:
+    return df.select("batch_id", first_fault(*rules).alias("reason")).select("batch_id", (F.col("reason") == "").alias("ok"), "reason")
+
+
+def _planned(plan: DataFrame, pages: DataFrame) -> DataFrame:
+    """Each batch with its page under p_; a batch without a page has nulls there."""
+    return plan.join(pages.select(*(F.col(c).alias(f"p_{c}") for c in pages.columns)), plan.batch_id == F.col("p_batch_id"), "left")
+
+
+_c = F.col
 
 
-def verdicts_of(pages: DataFrame, history: DataFrame, max_rows: int) -> DataFrame:
-    planned = with_batch(history, max_rows).groupBy("batch_id", "day").agg(F.count("*").alias("n"))
-    day, after = F.col("day").cast("timestamp_ntz"), F.date_add("day", 1).cast("timestamp_ntz")
-    reason = (
-        F.when(F.col("truncated"), "truncated").when(F.col("returned_rows") != F.col("n"), "row_count").when(F.col("returned_rows") > max_rows, "row_cap")
-        .when((F.col("first_at") < day) | (F.col("last_at") >= after), "outside_window")
+@operator
+def history_coverage(plan, pages, max_rows=100_000):
+    """Receipts of history pages against the plan: scope in order, completed, rows, window, project and site."""
+    df = _planned(plan, pages)
+    return verdict(
+        df, (_c("p_batch_id").isNull(), "no_receipt"), (_c("p_err").isNotNull(), "error"), (~_c("p_complete"), "incomplete"), (_c("p_truncated"), "truncated"),
+        (_c("p_project") != _c("project"), "project"), (_c("p_site_ref") != _c("site_ref"), "site"), (F.coalesce(_c("p_query_id"), F.lit("")) == "", "query_id"),
+        ((_c("p_window_start") != _c("window_start")) | (_c("p_window_end") != _c("window_end")), "window"), (_c("p_requested") != _c("scope"), "requested"), (_c("p_completed") != _c("p_requested"), "completed"),
+        (_c("p_returned_rows") != _c("p_actual_rows"), "returned_rows"), (_c("p_total_rows") != _c("p_actual_rows"), "total_rows"), (_c("p_actual_rows") > max_rows, "row_cap"),
     )
-    return pages.join(planned, "batch_id").select("batch_id", reason.isNull().alias("ok"), F.coalesce(reason, F.lit("")).alias("reason"))
 
 
-def split_of(rows: DataFrame, verdicts: DataFrame, max_rows: int) -> DataFrame:
-    return with_batch(rows, max_rows).join(verdicts, "batch_id").select("row_no", "point_id", "observed_at", "ok")
+@operator
+def history_columns(plan, columns):
+    """Columns of each page: exactly one ``ts``, names and ids unique, ids those of the scope."""
+    point = F.when(_c("name") != "ts", F.coalesce("point_id", "name"))
+    seen = columns.groupBy("batch_id").agg(
+        F.count_if(_c("name") == "ts").alias("stamps"), F.count("name").alias("n"), F.count_distinct("name").alias("names"), F.count(point).alias("ids"), F.count_distinct(point).alias("distinct_ids"), F.collect_set(point).alias("own")
+    )
+    df = plan.select("batch_id", "scope").join(seen, "batch_id", "left")
+    other = (F.size(F.array_except("own", "scope")) > 0) | (F.size(F.array_except("scope", "own")) > 0)
+    return verdict(df, (_c("stamps") != 1, "ts"), (_c("n") != _c("names"), "names"), (_c("ids") != _c("distinct_ids"), "ids"), (other, "scope"))
 
 
-pack_pages = Native(
-    pages_of,
-    """
-SELECT concat('h-', cast(cast(observed_at AS date) AS string)) AS batch_id, @list[point_id|point_id] AS completed_ids, count(*) AS returned_rows,
-  min(observed_at) AS first_at, max(observed_at) AS last_at, count(*) FILTER (WHERE value_kind = 'na') % 7 = 0 AS truncated
-FROM (SELECT DISTINCT cast(observed_at AS date) AS d, point_id, observed_at, value_kind FROM {history}) x GROUP BY cast(observed_at AS date)""",
-    "One page a day, or a part of it, with its receipt.",
-    max_rows=100000,
-)
-history_coverage = Native(
-    verdicts_of,
-    """
-SELECT batch_id, reason IS NULL AS ok, coalesce(reason, '') AS reason FROM (
-  SELECT p.batch_id, CASE WHEN p.truncated THEN 'truncated' WHEN p.returned_rows <> b.n THEN 'row_count' WHEN p.returned_rows > $max_rows THEN 'row_cap'
-    WHEN p.first_at < b.window_start OR p.last_at >= b.window_end THEN 'outside_window' END AS reason
-  FROM {pages} p JOIN (SELECT concat('h-', cast(cast(observed_at AS date) AS string)) AS batch_id, count(*) AS n,
-      cast(cast(observed_at AS date) AS timestamp) AS window_start, cast(cast(observed_at AS date) + INTERVAL '1' DAY AS timestamp) AS window_end
-    FROM {history} GROUP BY cast(observed_at AS date)) b ON p.batch_id = b.batch_id) x""",
-    "The first failing rule of each batch.",
-    max_rows=100000,
-)
-history_rows = Operator(
-    "SELECT point_id, count(*) AS duplicate_keys, cast(sum(n) AS bigint) AS rows_in FROM (SELECT point_id, observed_at, count(*) AS n FROM {samples} GROUP BY point_id, observed_at HAVING count(*) > 1) x GROUP BY point_id",
-    "Points with more than one sample at an instant.",
-)
-quarantine_split = Native(
-    split_of,
-    "SELECT r.row_no, r.point_id, r.observed_at, v.ok FROM {rows} r JOIN {verdicts} v ON v.batch_id = concat('h-', cast(cast(r.observed_at AS date) AS string))", "Rows with their batch's verdict.", max_rows=100000
-)
-accepted_rows = Operator("SELECT row_no, point_id, observed_at FROM {split} WHERE ok", "Rows of batches without a fault.")
-entity_links = Operator(
-    """
-SELECT siteRef, CASE WHEN outcome IN ('duplicate_point_id', 'unknown_equipment_ref', 'cross_site_equipment_ref') THEN outcome ELSE 'linked' END AS link, count(*) AS n
-FROM {points} GROUP BY siteRef, CASE WHEN outcome IN ('duplicate_point_id', 'unknown_equipment_ref', 'cross_site_equipment_ref') THEN outcome ELSE 'linked' END""",
-    "How points link, by site.",
-)
-rules_rows = Operator(
+@operator
+def history_rows(plan, rows, max_observations=60):
+    """Samples of each batch: inside the half-open window, of requested points, unique by point and instant, within the cap."""
+    start, end = (F.to_timestamp_ntz(F.substring(c, 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss")) for c in ("window_start", "window_end"))
+    own = rows.join(plan.select("batch_id", "scope", start.alias("s"), end.alias("e")), "batch_id")
+    keys = own.groupBy("batch_id", "point_id", "observed_at").agg(
+        F.count("*").alias("n"), F.max((_c("observed_at") < _c("s")) | (_c("observed_at") >= _c("e"))).alias("late"), F.max(~F.array_contains("scope", _c("point_id"))).alias("stray")
+    )
+    found = keys.groupBy("batch_id").agg(F.bool_or("late").alias("late"), F.bool_or("stray").alias("stray"), (F.max("n") > 1).alias("again"), F.sum("n").alias("n"))
+    df = plan.select("batch_id").join(found, "batch_id", "left").fillna(False, ["late", "stray", "again"]).fillna(0, ["n"])
+    return verdict(df, (_c("stray"), "unrequested"), (_c("late"), "outside_window"), (_c("again"), "duplicate"), (_c("n") > max_observations, "observation_cap"))
+
+
+@operator
+def duplicate_samples(samples):
+    """Points with more than one sample at an instant."""
+    again = samples.groupBy("point_id", "observed_at").agg(F.count("*").alias("n")).where("n > 1")
+    return again.groupBy("point_id").agg(F.count("*").alias("duplicate_keys"), F.sum("n").alias("rows_in"))
+
+
+@operator
+def metadata_page_chain(chain, max_entities=100_000):
+    """Pages of a site's equipment and points: one snapshot, indices without a gap, counts, and only the last complete.
+
+    Gives (site_ref, ok, reason).
     """
-SELECT targetRef, rule_date, CASE WHEN max(n) > 1 THEN 'duplicate_detection' ELSE '' END AS reason, cast(sum(n) AS bigint) AS detections
-FROM (SELECT targetRef, ruleRef, rule_date, count(*) AS n FROM {detections} GROUP BY targetRef, ruleRef, rule_date) x GROUP BY targetRef, rule_date""",
-    "Detections by equipment and day, and whether an identity repeats.",
-)
+    by = Window.partitionBy("site_ref", "kind").orderBy("page")
+    kinds = chain.withColumns({"at": F.row_number().over(by) - 1, "sofar": F.sum("actual_rows").over(by), "again": F.count("*").over(Window.partitionBy("site_ref", "kind", "next_page")) > 1, "more": F.lead("page").over(by).isNotNull()})
+    bad_token = _c("more") & (_c("next_page").isNull() | (_c("next_page") == "") | _c("again") | _c("complete"))
+    bad_end = ~_c("more") & (_c("next_page").isNotNull() | ~_c("complete") | (_c("total_rows") != _c("sofar")))
+    site = kinds.groupBy("site_ref").agg(
+        F.bool_or(_c("err").isNotNull()).alias("err"), F.count_distinct("snapshot").alias("snapshots"), F.bool_or(_c("page_index") != _c("at")).alias("gap"), F.bool_or(_c("returned_rows") != _c("actual_rows")).alias("rows"),
+        F.bool_or(bad_token).alias("token"), F.bool_or(bad_end).alias("end"), F.max("sofar").alias("most"), F.count_distinct("kind").alias("kinds"),
+    )
+    rules = ((_c("err"), "error"), (_c("snapshots") != 1, "snapshot"), (_c("gap"), "page_index"), (_c("rows"), "returned_rows"), (_c("token"), "next_page"), (_c("end") | (_c("kinds") != 2), "total"), (_c("most") > max_entities, "entity_cap"))
+    return verdict(site.withColumnRenamed("site_ref", "batch_id"), *rules).withColumnRenamed("batch_id", "site_ref")
+
+
+@operator
+def rules_coverage(plan, pages):
+    """Receipts of rule days: as for history, and day, zone, requested count, a single page and unique columns."""
+    df = _planned(plan, pages)
+    names = F.split("p_columns", ",")
+    return verdict(
+        df, (_c("p_batch_id").isNull(), "no_receipt"), (_c("p_err").isNotNull(), "error"), (~_c("p_complete"), "incomplete"), (_c("p_truncated"), "truncated"), (_c("p_project") != _c("project"), "project"), (_c("p_site_ref") != _c("site_ref"), "site"),
+        (_c("p_day").cast("date") != _c("day"), "day"), (_c("p_timezone") != _c("timezone"), "timezone"), (_c("p_requested") != _c("scope"), "requested"), (_c("p_completed") != _c("p_requested"), "completed"),
+        (_c("p_requested_count") != F.size("scope"), "requested_count"), (_c("p_returned_rows") != _c("p_actual_rows"), "returned_rows"), (_c("p_total_rows") != _c("p_actual_rows"), "total_rows"),
+        ((_c("p_page_index") != 0) | _c("p_next_page").isNotNull(), "paging"), (F.size(F.array_distinct(names)) != F.size(names), "columns"),
+    )
+
+
+@operator
+def rules_rows(plan, found, project="1001", zones=("UTC",)):
+    """Detections of each day: of requested equipment, of the project (or none named), of that day and zone, with a value, each identity once."""
+    own = found.join(plan.select("batch_id", "scope", "day", "site_ref", "timezone"), "batch_id")
+    key = detection_key(F.lit("t"), F.lit(project), _c("site_ref"), _c("equipment_id"), _c("rule_id"), _c("day"), _c("timezone"))
+    keys = own.groupBy("batch_id", key.alias("key")).agg(
+        F.count("*").alias("n"), F.bool_or(~F.array_contains("scope", _c("equipment_id"))).alias("target"), F.bool_or(F.coalesce("project", F.lit(project)) != project).alias("project"),
+        F.bool_or((_c("found_day").cast("date") != _c("day")) | ~_c("tz").isin(*zones)).alias("day"), F.bool_or(_c("spark").isNull()).alias("spark"),
+    )
+    batch = keys.groupBy("batch_id").agg(*(F.bool_or(x).alias(x) for x in ("target", "project", "day", "spark")), (F.max("n") > 1).alias("again"))
+    return verdict(batch, (_c("target"), "target"), (_c("project"), "project"), (_c("day"), "day_or_zone"), (_c("spark"), "no_value"), (_c("again"), "duplicate_detection"))
+
+
 scope_equality = Operator(
     """
 SELECT coalesce(a.id, b.id) AS id, CASE WHEN b.id IS NULL THEN 'missing' ELSE 'unexpected' END AS fault
 FROM (SELECT DISTINCT id FROM {requested}) a FULL JOIN (SELECT DISTINCT point_id AS id FROM {returned}) b ON a.id = b.id WHERE a.id IS NULL OR b.id IS NULL""",
     "Ids on one side only; none means the scope is met.",
 )
-drop_boundary = Operator(
-    """
-SELECT point_id, count(*) FILTER (WHERE observed_at >= cast('$start' AS timestamp) AND observed_at < cast('$end' AS timestamp)) AS kept,
-  count(*) FILTER (WHERE NOT (observed_at >= cast('$start' AS timestamp) AND observed_at < cast('$end' AS timestamp))) AS dropped FROM {history} GROUP BY point_id""",
-    "Lenient mode: samples outside the half-open window are dropped and counted.",
-    start="2024-01-05 00:00:00",
-    end="2024-01-20 00:00:00",
-)
-size_caps = Operator(
-    "SELECT siteRef, count(*) AS entities, cast(sum(length(id) + length(equipRef)) AS bigint) AS bytes, count(*) <= $max_rows AS ok FROM {points} GROUP BY siteRef", "Entities and bytes by site against a cap.", max_rows=600
-)
-entity_shape = Operator(
-    "SELECT row_no, id, CASE WHEN site_level <> (trim(equipRef) = '') THEN 'site_level' WHEN historized IS NULL THEN 'historized' ELSE '' END AS fault FROM {points} WHERE outcome = 'accepted'", "Points whose flags contradict their fields."
-)
-completion_scope = Operator(
+
+
+@operator
+def observed_coverage(plan, pages, columns, markers=("trunc", "limit")):
+    """The weaker receipt, made from the response: no error, no key that tells of a cut, a column for every requested point."""
+    have = columns.where("name <> 'ts'").groupBy("batch_id").agg(F.collect_set(F.coalesce("point_id", "name")).alias("own"))
+    df = plan.select("batch_id", "scope").join(pages.select("batch_id", "err", F.split(F.lower("meta_keys"), ",").alias("keys")), "batch_id").join(have, "batch_id", "left")
+    told = F.exists("keys", lambda k: reduce(lambda a, b: a | b, (k.contains(m) for m in markers)))
+    missing = F.size(F.array_except("scope", F.coalesce("own", F.array().cast("array<string>")))) > 0
+    return verdict(df, (_c("err").isNotNull() | F.array_contains("keys", "err"), "error"), (told, "cut"), (missing, "missing_column")).withColumn("label", F.lit("observed"))
+
+
+@operator
+def drop_boundary(history, start="2024-01-05 00:00:00", end="2024-01-20 00:00:00"):
+    """Lenient mode: samples outside the half-open window are dropped and counted."""
+    inside = (_c("observed_at") >= F.lit(start).cast("timestamp_ntz")) & (_c("observed_at") < F.lit(end).cast("timestamp_ntz"))
+    return history.groupBy("point_id").agg(F.count_if(inside).alias("kept"), F.count_if(~inside).alias("dropped"))
+
+
+@operator
+def size_caps(points, max_rows=600, max_bytes=6_000, max_entities=560, max_historized=400):
+    """Rows, bytes, distinct entities and historised points by site, and the first cap that is exceeded."""
+    size = F.octet_length(F.concat("id", "siteRef", "equipRef"))
+    got = points.groupBy("siteRef").agg(F.count("*").alias("n_rows"), F.sum(size).alias("bytes"), F.count_distinct("id").alias("entities"), F.count_if("historized").alias("historized"))
+    return got.withColumn("reason", first_fault((_c("n_rows") > max_rows, "rows"), (_c("bytes") > max_bytes, "bytes"), (_c("entities") > max_entities, "entities"), (_c("historized") > max_historized, "historized")))
+
+
+@operator
+def quarantine_split(rows, verdicts):
+    """Rows with their batch's verdict; a row of a batch without one is quarantined."""
+    return rows.join(verdicts.select("batch_id", "ok"), "batch_id", "left").select("batch_id", "row_no", "point_id", "observed_at", F.coalesce("ok", F.lit(False)).alias("ok"))
+
+
+accepted_rows = Operator("SELECT batch_id, row_no, point_id, observed_at FROM {split} WHERE ok", "Rows of batches without a fault.")
+
+
+@operator
+def sink_guard(plan, rows, verdicts, columns_ok):
+    """What may be written: rows of batches that pass receipt, columns and rows, checked once more by key and hash.
+
+    Gives (batch_id, ok, reason, n_rows, checksum): the checksum is of the sorted hashes of the rows' keys.
     """
-SELECT site_ref, count(*) AS expected, count(DISTINCT CASE WHEN status = 'certified' THEN batch_id END) AS completed,
-  count(*) = count(DISTINCT CASE WHEN status = 'certified' THEN batch_id END) AS ok FROM {jobs} GROUP BY site_ref""",
-    "Whether a site's completed batches are all that were expected.",
-)
+    good = verdicts.where("ok").select("batch_id").intersect(columns_ok.where("ok").select("batch_id"))
+    again = history_rows(plan=plan, rows=rows)
+    key = F.sha2(F.concat_ws("|", "point_id", F.date_format("observed_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")), 256)
+    sums = rows.select("batch_id", key.alias("h")).groupBy("batch_id").agg(F.count("*").alias("n_rows"), F.sha2(F.array_join(F.array_sort(F.collect_list("h")), "\n"), 256).alias("checksum"))
+    df = again.join(good.withColumn("covered", F.lit(True)), "batch_id", "left").join(sums, "batch_id", "left")
+    reason = F.when(_c("covered").isNull(), "no_coverage").otherwise(_c("reason"))
+    return df.select("batch_id", (reason == "").alias("ok"), reason.alias("reason"), F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"), F.when(reason == "", _c("checksum")).alias("checksum"))
+
+
+@operator
+def entity_links(entities):
+    """Entities by site and the first fault of their links: an id twice in its kind, an id in two sites, a parent unknown or elsewhere."""
+    same = entities.groupBy("kind", "source_id").agg(F.count("*").alias("n"), F.count_distinct("site_ref").alias("sites"))
+    parents = entities.where("kind = 'equipment'").groupBy(_c("source_id").alias("parent_id")).agg(F.min("site_ref").alias("parent_site"))
+    df = entities.join(same, ["kind", "source_id"]).join(parents, "parent_id", "left")
+    lonely = (_c("kind") == "point") & _c("parent_id").isNotNull()
+    link = F.when(_c("sites") > 1, "two_sites").when(_c("n") > 1, "duplicate").when(lonely & _c("parent_site").isNull(), "unknown_parent").when(lonely & (_c("parent_site") != _c("site_ref")), "parent_elsewhere").otherwise("linked")
+    return df.groupBy("site_ref", "kind", link.alias("link")).agg(F.count("*").alias("n"))
+
+
+@operator
+def entity_shape(entities):
+    """Entities whose fields contradict one another, with the first fault; sound ones have none."""
+    equipment = _c("kind") == "equipment"
+    return entities.select("kind", "source_id", first_fault(
+        (equipment & _c("parent_id").isNotNull(), "equipment_parent"), (equipment & _c("historized"), "equipment_historized"), (equipment & _c("site_level").isNotNull(), "equipment_site_level"),
+        (~equipment & (_c("site_level") != _c("parent_id").isNull()), "site_level"), (~equipment & (_c("historized") != (_c("his") == "m:")), "historized"),
+    ).alias("fault"))
+
+
+@operator
+def completion_scope(jobs, certifications):
+    """By run and site: whether the certified batches are, each once, all leaves that were expected."""
+    leaf = jobs.where("status <> 'split'").select("run_id", "site_ref", "batch_id")
+    done = certifications.groupBy("batch_id").agg(F.count("*").alias("times"))
+    got = leaf.join(done, "batch_id", "left").groupBy("run_id", "site_ref").agg(F.count("*").alias("expected"), F.count("times").alias("completed"), F.count_if(_c("times") > 1).alias("twice"))
+    return got.withColumn("ok", (_c("expected") == _c("completed")) & (_c("twice") == 0))

@@ -1,53 +1,144 @@
-"""Fan-out of a small real site to many virtual ones, and the audit of the result."""
+"""Fan-out of a small real site to many virtual ones, and the audit of the result.
 
-from pyspark.sql import DataFrame
+A real site's sorted entities are dealt out in turn, so n virtual entities use them evenly. Ids are
+``<site>.e<i>.<real>`` and ``<site>.e<i>.p<j>.<real>``, the indices padded to the width of the last.
+"""
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagflow.sqlops import Native, Operator
+from tagflow.operators.rollup import chunks
+from tagflow.sqlops import operator
 
+_c = F.col
 
-def every_rule_day(entities: DataFrame, detections: DataFrame) -> DataFrame:
-    """Entities on each rule day. Days are broadcast: dates of a calendar, so few whatever the tables hold."""
-    found = detections.groupBy(F.col("targetRef").alias("source_id"), "rule_date").agg(F.count("*").alias("n"))
-    spine = entities.select("source_id").crossJoin(F.broadcast(detections.select("rule_date").distinct()))
-    return spine.join(found, ["source_id", "rule_date"], "left").select("source_id", "rule_date", F.coalesce("n", F.lit(0)).cast("bigint").alias("detections"))
 
+def _turns(real: DataFrame) -> DataFrame:
+    """(site_ref, id, i, n): position in the site by id, and the site's size."""
+    by = Window.partitionBy("site_ref")
+    return real.select("site_ref", "id", (F.row_number().over(by.orderBy("id")) - 1).alias("i"), F.count("*").over(by).alias("n"))
 
-replicate_equipment = Operator(
-    "SELECT concat(e.site_ref, '.e', lpad(cast(w.window_no AS string), 2, '0'), '.', e.source_id) AS virtual_id, e.site_ref, e.source_id FROM {entities} e CROSS JOIN {copies} w", "Each entity once a copy; copies are few and broadcast."
-)
-replicate_points = Operator(
-    """
-SELECT concat(v.virtual_id, '.p', p.id) AS virtual_point, v.virtual_id AS parent, p.id AS source_id
-FROM {virtual} v JOIN (SELECT id, equipRef FROM {points} WHERE outcome = 'accepted' AND historized) p ON p.equipRef = v.source_id""",
-    "Historised points under each virtual equipment.",
-)
-real_ids = Operator("SELECT virtual_id, substring(virtual_id, length(site_ref) + 6) AS source_id, virtual_id LIKE concat(site_ref, '.e%') AS own_site FROM {virtual}", "The real id inside a virtual one.")
-fan_out_history = Operator(
-    "SELECT v.virtual_point, count(*) AS samples, max(h.observed_at) AS last_at FROM {virtual} v JOIN (SELECT point_id, observed_at FROM {history}) h ON h.point_id = v.source_id GROUP BY v.virtual_point", "Real samples copied to every virtual point."
-)
-fan_out_rules = Operator("SELECT v.virtual_id AS targetRef, d.ruleRef, d.rule_date, d.targetRef AS replicaSourceRef, count(*) AS n FROM {virtual} v JOIN {detections} d ON d.targetRef = v.source_id GROUP BY v.virtual_id, d.ruleRef, d.rule_date, d.targetRef", "Detections copied to every virtual equipment.")
-hour_coverage = Operator(
-    """
-SELECT s.id AS point_id, s.window_no, CASE WHEN NOT s.historized THEN 'not_historized' WHEN h.n IS NULL THEN 'no_observation' ELSE 'observed' END AS coverage, coalesce(h.n, 0) AS samples
-FROM (SELECT p.id, p.historized, w.window_no FROM {points} p CROSS JOIN {windows} w WHERE p.outcome = 'accepted') s
-LEFT JOIN (SELECT point_id, cast(floor(extract(minute FROM observed_at) / 5) AS int) AS window_no, count(*) AS n FROM {history} GROUP BY point_id, cast(floor(extract(minute FROM observed_at) / 5) AS int)) h
-  ON h.point_id = s.id AND h.window_no = s.window_no""",
-    "Every point in every five-minute window of an hour.",
-)
-coverage_audit = Operator(
+
+@operator
+def replicate_equipment(real_equipment, n=400):
+    """``n`` virtual equipment by site, the real ones in turn: virtual_id, site_ref, i, source_id."""
+    slots = _turns(real_equipment).withColumn("at", F.explode(F.sequence("i", F.lit(n - 1), "n")))
+    # a real entity beyond the n-th is not used; ``sequence`` would count down there
+    slots = slots.where(_c("i") < n)
+    virtual = F.concat("site_ref", F.lit(".e"), F.lpad(_c("at").cast("string"), len(str(n - 1)), "0"), F.lit("."), "id")
+    return slots.where(_c("at") < n).select(virtual.alias("virtual_id"), "site_ref", _c("at").cast("long").alias("i"), _c("id").alias("source_id"))
+
+
+@operator
+def replicate_points(virtual, real_points, m=10, n=400):
+    """``m`` virtual points under each virtual equipment: the site's historised points in turn, by (i * m + p) mod N."""
+    own = _turns(real_points.select("site_ref", "id")).select("site_ref", _c("id").alias("real"), _c("i").alias("k"), "n")
+    sizes = own.groupBy("site_ref").agg(F.max("n").alias("n"))
+    slots = virtual.join(sizes, "site_ref").withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(m - 1)))).withColumn("k", ((_c("i") * m + _c("p")) % _c("n")).cast("int"))
+    point = F.concat("site_ref", F.lit(".e"), F.lpad(_c("i").cast("string"), len(str(n - 1)), "0"), F.lit(".p"), F.lpad(_c("p").cast("string"), len(str(m - 1)), "0"), F.lit("."), "real")
+    return slots.drop("n").join(own.drop("n"), ["site_ref", "k"]).select(point.alias("virtual_point"), _c("virtual_id").alias("parent"), "site_ref", _c("real").alias("source_id"))
+
+
+def real_id(site, virtual, points: bool = False):
+    """Column: the real id inside a virtual one of ``site``, null where it is not one of that site."""
+    rest = F.when(F.startswith(virtual, F.concat(site, F.lit("."))), F.substring(virtual, F.length(site) + 2, F.lit(1 << 30)))
+    shape = r"^e\d+\.p\d+\.(.+)$" if points else r"^e\d+\.(.+)$"
+    real = F.regexp_extract(rest, shape, 1)
+    return F.when(real != "", real)
+
+
+@operator
+def real_ids(asked):
+    """The real ids inside the virtual points asked of sites, each with how many read it; ids of another site are rejected."""
+    real = real_id(_c("site_ref"), _c("virtual_point"), points=True)
+    return asked.groupBy(F.coalesce(real, F.lit("rejected")).alias("real_id")).agg(F.count("*").alias("copies"))
+
+
+@operator
+def fan_out_history(virtual_points, history):
+    """The samples of each real point copied to every virtual one, read once: virtual_point, observed_at, value_kind."""
+    wanted = virtual_points.select("source_id").distinct()
+    own = history.join(wanted, history.point_id == wanted.source_id).select("source_id", "observed_at", "value_kind", "row_no")
+    return virtual_points.select("virtual_point", "source_id").join(own, "source_id").select("virtual_point", "observed_at", "value_kind", "row_no")
+
+
+@operator
+def fan_out_totals(virtual_points, history):
+    """Samples by virtual point without copying them: counted by real point first, then joined."""
+    own = history.groupBy(_c("point_id").alias("source_id")).agg(F.count("*").alias("samples"), F.max("observed_at").alias("last_at"))
+    return virtual_points.select("virtual_point", "source_id").join(own, "source_id").select("virtual_point", "samples", "last_at")
+
+
+@operator
+def fan_out_rules(virtual, detections):
+    """Detections on each virtual equipment, with the real one they are from; repeats are counted before they are copied."""
+    own = detections.groupBy(_c("targetRef").alias("source_id"), "ruleRef", "rule_date").agg(F.count("*").alias("n"))
+    return virtual.select("virtual_id", "source_id").join(own, "source_id").select(_c("virtual_id").alias("targetRef"), "ruleRef", "rule_date", _c("source_id").alias("replicaSourceRef"), "n")
+
+
+def five_minutes(at):
+    """Column: the start of the five-minute window of ``at``."""
+    return F.timestamp_seconds(F.floor(F.unix_timestamp(at) / 300) * 300).cast("timestamp_ntz")
+
+
+@operator
+def hour_coverage(points, history, hour="2024-01-03 10:00:00", windows=12):
+    """Every accepted point in each five-minute window of an hour: coverage, samples, and these in order as JSON."""
+    start = F.lit(hour).cast("timestamp_ntz")
+    end = start + F.make_dt_interval(mins=F.lit(5 * windows))
+    own = history.where((_c("observed_at") >= start) & (_c("observed_at") < end)).groupBy("point_id", five_minutes("observed_at").alias("window_start"))
+    own = own.agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("observed_at", "row_no", "value_kind"))).alias("rows"))
+    sampled = own.select(_c("point_id").alias("id"), "window_start", "n", F.to_json(F.transform("rows", lambda r: F.struct(r.row_no.alias("row"), r.value_kind.alias("kind")))).alias("ordered"))
+    each = F.transform(F.sequence(F.lit(0), F.lit(windows - 1)), lambda k: start + F.make_dt_interval(mins=k * 5))
+    spine = points.where("outcome = 'accepted'").select("id", "historized", F.explode(each).alias("window_start"))
+    coverage = F.when(~_c("historized"), "not_historized").when(_c("n").isNull(), "no_observation").otherwise("observed")
+    return spine.join(sampled, ["id", "window_start"], "left").select(_c("id").alias("point_id"), "window_start", coverage.alias("coverage"), F.coalesce("n", F.lit(0)).cast("long").alias("samples"), "ordered")
+
+
+@operator
+def coverage_audit(points, history, coverage, hour="2024-01-03 10:00:00", windows=12):
+    """Rows, observed windows and samples produced by window, against what the source's own rows give.
+
+    The expectation counts the source: accepted points from their outcomes, samples of historised ones from history.
     """
-SELECT p.window_no, p.produced, e.expected, CASE WHEN p.produced = e.expected THEN 'PASS' ELSE 'FAIL' END AS verdict
-FROM (SELECT window_no, count(*) AS produced FROM {coverage} GROUP BY window_no) p CROSS JOIN (SELECT count(*) AS expected FROM {points} WHERE outcome = 'accepted') e""",
-    "Rows produced by window against those expected from the source.",
-)
-site_group_batches = Operator(
-    "SELECT site_ref, cast(floor(i / $size) AS bigint) AS batch_no, count(*) AS n FROM (SELECT site_ref, row_number() OVER (PARTITION BY site_ref ORDER BY virtual_id) - 1 AS i FROM {virtual}) x GROUP BY site_ref, cast(floor(i / $size) AS bigint)", "Batches of a fixed size in a group.", size=100
-)
-#: The SQL keeps a date filter that the plan does not have; see README.
-rule_scope_coverage = Native(
-    every_rule_day,
-    "SELECT e.source_id, d.rule_date, coalesce(x.n, 0) AS detections FROM {entities} e CROSS JOIN (SELECT DISTINCT rule_date FROM {detections} WHERE rule_date < cast('1993-01-01' AS date)) d LEFT JOIN (SELECT targetRef, rule_date, count(*) AS n FROM {detections} GROUP BY targetRef, rule_date) x ON x.targetRef = e.source_id AND x.rule_date = d.rule_date",
-    "Every equipment on every rule day, with or without detections.",
-)
-entity_fan_out = Operator("SELECT v.virtual_id, e.payload, e.source_id AS provenance FROM {virtual} v JOIN {entities} e ON v.source_id = e.source_id", "Metadata copies with where they are from.")
+    start = F.lit(hour).cast("timestamp_ntz")
+    accepted = points.where("outcome = 'accepted'")
+    total = accepted.agg(F.count("*").alias("expected"))
+    own = history.where((_c("observed_at") >= start) & (_c("observed_at") < start + F.make_dt_interval(mins=F.lit(5 * windows))))
+    known = accepted.where("historized").select(_c("id").alias("point_id"))
+    per = own.join(known, "point_id", "left_semi").groupBy(five_minutes("observed_at").alias("window_start")).agg(F.count("*").alias("expected_samples"), F.count_distinct("point_id").alias("expected_observed"))
+    made = coverage.groupBy("window_start").agg(F.count("*").alias("produced"), F.sum(F.when(_c("coverage") == "observed", _c("samples")).otherwise(0)).alias("samples"), F.count_if(_c("coverage") == "observed").alias("observed"))
+    df = made.join(per, "window_start", "left").fillna(0, ["expected_samples", "expected_observed"]).crossJoin(F.broadcast(total))
+    good = (_c("produced") == _c("expected")) & (_c("samples") == _c("expected_samples")) & (_c("observed") == _c("expected_observed"))
+    return df.select("window_start", "produced", "expected", "samples", "expected_samples", F.when(good, "PASS").otherwise("FAIL").alias("verdict"))
+
+
+@operator
+def replica_audit(virtual, real_equipment, n=400):
+    """Copies of each real equipment against the rule: full turns, and one more for the first of the rest."""
+    made = virtual.groupBy("site_ref", "source_id").agg(F.count("*").alias("produced"))
+    turns = _turns(real_equipment).select("site_ref", _c("id").alias("source_id"), (F.floor(F.lit(n) / _c("n")) + (_c("i") < F.lit(n) % _c("n")).cast("int")).cast("long").alias("expected"))
+    df = turns.join(made, ["site_ref", "source_id"], "full").fillna(0, ["produced", "expected"])
+    return df.select("site_ref", "source_id", "produced", "expected", F.when(_c("produced") == _c("expected"), "PASS").otherwise("FAIL").alias("verdict"))
+
+
+@operator
+def site_group_batches(virtual, size=30, groups=2):
+    """Batches of a fixed size in a copy's group of each site; the sizes add up to the target."""
+    grouped = virtual.withColumn("copy", (_c("i") % groups).cast("int")).withColumn("grp", F.concat_ws("/", "site_ref", "copy"))
+    return chunks(grouped.select("grp", "virtual_id"), "grp", "virtual_id", size).groupBy("grp", "batch_no").agg(F.count("*").alias("n"), F.min("virtual_id").alias("first_id"))
+
+
+@operator
+def rule_scope_coverage(entities, detections):
+    """Every equipment on each rule day, with its detections or none. Days are dates of a calendar, so few whatever the tables hold."""
+    found = detections.groupBy(_c("targetRef").alias("source_id"), "rule_date").agg(F.count("*").alias("n"))
+    spine = entities.select("source_id").crossJoin(F.broadcast(detections.select("rule_date").distinct().limit(40_000)))
+    return spine.join(found, ["source_id", "rule_date"], "left").select("source_id", "rule_date", F.coalesce("n", F.lit(0)).cast("long").alias("detections"), F.when(_c("n").isNull(), "none").otherwise("attached").alias("queried"))
+
+
+@operator
+def entity_fan_out(virtual, entities):
+    """Metadata copies with where they are from."""
+    own = entities.select("source_id", "payload")
+    return virtual.join(own, "source_id").select("virtual_id", "payload", _c("source_id").alias("provenance"))

@@ -1,42 +1,123 @@
-"""Idempotent merges. Each gives what to add; base tables are never rewritten."""
+"""Idempotent merges against stored tables. Each gives what to add; base tables are never rewritten.
 
-from tagflow.sqlops import Operator
+There is no transactional table format here: what a merge gives is appended as one partition
+directory, and a repeated merge gives nothing new.
+"""
 
-merge_history = Operator(
-    """
-SELECT s.row_no, s.point_id, s.observed_at, s.val_num, CASE WHEN b.point_id IS NULL THEN 'insert' WHEN b.val_num = s.val_num THEN 'ignore' ELSE 'revision' END AS action
-FROM {staged} s LEFT JOIN {base} b ON s.point_id = b.point_id AND s.observed_at = b.observed_at""",
-    "What becomes of each staged sample: inserted, ignored as known, or kept as a revision beside the base.",
-)
-merge_history_reject = Operator(
-    "SELECT cast(observed_at AS date) AS batch_day, count(*) AS staged, count(*) FILTER (WHERE action = 'revision') = 0 AS accepted FROM {merged} GROUP BY cast(observed_at AS date)", "The strict policy: one conflict refuses the batch."
-)
-merge_metadata_revisions = Operator(
-    """
-SELECT c.source_id, c.site_ref, c.row_hash FROM (SELECT source_id, site_ref, @sha[concat(source_id, '|', site_ref, '|', payload)] AS row_hash FROM {current}) c
-@anti (SELECT source_id AS sid, @sha[concat(source_id, '|', site_ref, '|', payload)] AS h FROM {prior}) p ON c.source_id = p.sid AND c.row_hash = p.h""",
-    "Revisions not stored yet.",
-)
-merge_rule_revisions = Operator(
-    """
-SELECT detection_key, revision_hash, count(*) AS n FROM (
-  SELECT @sha[concat(targetRef, '|', ruleRef, '|', cast(rule_date AS string))] AS detection_key, @sha[concat(severity, '|', cast(priority AS string))] AS revision_hash FROM {detections}) d
-GROUP BY detection_key, revision_hash""",
-    "Distinct revisions of each detection; the key leaves the payload out.",
-)
-entity_changes = Operator(
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from tagflow.functions.normalize import detection_key, row_hash
+from tagflow.sqlops import operator
+
+_c = F.col
+POLICIES = ("reject", "append_revision")
+
+
+def _value_hash(df: DataFrame) -> DataFrame:
+    return df.withColumn("row_hash", row_hash(point_id=_c("point_id"), val_num=_c("val_num").cast("string")))
+
+
+@operator
+def merge_history(base, staged, policy="append_revision"):
+    """What becomes of each staged sample: insert (new key), ignore (same key and hash) or, on another hash, by policy.
+
+    ``append_revision`` keeps it as a revision beside the base, ``reject`` refuses the staged batch (a
+    day's samples) as a whole. Keys staged twice with one hash count once.
     """
-SELECT c.source_id, CASE WHEN p.source_id IS NULL THEN 'added' ELSE 'changed' END AS change, @sha[p.payload] AS previous_hash
-FROM {current} c LEFT JOIN {prior} p ON c.source_id = p.source_id WHERE p.source_id IS NULL OR p.payload <> c.payload""",
-    "Added and changed entities; unchanged ones are silent and nothing is deleted.",
-)
-upsert_entities = Operator(
-    "SELECT coalesce(c.source_id, p.source_id) AS source_id, coalesce(c.site_ref, p.site_ref) AS site_ref, coalesce(c.payload, p.payload) AS payload, c.source_id IS NOT NULL AS seen_now FROM {prior} p FULL JOIN {current} c ON p.source_id = c.source_id",
-    "Current state by key: new values win, others stay.",
-)
-shrink_guard = Operator("SELECT count(*) AS missing, count(*) = 0 AS ok FROM {prior} p @anti {current} c ON p.source_id = c.source_id", "A publication that lacks a prior key is refused.")
-merge_receipts = Operator(
-    "SELECT e.batch_id, CASE WHEN k.batch_id IS NULL THEN 'insert' WHEN k.receipts = e.receipts THEN 'same' ELSE 'mismatch' END AS action FROM {evidence} e LEFT JOIN (SELECT batch_id, 1 AS receipts FROM {evidence} WHERE raw_key IS NOT NULL) k ON e.batch_id = k.batch_id",
-    "Receipts to insert; a stored receipt must agree.",
-)
-batch_members = Operator("SELECT site_ref AS batch_id, source_id, cast(row_number() OVER (PARTITION BY site_ref ORDER BY source_id) - 1 AS bigint) AS position FROM {entities}", "Members of a batch by position.")
+    if policy not in POLICIES:
+        raise ValueError(f"policy is one of {POLICIES}")
+    key = ["point_id", "observed_at"]
+    new = _value_hash(staged.select("row_no", *key, "val_num")).dropDuplicates([*key, "row_hash"])
+    old = _value_hash(base.select(*key, "val_num")).select(*key, _c("row_hash").alias("stored"), F.lit(True).alias("known"))
+    both = new.join(old, key, "left")
+    action = F.when(_c("known").isNull(), "insert").when(_c("row_hash") == _c("stored"), "ignore").otherwise("revision")
+    told = both.withColumn("action", action)
+    if policy == "reject":
+        refused = told.where("action = 'revision'").select(F.to_date("observed_at").alias("day")).distinct()
+        told = told.withColumn("day", F.to_date("observed_at")).join(refused.withColumn("no", F.lit(True)), "day", "left").withColumn("action", F.when(_c("no"), "refused").otherwise(_c("action")))
+    return told.select("row_no", *key, "val_num", "row_hash", "action")
+
+
+@operator
+def history_revisions(merged, revisions):
+    """The revisions to append: those of the merge that are not stored yet."""
+    key = ["point_id", "observed_at", "row_hash"]
+    return merged.where("action = 'revision'").select(*key, "val_num").join(revisions.select(*key), key, "left_anti")
+
+
+@operator
+def merge_history_reject(base, staged):
+    """The strict policy by day: one conflict refuses the batch."""
+    told = merge_history(base=base, staged=staged, policy="reject")
+    return told.groupBy(F.to_date("observed_at").alias("batch_day")).agg(F.count("*").alias("staged"), (F.count_if(_c("action") == "refused") == 0).alias("accepted"))
+
+
+def _entity_hash(df: DataFrame) -> DataFrame:
+    return df.select("source_id", "site_ref", row_hash(source_id=_c("source_id"), site_ref=_c("site_ref"), payload=_c("payload")).alias("row_hash"))
+
+
+@operator
+def merge_metadata_revisions(current, prior):
+    """Entity revisions not stored yet; a null payload is a value like any other."""
+    return _entity_hash(current).distinct().join(_entity_hash(prior), ["source_id", "site_ref", "row_hash"], "left_anti")
+
+
+def rule_revisions(df: DataFrame, tenant: str = "t", project: str = "1001", site: str = "s", zone: str = "UTC") -> DataFrame:
+    key = detection_key(F.lit(tenant), F.lit(project), F.lit(site), _c("equipment_id"), _c("rule_id"), _c("source_date"), F.lit(zone))
+    return df.select("source_date", key.alias("detection_key"), row_hash(severity=_c("severity"), priority=_c("priority")).alias("revision_hash"))
+
+
+@operator
+def merge_rule_revisions(staged_revisions, stored_revisions):
+    """Revisions of detections not stored yet, each once; the key leaves the payload out."""
+    return rule_revisions(staged_revisions).distinct().join(rule_revisions(stored_revisions), ["source_date", "detection_key", "revision_hash"], "left_anti")
+
+
+@operator
+def entity_changes(prior, current):
+    """Added and changed entities, also from and to null; unchanged ones are silent and nothing is deleted."""
+    old = prior.select("source_id", _c("payload").alias("was"), F.lit(True).alias("known"))
+    told = current.join(old, "source_id", "left").where(_c("known").isNull() | ~_c("was").eqNullSafe(_c("payload")))
+    return told.select("source_id", F.when(_c("known").isNull(), "added").otherwise("changed").alias("change"), F.sha2("was", 256).alias("previous_hash"))
+
+
+@operator
+def upsert_entities(prior, current, run_id="run-now"):
+    """Current state by key: a new row wins as a whole, nulls too, others stay; ``last_seen`` names the run of new rows."""
+    old = prior.select("source_id", F.struct("site_ref", "payload").alias("old"))
+    new = current.select("source_id", F.struct("site_ref", "payload").alias("new"))
+    row = F.coalesce("new", "old")
+    return old.join(new, "source_id", "full").select("source_id", row["site_ref"].alias("site_ref"), row["payload"].alias("payload"), F.when(_c("new").isNotNull(), run_id).alias("last_seen"))
+
+
+@operator
+def shrink_guard(prior, current, prior_at="2024-01-02", current_at="2024-01-03"):
+    """By site: a publication that lacks a prior key, or is older than the newest published, is refused."""
+    gone = prior.select("site_ref", "source_id").join(current.select("source_id"), "source_id", "left_anti").groupBy("site_ref").agg(F.count("*").alias("missing"))
+    sites = prior.select("site_ref").distinct().join(gone, "site_ref", "left").fillna(0, ["missing"])
+    reason = F.when(F.lit(current_at) < F.lit(prior_at), "older").when(_c("missing") > 0, "shrinks").otherwise("")
+    return sites.select("site_ref", "missing", reason.alias("reason"), (reason == "").alias("ok"))
+
+
+@operator
+def merge_receipts(stored_receipts, new_receipts):
+    """Receipts to insert, those known already, and those that contradict the stored one, which is an error of the batch."""
+    old = stored_receipts.select("batch_key", _c("row_count").alias("n"), _c("checksum").alias("sum"), F.lit(True).alias("known"))
+    same = _c("row_count").eqNullSafe(_c("n")) & _c("checksum").eqNullSafe(_c("sum"))
+    return new_receipts.join(old, "batch_key", "left").select("batch_key", F.when(_c("known").isNull(), "insert").when(same, "same").otherwise("mismatch").alias("action"))
+
+
+def check_receipts(merged: DataFrame) -> DataFrame:
+    """``merge_receipts`` without the rows known already; a mismatch raises and names some batches."""
+    bad = [r.batch_key for r in merged.where("action = 'mismatch'").limit(5).collect()]
+    if bad:
+        raise ValueError(f"receipts contradict those stored, among others of {bad}")
+    return merged.where("action = 'insert'")
+
+
+@operator
+def batch_members(entities):
+    """Members of a batch by position, each once."""
+    at = F.row_number().over(Window.partitionBy("site_ref").orderBy("source_id")) - 1
+    return entities.select("site_ref", "source_id").distinct().select(_c("site_ref").alias("batch_id"), "source_id", at.cast("long").alias("position"))

@@ -1,34 +1,162 @@
 """Joins, set operations and recursion over lineage."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagflow.plans.planning import dealt_rank
-from tagflow.sqlops import Native, Operator
+from tagflow.sqlops import Operator, operator
 from tagflow.tables import new_path
 
+_c = F.col
 
-def pair_in_turn(entities: DataFrame) -> DataFrame:
+batch_evidence = Operator(
+    """
+SELECT j.batch_id, j.status, c.certified_at, a.raw_key, r.row_count, CASE WHEN c.batch_id IS NULL THEN 'no_certification' WHEN a.artifact_id IS NULL THEN 'no_raw' WHEN r.batch_key IS NULL THEN 'no_receipt' ELSE 'whole' END AS evidence
+FROM {jobs} j LEFT JOIN {certifications} c ON j.batch_id = c.batch_id LEFT JOIN {artifacts} a ON c.artifact_id = a.artifact_id LEFT JOIN {receipts} r ON c.batch_key = r.batch_key""",
+    "Batches with what evidence they have: certification, raw artifact, receipt.",
+)
+
+
+@operator
+def history_conflicts(base, staged, tenant="t", project="1001"):
+    """Staged samples of a stored key whose value differs from the stored one, nulls compared as values."""
+    key = ["tenant", "project", "point_id", "observed_at"]
+    named = lambda df, v: df.select(F.lit(tenant).alias("tenant"), F.lit(project).alias("project"), "point_id", "observed_at", _c("val_num").alias(v))
+    both = named(staged, "staged").join(named(base, "stored"), key)
+    return both.where(~_c("staged").eqNullSafe(_c("stored"))).select("point_id", "observed_at", "stored", "staged")
+
+
+lineage_roots = Operator("SELECT DISTINCT a.parent_id AS id FROM {lineage} a @anti {lineage} b ON a.parent_id = b.child_id", "Batches that are nobody's child.")
+lineage_leaves = Operator("SELECT DISTINCT a.child_id AS id FROM {lineage} a @anti {lineage} b ON a.child_id = b.parent_id", "Batches that are nobody's parent.")
+
+
+@operator
+def eligible_inventory(runs, jobs, certifications, completions):
+    """Runs whose metadata may serve as inventory: certified, at least one site complete, and no batch without certificate or completed site.
+
+    A batch that was split stands for its children. Gives (run_id, certified_after), the time of the last completion.
+    """
+    last = completions.groupBy("run_id").agg(F.max("completed_at").alias("certified_after"))
+    leaf = jobs.where("status <> 'split'").join(completions.select("run_id", "site_ref", F.lit(True).alias("done")), ["run_id", "site_ref"], "left")
+    bad = leaf.join(certifications.select("batch_id", F.lit(True).alias("cert")), "batch_id", "left").where("status <> 'certified' OR cert IS NULL OR done IS NULL")
+    return runs.where("status = 'certified'").join(last, "run_id").join(bad, "run_id", "left_anti").select("run_id", "certified_after")
+
+
+@operator
+def asof_inventory(dues, versions, ineligible, pins, age=72):
+    """The newest eligible version at most ``age`` hours older than each due time, the larger version on ties.
+
+    An earlier pin of a due time sticks; if its version is no longer eligible, or not of that time, that is a failure.
+    Versions and due times are merged in order within hours, so no due time meets all versions: an
+    hour's last version is carried to the hours after it.
+    """
+    good = versions.join(ineligible, "version", "left_anti").select(_c("certified_at").alias("at"), "version")
+    asked = dues.select(_c("due_at").alias("at"), "due_id")
+    both = good.unionByName(asked, allowMissingColumns=True).withColumn("hour", F.floor(F.unix_timestamp("at") / 3600))
+    # at equal times versions come before due times
+    so_far = Window.partitionBy("hour").orderBy("at", F.col("due_id").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    newest = F.max(F.when(_c("version").isNotNull(), F.struct("at", "version"))).over(so_far)
+    lasts = good.groupBy(F.floor(F.unix_timestamp("at") / 3600).alias("hour")).agg(F.max(F.struct("at", "version")).alias("last"))
+    carried = lasts.select("last", "hour", F.explode(F.sequence(F.lit(1), F.lit(age + 1))).alias("after")).select("last", (_c("hour") + _c("after")).alias("hour"))
+    carried = carried.groupBy("hour").agg(F.max("last").alias("last"))
+    found = both.withColumn("newest", newest).where("due_id IS NOT NULL").join(carried, "hour", "left")
+    pick = F.coalesce("newest", "last")
+    in_time = pick["at"] >= _c("at") - F.make_dt_interval(hours=F.lit(age))
+    chosen = found.select("due_id", _c("at").alias("due_at"), F.when(in_time, pick["version"]).alias("candidate"))
+    fixed = pins.select("due_id", _c("version").alias("pin")).join(good.select(_c("version").alias("pin"), _c("at").alias("pin_at")), "pin", "left")
+    own = chosen.join(fixed, "due_id", "left")
+    holds = (_c("pin_at") <= _c("due_at")) & (_c("pin_at") >= _c("due_at") - F.make_dt_interval(hours=F.lit(age)))
+    state = F.when(_c("pin").isNotNull(), F.when(F.coalesce(holds, F.lit(False)), "pinned").otherwise("pin_not_eligible")).when(_c("candidate").isNotNull(), "selected").otherwise("none_eligible")
+    version = F.when(state == "pinned", _c("pin")).when(state == "selected", _c("candidate"))
+    return own.select("due_id", "due_at", version.alias("version"), state.alias("state"))
+
+
+replay_admission = Operator(
+    """
+SELECT r.request_id, CASE WHEN g.approval_ref IS NULL OR g.expires_at <= cast('$now' AS timestamp_ntz) THEN 'no_active_grant' WHEN g.inventory <> r.inventory THEN 'other_scope'
+  WHEN g.grant_start > r.window_start OR g.grant_end < r.window_end THEN 'outside_window' WHEN g.max_jobs < r.jobs THEN 'too_many_jobs' WHEN g.expires_at < r.requested_at THEN 'expired' ELSE 'admitted' END AS verdict
+FROM {requests} r LEFT JOIN {approvals} g ON r.approval_ref = g.approval_ref""",
+    "Requests whose window lies inside their grant, within its job cap and before it expires.",
+    now="2024-01-12 00:00:00",
+)
+link_status = Operator(
+    "SELECT d.targetRef, CASE WHEN e.id IS NULL THEN 'unknown' ELSE 'known' END AS status, count(*) AS n FROM {detections} d LEFT JOIN (SELECT id FROM {equipment} WHERE outcome = 'accepted') e ON d.targetRef = e.id GROUP BY d.targetRef, CASE WHEN e.id IS NULL THEN 'unknown' ELSE 'known' END",
+    "Detections on known and unknown equipment.",
+)
+
+
+@operator
+def coverage_spine(points, windows):
+    """Every accepted point in every window; windows are those of one hour, so few."""
+    return points.where("outcome = 'accepted'").select(_c("id").alias("point_id")).crossJoin(F.broadcast(windows.limit(60))).select("point_id", "window_no")
+
+
+@operator
+def cyclic_join(entities):
     """Each site's entities paired in turn with all entities of one whole site, the first by name."""
     ranked = dealt_rank(entities.select("site_ref", "source_id"), "site_ref", F.substring("source_id", 1, 6), ["source_id"], "i")
     first = entities.agg(F.min("site_ref").alias("site_ref"))
-    template = ranked.join(F.broadcast(first), "site_ref").select(F.col("source_id").alias("copy_of"), "i")
+    template = ranked.join(F.broadcast(first), "site_ref").select(_c("source_id").alias("copy_of"), "i")
     n = entities.join(F.broadcast(first), "site_ref").agg(F.count("*").alias("n"))
-    turns = ranked.crossJoin(F.broadcast(n)).select("source_id", (F.col("i") % F.col("n")).alias("i"))
+    turns = ranked.crossJoin(F.broadcast(n)).select("source_id", (_c("i") % _c("n")).alias("i"))
     return turns.join(template, "i").select("source_id", "copy_of")
 
 
+@operator
+def snapshot_compare(prior, current):
+    """Two snapshots side by side by key and payload, nulls compared as values; a key on one side only differs."""
+    a = prior.select("source_id", _c("payload").alias("a"), F.lit(True).alias("in_a"))
+    b = current.select("source_id", _c("payload").alias("b"), F.lit(True).alias("in_b"))
+    same = _c("in_a").isNotNull() & _c("in_b").isNotNull() & _c("a").eqNullSafe(_c("b"))
+    return a.join(b, "source_id", "full").select("source_id", F.when(same, "MATCH").otherwise("DIFF").alias("verdict"))
+
+
+certified_batch_feed = Operator(
+    """
+SELECT o.publication_id, j.batch_id, j.run_id, j.site_ref, c.certified_at, a.raw_key, a.raw_checksum, r.batch_key, r.checksum AS sink_checksum, r.row_count
+FROM {outbox} o JOIN {jobs} j ON j.batch_id = o.batch_id JOIN {certifications} c ON c.batch_id = j.batch_id JOIN {artifacts} a ON a.artifact_id = c.artifact_id JOIN {receipts} r ON r.batch_key = c.batch_key WHERE j.status = 'certified'""",
+    "Certified batches with all their evidence, named stably.",
+)
+
+
+@operator
+def union_frames(samples, resend):
+    """Frames with differing columns, one above the other by name."""
+    return samples.unionByName(resend, allowMissingColumns=True).select("point_id", "observed_at", "val_num", "source_status", "row_no")
+
+
+missing_entities = Operator("SELECT source_id FROM {prior} EXCEPT SELECT source_id FROM {current}", "Prior entities that are gone.")
+common_ids = Operator("SELECT id FROM {points} WHERE outcome = 'accepted' INTERSECT SELECT point_id AS id FROM {history}", "Ids both requested and returned.")
+
+
+@operator
+def requested_and_returned(points, history):
+    """How many ids were requested and returned, requested only, returned only."""
+    a = points.where("outcome = 'accepted'").select("id").distinct().withColumn("a", F.lit(True))
+    b = history.select(_c("point_id").alias("id")).distinct().withColumn("b", F.lit(True))
+    side = F.when(_c("b").isNull(), "missing").when(_c("a").isNull(), "unexpected").otherwise("matched")
+    return a.join(b, "id", "full").groupBy(side.alias("side")).agg(F.count("*").alias("n"))
 
-def walk_levels(lineage: DataFrame) -> DataFrame:
-    """Root and depth of each batch, a level at a time; each level is written as a table and the next one joins it.
 
-    The loop is over levels, not rows. An acyclic lineage has no more levels than edges; a deeper walk is refused.
+@operator
+def set_equality(a, b):
+    """By site: whether two id sets are equal."""
+    sides = a.select("site_ref", "source_id", F.lit(1).alias("x")).distinct().unionByName(b.select("site_ref", "source_id", F.lit(2).alias("x")).distinct())
+    return sides.groupBy("site_ref", "source_id").agg(F.sum("x").alias("x")).groupBy("site_ref").agg(F.bool_and(_c("x") == 3).alias("equal"))
+
+
+@operator
+def lineage_depth(lineage):
+    """Root and depth of each batch of an acyclic lineage, a level at a time.
+
+    The loop is over levels, not rows; each level is written as a table and the next one joins it.
+    An acyclic lineage has no more levels than edges; a deeper walk is refused as a cycle.
     """
     spark, path = lineage.sparkSession, new_path(lineage.sparkSession, "lineage")
     kind = lineage.schema["parent_id"].dataType
-    edges = lineage.where("parent_id IS NOT NULL").select(F.col("parent_id").cast(kind).alias("id"), F.col("child_id").cast(kind).alias("child_id"))
-    roots = edges.select("id").join(edges.select(F.col("child_id").alias("id")), "id", "left_anti").distinct()
-    level, levels, most = roots.select("id", F.col("id").alias("root"), F.lit(0).alias("depth")), [], None
+    edges = lineage.where("parent_id IS NOT NULL").select(_c("parent_id").cast(kind).alias("id"), _c("child_id").cast(kind).alias("child_id"))
+    roots = edges.select("id").join(edges.select(_c("child_id").alias("id")), "id", "left_anti").distinct()
+    level, levels, most = roots.select("id", _c("id").alias("root"), F.lit(0).alias("depth")), [], None
     while True:
         at = f"{path}/level-{len(levels)}"
         level.write.option("compression", "zstd").parquet(at)
@@ -40,82 +168,15 @@ def walk_levels(lineage: DataFrame) -> DataFrame:
             most = most or edges.count()
             if len(levels) > most + 1:
                 raise ValueError("the lineage has a cycle")
-        level = level.join(edges, "id").select(F.col("child_id").alias("id"), "root", F.lit(len(levels)).alias("depth"))
+        level = level.join(edges, "id").select(_c("child_id").alias("id"), "root", F.lit(len(levels)).alias("depth"))
 
 
-batch_evidence = Operator(
-    "SELECT j.batch_id, j.status, e.raw_key, coalesce(e.receipts, 0) AS receipts FROM {jobs} j LEFT JOIN {evidence} e ON j.batch_id = e.batch_id", "Batches with what evidence they have."
-)
-history_conflicts = Operator(
-    "SELECT s.point_id, s.observed_at, b.val_num AS stored, s.val_num AS staged FROM {staged} s JOIN {base} b ON s.point_id = b.point_id AND s.observed_at = b.observed_at AND s.val_num <> b.val_num",
-    "Staged samples that differ from the stored one of the same key.",
-)
-lineage_roots = Operator("SELECT DISTINCT a.parent_id AS id FROM {lineage} a @anti {lineage} b ON a.parent_id = b.child_id", "Batches that are nobody's child.")
-lineage_leaves = Operator("SELECT DISTINCT a.child_id AS id FROM {lineage} a @anti {lineage} b ON a.child_id = b.parent_id", "Batches that are nobody's parent.")
-eligible_inventory = Operator(
-    "SELECT DISTINCT j.site_ref FROM {jobs} j @anti (SELECT site_ref FROM {jobs} WHERE status = 'quarantined') q ON j.site_ref = q.site_ref", "Sites without a quarantined batch."
-)
-asof_inventory = Operator(
-    """
-SELECT due_id, due_at, max(v.version) AS version FROM (
-  SELECT d.due_id, d.due_at, v.version, row_number() OVER (PARTITION BY d.due_id ORDER BY v.certified_at DESC, v.version DESC) AS k
-  FROM (SELECT *, cast(due_at AS date) AS day FROM {dues}) d
-  LEFT JOIN (SELECT *, cast(certified_at AS date) AS day FROM {versions} UNION ALL SELECT *, cast(certified_at + INTERVAL '$age' HOUR AS date) AS day FROM {versions}
-      WHERE cast(certified_at + INTERVAL '$age' HOUR AS date) <> cast(certified_at AS date)) v
-    ON d.day = v.day AND v.certified_at <= d.due_at AND v.certified_at >= d.due_at - INTERVAL '$age' HOUR) v WHERE k = 1 GROUP BY due_id, due_at""",
-    "The newest version at most $age hours older than a due time. Days are the equi-join key, so the range join is dealt out.",
-    age=1,
-)
-replay_admission = Operator(
-    """
-SELECT d.due_id, coalesce(d.due_at - INTERVAL '5' MINUTE >= g.grant_start AND d.due_at + INTERVAL '5' MINUTE <= g.grant_end, false) AS admitted
-FROM {dues} d LEFT JOIN {grants} g ON cast(d.due_at AS date) = g.grant_day""",
-    "Requests whose window lies inside the day's grant.",
-)
-link_status = Operator(
-    "SELECT d.targetRef, CASE WHEN e.id IS NULL THEN 'unknown' ELSE 'known' END AS status, count(*) AS n FROM {detections} d LEFT JOIN (SELECT id FROM {equipment} WHERE outcome = 'accepted') e ON d.targetRef = e.id GROUP BY d.targetRef, CASE WHEN e.id IS NULL THEN 'unknown' ELSE 'known' END",
-    "Detections on known and unknown equipment.",
-)
-coverage_spine = Operator("SELECT p.id AS point_id, w.window_no FROM {points} p CROSS JOIN {windows} w WHERE p.outcome = 'accepted'", "Every accepted point in every window; windows are few.")
-#: The SQL takes the template from the first rows only, which the plan does not; see README.
-cyclic_join = Native(
-    pair_in_turn,
-    """
-SELECT a.source_id, b.source_id AS copy_of
-FROM (SELECT source_id, i, n FROM (SELECT source_id, row_number() OVER (PARTITION BY site_ref ORDER BY source_id) - 1 AS i, site_ref FROM {entities}) e
-  CROSS JOIN (SELECT count(*) AS n FROM {entities} WHERE row_no < 100) c) a
-JOIN (SELECT source_id, row_number() OVER (ORDER BY source_id) - 1 AS i FROM {entities} WHERE row_no < 100) b ON a.i % a.n = b.i""",
-    "Each site's entities paired with the template entities (row_no below 100) in turn.",
-)
-snapshot_compare = Operator(
-    """
-SELECT coalesce(a.source_id, b.source_id) AS source_id, CASE WHEN a.payload IS NOT DISTINCT FROM b.payload THEN 'MATCH' ELSE 'DIFF' END AS verdict
-FROM {prior} a FULL JOIN {current} b ON a.source_id = b.source_id""",
-    "Two snapshots side by side.",
-)
-certified_batch_feed = Operator(
-    "SELECT @sha[concat('certified-job:', j.batch_id)] AS publication_id, j.batch_id, e.raw_key FROM {jobs} j JOIN {evidence} e ON j.batch_id = e.batch_id WHERE j.status = 'certified' AND e.raw_key IS NOT NULL AND e.receipts > 0",
-    "Certified batches with full evidence, named stably.",
-)
-union_frames = Operator("SELECT point_id, observed_at, val_num, source_status FROM {samples} UNION ALL SELECT point_id, observed_at, val_num, NULL AS source_status FROM {resend}", "Frames with differing columns, one above the other.")
-missing_entities = Operator("SELECT source_id FROM {prior} EXCEPT SELECT source_id FROM {current}", "Prior entities that are gone.")
-common_ids = Operator("SELECT id FROM {points} WHERE outcome = 'accepted' INTERSECT SELECT point_id AS id FROM {history}", "Ids both requested and returned.")
-set_equality = Operator(
-    "SELECT (SELECT count(*) FROM (SELECT source_id FROM {a} EXCEPT SELECT source_id FROM {b}) x) = 0 AND (SELECT count(*) FROM (SELECT source_id FROM {b} EXCEPT SELECT source_id FROM {a}) y) = 0 AS equal", "Whether two id sets are equal."
-)
-lineage_depth = Native(
-    walk_levels,
-    """
-WITH RECURSIVE walk(id, root, depth) AS (
-  SELECT DISTINCT parent_id, parent_id, 0 FROM {lineage} WHERE parent_id NOT IN (SELECT child_id FROM {lineage})
-  UNION ALL SELECT l.child_id, w.root, w.depth + 1 FROM walk w JOIN {lineage} l ON l.parent_id = w.id)
-SELECT id, root, depth FROM walk""",
-    "Root and depth of each batch; lineage is an acyclic forest.",
-)
 lineage_descendants = Operator("SELECT root, count(*) - 1 AS descendants, max(depth) AS deepest FROM {depths} GROUP BY root", "Size and depth of each root's tree.")
-leaf_completeness = Operator(
-    """
-SELECT d.root, count(*) AS leaves, count(*) FILTER (WHERE d.id % 11 <> 0) AS certified, count(*) = count(*) FILTER (WHERE d.id % 11 <> 0) AS complete
-FROM {depths} d @anti {lineage} l ON d.id = l.parent_id GROUP BY d.root""",
-    "A root is complete once all its leaves are certified.",
-)
+
+
+@operator
+def leaf_completeness(depths, lineage, status):
+    """A root is complete once all its leaves are certified."""
+    leaves = depths.join(lineage.select(_c("parent_id").alias("id")).distinct(), "id", "left_anti").join(status, "id", "left")
+    done = F.count_if(F.coalesce("status", F.lit("")) == "certified")
+    return leaves.groupBy("root").agg(F.count("*").alias("leaves"), done.alias("certified"), (done == F.count("*")).alias("complete"))

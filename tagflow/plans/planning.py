@@ -5,15 +5,71 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagflow.sqlops import Operator
+from tagflow.functions.normalize import row_hash
+from tagflow.sqlops import Operator, operator
+from tagflow.tables import materialize
 
-history_windows = Operator("SELECT due_id, @floor5[due_at] - INTERVAL '$lag' MINUTE - INTERVAL '5' MINUTE AS window_start, @floor5[due_at] - INTERVAL '$lag' MINUTE AS window_end FROM {dues}", "The five-minute window that ends $lag minutes before a due time.", lag=5)
-lookback_windows = Operator("SELECT due_id, k.window_no AS lookback, window_start - k.window_no * INTERVAL '5' MINUTE AS window_start FROM {windows} w CROSS JOIN {steps} k", "Each window and those before it.")
-rules_days = Operator("SELECT due_id, cast(cast(due_at - INTERVAL '6' HOUR AS date) - INTERVAL '1' DAY AS date) AS rule_day FROM {dues}", "The local day before a due time less settlement.")
-batch_ids = Operator("SELECT site_ref, batch_no, @sha[concat('history|', site_ref, '|', ids)] AS batch_id FROM {batches}", "Identities from the scope; planning again gives the same.")
-plan_guard = Operator("SELECT coalesce(s.site_ref, p.siteRef) AS site_ref, CASE WHEN p.siteRef IS NULL THEN 'missing' WHEN s.site_ref IS NULL THEN 'unapproved' ELSE 'ok' END AS verdict FROM {sites} s FULL JOIN (SELECT DISTINCT siteRef FROM {points} WHERE siteRef <> '') p ON s.site_ref = p.siteRef", "Approved sites against those in the inventory.")
-publication_id = Operator("SELECT batch_id, @sha[concat('certified-job:', batch_id)] AS publication_id FROM {jobs} WHERE status = 'certified'", "A stable name by certified batch.")
-replay_filter = Operator("SELECT due_id, due_at, CASE WHEN due_at < cast('$now' AS timestamp) - INTERVAL '$days' DAY THEN 'too_old' WHEN due_at > cast('$now' AS timestamp) THEN 'in_future' ELSE 'ok' END AS verdict FROM {dues}", "Requests by age and clock.", now="2024-01-25 00:00:00", days=10)
+_c = F.col
+
+
+@operator
+def history_windows(dues, minutes=5, lag=5):
+    """[due - lag - minutes, due - lag) of each due time; one off the grid of ``minutes`` is refused, not moved.
+
+    ``lag`` must be a multiple of ``minutes``. Gives due_id, window_start, window_end (null where refused), ok.
+    """
+    if minutes < 1 or 60 % minutes or lag % minutes:
+        raise ValueError("minutes must divide an hour, and lag must be a multiple of minutes")
+    on_grid = (F.minute("due_at") % minutes == 0) & (F.date_trunc("minute", "due_at").cast("timestamp_ntz") == _c("due_at"))
+    back = lambda m: F.when(on_grid, _c("due_at") - F.make_dt_interval(mins=F.lit(m)))
+    return dues.select("due_id", back(lag + minutes).alias("window_start"), back(lag).alias("window_end"), on_grid.alias("ok"))
+
+
+@operator
+def lookback_windows(windows, k=3, minutes=5):
+    """Each window and the ``k`` before it, at most 12."""
+    if not 0 <= k <= 12:
+        raise ValueError("a lookback is of at most 12 windows")
+    each = windows.where("ok").withColumn("lookback", F.explode(F.sequence(F.lit(0), F.lit(k))))
+    back = F.make_dt_interval(mins=_c("lookback") * minutes)
+    return each.select("due_id", "lookback", (_c("window_start") - back).alias("window_start"), (_c("window_end") - back).alias("window_end"))
+
+
+@operator
+def rules_days(dues, settlement_hours=6, zone="America/Chicago", lookback=2):
+    """The local day before (due time - settlement) in ``zone``, and ``lookback`` days before that."""
+    local = F.from_utc_timestamp((_c("due_at") - F.make_dt_interval(hours=F.lit(settlement_hours))).cast("timestamp"), zone)
+    each = dues.select("due_id", F.date_sub(local.cast("date"), 1).alias("day"), F.explode(F.sequence(F.lit(0), F.lit(lookback))).alias("lookback"))
+    return each.select("due_id", "lookback", F.date_sub("day", _c("lookback")).alias("rule_day"))
+
+
+@operator
+def batch_ids(batches, feed="history", window_start="2024-01-01T00:00:00Z"):
+    """Identities from the scope: the same plan gives the same, whatever the order of its rows."""
+    scope = {"feed": F.lit(feed), "site_ref": _c("site_ref"), "scope_ids": _c("ids"), "window_start": F.lit(window_start)}
+    return batches.select("site_ref", "batch_no", row_hash(**scope).alias("batch_id"))
+
+
+plan_guard = Operator(
+    "SELECT coalesce(s.site_ref, p.siteRef) AS site_ref, CASE WHEN p.siteRef IS NULL THEN 'missing' WHEN s.site_ref IS NULL THEN 'unapproved' WHEN p.foreign_rows > 0 THEN 'other_project' ELSE 'ok' END AS verdict FROM {sites} s FULL JOIN (SELECT siteRef, count(*) FILTER (WHERE fsk <> '1001' AND row_no % 2 = 0) AS foreign_rows FROM {points} WHERE siteRef <> '' AND siteRef <> 'site-07' GROUP BY siteRef) p ON s.site_ref = p.siteRef",
+    "Approved sites against those in the inventory, and rows of another project.",
+)
+publication_id = Operator("SELECT j.batch_id, @sha[concat('certified-job:', j.batch_id)] AS publication_id FROM {jobs} j @anti {children} c ON j.batch_id = c.parent_id WHERE status = 'certified'", "A stable name by certified leaf.")
+
+
+@operator
+def replay_filter(requests, now="2024-01-25 00:00:00", max_age_hours=240, skew_minutes=5, max_window_days=20, inventory="inv-1", max_jobs=60, zone="UTC"):
+    """Requests by the first rule they break: age, clock, age of the window, scope, whole local day (rules), job cap."""
+    at = F.lit(now).cast("timestamp_ntz")
+    day = F.to_date(F.from_utc_timestamp(_c("window_start").cast("timestamp"), zone))
+    start, end = local_day_window(day, zone)
+    whole = (_c("window_start").cast("timestamp") == start) & (_c("window_end").cast("timestamp") == end)
+    verdict = (
+        F.when(_c("requested_at") < at - F.make_dt_interval(hours=F.lit(max_age_hours)), "too_old").when(_c("requested_at") > at + F.make_dt_interval(mins=F.lit(skew_minutes)), "in_future")
+        .when(at - F.make_dt_interval(days=F.lit(max_window_days)) > _c("window_start"), "window_too_old").when(_c("inventory") != inventory, "other_scope")
+        .when((_c("feed") == "rules") & ~whole, "not_a_local_day").when(_c("jobs") > max_jobs, "too_many_jobs").otherwise("ok")
+    )
+    return requests.select("request_id", verdict.alias("verdict"))
 
 
 def local_day_window(day: Column, zone: str) -> tuple[Column, Column]:
@@ -51,12 +107,16 @@ def bisect_batches(batches: DataFrame, cap: int, max_depth: int = 12) -> DataFra
 
     ``batches`` are (batch_id, ids array<string>, counts array<bigint>), ids sorted. The loop is over
     levels, not rows. Result: batch_id, ids, depth, n_rows, state (ready, or quarantined where one id
-    alone is over the cap or the depth is used up).
+    alone is over the cap or the depth is used up). Each level is written, so that none is computed
+    twice, and the loop ends with the first empty one.
     """
     total = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x)
     level = batches.select("batch_id", "ids", "counts", F.lit(0).alias("depth"))
     done = None
     for depth in range(max_depth + 1):
+        level = materialize(level, f"bisect-{depth}")
+        if depth and level.isEmpty():
+            break
         sized = level.withColumn("n_rows", total("counts"))
         stuck = (F.size("ids") <= 1) | F.lit(depth == max_depth)
         ready = sized.where((F.col("n_rows") <= cap) | stuck).withColumn("state", F.when(F.col("n_rows") <= cap, "ready").otherwise("quarantined"))
@@ -66,3 +126,49 @@ def bisect_batches(batches: DataFrame, cap: int, max_depth: int = 12) -> DataFra
         parts = F.array(*(F.struct(F.concat("batch_id", F.lit(s)).alias("batch_id"), cut("ids", f).alias("ids"), cut("counts", f).alias("counts"), F.lit(depth + 1).alias("depth")) for s, f in (("/0", True), ("/1", False))))
         level = sized.where((F.col("n_rows") > cap) & ~stuck).select(F.inline(parts))
     return done.select("batch_id", F.array_join("ids", ",").alias("ids"), "depth", "n_rows", "state")
+
+
+def split_batches(batches: DataFrame, cap: int, max_depth: int = 12, min_seconds: int = 60, max_descendants: int = 1 << 14) -> DataFrame:
+    """Halve batches of more than ``cap`` rows: their ids while they have several, then their window at its midpoint.
+
+    ``batches`` are (batch_id, window_start, window_end, samples array<struct<id, at>>), a batch's
+    samples being bounded by its plan. Result: batch_id, depth, ids, window_start, window_end,
+    n_rows, state. ``ready`` batches are within the cap; ``quarantined`` are those of one id whose
+    window is shorter than twice ``min_seconds``, at ``max_depth``, or of a root whose halves would
+    be more than ``max_descendants``. The loop is over levels, not rows; each level is written, and
+    the loop ends with the first empty one.
+    """
+    root = F.split_part(_c("batch_id"), F.lit("/"), F.lit(1))
+    ids = F.array_sort(F.array_distinct(F.transform("samples", lambda x: x.id)))
+    level = batches.select("batch_id", "window_start", "window_end", "samples", ids.alias("ids"), F.lit(0).alias("depth"))
+    done, made = [], None
+    for depth in range(max_depth + 1):
+        level = materialize(level, f"split-{depth}")
+        if level.isEmpty():
+            break
+        sized = level.withColumn("n_rows", F.size("samples").cast("long"))
+        over = _c("n_rows") > cap
+        short = (F.size("ids") <= 1) & (F.unix_micros(_c("window_end").cast("timestamp")) - F.unix_micros(_c("window_start").cast("timestamp")) < 2_000_000 * min_seconds)
+        here = sized.where(over).groupBy(root.alias("root")).agg((2 * F.count("*")).alias("made"))
+        made = here if made is None else made.unionByName(here).groupBy("root").agg(F.sum("made").alias("made"))
+        made = materialize(made, f"descendants-{depth}")
+        full = made.where(_c("made") > max_descendants).select(_c("root"), F.lit(True).alias("full"))
+        told = sized.withColumn("root", root).join(full, "root", "left").withColumn("stuck", over & (short | F.coalesce("full", F.lit(False)) | F.lit(depth == max_depth)))
+        told = materialize(told, f"told-{depth}")
+        done.append(told.where(~(_c("n_rows") > cap) | _c("stuck")).withColumn("state", F.when(_c("stuck"), "quarantined").otherwise("ready")))
+        half = F.floor(F.size("ids") / 2).cast("int")
+        middle = F.timestamp_micros(F.floor((F.unix_micros(_c("window_start").cast("timestamp")) + F.unix_micros(_c("window_end").cast("timestamp"))) / 2)).cast("timestamp_ntz")
+        by_id = F.size("ids") > 1
+
+        def part(which: int):
+            own = F.when(by_id, F.slice("ids", 1, half) if which == 0 else F.slice("ids", half + 1, F.size("ids"))).otherwise(_c("ids"))
+            inside = lambda x: F.when(by_id, F.array_contains(own, x.id)).otherwise(x.at < _c("middle") if which == 0 else x.at >= _c("middle"))
+            start = _c("window_start") if which == 0 else F.when(by_id, _c("window_start")).otherwise(_c("middle"))
+            end = F.when(by_id, _c("window_end")).otherwise(_c("middle")) if which == 0 else _c("window_end")
+            return F.struct(F.concat("batch_id", F.lit(f"/{which}")).alias("batch_id"), start.alias("window_start"), end.alias("window_end"), F.filter("samples", inside).alias("samples"), own.alias("ids"), F.lit(depth + 1).alias("depth"))
+
+        level = told.where(~_c("stuck") & (_c("n_rows") > cap)).withColumn("middle", middle).select(F.inline(F.array(part(0), part(1))))
+    out = done[0] if done else level.withColumn("n_rows", F.lit(0).cast("long")).withColumn("state", F.lit(""))
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out.select("batch_id", "depth", "ids", "window_start", "window_end", "n_rows", "state")

@@ -1,41 +1,71 @@
-"""The registered queries, each an operator over the fixture views, and their SQL."""
+"""The registered queries, each an operator over the fixture views, and hand-written SQL for comparison."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagflow.fixtures import VIEWS
 from tagflow.functions import normalize
 from tagflow.operators import assess, coverage, fanout, merge, relate, rollup, state
+from tagflow.oracles import ORACLES
 from tagflow.plans import planning
-from tagflow.sqlops import Graph, Operator
+from tagflow.sqlops import Graph, Operator, flat, operator, with_views
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 GRAPH = Graph(TABLES)
+VIEW_BIND = {"c": "classify_equipment", "classified": "classify_points", "entities": "entities_v", "jobs": "jobs_v", "batch_seed": "batch_seed_v", "plan": "plan_v", "plan_rows": "plan_rows_v", "rule_plan": "rule_plan_v", "detections": "detections_v", "equipment": "equipment_v", "points": "points_v", "dues": "dues_v", "virtual_points": "replicate_points"}
 BIND = {
-    "equipment": "classify_equipment", "points": "classify_points", "sites": "sites_v", "history": "history_v", "jobs": "jobs_v", "evidence": "evidence_v", "lineage": "lineage_v",
-    "detections": "detections_v", "samples": "samples_v", "versions": "versions_v", "dues": "dues_v", "entities": "entities_v", "current": "entities_v", "prior": "prior_v",
-    "staged": "resend_v", "resend": "resend_v", "base": "base_v", "windows": "windows12_v", "copies": "windows12_v", "steps": "windows12_v", "grants": "grants_v", "depths": "lineage_depth",
-    "classified": "classify_points", "virtual": "replicate_equipment", "feed": "certified_batch_feed", "runs": "run_status", "checkpoints": "contiguous_through", "merged": "merge_history",
-    "pages": "pack_pages", "verdicts": "history_coverage", "split": "quarantine_split", "coverage": "hour_coverage", "requested": "classify_points", "returned": "history_v",
-    "inventory": "site_inventory", "batches": "assign_batches", "a": "entities_v", "b": "prior_v", "rows": "history_v", "c": "classify_equipment",
+    "equipment": "classify_equipment", "points": "classify_points", "classified": "classify_points", "sites": "sites_v", "history": "history_v", "jobs": "jobs_v", "children": "children_v", "certifications": "certifications_v", "artifacts": "artifacts_v",
+    "receipts": "receipts_v", "outbox": "outbox_v", "attempts": "attempts_v", "runs": "runs_v", "completions": "completions_v", "cursors": "cursors_v", "lineage": "lineage_v", "status": "lineage_status_v", "depths": "lineage_depth",
+    "detections": "detections_v", "found": "found_v", "samples": "samples_v", "versions": "versions_v", "ineligible": "ineligible_v", "pins": "pins_v", "dues": "dues_v", "requests": "requests_v", "approvals": "approvals_v",
+    "entities": "entities_v", "current": "entities_v", "prior": "prior_v", "a": "entities_v", "b": "prior_v", "exclusions": "exclusions_v", "staged": "resend_v", "resend": "resend_v", "base": "base_v", "merged": "merge_history", "revisions": "kept_revisions",
+    "stored_receipts": "receipts_v", "new_receipts": "new_receipts_v", "staged_revisions": "staged_revisions_v", "stored_revisions": "stored_revisions_v", "windows": "windows12_v", "feed": "certified_batch_feed", "statuses": "run_status",
+    "plan": "history_plan", "pages": "history_pages", "columns": "grid_columns_v", "rows": "landed_rows_v", "verdicts": "history_coverage", "columns_ok": "history_columns", "split": "quarantine_split", "requested": "classify_points", "returned": "history_v",
+    "tagged": "tagged_v", "json": "json_v", "stamps": "stamps_v", "real_equipment": "real_equipment_v", "real_points": "real_points_v", "virtual": "replicate_equipment", "virtual_points": "replicate_points", "asked": "asked_v", "chain": "chain_v", "coverage": "hour_coverage", "inventory": "site_inventory", "batches": "assign_batches",
+}
+#: Where an operator's input is another than by BIND.
+SPECIAL = {
+    "classify_equipment": {"equipment": "equipment_v"}, "classify_points": {"points": "points_v"}, "export_crossref": {"equipment": "equipment_v", "points": "points_v"}, "first_occurrence": {"points": "points_v"}, "lead_columns": {"points": "points_v"}, "plan_guard": {"points": "points_v"},
+    "rules_coverage": {"plan": "rule_days", "pages": "rule_pages"}, "rules_rows": {"plan": "rule_days"}, "entity_links": {"entities": "linked_v"}, "entity_shape": {"entities": "entity_rows_v"}, "ref_lists": {"json": "ref_lists_v"}, "wide_to_long": {"pages": "map_pages"},
+    "history_windows": {"dues": "grid_dues_v"}, "lookback_windows": {"windows": "history_windows"},
+}
+
+
+def _lists(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({n: F.split(n, ",") for n in names})
+
+
+#: Views as the operators take them: lists as arrays, pages as maps. No queries of their own.
+SHAPES = {
+    "history_plan": operator(lambda plan_v: _lists(plan_v, "scope")),
+    "history_pages": operator(lambda receipt_v: _lists(receipt_v, "requested", "completed")),
+    "rule_days": operator(lambda rule_plan_v: _lists(rule_plan_v, "scope")),
+    "rule_pages": operator(lambda rule_receipt_v: _lists(rule_receipt_v, "requested", "completed")),
+    "kept_revisions": operator(lambda merge_history: merge_history.where("action = 'revision' AND row_no % 2 = 0")),
+    "map_pages": operator(
+        lambda plan_rows_v: plan_rows_v.groupBy("batch_id", F.col("observed_at").alias("ts"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("point_id", F.when(F.col("value_kind") != "error", F.col("value_kind"))))).alias("cells"))
+        .groupBy("batch_id").agg(F.collect_list(F.struct("ts", "cells")).alias("rows"))
+    ),
 }
-RAW = {"equipment": "equipment_v", "points": "points_v"}
-#: Operators over rows as exported rather than as classified.
-OVER_RAW = ("classify_equipment", "export_crossref", "first_occurrence", "normalise_refs", "historized_flags", "lead_columns", "plan_guard")
-SPECIAL = {"classify_points": {"points": "points_v"}, "fan_out_history": {"virtual": "replicate_points"}, "lookback_windows": {"windows": "history_windows"}}
 
 for _name, _view in VIEWS.items():
-    GRAPH.add(_name, _view, **{k: BIND[k] for k in _view.inputs() if k in BIND})
+    GRAPH.add(_name, _view, **{k: VIEW_BIND[k] for k in _view.inputs() if k in VIEW_BIND})
+for _name, _op in SHAPES.items():
+    GRAPH.add(_name, _op)
+OPERATORS: list[str] = []
 for _module in (assess, coverage, relate, rollup, merge, state, fanout, normalize, planning):
-    for _name, _op in vars(_module).items():
-        if isinstance(_op, Operator):
-            GRAPH.add(_name, _op, **{**BIND, **(RAW if _name in OVER_RAW else {}), **SPECIAL.get(_name, {})})
+    for _name, _op in list(vars(_module).items()):
+        if isinstance(_op, Operator) and _name not in OPERATORS:
+            OPERATORS.append(_name)
+            GRAPH.add(_name, _op, **{**BIND, **SPECIAL.get(_name, {})})
 
 
 def _query(name: str):
-    return lambda spark, sf_dir: GRAPH.frame(spark, sf_dir, name)
+    return lambda spark, sf_dir: flat(GRAPH.frame(spark, sf_dir, name))
 
 
 def export_assessment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +80,13 @@ def bisect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planning.bisect_batches(planning.bounded_batches(counts, samples.count()), cap=60)
 
 
+def split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over-size batches of 64 points, split by ids and then by window."""
+    seed = GRAPH.frame(spark, sf_dir, "split_seed_v")
+    batches = seed.groupBy("batch_id", "window_start", "window_end").agg(F.collect_list(F.struct("id", F.col("seen_at").alias("at"))).alias("samples"))
+    return flat(planning.split_batches(batches, cap=3, min_seconds=400 * 86_400))
+
+
 def local_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours of each local day: 23 or 25 when the clock changes."""
     days = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_shipdate").cast("date").alias("day")).distinct()
@@ -57,10 +94,7 @@ def local_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.select("day", ((F.unix_timestamp(b) - F.unix_timestamp(a)) / 3600).cast("bigint").alias("hours"))
 
 
-QUERIES = {name: _query(name) for name in GRAPH.nodes if name not in VIEWS}
-QUERIES |= {"export_assessment": export_assessment, "bisect_batches": bisect, "local_day_window": local_days}
-ORACLE = {name: GRAPH.sql(name) for name in GRAPH.nodes if name not in VIEWS}
-ORACLE["export_assessment"] = GRAPH.sql("site_summary")
-ORACLE["local_day_window"] = """
-SELECT day, cast((epoch(timezone('America/Chicago', cast(day + 1 AS timestamp))) - epoch(timezone('America/Chicago', cast(day AS timestamp)))) / 3600 AS bigint) AS hours
-FROM (SELECT DISTINCT cast(l_shipdate AS date) AS day FROM lineitem) d"""
+QUERIES = {name: _query(name) for name in OPERATORS}
+QUERIES |= {"export_assessment": export_assessment, "bisect_batches": bisect, "split_batches": split, "local_day_window": local_days}
+_KNOWN = {name: re.sub(r"\{(\w+)\}", lambda m: VIEW_BIND.get(m[1], m[1]), view.duck()) for name, view in VIEWS.items()} | ORACLES
+ORACLE = {name: with_views(sql, {k: v for k, v in _KNOWN.items() if k != name}, TABLES) for name, sql in ORACLES.items()}

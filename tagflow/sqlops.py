@@ -1,16 +1,20 @@
-"""Operators whose plan is one SQL statement over named DataFrames.
+"""Operators over named DataFrames, and how queries bind them to tables.
 
-An ``Operator`` is called with DataFrames and gives a lazy DataFrame; Catalyst sees one plan over
-its inputs. ``$name`` marks a parameter. Four marks stand for what Spark and other engines spell
-differently: ``@sha[x]`` (SHA-256 in hex), ``@list[x|order]`` (comma-joined text in an order),
-``@floor5[ts]`` (start of the five-minute window) and ``@anti`` (an anti join).
+An ``Operator`` is one SQL statement: ``{name}`` is an input, ``$name`` a parameter. ``operator``
+makes one of a function: its arguments without a default are inputs, the others parameters. Called
+with DataFrames by name, either gives a lazy DataFrame, so Catalyst sees one plan. Marks stand for
+what Spark and other engines spell differently in the views that both read: ``@sha[x]`` (SHA-256 in
+hex), ``@list[x|order]`` (comma-joined text in an order), ``@floor5[ts]`` and ``@anti``.
 """
 
 from __future__ import annotations
 
+import inspect
 import re
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SPARK = {
     "anti": "LEFT ANTI JOIN",
@@ -25,6 +29,8 @@ def render(sql: str, dialect: dict[str, str]) -> str:
     sql = re.sub(r"@list\[([^\]|]*)\|([^\]]*)\]", dialect["list"], sql)
     sql = sql.replace("@anti", dialect["anti"])
     sql = re.sub(r"@floor5\[([^\]]*)\]", dialect["floor5"], sql)
+    if dialect is _DUCK:
+        sql = sql.replace("timestamp_ntz", "timestamp")
     return re.sub(r"@sha\[([^\]]*)\]", dialect["sha"], sql)
 
 
@@ -42,18 +48,39 @@ class Operator:
     def __call__(self, **given) -> DataFrame:
         frames = {k: given[k] for k in self.inputs()}
         spark = next(iter(frames.values())).sparkSession
-        return spark.sql(render(self.text(**given), _SPARK), **frames)
+        parts = re.split(r"(\{\w+\})", self.text(**given))  # braces around anything but an input are text
+        text = "".join(x if k % 2 else x.replace("{", "{{").replace("}", "}}") for k, x in enumerate(parts))
+        return spark.sql(render(text, _SPARK), **frames)
 
+    def duck(self) -> str:
+        """The statement for DuckDB, its inputs by name; for views that both engines read."""
+        return re.sub(r"\{(\w+)\}", lambda m: f"{{{m[1]}}}", render(self.text(), _DUCK))
 
-class Native(Operator):
-    """An operator whose plan is built by ``plan(inputs, params)``; its SQL is only for comparison."""
 
-    def __init__(self, plan, sql: str, doc: str = "", **params):
-        super().__init__(sql, doc, **params)
-        self.plan = plan
+class Plan(Operator):
+    """An operator whose plan a function builds."""
+
+    def __init__(self, plan):
+        self.plan, self.__doc__ = plan, plan.__doc__
+        given = inspect.signature(plan).parameters
+        self.names = [k for k, p in given.items() if p.default is p.empty]
+        self.params = {k: p.default for k, p in given.items() if p.default is not p.empty}
+
+    def inputs(self) -> list[str]:
+        return self.names
 
     def __call__(self, **given) -> DataFrame:
-        return self.plan(**{k: given[k] for k in self.inputs()}, **{k: given.get(k, v) for k, v in self.params.items()})
+        return self.plan(**{k: given[k] for k in self.names}, **{k: given.get(k, v) for k, v in self.params.items()})
+
+
+def operator(plan) -> Plan:
+    return Plan(plan)
+
+
+def flat(df: DataFrame) -> DataFrame:
+    """Lists of texts as comma-joined text, for results that are compared by value."""
+    joined = {f.name: F.array_join(F.col(f.name), ",") for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)}
+    return df.withColumns(joined) if joined else df
 
 
 class Graph:
@@ -63,25 +90,32 @@ class Graph:
         self.tables, self.nodes = tables, {}
 
     def add(self, name: str, op: Operator, /, **bind) -> None:
-        self.nodes[name] = (op, {k: bind.get(k, k) for k in op.inputs()}, {k: v for k, v in bind.items() if k in op.params})
-
-    def frame(self, spark, sf_dir: str, name: str) -> DataFrame:
-        if name in self.tables:
-            return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        op, bind, params = self.nodes[name]
-        return op(**{k: self.frame(spark, sf_dir, v) for k, v in bind.items()}, **params)
-
-    def sql(self, name: str) -> str:
-        parts: dict[str, str] = {}
-
-        def need(n: str) -> None:
-            if n in self.tables or n in parts:
-                return
-            op, bind, params = self.nodes[n]
-            for v in bind.values():
-                need(v)
-            parts[n] = re.sub(r"\{(\w+)\}", lambda m: bind[m[1]], render(op.text(**params), _DUCK))
-
-        need(name)
-        head = ",\n".join(f"{n} AS ({q})" for n, q in parts.items())
-        return f"WITH RECURSIVE {head}\nSELECT * FROM {name}"
+        self.nodes[name] = (op, {k: bind.get(k, k) for k in op.inputs()})
+
+    def frame(self, spark, sf_dir: str, name: str, made: dict | None = None) -> DataFrame:
+        """The node's DataFrame; a node that is needed twice is one frame, so that its plan's parts can be reused."""
+        made = {} if made is None else made
+        if name not in made:
+            if name in self.tables:
+                made[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+            else:
+                op, bind = self.nodes[name]
+                made[name] = op(**{k: self.frame(spark, sf_dir, v, made) for k, v in bind.items()})
+        return made[name]
+
+
+def with_views(sql: str, known: dict[str, str], tables: tuple[str, ...]) -> str:
+    """``sql`` after CTEs of all that it names of ``known`` (name to SQL), and of all that those name."""
+    parts: dict[str, str] = {}
+
+    def need(text: str, but: str = "") -> None:
+        for n in re.findall(r"\b\w+\b", text):
+            if n in known and n != but and n not in parts and n not in tables:
+                need(known[n], n)
+                parts[n] = known[n]
+
+    need(sql)
+    if not parts:
+        return sql
+    head = ",\n".join(f"{n} AS ({q})" for n, q in parts.items())
+    return f"WITH RECURSIVE {head}\n" + (", " + sql.strip()[4:].strip() if sql.strip().startswith("WITH ") else "\n" + sql)

@@ -33,6 +33,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_unused_shuffles(spark: SparkSession) -> None:
+    """Have Spark drop the files of shuffles that nothing refers to any more, now rather than at its next collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def materialize(df: DataFrame, label: str, drop_shuffles: bool = False) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared folder and read it back.
 
@@ -43,6 +49,5 @@ def materialize(df: DataFrame, label: str, drop_shuffles: bool = False) -> DataF
     df.write.option("compression", "zstd").parquet(path)
     if drop_shuffles:
         del df
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
+        drop_unused_shuffles(spark)
     return spark.read.schema(schema).parquet(path)

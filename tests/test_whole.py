@@ -50,20 +50,16 @@ def test_bounded_batches_as_by_brute_force(spark):
     assert Counter(got) == Counter(y for b in dealt for y in halve(b))
 
 
-def test_large_days_are_cut_and_not_refused(spark):
+def test_batches_are_bounded_and_faults_are_per_batch(spark):
     from tagflow.operators import coverage
 
-    history = spark.range(1000).selectExpr("id AS row_no", "concat('p-', id % 50) AS point_id", "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id div 50) AS observed_at", "if(id % 50 = 1, 'na', 'num') AS value_kind")
-    pages = coverage.pack_pages(history=history, max_rows=64)
-    verdicts = coverage.history_coverage(pages=pages, history=history, max_rows=64)
-    sizes = [r.returned_rows for r in pages.collect()]
-    assert max(sizes) <= 64 and sum(sizes) == 1000
-    assert {r.reason for r in verdicts.collect()} <= {"", "truncated"}
-    split = coverage.quarantine_split(rows=history, verdicts=verdicts, max_rows=64)
-    assert split.count() == 1000 and split.where("ok").count() > 0
-    twice = history.union(history.where("row_no = 63"))
-    bad = coverage.history_coverage(pages=coverage.pack_pages(history=twice, max_rows=64), history=twice, max_rows=64)
-    assert bad.where("reason = 'row_count'").count() == 1
+    plan = registry.GRAPH.frame(spark, DATA, "history_plan")
+    assert plan.selectExpr("max(size(scope)) AS n").first().n <= 8
+    verdicts = registry.GRAPH.frame(spark, DATA, "history_coverage")
+    rows = registry.GRAPH.frame(spark, DATA, "landed_rows_v")
+    split = coverage.quarantine_split(rows=rows, verdicts=verdicts)
+    assert split.count() == rows.count() and {r.ok for r in split.select("ok").distinct().collect()} == {True, False}
+    assert coverage.history_rows(plan=plan, rows=rows, max_observations=1).where("reason = 'observation_cap'").count() > 0
 
 
 def test_cyclic_join_uses_a_whole_site(spark):
