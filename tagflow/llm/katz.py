@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagflow.llm.common import fold, materialize, new_path, table, text_of
+from tagflow.tables import drop_unused_shuffles
 
 K_GT = 5
 EPSILON = 1e-4
@@ -301,6 +302,8 @@ def train(docs: DataFrame, text_col: str = "text", folder: str | None = None) ->
     count = lambda bucket, packed: _count(bucket, packed, hot_c)
     counted = dealt.mapInArrow(lambda batches: _by_bucket(batches, count), NGRAMS)
     counted.write.partitionBy("order", "bucket").options(**zstd).parquet(f"{folder}/ngrams")
+    del dealt, counted
+    drop_unused_shuffles(spark)
 
     pairs = spark.read.schema(NGRAMS).parquet(f"{folder}/ngrams").where("order = 2")
     seen = {r.r: r.n for r in pairs.where(F.col("c") <= K_GT + 1).groupBy(F.col("c").alias("r")).agg(F.count("*").alias("n")).collect()}  # at most six rows
@@ -311,6 +314,8 @@ def train(docs: DataFrame, text_col: str = "text", folder: str | None = None) ->
     n_parts = 1 + n_buckets // 16
     weights = history.select("h", "total", weight.alias("weight"), F.pmod(F.xxhash64("h"), F.lit(n_parts)).cast("int").alias("bucket"))
     weights.repartition(n_parts, "bucket").write.partitionBy("bucket").options(**zstd).parquet(f"{folder}/weights")
+    del history, weights
+    drop_unused_shuffles(spark)
     first = spark.read.parquet(f"{folder}/weights").where(F.col("h") == START).select("total").first() if seen or uni["N"] else None
     meta = uni | {"d2": d, "starts": first.total if first else 0, "n_buckets": n_buckets, "end": int(_Ids(words)[END])}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.parquet(f"{folder}/meta")
