@@ -87,8 +87,8 @@ link_status = Operator(
 
 @operator
 def coverage_spine(points, windows):
-    """Every accepted point in every window; windows are those of one hour, so few."""
-    return points.where("outcome = 'accepted'").select(_c("id").alias("point_id")).crossJoin(F.broadcast(windows.limit(60))).select("point_id", "window_no")
+    """Every accepted point in every window. Windows are the twelve of an hour, so they are broadcast."""
+    return points.where("outcome = 'accepted'").select(_c("id").alias("point_id")).crossJoin(F.broadcast(windows)).select("point_id", "window_no")
 
 
 @operator

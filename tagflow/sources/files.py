@@ -6,20 +6,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagflow.tables import materialize
 
-def read_entity_export(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
-    """CSV with a header, all strings; a byte-order mark is tolerated, a missing or repeated column is not."""
+
+def read_entity_export(spark: SparkSession, path: str, required: list[str], max_bytes: int | None = None, max_rows: int | None = None) -> DataFrame:
+    """CSV with a header, all strings; a byte-order mark is tolerated.
+
+    Refused are a missing or repeated column, a row with more or fewer cells than the header, and
+    files over ``max_bytes`` or ``max_rows``.
+    """
     head = spark.read.text(path).limit(1).first()
-    names = [x.strip().strip('"') for x in (head[0] if head else "").lstrip("﻿").split(",")]
+    names = [x.strip().strip('"') for x in (head[0] if head else "").lstrip("\ufeff").split(",")]
     missing = [c for c in required if c not in names]
     if missing or len(set(names)) < len(names):
         raise ValueError(f"bad header: missing {missing}, columns {names}")
+    if max_bytes is not None and (spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0) > max_bytes:
+        raise ValueError(f"{path} is over {max_bytes} bytes")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField("_corrupt", T.StringType())])
-    return spark.read.csv(path, header=True, schema=schema, enforceSchema=True, columnNameOfCorruptRecord="_corrupt", mode="PERMISSIVE")
+    rows = spark.read.csv(path, header=True, schema=schema, enforceSchema=True, columnNameOfCorruptRecord="_corrupt", mode="PERMISSIVE")
+    bad = rows.where("_corrupt IS NOT NULL").limit(3).collect()
+    if bad:
+        raise ValueError(f"rows whose cells differ from the header, among others {[r['_corrupt'] for r in bad]}")
+    rows = rows.drop("_corrupt")
+    if max_rows is not None and rows.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"{path} has over {max_rows} rows")
+    return rows
 
 
-def read_export_set(spark: SparkSession, folder: str, required: dict[str, list[str]]) -> dict[str, DataFrame]:
-    return {kind: read_entity_export(spark, f"{folder}/{kind}.csv", cols) for kind, cols in required.items()}
+def read_export_set(spark: SparkSession, folder: str, required: dict[str, list[str]], **caps: int) -> dict[str, DataFrame]:
+    """The exports ``<kind>.csv`` of a folder, each with its required columns."""
+    return {kind: read_entity_export(spark, f"{folder}/{kind}.csv", cols, **caps) for kind, cols in required.items()}
 
 
 PAGE = "meta variant, cols array<struct<name:string,meta:variant>>, rows array<variant>"
@@ -83,26 +99,119 @@ def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "length", F.sha2("content", 256).alias("sha256"), (F.substring(F.col("content"), -1, 1) == F.lit(b"\n")).alias("ends_in_newline"))
 
 
+def verify_files(spark: SparkSession, path: str, receipts: DataFrame) -> DataFrame:
+    """(file, verdict) of landed files against receipts (file, sha256, length): ok, missing, unexpected, length, sha256, or
+    no_newline where JSON lines don't end in one."""
+    found = file_fingerprints(spark, path).withColumn("file", F.element_at(F.split("path", "/"), -1))
+    both = found.join(receipts.select("file", F.col("sha256").alias("want"), F.col("length").alias("size")), "file", "full")
+    verdict = (
+        F.when(F.col("path").isNull(), "missing").when(F.col("want").isNull(), "unexpected").when(F.col("length") != F.col("size"), "length").when(F.col("sha256") != F.col("want"), "sha256")
+        .when(F.col("file").endswith(".jsonl") & ~F.col("ends_in_newline"), "no_newline").otherwise("ok")
+    )
+    return both.select("file", verdict.alias("verdict"))
+
+
 def read_certified_jsonl(spark: SparkSession, path: str, schema: str, receipts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, batches whose count differs from the receipt's)."""
+    """(rows of the batches whose count is the receipt's, the other batches); a bad batch gives no rows."""
     rows = spark.read.schema(schema + ", batch_key string").json(path)
     counts = rows.groupBy("batch_key").agg(F.count("*").alias("n"))
-    return rows, receipts.join(counts, "batch_key", "full").where(~F.col("n").eqNullSafe(F.col("row_count")))
+    bad = receipts.join(counts, "batch_key", "full").where(~F.col("n").eqNullSafe(F.col("row_count")))
+    return rows.join(bad.select("batch_key"), "batch_key", "left_anti"), bad
 
 
-def read_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """(version, site_ref, kind, id) of inventory snapshots."""
-    raw = spark.read.format("binaryFile").load(path).select(F.decode("content", "UTF-8").alias("t"))
-    shape = "struct<version:string,sites:map<string,struct<equipment_ids:array<string>,point_ids:array<string>,historized_point_ids:array<string>>>>"
-    sites = raw.select(F.from_json("t", shape).alias("v")).select("v.version", F.explode("v.sites").alias("site_ref", "s"))
-    kinds = F.array(*(F.struct(F.lit(k).alias("kind"), F.col(f"s.{k}_ids").alias("ids")) for k in ("equipment", "point", "historized_point")))
-    return sites.select("version", "site_ref", F.inline(kinds)).select("version", "site_ref", "kind", F.explode("ids").alias("id"))
+SITES = "struct<version:string,tenant_id:string,project_id:string,sites:map<string,struct<equipment_ids:array<string>,point_ids:array<string>,historized_point_ids:array<string>>>>"
 
 
-def write_certified_jsonl(rows: DataFrame, key: str, path: str) -> DataFrame:
-    """JSON lines by batch; refuses an existing path. Returns the manifest (batch, rows)."""
-    rows.withColumn("batch_key", F.col(key)).write.mode("errorifexists").partitionBy("batch_key").json(path)
-    return rows.groupBy(F.col(key).alias("batch_key")).agg(F.count("*").alias("row_count"))
+def read_inventory(spark: SparkSession, path: str, tenant: str | None = None, project: str | None = None, sha256: str | None = None, sites: set[str] | None = None) -> DataFrame:
+    """(version, site_ref, kind, id) of an inventory snapshot; what is given of identity, checksum and sites must agree."""
+    raw = spark.read.format("binaryFile").load(path).select(F.sha2("content", 256).alias("sha256"), F.from_json(F.decode("content", "UTF-8"), SITES).alias("v"))
+    told = raw.select("sha256", "v.version", "v.tenant_id", "v.project_id", F.map_keys("v.sites").alias("sites")).collect()  # a row a snapshot
+    for r in told:
+        wrong = [k for k, want, got in (("checksum", sha256, r.sha256), ("tenant", tenant, r.tenant_id), ("project", project, r.project_id)) if want is not None and want != got]
+        if r.version is None or wrong or (sites is not None and set(r.sites or ()) != sites):
+            raise ValueError(f"inventory {path} differs from what was approved: {wrong or 'sites'}")
+    each = raw.select("v.version", F.explode("v.sites").alias("site_ref", "s"))
+    kinds = F.array(*(F.struct(F.lit(k).alias("kind"), F.col(f"s.{k}_ids").alias("ids")) for k in ("equipment", "point", "historized_point")))
+    return each.select("version", "site_ref", F.inline(kinds)).select("version", "site_ref", "kind", F.explode("ids").alias("id"))
+
+
+def _by_site(inventory: DataFrame) -> DataFrame:
+    """(site_ref, kind, ids, hash) of (site_ref, kind, id) rows, ids sorted and each once."""
+    lists = inventory.select("site_ref", "kind", "id").distinct().groupBy("site_ref", "kind").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    return lists.withColumn("hash", F.sha2(F.array_join("ids", "\n"), 256))
+
+
+def _version(sites: DataFrame) -> str:
+    line = F.concat_ws("=", "site_ref", "kind", "hash")
+    return sites.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256)).first()[0]  # a line a site and kind
+
+
+def write_inventory(inventory: DataFrame, root: str, tenant: str, project: str, source_run: str) -> str:
+    """Write (site_ref, kind, id) rows below a path that names their content, and return the path.
+
+    A snapshot is never changed: the same content has the same path and is not written again.
+    """
+    sites = materialize(_by_site(inventory), "inventory")
+    path = f"{root}/inventory/{tenant}/{project}/{source_run}/{_version(sites)}"
+    if not _complete(sites.sparkSession, path):
+        sites.write.mode("overwrite").json(path)
+    return path
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` was finished."""
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
+def read_inventory_version(spark: SparkSession, path: str) -> DataFrame:
+    """(site_ref, kind, id) of what ``write_inventory`` wrote; content that the path does not name is refused."""
+    sites = spark.read.schema("site_ref string, kind string, ids array<string>, hash string").json(path)
+    own = sites.withColumn("hash", F.sha2(F.array_join("ids", "\n"), 256))
+    if _version(own) != path.rstrip("/").rsplit("/", 1)[-1]:
+        raise ValueError(f"{path} does not hold the content that it names")
+    return own.select("site_ref", "kind", F.explode("ids").alias("id"))
+
+
+def write_certified_jsonl(rows: DataFrame, key: str, path: str, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """JSON lines by batch; refuses an existing path and batches over a cap, before anything is written.
+
+    Returns the manifest: batch_key, row_count, bytes (line ends included) and checksum, the SHA-256
+    of the sorted hashes of the lines. The input is evaluated once.
+    """
+    own = materialize(rows.withColumn("batch_key", F.col(key)), "certified")
+    line = F.to_json(F.struct(*rows.columns))
+    hashed = own.select("batch_key", F.sha2(line, 256).alias("h"), (F.octet_length(line) + 1).alias("size"))
+    sizes = hashed.groupBy("batch_key").agg(F.count("*").alias("row_count"), F.sum("size").alias("bytes"))
+    over = [r.batch_key for r in sizes.where((F.col("row_count") > max_rows) | (F.col("bytes") > max_bytes)).limit(5).collect()]
+    if over:
+        raise ValueError(f"batches over a cap, among others {over}")
+    own.repartition("batch_key").write.mode("errorifexists").partitionBy("batch_key").json(path)
+    sums = hashed.groupBy("batch_key").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), "\n"), 256).alias("checksum"))
+    return sizes.join(sums, "batch_key")
+
+
+def write_raw_manifest(spark: SparkSession, landed: str, receipts: DataFrame, batches: DataFrame, path: str) -> DataFrame:
+    """Fingerprints of landed files with their scope and row count, written once as JSON lines.
+
+    ``receipts`` are (batch_id, file, query_id, completed_ids, row_count, truncated), ``batches`` (batch_id,
+    scope_ids). Truncated responses, ones without a query, and ones whose scope is not the batch's
+    are refused, as are files without a receipt or the other way round.
+    """
+    files = file_fingerprints(spark, landed).withColumn("file", F.element_at(F.split("path", "/"), -1)).select("file", "sha256", "length")
+    both = receipts.join(batches, "batch_id", "left").join(files, "file", "full")
+    scope = F.array_sort("completed_ids") == F.array_sort("scope_ids")
+    fault = (
+        F.when(F.col("sha256").isNull(), "no_file").when(F.col("batch_id").isNull(), "no_receipt").when(F.col("truncated") | (F.coalesce("query_id", F.lit("")) == "") | (F.col("row_count") < 0), "incomplete")
+        .when(~F.coalesce(scope, F.lit(False)), "scope")
+    )
+    told = materialize(both.withColumn("fault", fault), "manifest")
+    bad = told.where("fault IS NOT NULL").limit(5).collect()
+    if bad:
+        raise ValueError(f"raw files refused, among others {[(r.batch_id, r.file, r.fault) for r in bad]}")
+    manifest = told.select("batch_id", "file", "query_id", "scope_ids", "completed_ids", "row_count", F.col("sha256").alias("checksum"), F.col("length").alias("byte_count"))
+    manifest.write.mode("errorifexists").json(path)
+    return manifest
 
 
 def write_history(rows: DataFrame, path: str) -> None:
@@ -111,10 +220,18 @@ def write_history(rows: DataFrame, path: str) -> None:
 
 
 def write_csv_shards(rows: DataFrame, path: str, max_rows: int = 500_000, gzip: bool = False) -> None:
+    """CSV files of at most ``max_rows`` rows; refuses an existing path."""
     rows.write.option("header", True).option("maxRecordsPerFile", max_rows).option("compression", "gzip" if gzip else "none").csv(path)
 
 
-def dataset_footprint(spark: SparkSession, path: str) -> DataFrame:
-    """Objects and bytes under a path."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.agg(F.count("*").alias("objects"), F.sum("length").alias("bytes"))
+def dataset_footprint(spark: SparkSession, tables: dict[str, str], max_objects: int = 1_000_000) -> DataFrame:
+    """(table, objects, bytes, rows, complete) of Parquet folders; over ``max_objects`` files count as far as that, and are not complete."""
+    out = None
+    for name, path in tables.items():
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path).select("length")
+        size = files.limit(max_objects).agg(F.count("*").alias("objects"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+        total = files.agg((F.count("*") <= max_objects).alias("complete"))
+        rows = spark.read.option("recursiveFileLookup", True).parquet(path).agg(F.count("*").alias("rows"))
+        one = size.crossJoin(rows).crossJoin(total).select(F.lit(name).alias("table"), "objects", "bytes", "rows", "complete")
+        out = one if out is None else out.unionByName(one)
+    return out

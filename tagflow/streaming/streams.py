@@ -8,6 +8,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagflow.operators.merge import history_revisions, merge_history
+from tagflow.sources.files import PAGE
+from tagflow.tables import materialize
+
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A file stream over Parquet; times become instants, as watermarks need."""
@@ -26,11 +30,41 @@ def stream_dedup(feed: DataFrame, key: str, at: str, lag: str = "5 minutes") ->
     return feed.withWatermark(at, lag).dropDuplicatesWithinWatermark([key])
 
 
+def stream_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed grids as they come, one row a file: path, meta, cols, rows."""
+    pages = spark.readStream.schema(PAGE).option("multiLine", True).option("pathGlobFilter", "*.json").json(folder)
+    return pages.withColumn("path", F.col("_metadata.file_path"))
+
+
 def stream_merge(staged: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str):
     """Run ``apply(batch, batch_id)`` on each micro-batch; applying a batch id twice must change nothing."""
     return staged.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+SAMPLES = "row_no long, point_id string, observed_at timestamp, val_num decimal(18,2), row_hash string, batch long"
+
+
+def merge_into(base: str, revisions: str, policy: str = "append_revision") -> Callable[[DataFrame, int], None]:
+    """For ``stream_merge``: samples (row_no, point_id, observed_at, val_num) merged into two folders of Parquet.
+
+    A micro-batch owns one partition directory of either, named by its id and replaced as a whole,
+    and is compared with all but that; so a batch that is run again after a failure gives the same.
+    Late or corrected samples become revisions; the base is never changed.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        stored = lambda path: spark.read.schema(SAMPLES).option("basePath", path).parquet(path).where(F.col("batch") != batch_id)
+        for path in (base, revisions):
+            spark.createDataFrame([], SAMPLES).drop("batch").write.mode("overwrite").parquet(f"{path}/batch=-2")
+        told = materialize(merge_history(base=stored(base), staged=batch, policy=policy), "staged")
+        new = told.where("action = 'insert'").drop("action", "day", "no")
+        new.write.mode("overwrite").parquet(f"{base}/batch={batch_id}")
+        history_revisions(merged=told, revisions=stored(revisions)).withColumn("row_no", F.lit(None).cast("long")).write.mode("overwrite").parquet(f"{revisions}/batch={batch_id}")
+
+    return apply
+
+
 def stream_coverage(returned: DataFrame, batches: DataFrame, size: str = "5 minutes", lag: str = "5 minutes") -> DataFrame:
     """Windows' batches once the watermark has passed them: the ids seen, and whether all requested ones were.
 
@@ -42,22 +76,31 @@ def stream_coverage(returned: DataFrame, batches: DataFrame, size: str = "5 minu
 
 
 def stream_checkpoint(certified: DataFrame, baseline: int = -1) -> DataFrame:
-    """(site_ref, through) whenever a site's cursor moves over windows without a gap; it never goes back.
+    """(site_ref, through, gaps) whenever a site's cursor moves over windows without a gap; it never goes back.
 
-    ``certified`` streams (site_ref, window_no). State by site: the cursor, and the windows that wait behind a gap.
-    Windows that come again, or lie at or before the cursor, change nothing; null windows are left out.
+    ``certified`` streams (site_ref, window_no). State by site: the cursor, and the stretches of windows
+    that wait behind a gap, so it grows with the gaps and not with the windows; ``gaps`` says how many
+    there are. Windows that come again, or lie at or before the cursor, change nothing; null windows are left out.
     """
 
     def move(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        before, pending = state.get if state.exists else (baseline, [])
-        waiting, through = set(pending), before
-        for f in frames:
-            waiting.update(f["window_no"].tolist())
-        while through + 1 in waiting:
-            through += 1
-        state.update((through, sorted(w for w in waiting if w > through)))
+        before, first, last = state.get if state.exists else (baseline, [], [])
+        through, new = before, sorted({int(w) for f in frames for w in f["window_no"]})
+        merged: list[list[int]] = []
+        for a, b in sorted([*zip(first, last), *((w, w) for w in new)]):
+            if merged and a <= merged[-1][1] + 1:
+                merged[-1][1] = max(merged[-1][1], b)
+            else:
+                merged.append([a, b])
+        waiting = []
+        for a, b in merged:
+            if a <= through + 1:
+                through = max(through, b)
+            else:
+                waiting.append((a, b))
+        state.update((through, [a for a, _ in waiting], [b for _, b in waiting]))
         if through > before:
-            yield pd.DataFrame({"site_ref": [key[0]], "through": [through]})
+            yield pd.DataFrame({"site_ref": [key[0]], "through": [through], "gaps": [len(waiting)]})
 
     rows = certified.select("site_ref", F.col("window_no").cast("long").alias("window_no")).where(F.col("window_no").isNotNull())
-    return rows.groupBy("site_ref").applyInPandasWithState(move, "site_ref string, through long", "through long, pending array<long>", "append", "NoTimeout")
+    return rows.groupBy("site_ref").applyInPandasWithState(move, "site_ref string, through long, gaps long", "through long, first array<long>, last array<long>", "append", "NoTimeout")

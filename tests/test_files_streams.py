@@ -82,7 +82,7 @@ def test_checkpoint_moves_over_windows_without_gaps(spark, tmp_path):
     for i, rows in enumerate(steps):
         spark.createDataFrame(rows, "site_ref string, window_no int").coalesce(1).write.parquet(str(tmp_path / f"d{i}"))
     raw = spark.readStream.schema("site_ref string, window_no int").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "d*"))
-    got = [tuple(r) for r in _run(spark, streams.stream_checkpoint(raw), "cursors")]
+    got = [(r.site_ref, r.through) for r in _run(spark, streams.stream_checkpoint(raw), "cursors")]
     assert len(got) == len(set(got))
     assert {s: max(t for x, t in got if x == s) for s in "ab"} == {"a": 2, "b": 1}
 
@@ -95,3 +95,120 @@ def test_coverage_of_batches(spark, tmp_path):
     raw = spark.readStream.schema(df.schema).parquet(str(tmp_path / "r"))
     got = {(r.batch_id, r.n_seen, r.n_missing, r.complete) for r in _run(spark, streams.stream_coverage(raw, batches), "covered")}
     assert got == {("j1", 2, 0, True), ("j2", 1, 1, False)}
+
+
+def test_exports_are_checked(spark, tmp_path):
+    (tmp_path / "points.csv").write_text("fsk,id\n1001,p-1\n1001,p-2,more\n")
+    (tmp_path / "equipment.csv").write_text("fsk,id\n1001,e-1\n1001,e-2\n")
+    with pytest.raises(ValueError, match="cells"):
+        files.read_entity_export(spark, str(tmp_path / "points.csv"), ["id"])
+    for caps in ({"max_rows": 1}, {"max_bytes": 5}):
+        with pytest.raises(ValueError, match="over"):
+            files.read_entity_export(spark, str(tmp_path / "equipment.csv"), ["id"], **caps)
+    assert files.read_export_set(spark, str(tmp_path), {"equipment": ["fsk", "id"]})["equipment"].count() == 2
+
+
+def test_latest_export_is_the_newest_file(spark, tmp_path):
+    import os
+
+    for k, name in enumerate(("b.csv", "a.csv")):
+        (tmp_path / name).write_text("x\n")
+        os.utime(tmp_path / name, (1_700_000_000 + k * 100,) * 2)
+    assert files.latest_export(spark, str(tmp_path / "*.csv")).first().path.endswith("a.csv")
+
+
+def test_files_against_receipts(spark, tmp_path):
+    import hashlib
+
+    for name, text in (("a.jsonl", "{}\n"), ("b.jsonl", "{}"), ("c.jsonl", "x\n"), ("d.jsonl", "y\n"), ("e.jsonl", "z\n")):
+        (tmp_path / name).write_text(text)
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    receipts = [("a.jsonl", sha("{}\n"), 3), ("b.jsonl", sha("{}"), 2), ("c.jsonl", sha("q\n"), 2), ("d.jsonl", sha("y\n"), 9), ("gone.jsonl", sha(""), 0)]
+    got = files.verify_files(spark, str(tmp_path), spark.createDataFrame(receipts, "file string, sha256 string, length long"))
+    assert {tuple(r) for r in got.collect()} == {("a.jsonl", "ok"), ("b.jsonl", "no_newline"), ("c.jsonl", "sha256"), ("d.jsonl", "length"), ("e.jsonl", "unexpected"), ("gone.jsonl", "missing")}
+
+
+def test_certified_batches_are_bounded_and_withheld(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "batch string, v int")
+    with pytest.raises(ValueError, match="cap"):
+        files.write_certified_jsonl(rows, "batch", str(tmp_path / "no"), max_rows=1)
+    assert not (tmp_path / "no").exists()
+    manifest = files.write_certified_jsonl(rows, "batch", str(tmp_path / "j"))
+    assert {(r.batch_key, r.row_count, r.bytes) for r in manifest.collect()} == {("a", 2, 40), ("b", 1, 20)}
+    assert sum(x.stat().st_size for x in (tmp_path / "j").glob("*/*.json")) == 60
+    wrong = manifest.selectExpr("batch_key", "if(batch_key = 'a', 5, row_count) AS row_count")
+    good, bad = files.read_certified_jsonl(spark, str(tmp_path / "j"), "batch string, v int", wrong)
+    assert [r.v for r in good.collect()] == [3] and [r.batch_key for r in bad.collect()] == ["a"]
+
+
+def test_inventory_is_checked_and_never_changed(spark, tmp_path):
+    (tmp_path / "i.json").write_text('{"version":"1","tenant_id":"t","project_id":"p","sites":{"s":{"equipment_ids":["e"],"point_ids":["q"],"historized_point_ids":[]}}}')
+    assert files.read_inventory(spark, str(tmp_path / "i.json"), tenant="t", project="p", sites={"s"}).count() == 2
+    for wrong in ({"tenant": "x"}, {"sha256": "0"}, {"sites": {"s", "z"}}):
+        with pytest.raises(ValueError):
+            files.read_inventory(spark, str(tmp_path / "i.json"), **wrong)
+    rows = spark.createDataFrame([("s", "point", "b"), ("s", "point", "a"), ("s", "point", "a"), ("z", "equipment", "e")], "site_ref string, kind string, id string")
+    path = files.write_inventory(rows, str(tmp_path / "o"), "t", "p", "run")
+    assert path == files.write_inventory(rows.orderBy("id"), str(tmp_path / "o"), "t", "p", "run")
+    assert {tuple(r) for r in files.read_inventory_version(spark, path).collect()} == {tuple(r) for r in rows.collect()}
+    spark.createDataFrame([("s", "point", ["x"], "h")], "site_ref string, kind string, ids array<string>, hash string").write.mode("overwrite").json(path)
+    with pytest.raises(ValueError):
+        files.read_inventory_version(spark, path)
+
+
+def test_raw_manifest_refuses_cut_responses(spark, tmp_path):
+    (tmp_path / "land").mkdir()
+    (tmp_path / "land" / "x.bin").write_text("data")
+    batches = spark.createDataFrame([("b", ["p", "q"])], "batch_id string, scope_ids array<string>")
+    kind = "batch_id string, file string, query_id string, completed_ids array<string>, row_count long, truncated boolean"
+    good = ("b", "x.bin", "q1", ["q", "p"], 3, False)
+    for k, bad in enumerate(((*good[:5], True), (*good[:3], ["p"], 3, False), ("b", "x.bin", "", ["p", "q"], 3, False), ("b", "y.bin", "q1", ["p", "q"], 3, False))):
+        with pytest.raises(ValueError):
+            files.write_raw_manifest(spark, str(tmp_path / "land"), spark.createDataFrame([bad], kind), batches, str(tmp_path / f"m{k}"))
+    done = files.write_raw_manifest(spark, str(tmp_path / "land"), spark.createDataFrame([good], kind), batches, str(tmp_path / "m")).first()
+    assert done.byte_count == 4 and spark.read.json(str(tmp_path / "m")).count() == 1
+
+
+def test_history_days_are_replaced_and_shards_bounded(spark, tmp_path):
+    day = lambda d, v: spark.createDataFrame([(v, d)], "v int, d string").selectExpr("v", "cast(d AS timestamp) AS observed_at")
+    files.write_history(day("2024-01-01", 1).union(day("2024-01-02", 2)), str(tmp_path / "h"))
+    files.write_history(day("2024-01-02", 3), str(tmp_path / "h"))
+    assert {r.v for r in spark.read.parquet(str(tmp_path / "h")).collect()} == {1, 3}
+    files.write_csv_shards(spark.range(10).coalesce(1), str(tmp_path / "c"), max_rows=4, gzip=True)
+    assert len(list((tmp_path / "c").glob("*.csv.gz"))) == 3 and spark.read.csv(str(tmp_path / "c"), header=True).count() == 10
+    foot = files.dataset_footprint(spark, {"h": str(tmp_path / "h")}, max_objects=1).first()
+    assert foot.objects == 1 and foot.rows == 2 and not foot.complete
+
+
+def test_stream_of_landed_pages(spark, tmp_path):
+    page = {"meta": {"project": "1"}, "cols": [{"name": "ts", "meta": {}}, {"name": "p-1"}], "rows": [{"ts": "t1", "p-1": 2}]}
+    for k in range(3):
+        (tmp_path / f"{k}.json").write_text(json.dumps(page))
+    pages = streams.stream_pages(spark, str(tmp_path)).selectExpr("path", "size(rows) AS n", "variant_get(meta, '$.project', 'string') AS project")
+    assert [(r.n, r.project) for r in _run(spark, pages, "pages")] == [(1, "1")] * 3
+
+
+def test_stream_dedup(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 0), ("a", 1), ("b", 2)], "publication_id string, s long").selectExpr("publication_id", "timestamp_seconds(s) AS at")
+    rows.write.parquet(str(tmp_path / "f"))
+    raw = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "f"))
+    assert sorted(r.publication_id for r in _run(spark, streams.stream_dedup(raw, "publication_id", "at"), "feed")) == ["a", "b"]
+
+
+def test_stream_merge_twice_changes_nothing(spark, tmp_path):
+    kind = "row_no long, point_id string, observed_at string, val_num string"
+    typed = lambda rows: spark.createDataFrame(rows, kind).selectExpr("row_no", "point_id", "cast(observed_at AS timestamp) AS observed_at", "cast(val_num AS decimal(18,2)) AS val_num")
+    first = typed([(1, "p", "2024-01-01", "1"), (2, "q", "2024-01-01", "2")])
+    second = typed([(3, "p", "2024-01-01", "9"), (4, "q", "2024-01-01", "2"), (5, "r", "2024-01-02", None)])
+    base, revisions = str(tmp_path / "base"), str(tmp_path / "revisions")
+    apply = streams.merge_into(base, revisions)
+    for batch_id, batch in enumerate((first, second, second)):
+        apply(batch, min(batch_id, 1))
+        stored = {(r.point_id, r.val_num and str(r.val_num)) for r in spark.read.schema(streams.SAMPLES).parquet(base).collect()}
+    assert stored == {("p", "1.00"), ("q", "2.00"), ("r", None)}
+    assert [(r.point_id, str(r.val_num)) for r in spark.read.schema(streams.SAMPLES).parquet(revisions).collect()] == [("p", "9.00")]
+    source = tmp_path / "s"
+    second.write.parquet(str(source))
+    raw = spark.readStream.schema(second.schema).parquet(str(source))
+    assert streams.stream_merge(raw, streams.merge_into(base, revisions), str(tmp_path / "cp")).awaitTermination(120)
+    assert spark.read.schema(streams.SAMPLES).parquet(base).count() == 3
