@@ -142,3 +142,33 @@ def entity_fan_out(virtual, entities):
     """Metadata copies with where they are from."""
     own = entities.select("source_id", "payload")
     return virtual.join(own, "source_id").select("virtual_id", "payload", _c("source_id").alias("provenance"))
+
+
+def fan_out_feeds(real_equipment: DataFrame, real_points: DataFrame, history: DataFrame, detections: DataFrame, out: str, n: int, m: int, window: str) -> dict[str, DataFrame]:
+    """All three feeds of ``n`` virtual equipment by site with ``m`` points each, written as Parquet below ``out``.
+
+    Tables: equipment and points (metadata), history (each point in the five-minute window that starts
+    at ``window``, observed or not), rules (each equipment on the latest rule day, with how many
+    detections) and detections. Real samples and detections are counted before they are copied, and
+    the real side of every join is small, so no virtual row is shuffled.
+    """
+    spark = real_points.sparkSession
+    shapes = {"equipment": "virtual_id string, site_ref string, i long, source_id string", "points": "virtual_point string, parent string, site_ref string, source_id string"}
+
+    def kept(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{out}/{name}")
+        return spark.read.schema(shapes.get(name, df.schema)).parquet(f"{out}/{name}")
+
+    made = {"equipment": kept("equipment", replicate_equipment(real_equipment=real_equipment, n=n))}
+    made["points"] = kept("points", replicate_points(virtual=made["equipment"], real_points=real_points, m=m, n=n))
+    start = F.lit(window).cast("timestamp_ntz")
+    own = history.where((_c("observed_at") >= start) & (_c("observed_at") < start + F.make_dt_interval(mins=F.lit(5)))).groupBy(_c("point_id").alias("source_id")).agg(F.count("*").alias("samples"), F.max_by("value_kind", "observed_at").alias("last_kind"))
+    covered = made["points"].select("virtual_point", "source_id").join(own, "source_id", "left")
+    made["history"] = kept("history", covered.select("virtual_point", start.alias("window_start"), F.when(_c("samples").isNull(), "no_observation").otherwise("observed").alias("coverage"), F.coalesce("samples", F.lit(0)).cast("long").alias("samples"), "last_kind"))
+    day = detections.agg(F.max("rule_date").alias("rule_date"))
+    latest = detections.join(F.broadcast(day), "rule_date")
+    made["detections"] = kept("detections", fan_out_rules(virtual=made["equipment"], detections=latest))
+    counts = latest.groupBy(_c("targetRef").alias("source_id")).agg(F.count("*").alias("detections"))
+    asked = made["equipment"].select("virtual_id", "source_id").crossJoin(F.broadcast(day)).join(counts, "source_id", "left")
+    made["rules"] = kept("rules", asked.select("virtual_id", "rule_date", F.coalesce("detections", F.lit(0)).cast("long").alias("detections")))
+    return made
