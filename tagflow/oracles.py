@@ -265,4 +265,24 @@ WITH walk(batch_id, depth, ids, ws, we, s, n) AS (
       list_filter(s, lambda x: CASE WHEN len(ids) > 1 THEN list_contains(CASE WHEN h = 0 THEN ids[1:len(ids) // 2] ELSE ids[len(ids) // 2 + 1:] END, x.id) ELSE (x.seen < make_timestamp((epoch_us(ws) + epoch_us(we)) // 2)) = (h = 0) END) AS s
     FROM walk, (SELECT unnest([0, 1]) AS h) t WHERE n > 3 AND depth < 12 AND NOT (len(ids) <= 1 AND epoch_us(we) - epoch_us(ws) < 69120000000000)) c)
 SELECT batch_id, depth, array_to_string(ids, ',') AS ids, ws AS window_start, we AS window_end, n AS n_rows, CASE WHEN n <= 3 THEN 'ready' ELSE 'quarantined' END AS state FROM walk WHERE n <= 3 OR depth = 12 OR (len(ids) <= 1 AND epoch_us(we) - epoch_us(ws) < 69120000000000)""",
+    # --- sources, sinks and streams: what was written and read back
+    "export_round_trip": "SELECT row_no::VARCHAR AS row_no, fsk, id, siteRef, NULL AS equipRef FROM equipment_v UNION ALL SELECT row_no::VARCHAR, fsk, id, siteRef, equipRef FROM points_v",
+    "newest_export": "SELECT site_ref, site_uri FROM sites_v WHERE site_ref > 'site-05'",
+    "certified_round_trip": "SELECT row_no, point_id, value_kind, strftime(observed_at, '%d') || '-' || row_no % 4 AS batch FROM history_v WHERE day(observed_at) <> 7",
+    "landed_history": "SELECT * FROM history_coverage",
+    "landed_cells": "SELECT batch_id, point_id, observed_at, value_kind AS cell FROM plan_rows_v WHERE value_kind <> 'error'",
+    "landed_metadata": "SELECT * FROM metadata_page_chain",
+    "landed_rules": "SELECT * FROM rules_coverage",
+    "raw_manifest": "SELECT batch_id, 'q-' || batch_id AS query_id, scope AS scope_ids, n AS row_count, sha256(batch_id || chr(10)) AS checksum, length(batch_id) + 1 AS byte_count FROM plan_v WHERE m > 11",
+    "inventory_round_trip": "SELECT siteRef AS site_ref, 'equipment' AS kind, id FROM classify_equipment WHERE outcome = 'accepted' UNION ALL SELECT siteRef, unnest(CASE WHEN historized THEN ['point', 'historized_point'] ELSE ['point'] END), id FROM classify_points WHERE outcome = 'accepted'",
+    "history_days": "SELECT cast(observed_at AS date) AS obs_date, count(*) AS n FROM history_v WHERE day(observed_at) NOT IN (3, 4) OR row_no % 2 = 0 GROUP BY ALL",
+    "csv_shards": "SELECT point_id, count(*) AS n, sum(row_no)::BIGINT AS row_sum, true AS bounded FROM history_v GROUP BY point_id",
+    "table_footprint": """SELECT 'nation' AS "table", count(*) AS rows, true AS complete FROM nation UNION ALL SELECT 'customer', count(*), true FROM customer UNION ALL SELECT 'orders', count(*), true FROM orders UNION ALL SELECT 'events', count(*), true FROM events""",
+    "stream_tumbling": "SELECT make_timestamp(epoch_us(ts) // 300000000 * 300000000) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL",
+    "stream_dedup": "SELECT publication_id, batch_id FROM certified_batch_feed",
+    "stream_merge": "SELECT cast(observed_at AS date) AS day, action, count(*) AS n, count(val_num) AS numbers FROM merge_history WHERE action <> 'ignore' GROUP BY ALL",
+    "stream_checkpoint": "SELECT site_ref, through - 1 AS through FROM contiguous_through",
+    "stream_coverage": """
+SELECT p.batch_id, cast(left(window_start, 10) AS date) AS day, count(r.id) AS n_seen, len(string_split(scope, ',')) - count(r.id) AS n_missing, len(string_split(scope, ',')) = count(r.id) AS complete
+FROM plan_v p LEFT JOIN (SELECT DISTINCT batch_id, point_id AS id FROM plan_rows_v WHERE value_kind <> 'error') r ON r.batch_id = p.batch_id GROUP BY p.batch_id, window_start, scope""",
 }

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagflow import roundtrips
 from tagflow.fixtures import VIEWS
 from tagflow.functions import normalize
 from tagflow.operators import assess, coverage, fanout, merge, relate, rollup, state
@@ -95,6 +96,7 @@ def local_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {name: _query(name) for name in OPERATORS}
+QUERIES |= roundtrips.queries(GRAPH)
 QUERIES |= {"export_assessment": export_assessment, "bisect_batches": bisect, "split_batches": split, "local_day_window": local_days}
 _KNOWN = {name: re.sub(r"\{(\w+)\}", lambda m: VIEW_BIND.get(m[1], m[1]), view.duck()) for name, view in VIEWS.items()} | ORACLES
 ORACLE = {name: with_views(sql, {k: v for k, v in _KNOWN.items() if k != name}, TABLES) for name, sql in ORACLES.items()}

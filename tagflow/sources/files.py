@@ -10,7 +10,7 @@ from tagflow.tables import materialize
 
 
 def read_entity_export(spark: SparkSession, path: str, required: list[str], max_bytes: int | None = None, max_rows: int | None = None) -> DataFrame:
-    """CSV with a header, all strings; a byte-order mark is tolerated.
+    """CSV with a header, all strings, an empty cell as an empty one; a byte-order mark is tolerated.
 
     Refused are a missing or repeated column, a row with more or fewer cells than the header, and
     files over ``max_bytes`` or ``max_rows``.
@@ -27,7 +27,7 @@ def read_entity_export(spark: SparkSession, path: str, required: list[str], max_
     bad = rows.where("_corrupt IS NOT NULL").limit(3).collect()
     if bad:
         raise ValueError(f"rows whose cells differ from the header, among others {[r['_corrupt'] for r in bad]}")
-    rows = rows.drop("_corrupt")
+    rows = rows.drop("_corrupt").fillna("")
     if max_rows is not None and rows.limit(max_rows + 1).count() > max_rows:
         raise ValueError(f"{path} has over {max_rows} rows")
     return rows
@@ -47,9 +47,9 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 #: Receipt fields of a page's ``meta`` (fixed names of the landed format), by type.
-RECEIPT = {"project": "string", "site": "string", "complete": "boolean", "returned_rows": "long", "total_rows": "long"}
+RECEIPT = {"batch_id": "string", "err": "string", "project": "string", "site": "string", "complete": "boolean", "returned_rows": "long", "total_rows": "long"}
 WINDOWED = {"query_id": "string", "window_start": "string", "window_end": "string", "requested_ids": "array<string>", "completed_ids": "array<string>", "truncated": "boolean"}
-CHAINED = {"page_index": "long", "next_page": "string"}
+CHAINED = {"kind": "string", "page": "long", "page_index": "long", "next_page": "string"}
 
 
 def _receipts(spark: SparkSession, path: str, fields: dict[str, str]) -> DataFrame:

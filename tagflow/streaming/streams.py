@@ -69,6 +69,7 @@ def stream_coverage(returned: DataFrame, batches: DataFrame, size: str = "5 minu
     """Windows' batches once the watermark has passed them: the ids seen, and whether all requested ones were.
 
     ``returned`` streams (batch_id, id, ts); ``batches`` holds (batch_id, scope_ids), a batch's ids being bounded by its plan.
+    A row with a null id announces a batch, so that one of which nothing comes back is told as well.
     """
     seen = returned.withWatermark("ts", lag).groupBy(F.window("ts", size).alias("w"), "batch_id").agg(F.collect_set("id").alias("ids"))
     missing = F.size(F.array_except("scope_ids", "ids"))
