@@ -56,9 +56,8 @@ def real_ids(asked):
 
 @operator
 def fan_out_history(virtual_points, history):
-    """The samples of each real point copied to every virtual one, read once: virtual_point, observed_at, value_kind."""
-    wanted = virtual_points.select("source_id").distinct()
-    own = history.join(wanted, history.point_id == wanted.source_id).select("source_id", "observed_at", "value_kind", "row_no")
+    """The samples of each real point copied to every virtual one by one join: virtual_point, observed_at, value_kind."""
+    own = history.select(_c("point_id").alias("source_id"), "observed_at", "value_kind", "row_no")
     return virtual_points.select("virtual_point", "source_id").join(own, "source_id").select("virtual_point", "observed_at", "value_kind", "row_no")
 
 

@@ -16,7 +16,9 @@ from tagflow.plans import planning
 from tagflow.sqlops import Graph, Operator, flat, operator, with_views
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-GRAPH = Graph(TABLES)
+#: Nodes with shuffles of their own.
+SHARED = ("classify_equipment", "classify_points", "jobs_v", "plan_v", "rule_plan_v", "landed_rows_v", "replicate_equipment", "replicate_points", "run_status", "lineage_depth")
+GRAPH = Graph(TABLES, SHARED)
 VIEW_BIND = {"c": "classify_equipment", "classified": "classify_points", "entities": "entities_v", "jobs": "jobs_v", "batch_seed": "batch_seed_v", "plan": "plan_v", "plan_rows": "plan_rows_v", "rule_plan": "rule_plan_v", "detections": "detections_v", "equipment": "equipment_v", "points": "points_v", "dues": "dues_v", "virtual_points": "replicate_points"}
 BIND = {
     "equipment": "classify_equipment", "points": "classify_points", "classified": "classify_points", "sites": "sites_v", "history": "history_v", "jobs": "jobs_v", "children": "children_v", "certifications": "certifications_v", "artifacts": "artifacts_v",

@@ -11,11 +11,14 @@ from __future__ import annotations
 
 import inspect
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagflow.tables import materialize
+
 _SPARK = {
     "anti": "LEFT ANTI JOIN",
     "sha": r"sha2(\1, 256)",
@@ -84,24 +87,47 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 class Graph:
-    """Named nodes, each an operator bound to base tables or other nodes."""
+    """Named nodes, each an operator bound to base tables or other nodes.
+
+    A node named in ``shared`` that several nodes of one query read is written once and read by each
+    of them, rather than computed for each.
+    """
 
-    def __init__(self, tables: tuple[str, ...]):
-        self.tables, self.nodes = tables, {}
+    def __init__(self, tables: tuple[str, ...], shared: tuple[str, ...] = ()):
+        self.tables, self.shared, self.nodes = tables, shared, {}
 
     def add(self, name: str, op: Operator, /, **bind) -> None:
         self.nodes[name] = (op, {k: bind.get(k, k) for k in op.inputs()})
 
-    def frame(self, spark, sf_dir: str, name: str, made: dict | None = None) -> DataFrame:
-        """The node's DataFrame; a node that is needed twice is one frame, so that its plan's parts can be reused."""
-        made = {} if made is None else made
-        if name not in made:
-            if name in self.tables:
-                made[name] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-            else:
-                op, bind = self.nodes[name]
-                made[name] = op(**{k: self.frame(spark, sf_dir, v, made) for k, v in bind.items()})
-        return made[name]
+    def readers(self, name: str) -> Counter:
+        """How many nodes of the query ``name`` read each node."""
+        seen, open_, found = set(), [name], Counter()
+        while open_:
+            n = open_.pop()
+            if n not in seen and n in self.nodes:
+                seen.add(n)
+                read = set(self.nodes[n][1].values())
+                found.update(read)
+                open_ += read
+        return found
+
+    def frame(self, spark, sf_dir: str, name: str) -> DataFrame:
+        """The node's DataFrame."""
+        made: dict[str, DataFrame] = {}
+        readers = self.readers(name)
+
+        def need(n: str) -> DataFrame:
+            if n not in made:
+                if n in self.tables:
+                    made[n] = spark.read.parquet(f"{sf_dir}/{n}.parquet")
+                else:
+                    op, bind = self.nodes[n]
+                    made[n] = op(**{k: need(v) for k, v in bind.items()})
+                    if n in self.shared and readers[n] > 1:
+                        made[n] = materialize(made[n], n)
+            return made[n]
+
+        return need(name)
 
 
 def with_views(sql: str, known: dict[str, str], tables: tuple[str, ...]) -> str:
