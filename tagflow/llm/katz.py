@@ -408,6 +408,7 @@ def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str =
     parts = max(1, -(-(size // 6) // (m["n_buckets"] * SCORE_TOKENS)))
     shared = spark.sparkContext.broadcast(model.words)
     dealt = occurrences(rows, shared, m["n_buckets"], parts)
+    drop_unused_shuffles(spark)  # the training's, if it was just before
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _Tables(folder)
