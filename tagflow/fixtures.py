@@ -122,6 +122,11 @@ SELECT concat('d-', cast(cast(floor(o_custkey / 200) AS bigint) AS string), '-',
   CASE WHEN l_partkey % 89 = 3 THEN 'Mars' ELSE 'UTC' END AS tz, CASE WHEN l_partkey % 83 <> 4 THEN l_linenumber END AS spark
 FROM {lineitem} l JOIN {orders} o ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'"""),
     # The texts of tagged values, one of each kind in turn.
+    "inventory_rows_v": Operator("SELECT siteRef, CASE WHEN row_no % 2 = 1 THEN '1001' ELSE fsk END AS fsk FROM {points} WHERE siteRef NOT IN ('', 'site-07')"),
+    "named_points_v": Operator("SELECT row_no, fsk, id, siteRef, equipRef, his, CASE WHEN id <> '' THEN id END AS navName, CASE WHEN row_no % 2 = 0 THEN concat('Point ', id) END AS dis FROM {points}"),
+    "source_detections_v": Operator("""
+SELECT concat('r:e-', cast(o_custkey AS string), ' An Equipment') AS targetRef, concat('r-', cast(l_suppkey % 5 AS string)) AS ruleRef, cast(cast(l_shipdate AS date) AS string) AS date, 'UTC' AS tz, l_linenumber AS spark, cast(l_partkey % 90 AS int) AS dur, '10:00,15min' AS periods,
+  CASE l_partkey % 4 WHEN 0 THEN '["p-1","r:p-2 Two"]' WHEN 1 THEN '"p-3"' WHEN 2 THEN 'null' ELSE '["p-1","p-1"]' END AS points, l_returnflag AS severity FROM {lineitem} l JOIN {orders} o ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'"""),
     "tagged_v": Operator("""
 SELECT event_id AS row_no, CASE event_id % 14 WHEN 0 THEN concat('n:', cast(user_id AS string), ' kW') WHEN 1 THEN 'm:' WHEN 2 THEN 'z:' WHEN 3 THEN concat('r:', 'p.', cast(user_id AS string), ' A Name') WHEN 4 THEN 'a:b' WHEN 5 THEN NULL WHEN 6 THEN '' WHEN 7 THEN concat('@p', cast(user_id AS string))
   WHEN 8 THEN 'bad id!' WHEN 9 THEN ' True ' WHEN 10 THEN 'false' WHEN 11 THEN 'maybe' WHEN 12 THEN concat(' @p', cast(user_id AS string), ' ') ELSE concat('d:2024-01-0', cast(1 + user_id % 9 AS string)) END AS v FROM {events}"""),

@@ -215,10 +215,21 @@ def detection_keys(detections, tenant="t", project="1001", site="s", zone="UTC")
     return detections.groupBy("targetRef", "ruleRef", "rule_date").agg(F.count("*").alias("n")).withColumn("detection_key", key)
 
 
+#: Fixed names: fields of a source's detections and ours.
+DETECTION_FIELDS = {
+    "targetRef": "equipment_id", "ruleRef": "rule_id", "date": "source_date", "tz": "source_tz_tag", "spark": "spark", "dur": "duration", "periods": "periods", "points": "point_ids", "priority": "priority", "severity": "severity",
+    "alarmMessageText": "alarm_message_text", "helpMessageText": "help_message_text",
+}
+
+
 @operator
 def map_detections(found):
-    """Source fields under their own names."""
-    return found.select("equipment_id", "rule_id", F.col("found_day").cast("date").alias("source_date"), F.col("tz").alias("source_tz_tag"), F.col("spark").alias("priority"), "project")
+    """Source fields under their own names: references as ids, the day as a date, points as a list of ids (null where invalid).
+
+    Fields that the source does not have are left out.
+    """
+    made = {"targetRef": normalise_ref, "ruleRef": normalise_ref, "date": lambda c: c.try_cast("date"), "points": lambda c: ref_list(F.try_parse_json(c))}
+    return found.select(*(made.get(k, lambda c: c)(F.col(k)).alias(v) for k, v in DETECTION_FIELDS.items() if k in found.columns))
 
 
 @operator
@@ -239,6 +250,5 @@ def lead(df: DataFrame, drop: tuple[str, ...] = (), **constants: str) -> DataFra
 
 @operator
 def lead_columns(points, drop=("his",)):
-    """Point rows with their key columns first; ``point_dis`` is the display name, else the id."""
-    named = points.withColumn("navName", F.when(F.col("id") != "", F.col("id"))).withColumn("dis", F.when(F.col("row_no") % 2 == 0, F.concat(F.lit("Point "), "id")))
-    return lead(named.withColumn("point_dis", F.coalesce("dis", "navName")), drop, project="1001").drop("dis", "navName")
+    """Point rows with their key columns first; ``point_dis`` is the display name, else the navigation name."""
+    return lead(points.withColumn("point_dis", F.coalesce("dis", "navName")), drop, project="1001")

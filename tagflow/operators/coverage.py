@@ -172,8 +172,10 @@ def sink_guard(plan, rows, verdicts, columns_ok):
     good = verdicts.where("ok").select("batch_id").intersect(columns_ok.where("ok").select("batch_id"))
     again = history_rows(plan=plan, rows=rows)
     key = F.sha2(F.concat_ws("|", "point_id", F.date_format("observed_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")), 256)
-    sums = rows.select("batch_id", key.alias("h")).groupBy("batch_id").agg(F.count("*").alias("n_rows"), F.sha2(F.array_join(F.array_sort(F.collect_list("h")), "\n"), 256).alias("checksum"))
-    df = again.join(good.withColumn("covered", F.lit(True)), "batch_id", "left").join(sums, "batch_id", "left")
+    sizes = rows.groupBy("batch_id").agg(F.count("*").alias("n_rows"))
+    sound = rows.join(again.where("ok").select("batch_id"), "batch_id", "left_semi")  # so within the cap
+    sums = sound.select("batch_id", key.alias("h")).groupBy("batch_id").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), "\n"), 256).alias("checksum"))
+    df = again.join(good.withColumn("covered", F.lit(True)), "batch_id", "left").join(sizes, "batch_id", "left").join(sums, "batch_id", "left")
     reason = F.when(_c("covered").isNull(), "no_coverage").otherwise(_c("reason"))
     return df.select("batch_id", (reason == "").alias("ok"), reason.alias("reason"), F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"), F.when(reason == "", _c("checksum")).alias("checksum"))
 

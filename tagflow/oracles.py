@@ -238,10 +238,12 @@ SELECT row_no, stamp, [ 'Z', '+02:00', '-0530' ][row_no % 6 + 1] AS source_timez
 SELECT row_no, sha256('{"observed_at":"' || strftime(observed_at, '%Y-%m-%d %H:%M:%S') || '","point_id":"' || point_id || '","val_num":' || coalesce('"' || val_num || '"', 'null') || ',"val_str":' || coalesce('"' || replace(val_str, '"', '\\"') || '"', 'null') || '}') AS row_hash FROM history_v""",
     "detection_keys": """
 SELECT targetRef, ruleRef, rule_date, count(*) AS n, sha256('{"equipment_id":"' || targetRef || '","project_id":"1001","rule_id":"' || ruleRef || '","site_ref":"s","source_date":"' || rule_date || '","source_timezone":"UTC","tenant_id":"t"}') AS detection_key FROM detections_v GROUP BY targetRef, ruleRef, rule_date""",
-    "map_detections": "SELECT equipment_id, rule_id, cast(found_day AS date) AS source_date, tz AS source_tz_tag, spark AS priority, project FROM found_v",
+    "map_detections": """
+SELECT 'e-' || o_custkey AS equipment_id, 'r-' || l_suppkey % 5 AS rule_id, cast(l_shipdate AS date) AS source_date, 'UTC' AS source_tz_tag, l_linenumber AS spark, (l_partkey % 90)::INTEGER AS duration, '10:00,15min' AS periods,
+  ['p-1,p-2', 'p-3', '', NULL][l_partkey % 4 + 1] AS point_ids, l_returnflag AS severity FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R'""",
     "normalise_entities": """
 SELECT 'equipment' AS kind, id AS source_id, siteRef AS site_ref, NULL AS parent_id, NULL::BOOLEAN AS site_level, NULL::BOOLEAN AS historized FROM classify_equipment WHERE outcome = 'accepted' UNION ALL SELECT 'point', id, siteRef, nullif(trim(equipRef), ''), nullif(trim(equipRef), '') IS NULL, historized FROM classify_points WHERE outcome = 'accepted'""",
-    "lead_columns": "SELECT '1001' AS project, fsk, id, siteRef, equipRef, row_no, CASE WHEN row_no % 2 = 0 THEN 'Point ' || id ELSE nullif(id, '') END AS point_dis FROM points_v",
+    "lead_columns": "SELECT '1001' AS project, fsk, id, CASE WHEN row_no % 2 = 0 THEN 'Point ' || id END AS dis, nullif(id, '') AS navName, siteRef, equipRef, row_no, CASE WHEN row_no % 2 = 0 THEN 'Point ' || id ELSE nullif(id, '') END AS point_dis FROM points_v",
     # --- plans
     "history_windows": "SELECT due_id, CASE WHEN ok THEN due_at - INTERVAL 10 MINUTE END AS window_start, CASE WHEN ok THEN due_at - INTERVAL 5 MINUTE END AS window_end, ok FROM (SELECT *, epoch_us(due_at) % 300000000 = 0 AS ok FROM grid_dues_v) x",
     "lookback_windows": "SELECT due_id, k::INTEGER AS lookback, due_at - to_minutes(10 + 5 * k) AS window_start, due_at - to_minutes(5 + 5 * k) AS window_end FROM grid_dues_v, (SELECT unnest(range(4)) AS k) t WHERE epoch_us(due_at) % 300000000 = 0",
@@ -254,6 +256,9 @@ SELECT site_ref, CASE WHEN NOT here THEN 'missing' WHEN NOT approved THEN 'unapp
     "publication_id": "SELECT batch_id, sha256('certified-job:' || batch_id) AS publication_id FROM jobs_v WHERE status = 'certified' AND batch_id NOT IN (SELECT parent_id FROM children_v)",
     "replay_filter": """
 SELECT request_id, CASE WHEN requested_at < TIMESTAMP '2024-01-15' THEN 'too_old' WHEN requested_at > TIMESTAMP '2024-01-25 00:05:00' THEN 'in_future' WHEN window_start < TIMESTAMP '2024-01-05' THEN 'window_too_old' WHEN inventory <> 'inv-1' THEN 'other_scope' WHEN feed = 'rules' AND window_end - window_start <> INTERVAL 24 HOUR THEN 'not_a_local_day' WHEN jobs > 60 THEN 'too_many_jobs' ELSE 'ok' END AS verdict FROM requests_v""",
+    "weekly_windows": "SELECT due_id, CASE WHEN ok THEN due_at - INTERVAL 7 DAY END AS window_start, CASE WHEN ok THEN due_at END AS window_end, ok FROM (SELECT *, isodow(due_at) = 3 AS ok FROM dues_v) x",
+    "retry_delays": "SELECT attempt_no, count(*) AS n, [90, 180, 300][attempt_no]::BIGINT AS delay_seconds FROM attempts_v WHERE outcome = 'retried' GROUP BY ALL",
+    "window_labels": "SELECT strftime(due_at - INTERVAL 10 MINUTE, '%Y%m%dT%H%M') || '-' || strftime(due_at - INTERVAL 5 MINUTE, '%H%M') AS label, count(*) AS n FROM grid_dues_v WHERE epoch_us(due_at) % 300000000 = 0 GROUP BY ALL",
     "local_day_window": """
 SELECT day, cast((epoch(timezone('America/Chicago', cast(day + 1 AS timestamp))) - epoch(timezone('America/Chicago', cast(day AS timestamp)))) / 3600 AS bigint) AS hours FROM (SELECT DISTINCT cast(l_shipdate AS date) AS day FROM lineitem) d""",
     "split_batches": """

@@ -50,10 +50,42 @@ def batch_ids(batches, feed="history", window_start="2024-01-01T00:00:00Z"):
     return batches.select("site_ref", "batch_no", row_hash(**scope).alias("batch_id"))
 
 
-plan_guard = Operator(
-    "SELECT coalesce(s.site_ref, p.siteRef) AS site_ref, CASE WHEN p.siteRef IS NULL THEN 'missing' WHEN s.site_ref IS NULL THEN 'unapproved' WHEN p.foreign_rows > 0 THEN 'other_project' ELSE 'ok' END AS verdict FROM {sites} s FULL JOIN (SELECT siteRef, count(*) FILTER (WHERE fsk <> '1001' AND row_no % 2 = 0) AS foreign_rows FROM {points} WHERE siteRef <> '' AND siteRef <> 'site-07' GROUP BY siteRef) p ON s.site_ref = p.siteRef",
-    "Approved sites against those in the inventory, and rows of another project.",
-)
+
+
+@operator
+def plan_guard(sites, inventory_rows, project="1001"):
+    """Approved sites against those of an inventory: missing, unapproved, or with rows of another project."""
+    here = inventory_rows.groupBy(_c("siteRef").alias("site_ref")).agg(F.bool_or(_c("fsk") != project).alias("foreign"))
+    both = sites.select("site_ref", F.lit(True).alias("approved")).join(here, "site_ref", "full")
+    verdict = F.when(_c("foreign").isNull(), "missing").when(_c("approved").isNull(), "unapproved").when(_c("foreign"), "other_project").otherwise("ok")
+    return both.select("site_ref", verdict.alias("verdict"))
+
+
+@operator
+def weekly_windows(dues, day="wednesday"):
+    """The week that ends at each due time of the configured weekday; other due times are refused."""
+    ok = F.lower(F.date_format("due_at", "EEEE")) == day
+    return dues.select("due_id", F.when(ok, _c("due_at") - F.make_dt_interval(days=F.lit(7))).alias("window_start"), F.when(ok, _c("due_at")).alias("window_end"), ok.alias("ok"))
+
+
+def retry_delay(attempt, base: int, most: int):
+    """Column: seconds before the next attempt, doubling from ``base`` up to ``most``."""
+    return F.least(F.lit(float(most)), base * F.pow(F.lit(2.0), F.least(attempt - 1, F.lit(20)))).cast("long")
+
+
+@operator
+def retry_delays(attempts, base=90, most=300):
+    """When a failed attempt may be repeated."""
+    return attempts.where("outcome = 'retried'").groupBy("attempt_no").agg(F.count("*").alias("n")).withColumn("delay_seconds", retry_delay(_c("attempt_no"), base, most))
+
+
+@operator
+def window_labels(windows):
+    """Labels of accepted windows, as file and report names have them."""
+    label = F.concat_ws("-", F.date_format("window_start", "yyyyMMdd'T'HHmm"), F.date_format("window_end", "HHmm"))
+    return windows.where("ok").groupBy(label.alias("label")).agg(F.count("*").alias("n"))
+
+
 publication_id = Operator("SELECT j.batch_id, @sha[concat('certified-job:', j.batch_id)] AS publication_id FROM {jobs} j @anti {children} c ON j.batch_id = c.parent_id WHERE status = 'certified'", "A stable name by certified leaf.")
 
 

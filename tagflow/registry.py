@@ -31,7 +31,7 @@ BIND = {
 }
 #: Where an operator's input is another than by BIND.
 SPECIAL = {
-    "classify_equipment": {"equipment": "equipment_v"}, "classify_points": {"points": "points_v"}, "export_crossref": {"equipment": "equipment_v", "points": "points_v"}, "first_occurrence": {"points": "points_v"}, "lead_columns": {"points": "points_v"}, "plan_guard": {"points": "points_v"},
+    "classify_equipment": {"equipment": "equipment_v"}, "classify_points": {"points": "points_v"}, "export_crossref": {"equipment": "equipment_v", "points": "points_v"}, "first_occurrence": {"points": "points_v"}, "lead_columns": {"points": "named_points_v"}, "plan_guard": {"inventory_rows": "inventory_rows_v"}, "map_detections": {"found": "source_detections_v"}, "window_labels": {"windows": "history_windows"},
     "rules_coverage": {"plan": "rule_days", "pages": "rule_pages"}, "rules_rows": {"plan": "rule_days"}, "entity_links": {"entities": "linked_v"}, "entity_shape": {"entities": "entity_rows_v"}, "ref_lists": {"json": "ref_lists_v"}, "wide_to_long": {"pages": "map_pages"},
     "history_windows": {"dues": "grid_dues_v"}, "lookback_windows": {"windows": "history_windows"},
 }
