@@ -28,6 +28,12 @@ def labels(spark):
     return spark.read.parquet(f"{DATA}/labels.parquet")
 
 
+@pytest.fixture
+def short_training(monkeypatch):
+    """Where any toxicity model will do."""
+    monkeypatch.setattr(toxicity, "STEPS", 120)
+
+
 def rest(i, n):
     return zlib.crc32(str(i).encode()) % n
 
@@ -48,7 +54,7 @@ def test_op1_by_brute_force(spark, docs, labels):
         assert abs(o.score - p) < 1e-9 and o.held_out == (rest(r.doc_id, 5) == 0) and o.predicted == int(o.score >= 0.3)
 
 
-def test_op4_by_brute_force(spark, docs, labels):
+def test_op4_by_brute_force(spark, docs, labels, short_training):
     got = {r.doc_id: r for r in QUERIES["op4_toxicity_cnn"](spark, DATA).collect()}
     m = toxicity.train(docs, labels, "toxic", fold("doc_id", 4) != 2)
     for r in docs.collect():
@@ -220,7 +226,7 @@ def test_samples_are_bounded_and_ids_count_once(spark):
     assert few["text"].str.len().sum() <= 10
 
 
-def test_pipeline_stage_by_stage(spark, docs):
+def test_pipeline_stage_by_stage(spark, docs, short_training):
     import corpus_pipeline
 
     stages, bench = dict(corpus_pipeline.STAGES), [re.findall(r"[^\W_]+", r.text.lower()) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]

@@ -238,7 +238,8 @@ def test_digest_is_base32():
     assert warc.digest_of(b"") == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ" and hashlib.sha1(b"").digest_size == 20
 
 
-def test_pipeline_stages(spark, tmp_path):
+def test_pipeline_stages(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "STEPS", 120)
     import corpus_pipeline
 
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
