@@ -32,6 +32,8 @@ ORDINARY = r"[A-Za-z0-9+/_=-]{12,}"
 #: Mean log-likelihood ratio a character pair from which a candidate is reported.
 RATIO = 1.0
 PRIOR = 20.0
+#: Share of the ordinary model's prior that is even over ALPHABET: what joins words is rare in prose, not in identifiers.
+EVEN = 0.05
 BLOCK = 256
 SPANS = "array<struct<s:int,e:int,m:string>>"
 
@@ -115,7 +117,7 @@ def train(samples: DataFrame) -> list[float]:
     for r in pairs.where(F.col("pair").rlike("^[A-Za-z0-9+/_=-]{2}$")).groupBy("random", "pair").count().collect():  # at most 2 x 67 x 67 rows
         counts[r["random"]][at[r["pair"][0]]][at[r["pair"][1]]] += r["count"]
     column = [sum(row[j] for row in counts[False]) + 0.5 for j in range(n)]
-    alone = {True: [1 / n] * n, False: [c / sum(column) for c in column]}
+    alone = {True: [1 / n] * n, False: [(1 - EVEN) * c / sum(column) + EVEN / n for c in column]}
     rate = lambda r, i, j: math.log((counts[r][i][j] + PRIOR * alone[r][j]) / (sum(counts[r][i]) + PRIOR))
     return [rate(True, i, j) - rate(False, i, j) for i in range(n) for j in range(n)]
 
