@@ -47,8 +47,8 @@ EPSILON = 1e-4
 #: A word is hot with 1/HOT of the training tokens, so at most HOT words are broadcast.
 HOT = 50_000
 #: Training tokens a bucket of the tables; tokens that a scoring task gets at once.
-BUCKET_TOKENS, SCORE_TOKENS = 1_000_000, 1_500_000
-FLUSH_TOKENS = 1_000_000
+BUCKET_TOKENS, SCORE_TOKENS = 1_500_000, 2_500_000
+FLUSH_TOKENS = 1_500_000
 CACHE_WORDS = 300_000
 END = b"\n"
 START = -1
@@ -136,7 +136,7 @@ def _packed(w, h, row, uid, ids, deal, with_rows: bool) -> pa.RecordBatch:
     order = np.lexsort((h, w, bucket))
     w, h, row, bucket = w[order], h[order], row[order], bucket[order]
     edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
-    squeeze = zstandard.ZstdCompressor(level=1).compress
+    squeeze = zstandard.ZstdCompressor(level=3).compress
     cols: list[list] = [[] for _ in PACKED]
     for lo, hi in zip(edges[:-1], edges[1:]):
         new_w = w[lo:hi] != np.r_[~w[lo], w[lo : hi - 1]]
