@@ -14,7 +14,7 @@ import heapq
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -76,6 +76,16 @@ def encoder(spec: str) -> Encoder:
     return Encoder(spec)
 
 
+def read_spec(path: str | None = None) -> str:
+    """The text of a tokenizers JSON file that the driver can read; by default the public byte-level vocabulary."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as f:
+        return f.read()
+
+
 def cuts(n: int, capacity: int = CAPACITY, piece: int = PIECE) -> list[tuple[int, int]]:
     """(start, length): whole windows, then near-equal pieces of at most ``piece``."""
     whole, rest = divmod(n, capacity)
@@ -87,8 +97,8 @@ def cuts(n: int, capacity: int = CAPACITY, piece: int = PIECE) -> list[tuple[int
     return parts
 
 
-def pieces(docs: DataFrame, spec: str, end_id: int = 0, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens[, ids]): every id of every row in one piece."""
+def pieces(docs: DataFrame, spec: str, end_id: int = 0, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text", cut: Callable[[int], list[tuple[int, int]]] = cuts) -> DataFrame:
+    """(doc_id, start, length, ids_crc32, doc_tokens[, ids]): every id of every row in one piece; ``cut`` gives (start, length) of so many ids."""
     shared = docs.sparkSession.sparkContext.broadcast(spec)
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
     end = np.array([end_id], "<u4").tobytes()
@@ -100,7 +110,7 @@ def pieces(docs: DataFrame, spec: str, end_id: int = 0, with_ids: bool = False,
             for ident, text in zip(b.column(0).to_pylist(), b.column(1)):
                 ids = encode(text.as_py()) + end
                 n = len(ids) // 4
-                for start, length in cuts(n):
+                for start, length in cut(n):
                     own = ids[4 * start : 4 * (start + length)]
                     for c, v in zip(out, (ident, start, length, zlib.crc32(own), n, own if with_ids else None)):
                         c.append(v)
@@ -168,12 +178,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, id_col: s
     null. Empty input gives no rows. Further columns are not read. Texts are never cut before
     tokenising. ``tokenizer_path`` names a tokenizers JSON file that the driver can read.
     """
-    if tokenizer_path is None:
-        import public_tokenizers
-
-        tokenizer_path = public_tokenizers.path("byte_bpe_50k.json")
-    with open(tokenizer_path, encoding="utf-8") as f:
-        spec = f.read()
+    spec = read_spec(tokenizer_path)
     own = materialize(pieces(docs, spec, id_col=id_col, text_col=text_col).withColumn("uid", F.monotonically_increasing_id()), "pieces")
     total = own.where(F.col("length") < CAPACITY).agg(F.sum("length")).first()[0] or 0
     groups = max(1, -(-total // (GROUP_WINDOWS * CAPACITY)))

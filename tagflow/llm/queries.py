@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagflow.llm import decontaminate, gam, katz, linedup, packing, rules, secrets, simhash, toxicity, warc
+from tagflow.llm import bestfit, decontaminate, gam, katz, linedup, packing, rules, runs, secrets, simhash, toxicity, warc, whiten
 from tagflow.llm.common import table
 
 
@@ -39,6 +39,9 @@ QUERIES = {
     "op8_secrets": secrets.op8,
     "op9_quality_rules": rules.op9,
     "op10_decontaminate": op10,
+    "op11_whiten": whiten.op11,
+    "op12_best_two_fit": bestfit.op12,
+    "op13_periodic_runs": runs.op13,
 }
 
 ORACLE = {"op5_warc": warc.ORACLE, "op7_line_dedup": linedup.ORACLE, "op10_decontaminate": decontaminate.ORACLE}
