@@ -49,21 +49,24 @@ def _matches(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str,
     """(key, id, item, item_id, matched, item_tokens) of every document, known by ``key``, and item that it holds."""
     items = benchmark.select(benchmark[item_col].alias("item_id"), tokens(text_of(benchmark, item_text)).alias("b"))
     items = items.where(F.size("b") > 0).groupBy("b").agg(F.min("item_id").alias("item_id")).withColumn("item", F.monotonically_increasing_id())
-    items = materialize(items, "items")
+    items = materialize(items.withColumn("size", F.size("b")), "items")
     short = items.where(F.size("b") < FEWEST).select(F.size("b").alias("n")).distinct().collect()  # at most four values
     lengths = tuple(sorted(r.n for r in short))
-    known = seeds(items, "b", ["item"], lengths, whole=True).withColumnRenamed("p", "q")
+    known = seeds(items, "b", ["item", "size"], lengths, whole=True).withColumnRenamed("p", "q")
     small = known.count() <= BROADCAST_SEEDS
     near = F.broadcast if small else (lambda df: df)
     doc = docs.select(docs[id_col].cast("long").alias("id"), text_of(docs, text_col).alias("text"))
     doc = doc.withColumn("key", F.xxhash64("id", "text"))
     own = seeds(doc.select("key", tokens(F.col("text")).alias("h")), "h", ["key"], lengths)
-    hits = own.join(near(known), ["mask", "seed"]).select("key", "item", (F.col("p") - F.col("q")).alias("shift")).distinct()
+    hits = own.join(near(known), ["mask", "seed"]).select("key", "item", "size", (F.col("p") - F.col("q")).alias("shift")).distinct()
     hits = materialize(hits, "hits")
     held = doc.join(hits.select("key").distinct(), "key", "left_semi").select("key", "id", tokens(F.col("text")).alias("h"))
-    both = held.join(hits, "key").join(near(items), "item")
-    same = F.size(F.filter(F.sequence(F.lit(0), F.size("b") - 1), lambda i: F.get("b", i) == F.get("h", i + F.col("shift"))))
-    n = F.size("b")
+    # a row keeps the item's length of the document's tokens, however many shifts a long text has
+    before = F.greatest(-F.col("shift"), F.lit(0))
+    along = F.slice("h", F.col("shift") + before + 1, F.col("size") - before)
+    both = held.join(hits, "key").select("key", "id", "item", before.alias("before"), along.alias("w")).join(near(items), "item")
+    same = F.size(F.filter(F.sequence(F.lit(0), F.size("b") - 1), lambda i: F.get("b", i) == F.get("w", i - F.col("before"))))
+    n = F.col("size")
     enough = F.when(n < FEWEST, n).otherwise(F.greatest(F.lit(FEWEST), F.least(F.lit(ENOUGH), F.ceil(n * SHARE))))
     found = both.select("key", "id", "item", "item_id", same.alias("matched"), n.alias("item_tokens"), enough.alias("enough"))
     return found.where("matched >= enough").drop("enough")
