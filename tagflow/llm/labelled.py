@@ -26,14 +26,27 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, learn, rows: int,
     return found.select("s_order", "label", "d.text", *(f"d.{c}" for c in extra))
 
 
+#: A row whose features take more than this share of the bound in bytes is not learned from.
+ROW_SHARE = 64
+
+
 def collected(features: DataFrame, size, max_bytes: int) -> pd.DataFrame:
-    """The sample's features on the driver, by s_order, up to the row at which their ``size`` exceeds ``max_bytes``.
+    """The sample's features on the driver, by s_order: each row that, with those taken before it, is within ``max_bytes``.
 
-    So the driver's share is bounded in bytes as well as in rows, whatever the lengths of the texts.
+    A row of over a ROW_SHARE-th of the bound is passed over, as is one that no longer fits; later
+    ones go on being taken. So the driver's share is bounded in bytes as well as in rows, and no long
+    text keeps others from being learned. It is an error if rows there are, but none within the bound.
     """
     stored = materialize(features, "sample")
     sizes = stored.groupBy("s_order").agg(F.sum(size).alias("n")).toPandas().sort_values("s_order")  # a row a sampled id
-    fit = sizes["s_order"][sizes["n"].cumsum() <= max_bytes]
-    if fit.empty:
-        return stored.limit(0).toPandas()
-    return stored.where(F.col("s_order") <= int(fit.iloc[-1])).toPandas().sort_values("s_order", kind="stable")
+    taken, room = [], max_bytes
+    for s_order, n in zip(sizes["s_order"].tolist(), sizes["n"].tolist()):
+        if n <= min(room, max_bytes // ROW_SHARE):
+            taken.append(s_order)
+            room -= n
+    if len(sizes) and not taken:
+        raise ValueError(f"none of {len(sizes)} labelled rows is within {max_bytes // ROW_SHARE} bytes of features")
+    if len(taken) < len(sizes):
+        kept = stored.sparkSession.createDataFrame([(s,) for s in taken], "s_order long")
+        stored = stored.join(F.broadcast(kept), "s_order")
+    return stored.toPandas().sort_values("s_order", kind="stable")
