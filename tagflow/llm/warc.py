@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -24,8 +26,10 @@ from tagflow.llm.common import materialize, new_path
 
 ARCHIVE_BYTES = 8 << 20
 PIECE = 1 << 15
+#: Bytes of an archive read at a time, and how many of the next block come with each; rows a batch.
+BLOCK, PAST, BATCH_ROWS = 1 << 20, 16, 1_000
 MAGIC = b"\x1f\x8b\x08"
-VERSION = b"WARC/1."
+VERSION, HEADER_END = b"WARC/1.", b"\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = "kind string, path string, start long, stop long, reason string, record_id string, record_type string, uri string, refers_to string, payload_bytes long, payload_digest string"
 
@@ -59,22 +63,68 @@ def squeeze(record: bytes) -> bytes:
     return c.compress(record) + c.flush()
 
 
-def parse(data: bytes, at: int = 0) -> tuple[dict, int]:
+class Archive:
+    """The bytes of an archive, read block by block from ``read(offset, n)``.
+
+    Places that ``find`` met are remembered, so a search that moves on is linear over all its calls.
+    ``failed`` are the ends of headers whose record did not pass a check.
+    """
+
+    def __init__(self, size: int, read: Callable[[int, int], bytes]):
+        self.size, self._read = size, read
+        self._found: dict[bytes, tuple[int, int]] = {}
+        self.failed: set[int] = set()
+        self._block = lru_cache(maxsize=4)(lambda k: read(k * BLOCK, min(BLOCK + PAST, size - k * BLOCK)))
+
+    def read(self, at: int, n: int) -> bytes:
+        n = max(0, min(n, self.size - at))
+        k, inside = divmod(at, BLOCK)
+        if n and inside + n <= BLOCK + PAST:
+            return self._block(k)[inside : inside + n]
+        return self._read(at, n) if n else b""
+
+    def find(self, what: bytes, at: int) -> int:
+        """The first place of ``what``, at most PAST bytes long, from ``at`` on; the size where there is none."""
+        low, place = self._found.get(what, (1, 0))
+        if not low <= at <= place:
+            place = self.size
+            for k in range(at // BLOCK, -(-self.size // BLOCK)):
+                here = self._block(k).find(what, max(0, at - k * BLOCK), BLOCK + len(what) - 1)
+                if here >= 0:
+                    place = k * BLOCK + here
+                    break
+            self._found[what] = (at, place)
+        return place
+
+
+def whole(data: bytes) -> Archive:
+    return Archive(len(data), lambda at, n: data[at : at + n])
+
+
+def parse(data: Archive, at: int = 0) -> tuple[dict, int]:
     """(record, its end) at ``at``; ValueError names the check that failed."""
-    if not data.startswith(VERSION, at):
+    if data.read(at, len(VERSION)) != VERSION:
         raise ValueError("no version line")
-    end = data.find(b"\r\n\r\n", at)
-    if end < 0:
+    end = data.find(HEADER_END, at)
+    if end == data.size:
         raise ValueError("no end of header")
-    lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
+    try:
+        return _checked(data, at, end)
+    except ValueError:
+        data.failed.add(end)
+        raise
+
+
+def _checked(data: Archive, at: int, end: int) -> tuple[dict, int]:
+    lines = data.read(at, end - at).decode("utf-8", "replace").split("\r\n")[1:]
     head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
     if not head.get("content-length", "").isdigit():
         raise ValueError("no content length")
     size, body = int(head["content-length"]), end + 4
-    block = data[body : body + size]
-    if len(block) < size or data[body + size : body + size + 4] != b"\r\n\r\n":
+    if body + size > data.size or data.read(body + size, 4) != HEADER_END:
         raise ValueError("wrong content length")
-    http, gap, payload = block.partition(b"\r\n\r\n")
+    block = data.read(body, size)
+    http, gap, payload = block.partition(HEADER_END)
     kind, digest = head.get("warc-type"), head.get("warc-payload-digest", "").removeprefix("sha1:")
     if kind == "response" and digest and digest != digest_of(payload):
         raise ValueError("wrong payload digest")
@@ -91,38 +141,53 @@ def parse(data: bytes, at: int = 0) -> tuple[dict, int]:
     return out, body + size + 4
 
 
-def _member(data: bytes, at: int) -> tuple[dict, int]:
+def _member(data: Archive, at: int) -> tuple[dict, int]:
     """(record, end offset) of the gzip member at ``at``, read piece by piece."""
     d, got, pos = zlib.decompressobj(31), [], at
     try:
         while not d.eof:
-            if pos >= len(data):
+            if pos >= data.size:
                 raise ValueError("gzip: member without end")
-            got.append(d.decompress(data[pos : pos + PIECE]))
+            got.append(d.decompress(data.read(pos, PIECE)))
             pos += PIECE
     except zlib.error as e:
         raise ValueError(f"gzip: {e}") from None
     raw = b"".join(got)
-    record, size = parse(raw)
+    record, size = parse(whole(raw))
     if size != len(raw):
         raise ValueError("bytes after the record")
-    return record, min(pos, len(data)) - len(d.unused_data)
+    return record, min(pos, data.size) - len(d.unused_data)
 
 
-def _starts_well(data: bytes, at: int) -> bool:
-    try:
-        return zlib.decompressobj(31).decompress(data[at : at + 512], 16).startswith(VERSION)
-    except zlib.error:
+def _may_start(data: Archive, at: int) -> bool:
+    """Whether a whole record at ``at`` is worth reading, by a few bytes.
+
+    A member must unpack to a version line. A version line must end in CRLF, have an end of header
+    that no record failed at, and no line between that is a version line itself: of several before
+    one end only the last can begin a record.
+    """
+    if data.read(at, 3) == MAGIC:
+        try:
+            return zlib.decompressobj(31).decompress(data.read(at, 512), 16).startswith(VERSION)
+        except zlib.error:
+            return False
+    line = data.read(at, len(VERSION) + 3)
+    if not (line[len(VERSION) : -2].isdigit() and line.endswith(b"\r\n")):
         return False
+    end = data.find(HEADER_END, at)
+    return end < data.size and end not in data.failed and data.find(b"\n" + VERSION, at) > end
 
 
-def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str]]:
+def salvage(data: bytes | Archive) -> Iterator[tuple[str, int, int, dict | str]]:
     """('record', start, stop, record) and ('gap', start, stop, reason), in order, without overlap.
 
-    Together they cover ``data``. Compressed and plain stretches may follow one another.
+    Together they cover ``data``. Compressed and plain stretches may follow one another. The search
+    after a failed check is linear in the bytes, whatever they hold, but for records inside records
+    that pass all checks save the digest.
     """
-    at, n, last_end = 0, len(data), data.rfind(b"\r\n\r\n")
-    read = lambda k: _member(data, k) if data[k : k + 3] == MAGIC else parse(data, k)
+    data = whole(data) if isinstance(data, bytes) else data
+    at, n = 0, data.size
+    read = lambda k: _member(data, k) if data.read(k, 3) == MAGIC else parse(data, k)
     while at < n:
         try:
             record, stop = read(at)
@@ -132,20 +197,14 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str]]:
         except ValueError as e:
             reason = str(e)
         stop = at
-        while True:
-            hits = [x for x in (data.find(MAGIC, stop + 1), data.find(VERSION, stop + 1)) if x >= 0]
-            if not hits:
-                stop = n
-                break
-            stop = min(hits)
-            packed = data[stop : stop + 3] == MAGIC
-            if not _starts_well(data, stop) if packed else stop > last_end:
-                continue  # a version line beyond the last blank line can't be a record's
-            try:
-                read(stop)
-                break
-            except ValueError:
-                continue
+        while stop < n:
+            stop = min(data.find(MAGIC, stop + 1), data.find(VERSION, stop + 1))
+            if stop < n and _may_start(data, stop):
+                try:
+                    read(stop)
+                    break
+                except ValueError:
+                    continue
         yield "gap", at, stop, reason
         at = stop
 
@@ -200,23 +259,34 @@ def write_archives(planned: DataFrame, folder: str) -> DataFrame:
 def read_archives(spark: SparkSession, folder: str, with_payload: bool = False, files: DataFrame | None = None) -> DataFrame:
     """Records and gaps of all archives in ``folder`` (or only those that ``files`` names).
 
-    ``kind`` is record or gap; a gap has its reason and byte range and no record fields.
+    ``kind`` is record or gap; a gap has its reason and byte range and no record fields. Archives are
+    read block by block where the records are made, so a task holds a record and a few blocks,
+    whatever the size of its archives. An empty folder, or an empty archive, gives no rows.
     """
     schema = RECORD + ", payload binary" * with_payload
     names = [x.split()[0] for x in schema.split(", ")]
+    kinds = {"start": pa.int64(), "stop": pa.int64(), "payload_bytes": pa.int64(), "payload": pa.binary()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch_of = lambda rows: pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in rows], kinds.get(c, pa.string())) for c in names], names=names)
         for b in batches:
-            for path, content in zip(b.column(0).to_pylist(), b.column(1)):
-                rows: list[dict] = []
-                for kind, start, stop, what in salvage(content.as_py()):
-                    rows.append({"kind": kind, "path": path, "start": start, "stop": stop} | (what if kind == "record" else {"reason": what}))
-                kinds = {"start": pa.int64(), "stop": pa.int64(), "payload_bytes": pa.int64(), "payload": pa.binary()}
-                yield pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in rows], kinds.get(c, pa.string())) for c in names], names=names)
-
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc*").load(folder).select("path", "content")
+            for path in b.column(0).to_pylist():
+                store, place = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+                with store.open_input_file(place) as f:
+                    rows, size = [], 0
+                    for kind, start, stop, what in salvage(Archive(f.size(), lambda at, n: f.read_at(n, at))):  # noqa: B023
+                        rows.append({"kind": kind, "path": path, "start": start, "stop": stop} | (what if kind == "record" else {"reason": what}))
+                        if not with_payload:
+                            rows[-1].pop("payload", None)
+                        size += len(rows[-1].get("payload") or b"")
+                        if len(rows) == BATCH_ROWS or size > BLOCK:
+                            yield batch_of(rows)
+                            rows, size = [], 0
+                    yield batch_of(rows)
+
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc*").load(folder).select("path")
     if files is not None:
-        found = found.withColumn("file", F.element_at(F.split("path", "/"), -1)).join(files.select("file"), "file", "left_semi").select("path", "content")
+        found = found.withColumn("file", F.element_at(F.split("path", "/"), -1)).join(files.select("file"), "file", "left_semi").select("path")
     return found.mapInArrow(run, schema)
 
 
