@@ -3,12 +3,13 @@
 A word's vector is the sum of four hashed embeddings: two of the word, so that two words share them
 only if they collide twice, and two of its beginnings, so that unknown forms of a stem are known. Filters of one to three words run over the whole text; the maximum of
 each goes to a logistic output. Training keeps the places of the maxima, so a step touches those
-words alone. Decision thresholds are calibrated by language on rows that training did not see; the
+words alone, and ends when the loss on rows that it does not see stops falling. Decision thresholds are calibrated by language on those rows; the
 score itself never reads the language.
 """
 
 from __future__ import annotations
 
+import copy
 import zlib
 from collections.abc import Iterator
 
@@ -25,8 +26,10 @@ from tagflow.llm.labelled import collected, sample
 SAMPLE_ROWS = 8_000
 SAMPLE_BYTES = 160 << 20
 DIM, FILTERS, WIDTHS = 8, 8, (1, 2, 3)
-#: Training takes so many steps of BATCH texts, whatever the sample's size.
+#: Training takes at most so many steps of BATCH texts; every LOOK steps the rows that it does not see are
+#: scored, and it ends once their loss has not fallen PATIENCE times by a 20th, with the model of the least loss.
 STEPS, BATCH, RATE = 800, 64, 0.05
+LOOK, PATIENCE = 200, 1
 #: A language's threshold is fitted to its own rows and to those of all languages, which together weigh as many rows as this.
 SHARED_ROWS = 40
 THRESHOLD = 0.3
@@ -115,8 +118,16 @@ class Cnn:
         z = np.maximum(self.pooled(hashes), 0) @ self.v + self.c
         return 1 / (1 + np.exp(-np.clip(z.astype(np.float64), -30, 30)))
 
-    def fit(self, hashes: list[np.ndarray], y: np.ndarray, seed: int = 11) -> None:
+    def loss(self, hashes: list[np.ndarray], y: np.ndarray) -> float:
+        """Mean log loss."""
+        p = np.clip(self.score(hashes), 1e-6, 1 - 1e-6)
+        return float(-np.where(y == 1, np.log(p), np.log(1 - p)).mean())
+
+    def fit(self, hashes: list[np.ndarray], y: np.ndarray, unseen: tuple[list[np.ndarray], np.ndarray] | None = None, seed: int = 11) -> None:
+        """Train on ``hashes`` with 0/1 ``y``; ``unseen`` rows of both labels, if given, say when to stop."""
         r = np.random.default_rng(seed)
+        watch = unseen is not None and len(set(unseen[1].tolist())) == 2
+        best, kept, worse = np.inf, None, 0
         dense = {"b": self.b, "v": self.v, **{f"w{k}": w for k, w in self.w.items()}}
         seen = {k: np.full_like(p, 1e-3) for k, p in dense.items()}
         seen_c, seen_rows = 1e-3, [np.full(1 << 16, 1e-3, np.float32) for _ in self.tables]
@@ -126,22 +137,27 @@ class Cnn:
             dense[name] -= rate * grad / np.sqrt(seen[name])
 
         taken = 0
-        while taken < STEPS:
+        while taken < STEPS and worse < PATIENCE:
             order = r.permutation(len(hashes))
             for at in range(0, len(order), BATCH):
+                if watch and taken and taken % LOOK == 0:
+                    now = self.loss(*unseen)
+                    worse = 0 if now < 0.95 * best else worse + 1
+                    if now < best:
+                        best, kept = now, (copy.deepcopy(self.tables), {k: p.copy() for k, p in dense.items()}, self.c)
+                    if worse >= PATIENCE:
+                        break
                 pick, taken = order[at : at + BATCH], taken + 1
                 flat, x, starts = self.vectors([hashes[i] for i in pick])
                 z = self.responses(x)
-                top = np.maximum.reduceat(z, starts, axis=0)
+                place = np.array([a + z[a:b].argmax(0) for a, b in zip(starts, [*starts[1:], len(z)])])
+                top = z[place, np.arange(z.shape[1])]
                 act = np.maximum(top, 0)
                 p = 1 / (1 + np.exp(-np.clip(act @ self.v + self.c, -30, 30)))
                 err = ((p - y[pick]) / len(pick)).astype(np.float32)
                 down = err[:, None] * self.v * (top > 0)
-                text = np.repeat(np.arange(len(pick)), np.diff(np.r_[starts, len(z)]))
-                pos, f = np.nonzero(z == top[text])
-                _, first = np.unique(text[pos] * z.shape[1] + f, return_index=True)
-                pos, f, t = pos[first], f[first], text[pos[first]]
-                d = down[t, f]
+                t, f = np.nonzero(down)
+                pos, d = place[t, f], down[t, f]
                 step("v", err @ act)
                 seen_c += float(err.sum()) ** 2
                 self.c -= np.float32(RATE * err.sum() / np.sqrt(seen_c))
@@ -165,6 +181,10 @@ class Cnn:
                     np.add.at(g, inv, grad)
                     acc[rows] += (g * g).mean(1)
                     emb[rows] -= RATE * g / np.sqrt(acc[rows])[:, None]
+        if kept and self.loss(*unseen) > best:
+            self.tables, self.c = kept[0], kept[2]
+            for k, p in kept[1].items():
+                dense[k][:] = p
 
 
 def best_threshold(score: np.ndarray, y: np.ndarray, weight: np.ndarray, default: float = THRESHOLD) -> float:
@@ -176,7 +196,7 @@ def best_threshold(score: np.ndarray, y: np.ndarray, weight: np.ndarray, default
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str, learn, rows: int = SAMPLE_ROWS, max_bytes: int = SAMPLE_BYTES) -> Cnn:
-    """Learn from at most ``rows`` labelled rows and ``max_bytes`` of hashed words; every fifth row calibrates the thresholds only.
+    """Learn from at most ``rows`` labelled rows and ``max_bytes`` of hashed words; every fifth row calibrates the thresholds and says when to stop.
 
     Whole texts, null ones as empty; which rows, and what becomes of repeats, says ``sample``. With
     one label only, or no rows, every score is the smoothed share of ones.
@@ -191,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, learn, rows: int =
     hashes, y = [np.frombuffer(h, np.uint64) for h in got["h"]], got["label"].to_numpy(np.float32)
     model, check = Cnn(), np.arange(len(y)) % 5 == 4
     if len(set(y.tolist())) == 2:
-        model.fit([h for h, c in zip(hashes, check) if not c], y[~check])
+        model.fit([h for h, c in zip(hashes, check) if not c], y[~check], ([h for h, c in zip(hashes, check) if c], y[check]))
     else:
         model.v[:] = 0
         model.c = np.float32(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
