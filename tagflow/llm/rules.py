@@ -33,7 +33,11 @@ _ODD = np.random.default_rng(3).integers(1, 1 << 62, WINDOW, dtype=np.int64) | 1
 
 
 def measures(text: str) -> tuple[int, int, int, int, int]:
-    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words)."""
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words).
+
+    Windows of words are compared by sums of 64-bit hashes with random odd factors; two that differ
+    are alike with a chance of about 2 ** -62 a pair.
+    """
     words = text.encode("utf-8", "replace").split()
     n = len(words)
     seen: set[str] = set()
@@ -153,7 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, learn, rows: int =
 
 
 def judge(docs: DataFrame, model: Regression, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row: doc_id, the measures, base_failed, probability, kept.
+    """One row per row: doc_id, the measures, base_failed, kept, probability.
 
     Null and empty texts have no words and so fail; very long ones are read whole. Repeated rows and
     null ids keep their rows; a probability equal to the threshold keeps; an empty table gives no
@@ -172,7 +176,7 @@ def judge(docs: DataFrame, model: Regression, id_col: str = "doc_id", text_col:
     schema = "doc_id long, " + ", ".join(f"{x} long" for x in names) + ", probability double"
     out = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, schema)
     failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))
-    return out.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("probability") >= KEEP_FROM))
+    return out.select("doc_id", *names, failed.alias("base_failed"), (~failed & (F.col("probability") >= KEEP_FROM)).alias("kept"), "probability")
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

@@ -105,7 +105,7 @@ def test_op9_by_brute_force(spark, docs, labels):
         for keys, bits, weight in zip((w, pairs, chars), rules.BITS, model.weights):
             if keys:
                 z += rules.SCALE * np.mean([float(weight[((k * 2654435761) & 0xFFFFFFFF) >> (32 - bits)]) for k in keys])
-        p = 1 / (1 + np.exp(-(model.slope * z + model.shift)))
+        p = 1 / (1 + np.exp(-np.clip(model.slope * z + model.shift, -30, 30)))
         assert abs(o.probability - p) < 1e-4 and o.kept == (not failed and o.probability >= 0.3)
 
 
@@ -330,3 +330,74 @@ def test_katz_scores_other_texts_from_stored_tables(spark, docs, tmp_path, monke
     monkeypatch.undo()
     once = {r.doc_id: r for r in katz.score(docs, model).collect()}
     assert len(once) == docs.count() and all(abs(again[i].score - r.score) < 1e-6 * abs(r.score) and again[i].n_tokens == r.n_tokens for i, r in once.items())
+
+
+def test_long_rows_do_not_keep_others_from_being_learned(spark, monkeypatch):
+    from tagflow.llm import labelled
+
+    rows = [(i, f"good plain words number {i} stand here" if i % 2 else f"zz{i} ## ## && {i}") for i in range(40)]
+    ids = [r.s for r in spark.createDataFrame(rows, "doc_id long, text string").select(F.struct(F.xxhash64("doc_id"), "doc_id").alias("s")).orderBy("s").collect()]
+    first = ids[0][1]
+    long = [(i, " ".join(f"w{k}" for k in range(20_000)) if i == first else t) for i, t in rows]
+    y = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    taken = []
+    own = rules.fit
+    monkeypatch.setattr(rules, "fit", lambda sparse, y: taken.append(len(y)) or own(sparse, y))
+    for some in (rows, long):
+        rules.train(spark.createDataFrame(some, "doc_id long, text string"), y, "quality", F.lit(True), max_bytes=200_000)
+    assert taken == [40, 39]
+    d = spark.createDataFrame(long, "doc_id long, text string")
+    few = labelled.collected(labelled.sample(d, y, "quality", F.lit(True), 40), F.length("text"), 64 * 40)
+    assert 25 < len(few) and few["text"].str.len().max() <= 40
+    with pytest.raises(ValueError):
+        labelled.collected(labelled.sample(d, y, "quality", F.lit(True), 40), F.length("text"), 64)
+
+
+@pytest.mark.parametrize("n", [1_000_000])
+def test_repetitive_texts_take_a_window_a_shift(spark, n):
+    from corpus_pipeline import drop_leaked
+
+    item = " ".join(["word"] * 30)
+    d = spark.createDataFrame([(1, "word " * n), (2, "word " * 20), (3, "other words"), (4, f"a b {item}")], "doc_id long, text string")
+    b = spark.createDataFrame([(7, item), (8, "x " * 12 + " ".join(f"w{k}" for k in range(9)))], "item_id long, text string")
+    assert {tuple(x) for x in decontaminate.leaks(d, b).collect()} == {(1, 7, 30, 30), (2, 7, 20, 30), (4, 7, 30, 30)}
+    assert [r.doc_id for r in decontaminate.without_leaks(d, b).collect()] == [3] and callable(drop_leaked)
+
+
+def test_salvage_is_linear_and_streams(spark, tmp_path):
+    import time
+
+    whole = warc.record_bytes("urn:page:1", "u", b"p" * 100)
+    for junk in (b"WARC/1." * 700_000, b"WARC/1.1\r\n" * 400_000 + b"\r\n\r\n", b"X: WARC/1.1\r\n" * 300_000 + b"\r\n\r\n", b"\nWARC/1.1\r\nContent-Length: 3000000\r\n\r\n" * 90_000, b"\x1f\x8b\x08" * 700_000):
+        began = time.time()
+        out = [x[0] for x in warc.salvage(whole + junk + whole)]
+        assert out[0] == "record" and out.count("record") == 2 and time.time() - began < 40
+    # an archive far larger than what a reader may hold is read block by block
+    held, data = [], warc.squeeze(warc.record_bytes("urn:page:2", "u", random.Random(1).randbytes(300_000))) * 40
+    source = warc.Archive(len(data), lambda at, n: held.append(n) or data[at : at + n])
+    assert sum(x[0] == "record" for x in warc.salvage(source)) == 40 and max(held) <= warc.BLOCK + warc.PAST
+    folder = tmp_path / "w"
+    folder.mkdir()
+    (folder / "a.warc.gz").write_bytes(data[:-9] + b"x")
+    (folder / "b.warc").write_bytes(whole * 2500)
+    (folder / "c.warc").write_bytes(b"")
+    back = warc.read_archives(spark, f"file://{folder}", with_payload=True)
+    assert {(r.kind, r.n) for r in back.groupBy("kind").agg(F.count("*").alias("n")).collect()} == {("record", 2539), ("gap", 1)}
+
+
+def test_a_damaged_record_loses_no_other():
+    r = random.Random(2)
+    rows = [(f"urn:{i}", "".join(r.choices("ab \n", k=r.randrange(3000))).encode()) for i in range(200)]
+    for kind in range(3):
+        raw = [warc.record_bytes(i, "u", p) for i, p in rows]
+        raw = [warc.squeeze(x) if kind == 1 or (kind == 2 and k % 2) else x for k, x in enumerate(raw)]
+        ends, data = np.cumsum([len(x) for x in raw]), bytearray(b"".join(raw))
+        hurt = set()
+        for _ in range(15):
+            at = r.randrange(len(data))
+            data[at] ^= 0x5A
+            hurt.add(int(np.searchsorted(ends, at, "right")))
+        got = list(warc.salvage(bytes(data)))
+        assert got[0][1] == 0 and got[-1][2] == len(data) and all(a[2] == b[1] for a, b in zip(got, got[1:]))
+        kept = {x[3]["record_id"] for x in got if x[0] == "record"}
+        assert {f"urn:{k}" for k in range(200) if k not in hurt} <= kept
