@@ -13,17 +13,22 @@ from tagflow.sqlops import operator
 REF = r"^[A-Za-z0-9_:.-]+$"
 ZONED = r"(Z|[+-]\d\d:?\d\d)$"
 #: Fixed names: kinds of tagged objects that stand for their ``val``.
-VALUE_KINDS = ("ref", "number", "date", "time", "dateTime", "uri", "coord", "symbol")
+VALUE_KINDS = ("ref", "number", "date", "time", "uri", "coord", "symbol")
 LEADING = ("fsk", "id", "dis", "navName", "siteRef", "equipRef")
 
 
-def _body(c: Column) -> Column:
-    return F.split_part(F.when(c.startswith("r:"), F.substring(c, 3, 1 << 30)).otherwise(c), F.lit(" "), F.lit(1))
+def normalise_ref(c: Column) -> Column:
+    """The id of a reference in text: after ``r:`` the display name goes; null where what is left is not an id as a whole."""
+    body = F.when(c.startswith("r:"), F.split_part(F.substring(c, 3, 1 << 30), F.lit(" "), F.lit(1))).otherwise(c)
+    return F.when(body.rlike(REF), body)
 
 
-def normalise_ref(c: Column) -> Column:
-    """The id of a reference: ``r:`` and the display name go; null where what is left is not an id."""
-    return F.when(_body(c).rlike(REF), _body(c))
+def reference(v: Column) -> Column:
+    """The id of a reference in a variant: a text as in ``normalise_ref``, or the ``val`` of an object of kind ``ref``; else null."""
+    val = F.try_variant_get(v, "$.val", "variant")
+    inside = F.when((F.try_variant_get(v, "$._kind", "string") == "ref") & (F.schema_of_variant(val) == "STRING"), F.try_variant_get(val, "$", "string"))
+    text = F.when(F.schema_of_variant(v).startswith("OBJECT"), inside).when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
+    return normalise_ref(text)
 
 
 def legacy_ref(c: Column) -> Column:
@@ -36,6 +41,13 @@ def historized_flag(c: Column) -> Column:
     return F.when(c.isNull() | c.isin("", "false"), False).when(c.isin("true", "m:"), True)
 
 
+def historized_value(v: Column) -> Column:
+    """``historized_flag`` of a variant: a boolean, a text, a marker object; null for what is neither."""
+    shape = F.schema_of_variant(v)
+    text = historized_flag(F.try_variant_get(v, "$", "string"))
+    return F.when(v.isNull() | F.is_variant_null(v), False).when(shape == "BOOLEAN", F.try_variant_get(v, "$", "boolean")).when(shape == "STRING", text).when(F.try_variant_get(v, "$._kind", "string") == "marker", True)
+
+
 def historized_marker(c: Column, true_set: set[str], false_set: set[str]) -> Column:
     """``historized_flag`` with sets of one's own, of trimmed text in lower case; they must not overlap."""
     both = set(true_set) & set(false_set)
@@ -46,28 +58,55 @@ def historized_marker(c: Column, true_set: set[str], false_set: set[str]) -> Col
 
 
 def flatten_kind(c: Column) -> Column:
-    """Kinds of the older text form: ``m:`` is true, ``r:`` and ``n:`` the token, other ``x:`` the body.
+    """Kinds of the older text form: ``m:`` is true whatever follows, ``r:`` and ``n:`` the token, other ``x:`` the body.
 
     A plain string whose second character is a colon is taken for a kind as well.
     """
     body = F.substring(c, 3, 1 << 30)
-    return F.when(c == "m:", "true").when(c.startswith("r:") | c.startswith("n:"), F.split_part(body, F.lit(" "), F.lit(1))).when(F.substring(c, 2, 1) == ":", body).otherwise(c)
+    token = F.split_part(body, F.lit(" "), F.lit(1))
+    return F.when(F.substring(c, 2, 1) != ":", c).when(c.startswith("m:"), "true").when(c.startswith("r:") | c.startswith("n:"), token).otherwise(F.when(F.length(c) > 1, body).otherwise(c))
 
 
 def flatten_object(v: Column) -> Column:
     """Kinds of the newer form, objects with ``_kind``, as text: a marker is true, a kind with a value
-    its ``val`` (the whole object where it has none), any other object or list its JSON."""
+    its ``val`` (the whole object where it has no such field), a ``dateTime`` its ``val`` or null, any
+    other object or list its JSON. Texts are read as in ``flatten_kind``."""
     kind, shape = F.try_variant_get(v, "$._kind", "string"), F.schema_of_variant(v)
-    val = F.coalesce(F.try_variant_get(v, "$.val", "string"), F.to_json(v))
+    val = F.try_variant_get(v, "$.val", "variant")
+    as_text = lambda x: F.when(F.schema_of_variant(x).rlike("^(OBJECT|ARRAY)"), F.to_json(x)).otherwise(F.try_variant_get(x, "$", "string"))
     nested = shape.startswith("OBJECT") | shape.startswith("ARRAY")
-    return F.when(kind == "marker", "true").when(kind.isin(*VALUE_KINDS), val).when(nested, F.to_json(v)).otherwise(F.try_variant_get(v, "$", "string"))
+    return (
+        F.when(kind == "marker", "true").when(kind == "dateTime", as_text(val)).when(kind.isin(*VALUE_KINDS) & val.isNotNull(), as_text(val)).when(nested, F.to_json(v))
+        .when(shape == "STRING", flatten_kind(F.try_variant_get(v, "$", "string"))).otherwise(F.try_variant_get(v, "$", "string"))
+    )
 
 
 def instant_with_zone(c: Column) -> Column:
-    """The UTC instant of an ISO text that names its zone; null without a zone."""
+    """The instant of an ISO text that names its zone; null without a zone. The session's zone plays no part."""
     return F.when(c.rlike(ZONED), F.try_to_timestamp(c))
 
 
+def utc_clock(instant: Column) -> Column:
+    """An instant as what a clock in UTC shows, whatever the session's zone."""
+    seconds = (F.unix_micros(instant).cast("decimal(24,6)") / 1_000_000).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
+def instant_of(clock: Column) -> Column:
+    """The instant at which a clock in UTC shows ``clock``, whatever the session's zone."""
+    return F.make_timestamp(F.year(clock), F.month(clock), F.dayofmonth(clock), F.hour(clock), F.minute(clock), F.date_part(F.lit("SECOND"), clock), F.lit("UTC"))
+
+
+def local_clock(clock: Column, zone: str) -> Column:
+    """What a clock in ``zone`` shows when one in UTC shows ``clock``."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), clock)
+
+
+def local_midnight(day: Column, zone: str) -> Column:
+    """What a clock in UTC shows at midnight of a day in ``zone``."""
+    return F.convert_timezone(F.lit(zone), F.lit("UTC"), day.cast("timestamp_ntz"))
+
+
 def _is_number(shape: Column) -> Column:
     return shape.startswith("BIGINT") | shape.startswith("DECIMAL") | shape.startswith("DOUBLE")
 
@@ -111,12 +150,12 @@ def coerce_live_value(v: Column) -> Column:
 
 
 def ref_list(v: Column) -> Column:
-    """array<string> of unique ids: of a list its references, of one reference that one, else none.
+    """array<string> of unique ids: of a list its references, texts or objects; of one reference in text that one, else none.
 
-    Null (invalid) where a list repeats an id or holds what is no reference.
+    Null (invalid) where a list repeats an id or holds what is no reference, or a text after ``r:`` is none.
     """
     shape = F.schema_of_variant(v)
-    many = F.transform(F.try_variant_get(v, "$", "array<string>"), normalise_ref)
+    many = F.transform(F.try_variant_get(v, "$", "array<variant>"), reference)
     bad = F.exists(many, lambda x: x.isNull()) | (F.size(F.array_distinct(many)) < F.size(many))
     one = F.try_variant_get(v, "$", "string")
     none = F.array().cast("array<string>")
@@ -124,10 +163,34 @@ def ref_list(v: Column) -> Column:
     return F.when(shape.startswith("ARRAY"), F.when(F.size(many) == 0, none).when(~bad, many)).when(shape == "STRING", single).otherwise(none)
 
 
+def canonical(**cols: Column) -> Column:
+    """The canonical JSON of named columns: names sorted, nulls kept. Pass decimals, not doubles."""
+    return F.to_json(F.struct(*(cols[k].alias(k) for k in sorted(cols))), {"ignoreNullFields": "false"})
+
+
 def row_hash(**cols: Column) -> Column:
-    """SHA-256 of the canonical JSON of named columns: names sorted, nulls kept. Pass decimals, not doubles."""
-    text = F.to_json(F.struct(*(cols[k].alias(k) for k in sorted(cols))), {"ignoreNullFields": "false"})
-    return F.sha2(text, 256)
+    """SHA-256 of the canonical JSON of named columns."""
+    return F.sha2(canonical(**cols), 256)
+
+
+#: Fixed names: fields of a sample that its hash is of; those of the source count only where they are set.
+SAMPLE_FIELDS = ("point_id", "observed_at", "value_kind", "val_bool", "val_str", "val_num", "val_na")
+SOURCE_FIELDS = ("source_timestamp", "source_timezone", "source_status")
+
+
+def observation_line(df: DataFrame) -> Column:
+    """The canonical JSON of a sample, by its whole typed value and what the source said of it; absent columns are null."""
+    text = {"observed_at": F.concat(F.col("observed_at").cast("timestamp_ntz").cast("string"), F.lit("Z")), "val_num": F.col("val_num").cast("string")}
+    cols = {k: text.get(k, F.col(k)) if k in df.columns else F.lit(None).cast("string") for k in (*SAMPLE_FIELDS, *SOURCE_FIELDS)}
+    line = F.to_json(F.struct(*(cols[k].alias(k) for k in sorted(cols))), {"ignoreNullFields": "false"})
+    for k in SOURCE_FIELDS:  # quotes inside values are escaped, so this text is only ever a field
+        line = F.replace(line, F.lit(f',"{k}":null'), F.lit(""))
+    return line
+
+
+def observation_hash(df: DataFrame) -> Column:
+    """SHA-256 of a sample's canonical JSON."""
+    return F.sha2(observation_line(df), 256)
 
 
 def detection_key(tenant: Column, project: Column, site: Column, equipment: Column, rule: Column, day: Column, zone: Column) -> Column:
@@ -147,6 +210,13 @@ def flatten_objects(json):
     return json.select("row_no", flatten_object(F.try_parse_json("j")).alias("flat"))
 
 
+@operator
+def typed_references(marks):
+    """Ids and markers of values as landed JSON has them; null is invalid."""
+    v = F.try_parse_json("j")
+    return marks.select("row_no", reference(v).alias("ref"), historized_value(v).alias("historized"))
+
+
 @operator
 def normalise_refs(tagged):
     """Ids of references, strict and legacy."""
@@ -184,7 +254,7 @@ def instants(stamps):
     """UTC instants of texts that name their zone, and texts and zones as they came; others are invalid."""
     at = instant_with_zone(F.col("stamp"))
     zone = F.when(at.isNotNull(), F.regexp_extract("stamp", ZONED, 1))
-    return stamps.select("row_no", "stamp", zone.alias("source_timezone"), at.cast("timestamp_ntz").alias("observed_at"))
+    return stamps.select("row_no", "stamp", zone.alias("source_timezone"), utc_clock(at).alias("observed_at"))
 
 
 @operator

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagflow.functions.normalize import detection_key
+from tagflow.functions.normalize import detection_key, instant_with_zone, utc_clock
 from tagflow.sqlops import Operator, operator
 
 
@@ -59,11 +59,14 @@ def history_columns(plan, columns):
 
 @operator
 def history_rows(plan, rows, max_observations=60):
-    """Samples of each batch: inside the half-open window, of requested points, unique by point and instant, within the cap."""
-    start, end = (F.to_timestamp_ntz(F.substring(c, 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss")) for c in ("window_start", "window_end"))
+    """Samples of each batch: inside the half-open window, of requested points, unique by point and instant, within the cap.
+
+    Windows are texts with their zone, whatever it is; a window without one is a fault of its batch.
+    """
+    start, end = (utc_clock(instant_with_zone(_c(c))) for c in ("window_start", "window_end"))
     own = rows.join(plan.select("batch_id", "scope", start.alias("s"), end.alias("e")), "batch_id")
     keys = own.groupBy("batch_id", "point_id", "observed_at").agg(
-        F.count("*").alias("n"), F.max((_c("observed_at") < _c("s")) | (_c("observed_at") >= _c("e"))).alias("late"), F.max(~F.array_contains("scope", _c("point_id"))).alias("stray")
+        F.count("*").alias("n"), F.max(F.coalesce((_c("observed_at") < _c("s")) | (_c("observed_at") >= _c("e")), F.lit(True))).alias("late"), F.max(~F.array_contains("scope", _c("point_id"))).alias("stray")
     )
     found = keys.groupBy("batch_id").agg(F.bool_or("late").alias("late"), F.bool_or("stray").alias("stray"), (F.max("n") > 1).alias("again"), F.sum("n").alias("n"))
     df = plan.select("batch_id").join(found, "batch_id", "left").fillna(False, ["late", "stray", "again"]).fillna(0, ["n"])
@@ -110,7 +113,10 @@ def rules_coverage(plan, pages):
 
 @operator
 def rules_rows(plan, found, project="1001", zones=("UTC",)):
-    """Detections of each day: of requested equipment, of the project (or none named), of that day and zone, with a value, each identity once."""
+    """Detections of each day: of requested equipment, of the project (or none named), of that day and zone, with a value, each identity once.
+
+    A day without detections is sound.
+    """
     own = found.join(plan.select("batch_id", "scope", "day", "site_ref", "timezone"), "batch_id")
     key = detection_key(F.lit("t"), F.lit(project), _c("site_ref"), _c("equipment_id"), _c("rule_id"), _c("day"), _c("timezone"))
     keys = own.groupBy("batch_id", key.alias("key")).agg(
@@ -118,6 +124,7 @@ def rules_rows(plan, found, project="1001", zones=("UTC",)):
         F.bool_or((_c("found_day").cast("date") != _c("day")) | ~_c("tz").isin(*zones)).alias("day"), F.bool_or(_c("spark").isNull()).alias("spark"),
     )
     batch = keys.groupBy("batch_id").agg(*(F.bool_or(x).alias(x) for x in ("target", "project", "day", "spark")), (F.max("n") > 1).alias("again"))
+    batch = plan.select("batch_id").join(batch, "batch_id", "left").fillna(False, ["target", "project", "day", "spark", "again"])
     return verdict(batch, (_c("target"), "target"), (_c("project"), "project"), (_c("day"), "day_or_zone"), (_c("spark"), "no_value"), (_c("again"), "duplicate_detection"))
 
 
@@ -147,64 +154,76 @@ def drop_boundary(history, start="2024-01-05 00:00:00", end="2024-01-20 00:00:00
 
 
 @operator
-def size_caps(points, max_rows=600, max_bytes=6_000, max_entities=560, max_historized=400):
-    """Rows, bytes, distinct entities and historised points by site, and the first cap that is exceeded."""
-    size = F.octet_length(F.concat("id", "siteRef", "equipRef"))
-    got = points.groupBy("siteRef").agg(F.count("*").alias("n_rows"), F.sum(size).alias("bytes"), F.count_distinct("id").alias("entities"), F.count_if("historized").alias("historized"))
-    return got.withColumn("reason", first_fault((_c("n_rows") > max_rows, "rows"), (_c("bytes") > max_bytes, "bytes"), (_c("entities") > max_entities, "entities"), (_c("historized") > max_historized, "historized")))
-
-
-@operator
-def quarantine_split(rows, verdicts):
-    """Rows with their batch's verdict; a row of a batch without one is quarantined."""
-    return rows.join(verdicts.select("batch_id", "ok"), "batch_id", "left").select("batch_id", "row_no", "point_id", "observed_at", F.coalesce("ok", F.lit(False)).alias("ok"))
-
-
-accepted_rows = Operator("SELECT batch_id, row_no, point_id, observed_at FROM {split} WHERE ok", "Rows of batches without a fault.")
+def size_caps(plan, rows, max_rows=30, max_bytes=1_200, max_entities=7):
+    """Rows, bytes of their JSON lines and distinct points by batch, and the first cap that is exceeded; a batch without rows is within all.
 
+    Null fields count as they are written, so one of them does not hide a row's bytes.
+    """
+    line = F.to_json(F.struct("point_id", "row_no", "value_kind"), {"ignoreNullFields": "false"})
+    got = rows.groupBy("batch_id").agg(F.count("*").alias("n_rows"), F.sum(F.octet_length(line) + 1).alias("bytes"), F.count_distinct("point_id").alias("entities"))
+    df = plan.select("batch_id").join(got, "batch_id", "left").fillna(0, ["n_rows", "bytes", "entities"])
+    return df.withColumn("reason", first_fault((_c("n_rows") > max_rows, "rows"), (_c("bytes") > max_bytes, "bytes"), (_c("entities") > max_entities, "entities")))
 
-@operator
-def sink_guard(plan, rows, verdicts, columns_ok):
-    """What may be written: rows of batches that pass receipt, columns and rows, checked once more by key and hash.
 
-    Gives (batch_id, ok, reason, n_rows, checksum): the checksum is of the sorted hashes of the rows' keys.
-    """
-    good = verdicts.where("ok").select("batch_id").intersect(columns_ok.where("ok").select("batch_id"))
-    again = history_rows(plan=plan, rows=rows)
-    key = F.sha2(F.concat_ws("|", "point_id", F.date_format("observed_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")), 256)
-    sizes = rows.groupBy("batch_id").agg(F.count("*").alias("n_rows"))
-    sound = rows.join(again.where("ok").select("batch_id"), "batch_id", "left_semi")  # so within the cap
-    sums = sound.select("batch_id", key.alias("h")).groupBy("batch_id").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), "\n"), 256).alias("checksum"))
-    df = again.join(good.withColumn("covered", F.lit(True)), "batch_id", "left").join(sizes, "batch_id", "left").join(sums, "batch_id", "left")
-    reason = F.when(_c("covered").isNull(), "no_coverage").otherwise(_c("reason"))
-    return df.select("batch_id", (reason == "").alias("ok"), reason.alias("reason"), F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"), F.when(reason == "", _c("checksum")).alias("checksum"))
+#: Links from sound to worst.
+LINKS = ("linked", "parent_elsewhere", "unknown_parent", "duplicate", "two_sites")
 
 
-@operator
-def entity_links(entities):
-    """Entities by site and the first fault of their links: an id twice in its kind, an id in two sites, a parent unknown or elsewhere."""
+def linked(entities: DataFrame) -> DataFrame:
+    """Entities with ``link``, the first fault: an id twice in its kind, an id in two sites, a parent unknown or elsewhere."""
     same = entities.groupBy("kind", "source_id").agg(F.count("*").alias("n"), F.count_distinct("site_ref").alias("sites"))
     parents = entities.where("kind = 'equipment'").groupBy(_c("source_id").alias("parent_id")).agg(F.min("site_ref").alias("parent_site"))
     df = entities.join(same, ["kind", "source_id"]).join(parents, "parent_id", "left")
     lonely = (_c("kind") == "point") & _c("parent_id").isNotNull()
     link = F.when(_c("sites") > 1, "two_sites").when(_c("n") > 1, "duplicate").when(lonely & _c("parent_site").isNull(), "unknown_parent").when(lonely & (_c("parent_site") != _c("site_ref")), "parent_elsewhere").otherwise("linked")
-    return df.groupBy("site_ref", "kind", link.alias("link")).agg(F.count("*").alias("n"))
+    return df.withColumn("link", link)
 
 
 @operator
-def entity_shape(entities):
-    """Entities whose fields contradict one another, with the first fault; sound ones have none."""
+def entity_links(entities):
+    """Entities by site and the first fault of their links."""
+    return linked(entities).groupBy("site_ref", "kind", "link").agg(F.count("*").alias("n"))
+
+
+@operator
+def entity_link_verdicts(entities):
+    """Sites by the worst of their entities' links."""
+    worst = F.max(F.array_position(F.array(*map(F.lit, LINKS)), _c("link")))
+    site = linked(entities).groupBy(_c("site_ref").alias("batch_id")).agg(worst.cast("int").alias("w"))
+    return site.select("batch_id", (_c("w") == 1).alias("ok"), F.when(_c("w") == 1, "").otherwise(F.get(F.array(*map(F.lit, LINKS)), _c("w") - 1)).alias("reason"))
+
+
+def _shape() -> Column:
     equipment = _c("kind") == "equipment"
-    return entities.select("kind", "source_id", first_fault(
+    return first_fault(
         (equipment & _c("parent_id").isNotNull(), "equipment_parent"), (equipment & _c("historized"), "equipment_historized"), (equipment & _c("site_level").isNotNull(), "equipment_site_level"),
         (~equipment & (_c("site_level") != _c("parent_id").isNull()), "site_level"), (~equipment & (_c("historized") != (_c("his") == "m:")), "historized"),
-    ).alias("fault"))
+    )
+
+
+@operator
+def entity_shape(entities):
+    """Entities whose fields contradict one another, with the first fault; sound ones have none."""
+    return entities.select("kind", "source_id", _shape().alias("fault"))
+
+
+@operator
+def entity_shape_verdicts(entities):
+    """Sites by the first fault of their entities' shapes, by name."""
+    site = entities.groupBy(_c("site_ref").alias("batch_id")).agg(F.min(F.when(_shape() != "", _shape())).alias("fault"))
+    return site.select("batch_id", _c("fault").isNull().alias("ok"), F.coalesce("fault", F.lit("")).alias("reason"))
 
 
 @operator
-def completion_scope(jobs, certifications):
-    """By run and site: whether the certified batches are, each once, all leaves that were expected."""
-    leaf = jobs.where("status <> 'split'").select("run_id", "site_ref", "batch_id")
-    done = certifications.groupBy("batch_id").agg(F.count("*").alias("times"))
-    got = leaf.join(done, "batch_id", "left").groupBy("run_id", "site_ref").agg(F.count("*").alias("expected"), F.count("times").alias("completed"), F.count_if(_c("times") > 1).alias("twice"))
-    return got.withColumn("ok", (_c("expected") == _c("completed")) & (_c("twice") == 0))
+def completion_scope(jobs, completed):
+    """Completions against their batch, the first fault: an id twice, ids that are not those expected, a target of another kind.
+
+    ``jobs`` have feed, site_ref, scope and target; a metadata batch is expected to complete its site, another one its scope.
+    ``completed`` have batch_id, ids and target. A batch without a completion has ``none``.
+    """
+    done = completed.select("batch_id", "ids", _c("target").alias("got"), F.lit(True).alias("told"))
+    expected = F.when(_c("feed") == "metadata", F.array("site_ref")).otherwise(_c("scope"))
+    same = F.array_sort(F.array_distinct("ids")) == F.array_sort(F.array_distinct(expected))
+    df = jobs.join(done, "batch_id", "left")
+    reason = F.when(_c("told").isNull(), "none").otherwise(first_fault((F.size(F.array_distinct("ids")) != F.size("ids"), "twice"), (~same, "scope"), (_c("got") != _c("target"), "target")))
+    return df.select("batch_id", "feed", (reason == "").alias("ok"), reason.alias("reason"))

@@ -11,6 +11,8 @@ from tagflow.operators.rollup import chunks
 from tagflow.sqlops import operator
 
 _c = F.col
+#: Rule days that a spine may have: a century's.
+MOST_DAYS = 36_525
 
 
 def _turns(real: DataFrame) -> DataFrame:
@@ -77,7 +79,8 @@ def fan_out_rules(virtual, detections):
 
 def five_minutes(at):
     """Column: the start of the five-minute window of ``at``."""
-    return F.timestamp_seconds(F.floor(F.unix_timestamp(at) / 300) * 300).cast("timestamp_ntz")
+    at = F.col(at) if isinstance(at, str) else at
+    return at - F.make_dt_interval(mins=F.minute(at) % 5, secs=F.date_part(F.lit("SECOND"), at))
 
 
 @operator
@@ -130,9 +133,11 @@ def site_group_batches(virtual, size=30, groups=2):
 
 @operator
 def rule_scope_coverage(entities, detections):
-    """Every equipment on each rule day, with its detections or none. Days are dates of a calendar, so few whatever the tables hold."""
+    """Every equipment on each rule day, with its detections or none. The distinct days are one list, of at most MOST_DAYS."""
     found = detections.groupBy(_c("targetRef").alias("source_id"), "rule_date").agg(F.count("*").alias("n"))
-    spine = entities.select("source_id").crossJoin(F.broadcast(detections.select("rule_date").distinct()))
+    days = found.agg(F.array_sort(F.collect_set("rule_date")).alias("d"))
+    few = days.select(F.when(F.size("d") <= MOST_DAYS, _c("d")).otherwise(F.raise_error(F.lit("too many days")).cast("array<date>")).alias("d"))
+    spine = entities.select("source_id").crossJoin(few).select("source_id", F.explode("d").alias("rule_date"))
     return spine.join(found, ["source_id", "rule_date"], "left").select("source_id", "rule_date", F.coalesce("n", F.lit(0)).cast("long").alias("detections"), F.when(_c("n").isNull(), "none").otherwise("attached").alias("queried"))
 
 

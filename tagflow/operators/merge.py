@@ -14,57 +14,82 @@ _c = F.col
 POLICIES = ("reject", "append_revision")
 
 
-def _value_hash(df: DataFrame) -> DataFrame:
-    return df.withColumn("row_hash", row_hash(point_id=_c("point_id"), val_num=_c("val_num").cast("string")))
+#: The key of an observation.
+KEY = ["tenant_id", "project_id", "point_id", "observed_at"]
 
 
-@operator
-def merge_history(base, staged, policy="append_revision"):
-    """What becomes of each staged sample: insert (new key), ignore (same key and hash) or, on another hash, by policy.
+def _marked(rows: DataFrame, batches: DataFrame, why: str) -> DataFrame:
+    """``rows`` with ``reason`` where their batch is among ``batches`` and has none yet."""
+    bad = batches.select("batch_id").distinct().withColumn("_bad", F.lit(why))
+    return rows.join(bad, "batch_id", "left").withColumn("reason", F.coalesce("reason", "_bad")).drop("_bad")
+
 
-    ``append_revision`` keeps it as a revision beside the base, ``reject`` refuses the staged batch (a
-    day's samples) as a whole. Keys staged twice with one hash count once.
+def merged(base: DataFrame, staged: DataFrame, policy: str = "append_revision") -> DataFrame:
+    """``staged`` with what becomes of each sample, ``action``, and why its batch is refused, ``reason`` (else null).
+
+    insert: a new key; ignore: the key is stored with the same hash; on another hash ``append_revision``
+    makes a revision beside the base, and ``reject`` refuses the whole batch (``conflict``). A batch that
+    holds a key twice is refused under either policy (``double_key``), whatever the values. Of batches
+    that are staged together and share a key the first by ``batch_id`` comes first; under ``reject`` a
+    later one that contradicts it is refused, whatever becomes of the first.
+    Both sides have the key, ``row_hash`` (the stored one, not computed again), and ``staged`` a batch_id.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy is one of {POLICIES}")
-    key = ["point_id", "observed_at"]
-    new = _value_hash(staged.select("row_no", *key, "val_num")).dropDuplicates([*key, "row_hash"])
-    old = _value_hash(base.select(*key, "val_num")).select(*key, _c("row_hash").alias("stored"), F.lit(True).alias("known"))
-    both = new.join(old, key, "left")
-    action = F.when(_c("known").isNull(), "insert").when(_c("row_hash") == _c("stored"), "ignore").otherwise("revision")
-    told = both.withColumn("action", action)
+    twice = staged.groupBy("batch_id", *KEY).agg(F.count("*").alias("n")).where("n > 1")
+    stored = base.select(*KEY, _c("row_hash").alias("stored_hash"))
+    told = _marked(staged.withColumn("reason", F.lit(None).cast("string")), twice, "double_key").join(stored, KEY, "left")
+    by = Window.partitionBy(*KEY, _c("reason").isNull()).orderBy("batch_id")
+    first = F.first("row_hash").over(by)
     if policy == "reject":
-        refused = told.where("action = 'revision'").select(F.to_date("observed_at").alias("day")).distinct()
-        told = told.withColumn("day", F.to_date("observed_at")).join(refused.withColumn("no", F.lit(True)), "day", "left").withColumn("action", F.when(_c("no"), "refused").otherwise(_c("action")))
-    return told.select("row_no", *key, "val_num", "row_hash", "action")
+        told = _marked(told, told.where("reason IS NULL AND stored_hash <> row_hash"), "conflict")
+        told = _marked(told, told.withColumn("first", first).where("reason IS NULL AND first <> row_hash"), "conflict")
+    at = told.withColumns({"first": F.coalesce("stored_hash", first), "place": F.row_number().over(by)})
+    action = F.when(_c("reason").isNotNull(), "refused").when(_c("stored_hash").isNull() & (_c("place") == 1), "insert").when(_c("row_hash") == _c("first"), "ignore").otherwise("revision")
+    return at.withColumn("action", action).drop("first", "place", "stored_hash")
+
+
+@operator
+def merge_history(base, staged, policy="append_revision"):
+    """What becomes of each staged sample, as in ``merged``."""
+    told = merged(base, staged, policy)
+    return told.select("row_no", "batch_id", "point_id", "observed_at", "row_hash", "action", F.coalesce("reason", F.lit("")).alias("reason"))
 
 
 @operator
-def history_revisions(merged, revisions):
-    """The revisions to append: those of the merge that are not stored yet."""
+def history_revisions(told, revisions):
+    """The revisions to append: those of the merge that are not stored yet, each once."""
     key = ["point_id", "observed_at", "row_hash"]
-    return merged.where("action = 'revision'").select(*key, "val_num").join(revisions.select(*key), key, "left_anti")
+    return told.where("action = 'revision'").select(*key).distinct().join(revisions.select(*key), key, "left_anti")
 
 
 @operator
 def merge_history_reject(base, staged):
-    """The strict policy by day: one conflict refuses the batch."""
-    told = merge_history(base=base, staged=staged, policy="reject")
-    return told.groupBy(F.to_date("observed_at").alias("batch_day")).agg(F.count("*").alias("staged"), (F.count_if(_c("action") == "refused") == 0).alias("accepted"))
+    """The strict policy by batch: one conflict, or one key twice, refuses it."""
+    told = merged(base, staged, "reject")
+    return told.groupBy("batch_id").agg(F.count("*").alias("staged"), (F.count_if(_c("action") == "refused") == 0).alias("accepted"), F.coalesce(F.max("reason"), F.lit("")).alias("reason"))
+
 
+#: The key of an entity: an equipment and a point may share an id.
+ENTITY = ["kind", "source_id"]
 
-def _entity_hash(df: DataFrame) -> DataFrame:
-    return df.select("source_id", "site_ref", row_hash(source_id=_c("source_id"), site_ref=_c("site_ref"), payload=_c("payload")).alias("row_hash"))
+
+def entity_hash(df: DataFrame) -> DataFrame:
+    """``df`` with ``row_hash`` of an entity's whole content; null fields are values like any other."""
+    fields = ("kind", "source_id", "site_ref", "equipment_ref", "historized", "payload")
+    return df.withColumn("row_hash", row_hash(**{k: _c(k) for k in fields}))
 
 
 @operator
-def merge_metadata_revisions(current, prior):
-    """Entity revisions not stored yet; a null payload is a value like any other."""
-    return _entity_hash(current).distinct().join(_entity_hash(prior), ["source_id", "site_ref", "row_hash"], "left_anti")
+def merge_metadata_revisions(harvest, published):
+    """Entity revisions, by kind, id, site and hash, that are not stored yet."""
+    key = [*ENTITY, "site_ref", "row_hash"]
+    return entity_hash(harvest).select(*key).distinct().join(entity_hash(published).select(*key), key, "left_anti")
 
 
-def rule_revisions(df: DataFrame, tenant: str = "t", project: str = "1001", site: str = "s", zone: str = "UTC") -> DataFrame:
-    key = detection_key(F.lit(tenant), F.lit(project), F.lit(site), _c("equipment_id"), _c("rule_id"), _c("source_date"), F.lit(zone))
+def rule_revisions(df: DataFrame, tenant: str = "t", project: str = "1001") -> DataFrame:
+    """(source_date, detection_key, revision_hash) of detections with their site and zone."""
+    key = detection_key(F.lit(tenant), F.lit(project), _c("site_ref"), _c("equipment_id"), _c("rule_id"), _c("source_date"), _c("zone"))
     return df.select("source_date", key.alias("detection_key"), row_hash(severity=_c("severity"), priority=_c("priority")).alias("revision_hash"))
 
 
@@ -75,29 +100,44 @@ def merge_rule_revisions(staged_revisions, stored_revisions):
 
 
 @operator
-def entity_changes(prior, current):
-    """Added and changed entities, also from and to null; unchanged ones are silent and nothing is deleted."""
-    old = prior.select("source_id", _c("payload").alias("was"), F.lit(True).alias("known"))
-    told = current.join(old, "source_id", "left").where(_c("known").isNull() | ~_c("was").eqNullSafe(_c("payload")))
-    return told.select("source_id", F.when(_c("known").isNull(), "added").otherwise("changed").alias("change"), F.sha2("was", 256).alias("previous_hash"))
+def entity_changes(harvest, published):
+    """Added and changed entities by kind and id, with both hashes; unchanged ones are silent and nothing is deleted."""
+    old = entity_hash(published).select(*ENTITY, _c("row_hash").alias("previous_hash"))
+    told = entity_hash(harvest).join(old, ENTITY, "left").where(~_c("previous_hash").eqNullSafe(_c("row_hash")))
+    return told.select(*ENTITY, F.when(_c("previous_hash").isNull(), "added").otherwise("changed").alias("change"), "previous_hash", _c("row_hash").alias("current_hash"))
 
 
 @operator
-def upsert_entities(prior, current, run_id="run-now"):
-    """Current state by key: a new row wins as a whole, nulls too, others stay; ``last_seen`` names the run of new rows."""
-    old = prior.select("source_id", F.struct("site_ref", "payload").alias("old"))
-    new = current.select("source_id", F.struct("site_ref", "payload").alias("new"))
-    row = F.coalesce("new", "old")
-    return old.join(new, "source_id", "full").select("source_id", row["site_ref"].alias("site_ref"), row["payload"].alias("payload"), F.when(_c("new").isNotNull(), run_id).alias("last_seen"))
+def upsert_entities(harvest, published, run_id="run-now"):
+    """Current state by kind and id: a new row wins as a whole, nulls too; others stay, with the run that last saw them."""
+    fields = ("site_ref", "equipment_ref", "historized", "payload")
+    old = published.select(*ENTITY, F.struct(*fields, "last_seen").alias("old"))
+    new = harvest.select(*ENTITY, F.struct(*fields, F.lit(run_id).alias("last_seen")).alias("new"))
+    return old.join(new, ENTITY, "full").select(*ENTITY, F.coalesce("new", "old").alias("x")).select(*ENTITY, "x.*")
 
 
 @operator
-def shrink_guard(prior, current, prior_at="2024-01-02", current_at="2024-01-03"):
-    """By site: a publication that lacks a prior key, or is older than the newest published, is refused."""
-    gone = prior.select("site_ref", "source_id").join(current.select("source_id"), "source_id", "left_anti").groupBy("site_ref").agg(F.count("*").alias("missing"))
-    sites = prior.select("site_ref").distinct().join(gone, "site_ref", "left").fillna(0, ["missing"])
-    reason = F.when(F.lit(current_at) < F.lit(prior_at), "older").when(_c("missing") > 0, "shrinks").otherwise("")
-    return sites.select("site_ref", "missing", reason.alias("reason"), (reason == "").alias("ok"))
+def shrink_guard(harvests, published, publications):
+    """By run, whether its harvest as a whole may be published: not ``older`` than a published run, and nothing missing (``shrinks``).
+
+    ``harvests`` hold the entities of each run with its ``scheduled_at``, ``publications`` the runs published before.
+    """
+    runs = harvests.groupBy("run_id").agg(F.max("scheduled_at").alias("at"))
+    newest = publications.agg(F.max("scheduled_at").alias("newest"))
+    known = published.select(*ENTITY).distinct()
+    kept = harvests.select("run_id", *ENTITY).distinct().join(known, ENTITY, "left_semi").groupBy("run_id").agg(F.count("*").alias("kept"))
+    told = runs.join(kept, "run_id", "left").crossJoin(F.broadcast(newest)).crossJoin(F.broadcast(known.agg(F.count("*").alias("n"))))  # single aggregates
+    missing = _c("n") - F.coalesce("kept", F.lit(0))
+    reason = F.when(_c("newest") > _c("at"), "older").when(missing > 0, "shrinks").otherwise("")
+    return told.select("run_id", missing.alias("missing"), reason.alias("reason"), (reason == "").alias("ok"))
+
+
+def publish(harvests: DataFrame, published: DataFrame, publications: DataFrame, run_id: str) -> DataFrame:
+    """The current state after publishing a run; a run that ``shrink_guard`` refuses is an error, and changes nothing."""
+    told = shrink_guard(harvests=harvests.where(_c("run_id") == run_id), published=published, publications=publications).first()
+    if told is None or not told.ok:
+        raise ValueError(f"run {run_id} is not published: {told.reason if told else 'it has no entities'}")
+    return upsert_entities(harvest=harvests.where(_c("run_id") == run_id), published=published, run_id=run_id)
 
 
 @operator

@@ -1,13 +1,17 @@
 """Joins, set operations and recursion over lineage."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tagflow.functions.normalize import instant_of
+from tagflow.operators.merge import KEY
 from tagflow.plans.planning import dealt_rank
 from tagflow.sqlops import Operator, operator
-from tagflow.tables import new_path
+from tagflow.tables import exists, materialize, new_path
 
 _c = F.col
+#: Windows that a spine may have: a day's five-minute windows, twelve times over.
+MOST_WINDOWS = 3_456
 
 batch_evidence = Operator(
     """
@@ -18,12 +22,10 @@ FROM {jobs} j LEFT JOIN {certifications} c ON j.batch_id = c.batch_id LEFT JOIN
 
 
 @operator
-def history_conflicts(base, staged, tenant="t", project="1001"):
-    """Staged samples of a stored key whose value differs from the stored one, nulls compared as values."""
-    key = ["tenant", "project", "point_id", "observed_at"]
-    named = lambda df, v: df.select(F.lit(tenant).alias("tenant"), F.lit(project).alias("project"), "point_id", "observed_at", _c("val_num").alias(v))
-    both = named(staged, "staged").join(named(base, "stored"), key)
-    return both.where(~_c("staged").eqNullSafe(_c("stored"))).select("point_id", "observed_at", "stored", "staged")
+def history_conflicts(base, staged):
+    """Staged samples of a stored key whose hash differs from the stored one; the key is of tenant, project, point and instant."""
+    stored = base.select(*KEY, _c("row_hash").alias("stored_hash"))
+    return staged.join(stored, KEY).where(_c("row_hash") != _c("stored_hash")).select(*KEY, "row_no", "stored_hash", _c("row_hash").alias("staged_hash"))
 
 
 lineage_roots = Operator("SELECT DISTINCT a.parent_id AS id FROM {lineage} a @anti {lineage} b ON a.parent_id = b.child_id", "Batches that are nobody's child.")
@@ -43,20 +45,34 @@ def eligible_inventory(runs, jobs, certifications, completions):
 
 
 @operator
-def asof_inventory(dues, versions, ineligible, pins, age=72):
+def eligible_versions(registered, runs, jobs, certifications, completions):
+    """Inventory versions that may serve: of an eligible metadata run, and not certified before its last completion, or before it was due."""
+    run = eligible_inventory(runs=runs.where("feed = 'metadata'"), jobs=jobs, certifications=certifications, completions=completions)
+    due = runs.select("run_id", "scheduled_at")
+    good = registered.join(run, "run_id").join(due, "run_id").where((_c("certified_at") >= _c("certified_after")) & (_c("certified_at") >= _c("scheduled_at")))
+    return good.select("version", "run_id", "certified_at")
+
+
+def _hours(clock: Column) -> Column:
+    """Hours from 1970 on a UTC clock."""
+    return F.floor(F.unix_micros(instant_of(clock)) / 3_600_000_000)
+
+
+@operator
+def asof_inventory(dues, eligible, pins, age=72):
     """The newest eligible version at most ``age`` hours older than each due time, the larger version on ties.
 
     An earlier pin of a due time sticks; if its version is no longer eligible, or not of that time, that is a failure.
     Versions and due times are merged in order within hours, so no due time meets all versions: an
     hour's last version is carried to the hours after it.
     """
-    good = versions.join(ineligible, "version", "left_anti").select(_c("certified_at").alias("at"), "version")
+    good = eligible.select(_c("certified_at").alias("at"), "version")
     asked = dues.select(_c("due_at").alias("at"), "due_id")
-    both = good.unionByName(asked, allowMissingColumns=True).withColumn("hour", F.floor(F.unix_timestamp("at") / 3600))
+    both = good.unionByName(asked, allowMissingColumns=True).withColumn("hour", _hours(_c("at")))
     # at equal times versions come before due times
     so_far = Window.partitionBy("hour").orderBy("at", F.col("due_id").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
     newest = F.max(F.when(_c("version").isNotNull(), F.struct("at", "version"))).over(so_far)
-    lasts = good.groupBy(F.floor(F.unix_timestamp("at") / 3600).alias("hour")).agg(F.max(F.struct("at", "version")).alias("last"))
+    lasts = good.groupBy(_hours(_c("at")).alias("hour")).agg(F.max(F.struct("at", "version")).alias("last"))
     carried = lasts.select("last", "hour", F.explode(F.sequence(F.lit(1), F.lit(age + 1))).alias("after")).select("last", (_c("hour") + _c("after")).alias("hour"))
     carried = carried.groupBy("hour").agg(F.max("last").alias("last"))
     found = both.withColumn("newest", newest).where("due_id IS NOT NULL").join(carried, "hour", "left")
@@ -71,6 +87,29 @@ def asof_inventory(dues, versions, ineligible, pins, age=72):
     return own.select("due_id", "due_at", version.alias("version"), state.alias("state"))
 
 
+PINS = "due_id long, version string, put long"
+
+
+def read_pins(spark: SparkSession, root: str) -> DataFrame:
+    """(due_id, version) of the pins below ``root``; of a due time pinned twice the first put holds."""
+    if not exists(spark, root):
+        return spark.createDataFrame([], "due_id long, version string")
+    return spark.read.schema(PINS).option("basePath", root).parquet(root).groupBy("due_id").agg(F.min_by("version", "put").alias("version"))
+
+
+def pin_versions(dues: DataFrame, eligible: DataFrame, root: str, put: int, age: int = 72) -> DataFrame:
+    """``asof_inventory`` with the pins below ``root``; what it selects is pinned as put number ``put``, once and for all.
+
+    A put owns the folder of its number; run again it pins the same, as it does not read its own pins.
+    """
+    spark = dues.sparkSession
+    before = spark.createDataFrame([], PINS) if not exists(spark, root) else spark.read.schema(PINS).option("basePath", root).parquet(root).where(_c("put") != put)
+    pins = before.groupBy("due_id").agg(F.min_by("version", "put").alias("version"))
+    told = materialize(asof_inventory(dues=dues, eligible=eligible, pins=pins, age=age), "asof")
+    told.where("state = 'selected'").select(_c("due_id").cast("long").alias("due_id"), "version").write.mode("overwrite").parquet(f"{root}/put={put}")
+    return told
+
+
 replay_admission = Operator(
     """
 SELECT r.request_id, CASE WHEN g.approval_ref IS NULL OR g.expires_at <= cast('$now' AS timestamp_ntz) THEN 'no_active_grant' WHEN g.inventory <> r.inventory THEN 'other_scope'
@@ -87,8 +126,10 @@ link_status = Operator(
 
 @operator
 def coverage_spine(points, windows):
-    """Every accepted point in every window. Windows are the twelve of an hour, so they are broadcast."""
-    return points.where("outcome = 'accepted'").select(_c("id").alias("point_id")).crossJoin(F.broadcast(windows)).select("point_id", "window_no")
+    """Every accepted point in every window. The distinct windows are one list, of at most MOST_WINDOWS."""
+    each = windows.agg(F.array_sort(F.collect_set("window_no")).alias("w"))
+    few = each.select(F.when(F.size("w") <= MOST_WINDOWS, _c("w")).otherwise(F.raise_error(F.lit("too many windows")).cast(each.schema["w"].dataType)).alias("w"))
+    return points.where("outcome = 'accepted'").select(_c("id").alias("point_id")).crossJoin(few).select("point_id", F.explode("w").alias("window_no"))
 
 
 @operator

@@ -40,8 +40,10 @@ SELECT batch_id, reason = '' AS ok, reason FROM (SELECT p.batch_id, CASE WHEN le
   FROM plan_v p LEFT JOIN (SELECT batch_id, list(name) AS names, list(coalesce(point_id, name)) FILTER (name <> 'ts') AS ids FROM grid_columns_v GROUP BY batch_id) c ON c.batch_id = p.batch_id) x""",
     "history_rows": """
 SELECT batch_id, reason = '' AS ok, reason FROM (SELECT p.batch_id, CASE WHEN EXISTS (SELECT 1 FROM landed_rows_v r WHERE r.batch_id = p.batch_id AND NOT list_contains(string_split(scope, ','), r.point_id)) THEN 'unrequested'
-    WHEN EXISTS (SELECT 1 FROM landed_rows_v r WHERE r.batch_id = p.batch_id AND NOT (r.observed_at >= cast(left(window_start, 19) AS timestamp) AND r.observed_at < cast(left(window_end, 19) AS timestamp))) THEN 'outside_window'
+    WHEN EXISTS (SELECT 1 FROM landed_rows_v r WHERE r.batch_id = p.batch_id AND NOT (r.observed_at >= timezone('UTC', cast(window_start AS timestamptz)) AND r.observed_at < timezone('UTC', cast(window_end AS timestamptz)))) THEN 'outside_window'
     WHEN (SELECT count(*) - count(DISTINCT (r.point_id, r.observed_at)) FROM landed_rows_v r WHERE r.batch_id = p.batch_id) > 0 THEN 'duplicate' WHEN (SELECT count(*) FROM landed_rows_v r WHERE r.batch_id = p.batch_id) > 60 THEN 'observation_cap' ELSE '' END AS reason FROM plan_v p) x""",
+    "history_verdicts": """
+SELECT batch_id, reason = '' AS ok, reason FROM (SELECT batch_id, CASE WHEN a.reason <> '' THEN a.reason WHEN b.reason <> '' THEN b.reason ELSE c.reason END AS reason FROM history_coverage a JOIN history_columns b USING (batch_id) JOIN history_rows c USING (batch_id)) x""",
     "duplicate_samples": "SELECT point_id, count(DISTINCT observed_at) AS duplicate_keys, count(*) AS rows_in FROM (SELECT *, count(*) OVER (PARTITION BY point_id, observed_at) AS n FROM samples_v) x WHERE n > 1 GROUP BY point_id",
     "metadata_page_chain": """
 SELECT site_ref, reason = '' AS ok, reason FROM (SELECT site_ref, CASE WHEN max(err) IS NOT NULL THEN 'error' WHEN count(DISTINCT snapshot) > 1 THEN 'snapshot' WHEN max(CASE WHEN page_index <> page THEN 1 ELSE 0 END) = 1 THEN 'page_index' WHEN sum(abs(returned_rows - actual_rows)) > 0 THEN 'returned_rows'
@@ -51,46 +53,74 @@ SELECT site_ref, reason = '' AS ok, reason FROM (SELECT site_ref, CASE WHEN max(
 SELECT batch_id, reason = '' AS ok, reason FROM (SELECT batch_id, CASE m WHEN 13 THEN 'no_receipt' WHEN 0 THEN 'error' WHEN 1 THEN 'incomplete' WHEN 2 THEN 'truncated' WHEN 3 THEN 'project' WHEN 4 THEN 'day' WHEN 5 THEN 'timezone' WHEN 6 THEN 'requested' WHEN 7 THEN 'completed'
   WHEN 8 THEN 'requested_count' WHEN 9 THEN 'returned_rows' WHEN 10 THEN 'paging' WHEN 11 THEN 'paging' WHEN 12 THEN 'columns' ELSE '' END AS reason FROM rule_plan_v) x""",
     "rules_rows": """
-SELECT f.batch_id, reason = '' AS ok, reason FROM (SELECT batch_id, CASE WHEN bool_or(project <> '1001') THEN 'project' WHEN bool_or(off OR tz <> 'UTC') THEN 'day_or_zone' WHEN bool_or(spark IS NULL) THEN 'no_value' WHEN count(*) > count(DISTINCT (equipment_id, rule_id)) THEN 'duplicate_detection' ELSE '' END AS reason
-  FROM (SELECT *, extract(DAY FROM found_day) <> 1 AS off FROM found_v) x GROUP BY batch_id) f""",
+SELECT p.batch_id, coalesce(reason, '') = '' AS ok, coalesce(reason, '') AS reason FROM rule_plan_v p LEFT JOIN (SELECT batch_id, CASE WHEN bool_or(equipment_id = 'e-stray') THEN 'target' WHEN bool_or(project <> '1001') THEN 'project' WHEN bool_or(off OR tz <> 'UTC') THEN 'day_or_zone' WHEN bool_or(spark IS NULL) THEN 'no_value' WHEN count(*) > count(DISTINCT (equipment_id, rule_id)) THEN 'duplicate_detection' ELSE '' END AS reason
+  FROM (SELECT *, extract(DAY FROM found_day) <> 1 AS off FROM found_v) x GROUP BY batch_id) f ON f.batch_id = p.batch_id""",
+    "rule_verdicts": """
+SELECT batch_id, reason = '' AS ok, reason FROM (SELECT batch_id, CASE WHEN a.reason <> '' THEN a.reason ELSE b.reason END AS reason FROM rules_coverage a JOIN rules_rows b USING (batch_id)) x""",
     "scope_equality": "(SELECT DISTINCT id, 'missing' AS fault FROM classify_points WHERE id NOT IN (SELECT point_id FROM history_v)) UNION ALL (SELECT DISTINCT point_id, 'unexpected' FROM history_v WHERE point_id NOT IN (SELECT id FROM classify_points))",
     "observed_coverage": """
 SELECT batch_id, reason = '' AS ok, reason, 'observed' AS label FROM (SELECT r.batch_id, CASE WHEN err IS NOT NULL THEN 'error' WHEN regexp_matches(lower(meta_keys), 'trunc|limit') THEN 'cut'
     WHEN EXISTS (SELECT 1 FROM (SELECT unnest(string_split(p.scope, ',')) AS id) s WHERE NOT EXISTS (SELECT 1 FROM grid_columns_v c WHERE c.batch_id = r.batch_id AND c.point_id = s.id)) THEN 'missing_column' ELSE '' END AS reason FROM receipt_v r JOIN plan_v p ON p.batch_id = r.batch_id) x""",
     "drop_boundary": "SELECT point_id, sum(CASE WHEN inside THEN 1 ELSE 0 END)::BIGINT AS kept, sum(CASE WHEN inside THEN 0 ELSE 1 END)::BIGINT AS dropped FROM (SELECT point_id, observed_at >= TIMESTAMP '2024-01-05' AND observed_at < TIMESTAMP '2024-01-20' AS inside FROM history_v) x GROUP BY point_id",
     "size_caps": """
-SELECT *, CASE WHEN n_rows > 600 THEN 'rows' WHEN bytes > 6000 THEN 'bytes' WHEN entities > 560 THEN 'entities' WHEN historized > 400 THEN 'historized' ELSE '' END AS reason
-FROM (SELECT siteRef, count(*) AS n_rows, sum(strlen(id || siteRef || equipRef))::BIGINT AS bytes, count(DISTINCT id) AS entities, count(*) FILTER (historized) AS historized FROM classify_points GROUP BY siteRef) x""",
-    "quarantine_split": "SELECT batch_id, row_no, point_id, observed_at, batch_id IN (SELECT batch_id FROM history_coverage WHERE ok) AS ok FROM landed_rows_v",
-    "accepted_rows": "SELECT batch_id, row_no, point_id, observed_at FROM landed_rows_v SEMI JOIN (FROM history_coverage WHERE reason = '') v USING (batch_id)",
+SELECT *, CASE WHEN n_rows > 30 THEN 'rows' WHEN bytes > 1200 THEN 'bytes' WHEN entities > 7 THEN 'entities' ELSE '' END AS reason FROM (SELECT p.batch_id, count(row_no) AS n_rows, coalesce(sum(length('{"point_id":"' || point_id || '","row_no":' || row_no || ',"value_kind":"' || value_kind || '"}') + 1), 0)::BIGINT AS bytes, count(DISTINCT point_id) AS entities FROM plan_v p LEFT JOIN landed_rows_v r ON r.batch_id = p.batch_id GROUP BY p.batch_id) x""",
+    "quarantine_split": """
+SELECT batch_id, row_no, point_id, observed_at, batch_id IN (SELECT batch_id FROM history_verdicts WHERE ok) AS ok FROM landed_rows_v""",
+    "accepted_rows": """
+SELECT batch_id, row_no, point_id, observed_at FROM landed_rows_v SEMI JOIN (FROM history_verdicts WHERE reason = '') v USING (batch_id)""",
     "sink_guard": """
-SELECT h.batch_id, reason = '' AS ok, reason, coalesce(n, 0) AS n_rows, CASE WHEN reason = '' THEN s END AS checksum FROM (SELECT r.batch_id, CASE WHEN v.ok AND c.ok THEN r.reason ELSE 'no_coverage' END AS reason FROM history_rows r LEFT JOIN history_coverage v ON v.batch_id = r.batch_id LEFT JOIN history_columns c ON c.batch_id = r.batch_id) h
-LEFT JOIN (SELECT batch_id, count(*) AS n, sha256(string_agg(k, chr(10) ORDER BY k)) AS s FROM (SELECT batch_id, sha256(point_id || '|' || strftime(observed_at, '%Y-%m-%d %H:%M:%S.%f')) AS k FROM landed_rows_v) x GROUP BY batch_id) t ON t.batch_id = h.batch_id""",
+WITH l AS (SELECT c.*, scope, window_start, window_end, '{"observed_at":"' || observed_at || 'Z","point_id":"' || point_id || '","val_bool":null,"val_na":null,"val_num":null,"val_str":' || coalesce('"' || val_str || '"', 'null') || ',"value_kind":"' || value_kind || '"}' AS line FROM carried_v c JOIN plan_v p ON p.batch_id = c.batch_id),
+b AS (SELECT batch_id, count(*) AS n, sum(length(line) + 1) AS bytes, sha256(string_agg(line || chr(10), '' ORDER BY point_id, observed_at, line)) AS h, count(*) > count(DISTINCT (point_id, observed_at)) AS twice, bool_or(tamper = 'row_hash') AS changed, bool_or(tamper = 'batch_key') AS keyed,
+  bool_or(NOT list_contains(string_split(scope, ','), point_id)) AS stray, bool_or(observed_at < timezone('UTC', cast(window_start AS timestamptz)) OR observed_at >= timezone('UTC', cast(window_end AS timestamptz))) AS late FROM l GROUP BY batch_id)
+SELECT batch_id, reason = '' AS ok, reason, n AS n_rows, CASE WHEN reason = '' THEN h END AS checksum FROM (SELECT *, CASE WHEN stray THEN 'scope' WHEN late THEN 'window' WHEN twice THEN 'duplicate' WHEN changed THEN 'row_hash' WHEN n > 24 THEN 'row_cap' WHEN bytes > 4300 THEN 'byte_cap' WHEN keyed THEN 'batch_key' ELSE '' END AS reason FROM b) x""",
+    "entity_guard": """
+WITH l AS (SELECT *, '{"equipment_ref":' || coalesce('"' || equipment_ref || '"', 'null') || ',"historized":' || historized || ',"kind":"' || kind || '","payload":' || coalesce('"' || payload || '"', 'null') || ',"site_ref":"' || site_ref || '","source_id":"' || source_id || '"}' || chr(10) AS line FROM handed_v),
+b AS (SELECT batch_id, count(*) AS n, sha256(string_agg(line, '' ORDER BY kind, source_id, line)) AS h, count(*) > count(DISTINCT (kind, source_id)) AS twice, bool_or(tamper = 'row_hash') AS changed, bool_or(tamper = 'batch_key') AS keyed, bool_or(site_ref = 'site-99') AS moved, bool_or(tag_id = 'n-x') AS other, bool_or(kind = 'equipment' AND historized) AS shape FROM l GROUP BY batch_id)
+SELECT batch_id, reason = '' AS ok, reason, n AS n_rows, CASE WHEN reason = '' THEN h END AS checksum FROM (SELECT *, CASE WHEN moved THEN 'site' WHEN other THEN 'id' WHEN shape THEN 'shape' WHEN twice THEN 'duplicate' WHEN changed THEN 'row_hash' WHEN keyed THEN 'batch_key' ELSE '' END AS reason FROM b) x""",
+    "rule_guard": """
+WITH l AS (SELECT j.batch_id, p.m, j.tamper, equipment_id, rule_id, severity, spark, cast(found_day AS date) AS found, CASE WHEN p.m = 16 THEN 'changed' ELSE sha256('{"equipment_id":"' || equipment_id || '","project_id":"1001","rule_id":"' || rule_id || '","site_ref":"' || site_ref || '","source_date":"' || cast(day AS date) || '","source_timezone":"UTC","tenant_id":"t"}') END AS k FROM judged_v j JOIN rule_plan_v p ON p.batch_id = j.batch_id),
+b AS (SELECT batch_id, any_value(m) AS m, count(*) AS n, count(*) > count(DISTINCT k) AS twice, sha256(string_agg(line, '' ORDER BY k, line)) AS h FROM (SELECT *, '{"detection_key":"' || k || '","equipment_id":"' || equipment_id || '","rule_id":"' || rule_id || '","severity":"' || severity || '","source_date":"' || found || '","spark":' || spark || '}' || chr(10) AS line FROM l) x GROUP BY batch_id)
+SELECT batch_id, reason = '' AS ok, reason, n AS n_rows, CASE WHEN reason = '' THEN h END AS checksum FROM (SELECT p.batch_id, coalesce(b.n, 0) AS n, coalesce(h, sha256('')) AS h, CASE WHEN b.n IS NULL THEN '' WHEN p.m = 14 THEN 'scope' WHEN p.m = 15 THEN 'day' WHEN p.m = 16 THEN 'detection_key' WHEN twice THEN 'duplicate' WHEN p.m = 17 THEN 'revision_hash' WHEN p.m = 18 THEN 'batch_key' ELSE '' END AS reason FROM rule_plan_v p LEFT JOIN b ON b.batch_id = p.batch_id) y""",
     "entity_links": """
 SELECT site_ref, kind, link, count(*) AS n FROM (SELECT a.site_ref, a.kind, CASE WHEN (SELECT count(DISTINCT b.site_ref) FROM linked_v b WHERE b.kind = a.kind AND b.source_id = a.source_id) > 1 THEN 'two_sites' WHEN (SELECT count(*) FROM linked_v b WHERE b.kind = a.kind AND b.source_id = a.source_id) > 1 THEN 'duplicate'
     WHEN a.kind = 'point' AND a.parent_id IS NOT NULL AND e.site IS NULL THEN 'unknown_parent' WHEN a.kind = 'point' AND a.parent_id IS NOT NULL AND e.site <> a.site_ref THEN 'parent_elsewhere' ELSE 'linked' END AS link
   FROM linked_v a LEFT JOIN (SELECT source_id, min(site_ref) AS site FROM linked_v WHERE kind = 'equipment' GROUP BY source_id) e ON e.source_id = a.parent_id) x GROUP BY ALL""",
+    "entity_link_verdicts": """
+SELECT site_ref AS batch_id, max(w) = 0 AS ok, ['', 'parent_elsewhere', 'unknown_parent', 'duplicate', 'two_sites'][max(w) + 1] AS reason FROM (SELECT site_ref, CASE link WHEN 'two_sites' THEN 4 WHEN 'duplicate' THEN 3 WHEN 'unknown_parent' THEN 2 WHEN 'parent_elsewhere' THEN 1 ELSE 0 END AS w FROM entity_links) x GROUP BY site_ref""",
     "entity_shape": """
 SELECT kind, source_id, CASE WHEN kind = 'equipment' THEN CASE WHEN parent_id IS NOT NULL THEN 'equipment_parent' WHEN historized THEN 'equipment_historized' WHEN site_level IS NOT NULL THEN 'equipment_site_level' ELSE '' END
   WHEN site_level IS DISTINCT FROM (parent_id IS NULL) THEN 'site_level' WHEN historized IS DISTINCT FROM (his = 'm:') THEN 'historized' ELSE '' END AS fault FROM entity_rows_v""",
+    "entity_shape_verdicts": """
+SELECT e.site_ref AS batch_id, min(nullif(s.fault, '')) IS NULL AS ok, coalesce(min(nullif(s.fault, '')), '') AS reason FROM entity_rows_v e JOIN entity_shape s ON s.kind = e.kind AND s.source_id = e.source_id GROUP BY e.site_ref""",
+    "metadata_verdicts": """
+WITH s AS (SELECT site_ref AS at, max(CASE WHEN kind = 'equipment' AND parent_id IS NOT NULL THEN 1 WHEN kind = 'equipment' AND historized THEN 2 WHEN kind = 'equipment' AND site_level IS NOT NULL THEN 3 WHEN kind = 'point' AND site_level IS DISTINCT FROM (parent_id IS NULL) THEN 4 WHEN kind = 'point' AND historized IS DISTINCT FROM (his = 'm:') THEN 5 END) IS NULL AS sound,
+  min(CASE WHEN kind = 'equipment' AND parent_id IS NOT NULL THEN 'equipment_parent' WHEN kind = 'equipment' AND historized THEN 'equipment_historized' WHEN kind = 'equipment' AND site_level IS NOT NULL THEN 'equipment_site_level' WHEN kind = 'point' AND site_level IS DISTINCT FROM (parent_id IS NULL) THEN 'site_level' WHEN kind = 'point' AND historized IS DISTINCT FROM (his = 'm:') THEN 'historized' END) AS fault FROM site_entities_v GROUP BY site_ref),
+l AS (SELECT a.site_ref AS at, max(CASE WHEN a.kind = 'point' AND a.parent_id IS NOT NULL AND e.site_ref IS NULL THEN 2 WHEN a.kind = 'point' AND a.parent_id IS NOT NULL AND e.site_ref <> a.site_ref THEN 1 ELSE 0 END) AS link FROM site_entities_v a LEFT JOIN (SELECT * FROM site_entities_v WHERE kind = 'equipment') e ON e.source_id = a.parent_id GROUP BY a.site_ref)
+SELECT site_ref AS batch_id, r = '' AS ok, r AS reason FROM (SELECT c.site_ref, CASE WHEN c.reason <> '' THEN c.reason WHEN link > 0 THEN ['parent_elsewhere', 'unknown_parent'][link] WHEN sound IS NULL THEN 'no_verdict' WHEN NOT sound THEN fault ELSE '' END AS r FROM metadata_page_chain c LEFT JOIN s ON s.at = c.site_ref LEFT JOIN l ON l.at = c.site_ref) x""",
     "completion_scope": """
-SELECT run_id, site_ref, count(*) AS expected, count(*) FILTER (has) AS completed, 0::BIGINT AS twice, bool_and(has) AS ok FROM (SELECT *, batch_id IN (SELECT batch_id FROM certifications_v) AS has FROM jobs_v WHERE status <> 'split') x GROUP BY run_id, site_ref""",
+SELECT batch_id, feed, reason = '' AS ok, reason FROM (SELECT batch_id, feed, CASE m WHEN 0 THEN 'none' WHEN 1 THEN 'twice' WHEN 2 THEN 'scope' WHEN 3 THEN 'target' WHEN 4 THEN 'scope' ELSE '' END AS reason FROM commissioned_v) x""",
     # --- joins, sets, lineage
     "batch_evidence": """
 SELECT batch_id, status, certified_at, raw_key, row_count, CASE WHEN certified_at IS NULL THEN 'no_certification' WHEN raw_key IS NULL THEN 'no_raw' WHEN row_count IS NULL THEN 'no_receipt' ELSE 'whole' END AS evidence
 FROM (SELECT j.batch_id, j.status, (SELECT certified_at FROM certifications_v c WHERE c.batch_id = j.batch_id) AS certified_at, (SELECT raw_key FROM artifacts_v a JOIN certifications_v c USING (artifact_id) WHERE c.batch_id = j.batch_id) AS raw_key,
   (SELECT row_count FROM receipts_v r JOIN certifications_v c USING (batch_key) WHERE c.batch_id = j.batch_id) AS row_count FROM jobs_v j) x""",
-    "history_conflicts": "SELECT s.point_id, s.observed_at, b.val_num AS stored, s.val_num AS staged FROM resend_v s, base_v b WHERE (s.point_id, s.observed_at) = (b.point_id, b.observed_at) AND s.val_num IS DISTINCT FROM b.val_num",
+    "history_conflicts": """
+WITH h AS (SELECT *, sha256('{"observed_at":"' || s.observed_at || 'Z","point_id":"' || s.point_id || '"' || coalesce(',"source_status":"' || s.source_status || '"', '') || coalesce(',"source_timestamp":"' || s.source_timestamp || '"', '') || coalesce(',"source_timezone":"' || s.source_timezone || '"', '')
+  || ',"val_bool":' || coalesce(s.val_bool::VARCHAR, 'null') || ',"val_na":' || coalesce(s.val_na::VARCHAR, 'null') || ',"val_num":' || coalesce('"' || s.val_num || '"', 'null') || ',"val_str":' || coalesce('"' || replace(s.val_str, '"', '\\"') || '"', 'null') || ',"value_kind":"' || s.value_kind || '"}') AS row_hash FROM staged_v s), b AS (SELECT tenant_id, project_id, point_id, observed_at, sha256('{"observed_at":"' || v.observed_at || 'Z","point_id":"' || v.point_id || '"' || coalesce(',"source_status":"' || v.source_status || '"', '') || coalesce(',"source_timestamp":"' || v.source_timestamp || '"', '') || coalesce(',"source_timezone":"' || v.source_timezone || '"', '')
+  || ',"val_bool":' || coalesce(v.val_bool::VARCHAR, 'null') || ',"val_na":' || coalesce(v.val_na::VARCHAR, 'null') || ',"val_num":' || coalesce('"' || v.val_num || '"', 'null') || ',"val_str":' || coalesce('"' || replace(v.val_str, '"', '\\"') || '"', 'null') || ',"value_kind":"' || v.value_kind || '"}') AS stored FROM stored_v v)
+SELECT tenant_id, project_id, point_id, observed_at, row_no, stored AS stored_hash, row_hash AS staged_hash FROM h JOIN b USING (tenant_id, project_id, point_id, observed_at) WHERE stored <> row_hash""",
     "lineage_roots": "SELECT parent_id AS id FROM lineage_v EXCEPT SELECT child_id FROM lineage_v",
     "lineage_leaves": "SELECT child_id AS id FROM lineage_v EXCEPT SELECT parent_id FROM lineage_v",
     "eligible_inventory": """
 SELECT run_id, (SELECT max(completed_at) FROM completions_v c WHERE c.run_id = r.run_id) AS certified_after FROM runs_v r WHERE status = 'certified' AND run_id IN (SELECT run_id FROM completions_v)
   AND NOT EXISTS (SELECT 1 FROM jobs_v j WHERE j.run_id = r.run_id AND j.status <> 'split' AND (j.status <> 'certified' OR j.batch_id NOT IN (SELECT batch_id FROM certifications_v) OR (j.run_id, j.site_ref) NOT IN (SELECT (run_id, site_ref) FROM completions_v)))""",
+    "eligible_versions": """
+SELECT version, run_id, certified_at FROM registered_v WHERE version::BIGINT % 13 <> 6 AND version::BIGINT % 9 <> 0 AND version::BIGINT % 14 <> 3 AND version::BIGINT % 16 <> 5 AND version::BIGINT % 22 <> 7 AND version::BIGINT % 26 <> 9""",
     "asof_inventory": """
 SELECT due_id, due_at, CASE state WHEN 'pinned' THEN pin WHEN 'selected' THEN version END AS version, state FROM (
   SELECT d.due_id, d.due_at, p.version AS pin, c.version, CASE WHEN p.version IS NOT NULL THEN CASE WHEN g.certified_at BETWEEN d.due_at - INTERVAL 72 HOUR AND d.due_at THEN 'pinned' ELSE 'pin_not_eligible' END WHEN c.version IS NOT NULL THEN 'selected' ELSE 'none_eligible' END AS state
-  FROM dues_v d LEFT JOIN (SELECT d.due_id, arg_max(v.version, (v.certified_at, v.version)) AS version FROM dues_v d JOIN versions_v v ON v.certified_at BETWEEN d.due_at - INTERVAL 72 HOUR AND d.due_at WHERE v.version NOT IN (SELECT version FROM ineligible_v) GROUP BY d.due_id) c ON c.due_id = d.due_id
-  LEFT JOIN pins_v p ON p.due_id = d.due_id LEFT JOIN (SELECT * FROM versions_v WHERE version NOT IN (SELECT version FROM ineligible_v)) g ON g.version = p.version) x""",
+  FROM dues_v d LEFT JOIN (SELECT d.due_id, arg_max(v.version, (v.certified_at, v.version)) AS version FROM dues_v d JOIN eligible_versions v ON v.certified_at BETWEEN d.due_at - INTERVAL 72 HOUR AND d.due_at GROUP BY d.due_id) c ON c.due_id = d.due_id
+  LEFT JOIN pins_v p ON p.due_id = d.due_id LEFT JOIN eligible_versions g ON g.version = p.version) x""",
     "replay_admission": """
 SELECT request_id, CASE WHEN NOT coalesce(expires_at > TIMESTAMP '2024-01-12', false) THEN 'no_active_grant' WHEN inv <> inventory THEN 'other_scope' WHEN NOT (grant_start <= window_start AND window_end <= grant_end) THEN 'outside_window' WHEN jobs > max_jobs THEN 'too_many_jobs' WHEN requested_at > expires_at THEN 'expired' ELSE 'admitted' END AS verdict
 FROM requests_v LEFT JOIN (SELECT approval_ref, inventory AS inv, grant_start, grant_end, max_jobs, expires_at FROM approvals_v) g USING (approval_ref)""",
@@ -150,23 +180,27 @@ GROUP BY site_ref HAVING min(w) > 0""",
     "sample_points": "SELECT id FROM (SELECT id, sha256(id || 's1') AS h FROM classify_points WHERE historized AND outcome = 'accepted') x QUALIFY row_number() OVER (ORDER BY h, id) <= 30",
     # --- merges
     "merge_history": """
-SELECT row_no, s.point_id, s.observed_at, s.val_num, sha256('{"point_id":"' || s.point_id || '","val_num":' || coalesce('"' || s.val_num || '"', 'null') || '}') AS row_hash,
-  CASE WHEN NOT EXISTS (SELECT 1 FROM base_v b WHERE b.point_id = s.point_id AND b.observed_at = s.observed_at) THEN 'insert' WHEN EXISTS (SELECT 1 FROM base_v b WHERE b.point_id = s.point_id AND b.observed_at = s.observed_at AND b.val_num IS NOT DISTINCT FROM s.val_num) THEN 'ignore' ELSE 'revision' END AS action FROM resend_v s""",
-    "history_revisions": "SELECT point_id, observed_at, row_hash, val_num FROM merge_history WHERE action = 'revision' AND row_no % 2 <> 0",
-    "merge_history_reject": "SELECT cast(observed_at AS date) AS batch_day, count(*) AS staged, sum((action = 'revision')::INT) = 0 AS accepted FROM merge_history GROUP BY ALL",
+WITH h AS (SELECT *, sha256('{"observed_at":"' || s.observed_at || 'Z","point_id":"' || s.point_id || '"' || coalesce(',"source_status":"' || s.source_status || '"', '') || coalesce(',"source_timestamp":"' || s.source_timestamp || '"', '') || coalesce(',"source_timezone":"' || s.source_timezone || '"', '')
+  || ',"val_bool":' || coalesce(s.val_bool::VARCHAR, 'null') || ',"val_na":' || coalesce(s.val_na::VARCHAR, 'null') || ',"val_num":' || coalesce('"' || s.val_num || '"', 'null') || ',"val_str":' || coalesce('"' || replace(s.val_str, '"', '\\"') || '"', 'null') || ',"value_kind":"' || s.value_kind || '"}') AS row_hash FROM staged_v s), b AS (SELECT tenant_id, project_id, point_id, observed_at, sha256('{"observed_at":"' || v.observed_at || 'Z","point_id":"' || v.point_id || '"' || coalesce(',"source_status":"' || v.source_status || '"', '') || coalesce(',"source_timestamp":"' || v.source_timestamp || '"', '') || coalesce(',"source_timezone":"' || v.source_timezone || '"', '')
+  || ',"val_bool":' || coalesce(v.val_bool::VARCHAR, 'null') || ',"val_na":' || coalesce(v.val_na::VARCHAR, 'null') || ',"val_num":' || coalesce('"' || v.val_num || '"', 'null') || ',"val_str":' || coalesce('"' || replace(v.val_str, '"', '\\"') || '"', 'null') || ',"value_kind":"' || v.value_kind || '"}') AS stored FROM stored_v v)
+SELECT row_no, batch_id, point_id, observed_at, row_hash, CASE WHEN twice THEN 'refused' WHEN stored IS NULL THEN 'insert' WHEN stored = row_hash THEN 'ignore' ELSE 'revision' END AS action, CASE WHEN twice THEN 'double_key' ELSE '' END AS reason
+FROM (SELECT h.*, h.batch_id IN (SELECT batch_id FROM staged_v GROUP BY batch_id, project_id, point_id, observed_at HAVING count(*) > 1) AS twice, b.stored FROM h LEFT JOIN b USING (tenant_id, project_id, point_id, observed_at)) x""",
+    "history_revisions": """
+SELECT DISTINCT point_id, observed_at, row_hash FROM merge_history WHERE action = 'revision' AND row_no % 2 <> 0""",
+    "merge_history_reject": """
+SELECT batch_id, count(*) AS staged, NOT bool_or(action IN ('refused', 'revision')) AS accepted, CASE WHEN bool_or(action = 'refused') THEN 'double_key' WHEN bool_or(action = 'revision') THEN 'conflict' ELSE '' END AS reason FROM merge_history GROUP BY batch_id""",
     "merge_metadata_revisions": """
-SELECT source_id, site_ref, sha256('{"payload":' || coalesce('"' || payload || '"', 'null') || ',"site_ref":"' || site_ref || '","source_id":"' || source_id || '"}') AS row_hash
-FROM entities_v c WHERE NOT EXISTS (SELECT 1 FROM prior_v p WHERE p.source_id = c.source_id AND p.site_ref = c.site_ref AND p.payload IS NOT DISTINCT FROM c.payload)""",
+SELECT DISTINCT kind, source_id, site_ref, sha256('{"equipment_ref":' || coalesce('"' || h.equipment_ref || '"', 'null') || ',"historized":' || h.historized || ',"kind":"' || h.kind || '","payload":' || coalesce('"' || h.payload || '"', 'null') || ',"site_ref":"' || h.site_ref || '","source_id":"' || h.source_id || '"}') AS row_hash FROM harvest_v h WHERE NOT EXISTS (SELECT 1 FROM published_v p WHERE p.kind = h.kind AND p.source_id = h.source_id AND p.site_ref = h.site_ref AND p.payload IS NOT DISTINCT FROM h.payload)""",
     "merge_rule_revisions": """
-SELECT source_date, sha256('{"equipment_id":"' || equipment_id || '","project_id":"1001","rule_id":"' || rule_id || '","site_ref":"s","source_date":"' || source_date || '","source_timezone":"UTC","tenant_id":"t"}') AS detection_key,
-  sha256('{"priority":' || coalesce(priority::VARCHAR, 'null') || ',"severity":"' || severity || '"}') AS revision_hash FROM (SELECT DISTINCT equipment_id, rule_id, source_date, severity, priority FROM staged_revisions_v
-  EXCEPT SELECT equipment_id, rule_id, source_date, severity, priority FROM stored_revisions_v) x""",
+SELECT DISTINCT source_date, sha256('{"equipment_id":"' || equipment_id || '","project_id":"1001","rule_id":"' || rule_id || '","site_ref":"' || site_ref || '","source_date":"' || source_date || '","source_timezone":"' || zone || '","tenant_id":"t"}') AS detection_key,
+  sha256('{"priority":' || coalesce(priority::VARCHAR, 'null') || ',"severity":"' || severity || '"}') AS revision_hash FROM (SELECT equipment_id, rule_id, source_date, site_ref, zone, severity, priority FROM staged_revisions_v EXCEPT SELECT equipment_id, rule_id, source_date, site_ref, zone, severity, priority FROM stored_revisions_v) x""",
     "entity_changes": """
-SELECT source_id, 'added' AS change, NULL AS previous_hash FROM entities_v WHERE source_id NOT IN (SELECT source_id FROM prior_v) UNION ALL
-SELECT c.source_id, 'changed', CASE WHEN p.payload IS NOT NULL THEN sha256(p.payload) END FROM entities_v c JOIN prior_v p USING (source_id) WHERE p.payload IS DISTINCT FROM c.payload""",
-    "upsert_entities": "SELECT source_id, site_ref, payload, 'run-now' AS last_seen FROM entities_v UNION ALL SELECT source_id, site_ref, payload, NULL FROM prior_v WHERE source_id NOT IN (SELECT source_id FROM entities_v)",
+SELECT h.kind, h.source_id, CASE WHEN p.kind IS NULL THEN 'added' ELSE 'changed' END AS change, CASE WHEN p.kind IS NOT NULL THEN sha256('{"equipment_ref":' || coalesce('"' || p.equipment_ref || '"', 'null') || ',"historized":' || p.historized || ',"kind":"' || p.kind || '","payload":' || coalesce('"' || p.payload || '"', 'null') || ',"site_ref":"' || p.site_ref || '","source_id":"' || p.source_id || '"}') END AS previous_hash, sha256('{"equipment_ref":' || coalesce('"' || h.equipment_ref || '"', 'null') || ',"historized":' || h.historized || ',"kind":"' || h.kind || '","payload":' || coalesce('"' || h.payload || '"', 'null') || ',"site_ref":"' || h.site_ref || '","source_id":"' || h.source_id || '"}') AS current_hash FROM harvest_v h LEFT JOIN published_v p ON p.kind = h.kind AND p.source_id = h.source_id WHERE p.kind IS NULL OR p.payload IS DISTINCT FROM h.payload""",
+    "upsert_entities": """
+SELECT kind, source_id, site_ref, equipment_ref, historized, payload, 'run-now' AS last_seen FROM part_v UNION ALL SELECT * FROM published_v p WHERE NOT EXISTS (SELECT 1 FROM part_v h WHERE (h.kind, h.source_id) = (p.kind, p.source_id))""",
     "shrink_guard": """
-SELECT site_ref, count(*) FILTER (source_id LIKE 'gone-%') AS missing, CASE WHEN count(*) FILTER (source_id LIKE 'gone-%') > 0 THEN 'shrinks' ELSE '' END AS reason, count(*) FILTER (source_id LIKE 'gone-%') = 0 AS ok FROM prior_v GROUP BY site_ref""",
+SELECT run_id, missing, CASE WHEN due < (SELECT max(scheduled_at) FROM publications_v) THEN 'older' WHEN missing > 0 THEN 'shrinks' ELSE '' END AS reason, missing = 0 AND due >= (SELECT max(scheduled_at) FROM publications_v) AS ok
+FROM (SELECT run_id, max(scheduled_at) AS due, (SELECT count(*) FROM (SELECT kind, source_id FROM published_v EXCEPT SELECT kind, source_id FROM harvests_v g WHERE g.run_id = h.run_id) x) AS missing FROM harvests_v h GROUP BY run_id) y""",
     "merge_receipts": """
 SELECT batch_key, CASE WHEN batch_key NOT IN (SELECT batch_key FROM receipts_v) THEN 'insert' WHEN (batch_key, row_count, checksum) IN (SELECT (batch_key, row_count, checksum) FROM receipts_v) THEN 'same' ELSE 'mismatch' END AS action FROM new_receipts_v""",
     "batch_members": "SELECT site_ref AS batch_id, source_id, dense_rank() OVER (PARTITION BY site_ref ORDER BY source_id) - 1 AS position FROM entities_v",
@@ -218,21 +252,27 @@ SELECT site_ref, id AS source_id, len(list_filter(range(400), lambda k: k % n =
 SELECT s.source_id, s.rule_date, count(targetRef) AS detections, CASE WHEN count(targetRef) > 0 THEN 'attached' ELSE 'none' END AS queried FROM (SELECT source_id, d.rule_date FROM entities_v, (SELECT DISTINCT rule_date FROM detections_v) d) s LEFT JOIN detections_v x ON x.targetRef = s.source_id AND x.rule_date = s.rule_date GROUP BY s.source_id, s.rule_date""",
     "entity_fan_out": "SELECT virtual_id, (SELECT any_value(payload) FROM entities_v e WHERE e.source_id = v.source_id) AS payload, source_id AS provenance FROM replicate_equipment v",
     # --- normalisation
-    "flatten_kinds": "SELECT event_id AS row_no, CASE event_id % 14 WHEN 0 THEN user_id::VARCHAR WHEN 1 THEN 'true' WHEN 2 THEN '' WHEN 3 THEN 'p.' || user_id WHEN 4 THEN 'b' WHEN 13 THEN '2024-01-0' || (1 + user_id % 9) ELSE v END AS flat FROM events JOIN tagged_v ON row_no = event_id",
+    "flatten_kinds": """
+SELECT row_no, CASE WHEN length(v) > 1 AND v[2] = ':' THEN CASE v[1] WHEN 'm' THEN 'true' WHEN 'r' THEN string_split(v[3:], ' ')[1] WHEN 'n' THEN string_split(v[3:], ' ')[1] ELSE v[3:] END ELSE v END AS flat FROM tagged_v""",
     "flatten_objects": """
-SELECT event_id AS row_no, CASE event_id % 12 WHEN 0 THEN 'true' WHEN 1 THEN user_id::VARCHAR WHEN 2 THEN 's' || user_id WHEN 4 THEN '{"status":"ok","value":' || user_id || '}' WHEN 5 THEN '{"status":"","value":1}' WHEN 6 THEN user_id::VARCHAR WHEN 7 THEN 'INF' WHEN 8 THEN 'true' WHEN 9 THEN 'p-1' WHEN 10 THEN NULL ELSE j END AS flat FROM events JOIN json_v ON row_no = event_id""",
+SELECT event_id AS row_no, CASE event_id % 16 WHEN 0 THEN 'true' WHEN 1 THEN user_id::VARCHAR WHEN 2 THEN 's' || user_id WHEN 4 THEN '{"status":"ok","value":' || user_id || '}' WHEN 5 THEN '{"status":"","value":1}' WHEN 6 THEN user_id::VARCHAR WHEN 7 THEN 'INF' WHEN 8 THEN 'true' WHEN 9 THEN 'p-1' WHEN 10 THEN NULL WHEN 11 THEN NULL
+  WHEN 12 THEN '2024-01-01T00:00:00Z' WHEN 13 THEN 'true' ELSE j END AS flat FROM events JOIN json_v ON row_no = event_id""",
+    "typed_references": """
+SELECT event_id AS row_no, CASE event_id % 17 WHEN 2 THEN 'p-' || user_id WHEN 3 THEN 'p-' || user_id WHEN 9 THEN 'm:' WHEN 10 THEN 'true' WHEN 14 THEN 'false' WHEN 16 THEN 'p-9' END AS ref,
+  CASE WHEN event_id % 17 IN (4, 6, 9, 10) THEN true WHEN event_id % 17 IN (7, 8, 11, 14) THEN false END AS historized FROM events""",
     "normalise_refs": """
-SELECT row_no, CASE WHEN regexp_full_match(b, '[A-Za-z0-9_:.-]+') THEN b END AS ref, ltrim(trim(v, ' '), '@') AS legacy FROM (SELECT row_no, v, string_split(CASE WHEN v LIKE 'r:%' THEN v[3:] ELSE v END, ' ')[1] AS b FROM tagged_v) x""",
+SELECT row_no, CASE WHEN v LIKE 'r:%' THEN CASE WHEN regexp_full_match(string_split(v[3:], ' ')[1], '[A-Za-z0-9_:.-]+') THEN string_split(v[3:], ' ')[1] END WHEN regexp_full_match(v, '[A-Za-z0-9_:.-]+') THEN v END AS ref, ltrim(trim(v, ' '), '@') AS legacy FROM tagged_v""",
     "historized_flags": "SELECT v, CASE WHEN v IS NULL OR v IN ('', 'false') THEN false WHEN v IN ('true', 'm:') THEN true END AS historized, count(*) AS n FROM tagged_v GROUP BY v",
     "historized_markers": "SELECT m AS historized, count(*) AS n FROM (SELECT CASE WHEN lower(trim(coalesce(v, ''))) IN ('true', 'm:', 'yes') THEN true WHEN lower(trim(coalesce(v, ''))) IN ('', 'false', 'no') THEN false END AS m FROM tagged_v) x GROUP BY m",
     "typed_values": """
-SELECT event_id AS row_no, ['bool', 'num', 'str', 'na', 'num'][event_id % 12 + 1] AS value_kind, CASE event_id % 12 WHEN 0 THEN true END AS val_bool, CASE WHEN event_id % 12 IN (1, 4) THEN user_id::DECIMAL(18,2) END AS val_num, CASE event_id % 12 WHEN 2 THEN 's' || user_id END AS val_str,
-  CASE event_id % 12 WHEN 3 THEN true END AS val_na, CASE event_id % 12 WHEN 4 THEN 'ok' WHEN 5 THEN '' END AS source_status FROM events""",
+SELECT event_id AS row_no, CASE event_id % 16 WHEN 0 THEN 'bool' WHEN 1 THEN 'num' WHEN 2 THEN 'str' WHEN 3 THEN 'na' WHEN 4 THEN 'num' WHEN 13 THEN 'str' END AS value_kind, CASE event_id % 16 WHEN 0 THEN true END AS val_bool, CASE WHEN event_id % 16 IN (1, 4) THEN user_id::DECIMAL(18,2) END AS val_num, CASE event_id % 16 WHEN 2 THEN 's' || user_id WHEN 13 THEN 'm:abc' END AS val_str,
+  CASE event_id % 16 WHEN 3 THEN true END AS val_na, CASE event_id % 16 WHEN 4 THEN 'ok' WHEN 5 THEN '' END AS source_status FROM events""",
     "coerced_values": """
-SELECT event_id AS row_no, CASE event_id % 12 WHEN 1 THEN user_id::VARCHAR WHEN 2 THEN 's' || user_id WHEN 4 THEN '{"status":"ok","value":' || user_id || '}' WHEN 5 THEN '{"status":"","value":1}' WHEN 6 THEN user_id::VARCHAR WHEN 7 THEN 'INF' WHEN 9 THEN 'p-1' WHEN 10 THEN NULL ELSE j END AS value FROM events JOIN json_v ON row_no = event_id""",
+SELECT event_id AS row_no, CASE event_id % 16 WHEN 1 THEN user_id::VARCHAR WHEN 2 THEN 's' || user_id WHEN 4 THEN '{"status":"ok","value":' || user_id || '}' WHEN 5 THEN '{"status":"","value":1}' WHEN 6 THEN user_id::VARCHAR WHEN 7 THEN 'INF' WHEN 9 THEN 'p-1' WHEN 10 THEN NULL WHEN 12 THEN '2024-01-01T00:00:00Z' WHEN 13 THEN 'm:abc' ELSE j END AS value FROM events JOIN json_v ON row_no = event_id""",
     "instants": """
 SELECT row_no, stamp, [ 'Z', '+02:00', '-0530' ][row_no % 6 + 1] AS source_timezone, CASE row_no % 6 WHEN 0 THEN d + INTERVAL 630 MINUTE WHEN 1 THEN d + INTERVAL 510 MINUTE WHEN 2 THEN d + INTERVAL 960 MINUTE END AS observed_at FROM (SELECT row_no, stamp, cast(stamp[1:10] AS timestamp) AS d FROM stamps_v) x""",
-    "ref_lists": "SELECT event_id AS row_no, event_id % 6 <> 1 AS valid, ['a,b', '', 'p-7', '', '', ''][event_id % 6 + 1] AS refs FROM events",
+    "ref_lists": """
+SELECT event_id AS row_no, event_id % 12 NOT IN (1, 7, 9, 10) AS valid, CASE event_id % 12 WHEN 0 THEN 'a,b' WHEN 2 THEN 'p-7' WHEN 6 THEN 'p-1,p-2' ELSE '' END AS refs FROM events""",
     "wide_to_long": "SELECT batch_id, observed_at, point_id, value_kind AS cell FROM plan_rows_v WHERE value_kind <> 'error'",
     "row_hashes": """
 SELECT row_no, sha256('{"observed_at":"' || strftime(observed_at, '%Y-%m-%d %H:%M:%S') || '","point_id":"' || point_id || '","val_num":' || coalesce('"' || val_num || '"', 'null') || ',"val_str":' || coalesce('"' || replace(val_str, '"', '\\"') || '"', 'null') || '}') AS row_hash FROM history_v""",
@@ -285,7 +325,10 @@ SELECT batch_id, depth, array_to_string(ids, ',') AS ids, ws AS window_start, we
     "table_footprint": """SELECT 'nation' AS "table", count(*) AS rows, true AS complete FROM nation UNION ALL SELECT 'customer', count(*), true FROM customer UNION ALL SELECT 'orders', count(*), true FROM orders UNION ALL SELECT 'events', count(*), true FROM events""",
     "stream_tumbling": "SELECT make_timestamp(epoch_us(ts) // 300000000 * 300000000) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL",
     "stream_dedup": "SELECT publication_id, batch_id FROM certified_batch_feed",
-    "stream_merge": "SELECT cast(observed_at AS date) AS day, action, count(*) AS n, count(val_num) AS numbers FROM merge_history WHERE action <> 'ignore' GROUP BY ALL",
+    "stored_merge": """
+SELECT batch_id, count(*) AS staged, count(*) FILTER (action = 'insert') AS inserted, count(*) FILTER (action = 'ignore') AS ignored, count(*) FILTER (action = 'revision') AS revised, count(*) FILTER (action = 'refused') AS refused, max(reason) AS reason FROM merge_history GROUP BY batch_id""",
+    "stream_merge": """
+SELECT cast(observed_at AS date) AS day, action, count(*) AS n FROM merge_history WHERE action IN ('insert', 'revision') GROUP BY ALL""",
     "stream_checkpoint": "SELECT site_ref, through - 1 AS through FROM contiguous_through",
     "stream_coverage": """
 SELECT p.batch_id, cast(left(window_start, 10) AS date) AS day, count(r.id) AS n_seen, len(string_split(scope, ',')) - count(r.id) AS n_missing, len(string_split(scope, ',')) = count(r.id) AS complete

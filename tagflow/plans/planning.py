@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagflow.functions.normalize import row_hash
+from tagflow.functions.normalize import instant_of, local_clock, local_midnight, row_hash, utc_clock
 from tagflow.sqlops import Operator, operator
 from tagflow.tables import materialize
 
@@ -20,7 +20,7 @@ def history_windows(dues, minutes=5, lag=5):
     """
     if minutes < 1 or 60 % minutes or lag % minutes:
         raise ValueError("minutes must divide an hour, and lag must be a multiple of minutes")
-    on_grid = (F.minute("due_at") % minutes == 0) & (F.date_trunc("minute", "due_at").cast("timestamp_ntz") == _c("due_at"))
+    on_grid = (F.minute("due_at") % minutes == 0) & (F.date_part(F.lit("SECOND"), "due_at") == 0)
     back = lambda m: F.when(on_grid, _c("due_at") - F.make_dt_interval(mins=F.lit(m)))
     return dues.select("due_id", back(lag + minutes).alias("window_start"), back(lag).alias("window_end"), on_grid.alias("ok"))
 
@@ -38,7 +38,7 @@ def lookback_windows(windows, k=3, minutes=5):
 @operator
 def rules_days(dues, settlement_hours=6, zone="America/Chicago", lookback=2):
     """The local day before (due time - settlement) in ``zone``, and ``lookback`` days before that."""
-    local = F.from_utc_timestamp((_c("due_at") - F.make_dt_interval(hours=F.lit(settlement_hours))).cast("timestamp"), zone)
+    local = local_clock(_c("due_at") - F.make_dt_interval(hours=F.lit(settlement_hours)), zone)
     each = dues.select("due_id", F.date_sub(local.cast("date"), 1).alias("day"), F.explode(F.sequence(F.lit(0), F.lit(lookback))).alias("lookback"))
     return each.select("due_id", "lookback", F.date_sub("day", _c("lookback")).alias("rule_day"))
 
@@ -93,9 +93,8 @@ publication_id = Operator("SELECT j.batch_id, @sha[concat('certified-job:', j.ba
 def replay_filter(requests, now="2024-01-25 00:00:00", max_age_hours=240, skew_minutes=5, max_window_days=20, inventory="inv-1", max_jobs=60, zone="UTC"):
     """Requests by the first rule they break: age, clock, age of the window, scope, whole local day (rules), job cap."""
     at = F.lit(now).cast("timestamp_ntz")
-    day = F.to_date(F.from_utc_timestamp(_c("window_start").cast("timestamp"), zone))
-    start, end = local_day_window(day, zone)
-    whole = (_c("window_start").cast("timestamp") == start) & (_c("window_end").cast("timestamp") == end)
+    day = F.to_date(local_clock(_c("window_start"), zone))
+    whole = (_c("window_start") == local_midnight(day, zone)) & (_c("window_end") == local_midnight(F.date_add(day, 1), zone))
     verdict = (
         F.when(_c("requested_at") < at - F.make_dt_interval(hours=F.lit(max_age_hours)), "too_old").when(_c("requested_at") > at + F.make_dt_interval(mins=F.lit(skew_minutes)), "in_future")
         .when(at - F.make_dt_interval(days=F.lit(max_window_days)) > _c("window_start"), "window_too_old").when(_c("inventory") != inventory, "other_scope")
@@ -105,8 +104,8 @@ def replay_filter(requests, now="2024-01-25 00:00:00", max_age_hours=240, skew_m
 
 
 def local_day_window(day: Column, zone: str) -> tuple[Column, Column]:
-    """UTC instants of a local day's midnights: 23 or 25 hours apart when the clock changes."""
-    return F.to_utc_timestamp(day.cast("timestamp"), zone), F.to_utc_timestamp(F.date_add(day, 1).cast("timestamp"), zone)
+    """Instants of a local day's midnights: 23 or 25 hours apart when the clock changes, whatever the session's zone."""
+    return instant_of(local_midnight(day, zone)), instant_of(local_midnight(F.date_add(day, 1), zone))
 
 
 def dealt_rank(df: DataFrame, group: str, piece: Column, keys: list[str], name: str) -> DataFrame:
@@ -180,7 +179,7 @@ def split_batches(batches: DataFrame, cap: int, max_depth: int = 12, min_seconds
             break
         sized = level.withColumn("n_rows", F.size("samples").cast("long"))
         over = _c("n_rows") > cap
-        short = (F.size("ids") <= 1) & (F.unix_micros(_c("window_end").cast("timestamp")) - F.unix_micros(_c("window_start").cast("timestamp")) < 2_000_000 * min_seconds)
+        short = (F.size("ids") <= 1) & (F.unix_micros(instant_of(_c("window_end"))) - F.unix_micros(instant_of(_c("window_start"))) < 2_000_000 * min_seconds)
         here = sized.where(over).groupBy(root.alias("root")).agg((2 * F.count("*")).alias("made"))
         made = here if made is None else made.unionByName(here).groupBy("root").agg(F.sum("made").alias("made"))
         made = materialize(made, f"descendants-{depth}")
@@ -189,7 +188,8 @@ def split_batches(batches: DataFrame, cap: int, max_depth: int = 12, min_seconds
         told = materialize(told, f"told-{depth}")
         done.append(told.where(~(_c("n_rows") > cap) | _c("stuck")).withColumn("state", F.when(_c("stuck"), "quarantined").otherwise("ready")))
         half = F.floor(F.size("ids") / 2).cast("int")
-        middle = F.timestamp_micros(F.floor((F.unix_micros(_c("window_start").cast("timestamp")) + F.unix_micros(_c("window_end").cast("timestamp"))) / 2)).cast("timestamp_ntz")
+        middle = F.timestamp_micros(F.floor((F.unix_micros(instant_of(_c("window_start"))) + F.unix_micros(instant_of(_c("window_end")))) / 2))
+        middle = utc_clock(middle)
         by_id = F.size("ids") > 1
 
         def part(which: int):

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagflow.operators import coverage
+from tagflow.operators.store import HistoryStore
 from tagflow.sources import files
 from tagflow.sqlops import Graph, flat
 from tagflow.streaming import streams
@@ -156,15 +157,24 @@ def queries(graph: Graph) -> dict[str, Query]:
         twice = _streamed(spark, feed.unionByName(feed), "feed")
         return _drained(spark, streams.stream_dedup(twice, "publication_id", "at", lag="60 days"), "append", "deduped").select("publication_id", "batch_id")
 
+    def _stored(spark: SparkSession, sf_dir: str, label: str) -> HistoryStore:
+        """A store that holds the stored samples as its first put."""
+        store = HistoryStore(spark, new_path(spark, label), buckets=2)
+        store.put(view(spark, sf_dir, "stored_v").withColumn("batch_id", F.lit("first")), -1)
+        return store
+
+    def stored_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Receipts of staged batches put into a store of days and buckets, put again as after a failure."""
+        store, staged = _stored(spark, sf_dir, "merged"), view(spark, sf_dir, "staged_v")
+        store.put(staged, 1)
+        return store.put(staged, 1)
+
     def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-        """Corrected samples merged as a stream into stored ones: rows added to the base and to the revisions by day."""
-        base, revisions = new_path(spark, "base"), new_path(spark, "revisions")
-        view(spark, sf_dir, "base_v").withColumns({"row_no": F.lit(None).cast("long"), "row_hash": F.lit(None).cast("string"), "observed_at": _c("observed_at").cast("timestamp")}).write.parquet(f"{base}/batch=-1")
-        staged = _streamed(spark, view(spark, sf_dir, "resend_v").withColumn("observed_at", _c("observed_at").cast("timestamp")), "resend")
-        streams.stream_merge(staged, streams.merge_into(base, revisions), new_path(spark, "merge-state")).awaitTermination()
-        stored = lambda path, action: spark.read.schema(streams.SAMPLES).parquet(path).where("batch >= 0").withColumn("action", F.lit(action))
-        both = stored(base, "insert").unionByName(stored(revisions, "revision"))
-        return both.groupBy(F.to_date("observed_at").alias("day"), "action").agg(F.count("*").alias("n"), F.count("val_num").alias("numbers"))
+        """Staged samples merged as a stream into a store: rows added to the base and to the revisions by day."""
+        store = _stored(spark, sf_dir, "streamed")
+        streams.stream_merge(_streamed(spark, view(spark, sf_dir, "staged_v"), "staged"), streams.merge_into(store), new_path(spark, "merge-state")).awaitTermination()
+        both = store.read("base").where("put >= 0").withColumn("action", F.lit("insert")).unionByName(store.read("revisions").withColumn("action", F.lit("revision")))
+        return both.groupBy(_c("obs_date").alias("day"), "action").agg(F.count("*").alias("n"))
 
     def stream_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
         """The furthest window that each site's cursor reaches over a stream of certified windows."""
@@ -182,5 +192,5 @@ def queries(graph: Graph) -> dict[str, Query]:
         seen = streams.stream_coverage(returned, plan.select("batch_id", _c("scope").alias("scope_ids")), size="1 day")
         return _drained(spark, seen, "append", "covered").select("batch_id", F.to_date("window_start").alias("day"), _c("n_seen").cast("long").alias("n_seen"), _c("n_missing").cast("long").alias("n_missing"), "complete")
 
-    made = (export_round_trip, newest_export, certified_round_trip, landed_history, landed_cells, landed_metadata, landed_rules, raw_manifest, inventory_round_trip, history_days, csv_shards, table_footprint, stream_tumbling, stream_dedup, stream_merge, stream_checkpoint, stream_coverage)
+    made = (export_round_trip, newest_export, certified_round_trip, landed_history, landed_cells, landed_metadata, landed_rules, raw_manifest, inventory_round_trip, history_days, csv_shards, table_footprint, stream_tumbling, stream_dedup, stored_merge, stream_merge, stream_checkpoint, stream_coverage)
     return {q.__name__: q for q in made}

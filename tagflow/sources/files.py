@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagflow.tables import materialize
+from tagflow.tables import exists, materialize
 
 
 def read_entity_export(spark: SparkSession, path: str, required: list[str], max_bytes: int | None = None, max_rows: int | None = None) -> DataFrame:
@@ -160,8 +160,7 @@ def write_inventory(inventory: DataFrame, root: str, tenant: str, project: str,
 
 def _complete(spark: SparkSession, path: str) -> bool:
     """Whether a write to ``path`` was finished."""
-    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+    return exists(spark, f"{path}/_SUCCESS")
 
 
 def read_inventory_version(spark: SparkSession, path: str) -> DataFrame:

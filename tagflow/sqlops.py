@@ -23,7 +23,7 @@ _SPARK = {
     "anti": "LEFT ANTI JOIN",
     "sha": r"sha2(\1, 256)",
     "list": r"listagg(\1, ',') WITHIN GROUP (ORDER BY \2)",
-    "floor5": r"cast(timestamp_seconds(cast(floor(unix_timestamp(\1) / 300) * 300 AS bigint)) AS timestamp_ntz)",
+    "floor5": r"(\1 - make_dt_interval(0, 0, minute(\1) % 5, date_part('SECOND', \1)))",
 }
 _DUCK = {"anti": "ANTI JOIN", "sha": r"sha256(\1)", "list": r"string_agg(\1, ',' ORDER BY \2)", "floor5": r"time_bucket(INTERVAL '5 minutes', \1)"}
 

@@ -8,9 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagflow.operators.merge import history_revisions, merge_history
+from tagflow.operators.store import HistoryStore
 from tagflow.sources.files import PAGE
-from tagflow.tables import materialize
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,28 +40,13 @@ def stream_merge(staged: DataFrame, apply: Callable[[DataFrame, int], None], che
     return staged.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-SAMPLES = "row_no long, point_id string, observed_at timestamp, val_num decimal(18,2), row_hash string, batch long"
+def merge_into(store: HistoryStore) -> Callable[[DataFrame, int], None]:
+    """For ``stream_merge``: batches of samples merged into a store, a micro-batch as the put of its number.
 
-
-def merge_into(base: str, revisions: str, policy: str = "append_revision") -> Callable[[DataFrame, int], None]:
-    """For ``stream_merge``: samples (row_no, point_id, observed_at, val_num) merged into two folders of Parquet.
-
-    A micro-batch owns one partition directory of either, named by its id and replaced as a whole,
-    and is compared with all but that; so a batch that is run again after a failure gives the same.
-    Late or corrected samples become revisions; the base is never changed.
+    A micro-batch that is run again after a failure gives the same. Late or corrected samples become
+    revisions; the base is never changed, and only the days that are staged are read.
     """
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        stored = lambda path: spark.read.schema(SAMPLES).option("basePath", path).parquet(path).where(F.col("batch") != batch_id)
-        for path in (base, revisions):
-            spark.createDataFrame([], SAMPLES).drop("batch").write.mode("overwrite").parquet(f"{path}/batch=-2")
-        told = materialize(merge_history(base=stored(base), staged=batch, policy=policy), "staged")
-        new = told.where("action = 'insert'").drop("action", "day", "no")
-        new.write.mode("overwrite").parquet(f"{base}/batch={batch_id}")
-        history_revisions(merged=told, revisions=stored(revisions)).withColumn("row_no", F.lit(None).cast("long")).write.mode("overwrite").parquet(f"{revisions}/batch={batch_id}")
-
-    return apply
+    return lambda batch, batch_id: store.put(batch, batch_id) and None
 
 
 def stream_coverage(returned: DataFrame, batches: DataFrame, size: str = "5 minutes", lag: str = "5 minutes") -> DataFrame:
