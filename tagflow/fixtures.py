@@ -106,7 +106,7 @@ UNION ALL SELECT batch_id, 'vx', 'p-unexpected' FROM {plan} WHERE m = 16"""),
     "plan_rows_v": Operator("""
 SELECT concat('h-', cast(cast(floor(user_id / 8) AS bigint) AS string), '-', cast(cast(extract(DAY FROM ts) AS int) - 1 AS string)) AS batch_id, event_id AS row_no, concat('p-', cast(user_id AS string)) AS point_id, ts AS observed_at, event_type AS value_kind FROM {events}"""),
     "landed_rows_v": Operator("""
-SELECT r.batch_id, r.row_no, CASE WHEN m = 19 AND row_no % 3 = 0 THEN 'p-stray' ELSE r.point_id END AS point_id, CASE WHEN m = 18 AND row_no % 2 = 0 THEN r.observed_at + INTERVAL '1' DAY ELSE r.observed_at END AS observed_at, r.value_kind
+SELECT r.batch_id, r.row_no, CASE WHEN m = 19 AND row_no % 3 = 0 THEN 'p-stray' ELSE r.point_id END AS point_id, CASE WHEN m = 18 AND row_no % 2 = 0 THEN r.observed_at + INTERVAL '1' DAY ELSE r.observed_at END AS observed_at, CASE WHEN m IN (10, 11, 15) AND row_no % 3 = 0 THEN NULL ELSE r.value_kind END AS value_kind
 FROM {plan_rows} r JOIN {plan} l ON r.batch_id = l.batch_id
 UNION ALL SELECT r.batch_id, r.row_no + 1000000000, r.point_id, r.observed_at, r.value_kind FROM {plan_rows} r JOIN {plan} l ON r.batch_id = l.batch_id WHERE m = 20 AND row_no % 5 = 0"""),
     # Pages of entities by site: 20 rows each; every fault of a chain on some sites.

@@ -73,6 +73,13 @@ def history_rows(plan, rows, max_observations=60):
     return verdict(df, (_c("stray"), "unrequested"), (_c("late"), "outside_window"), (_c("again"), "duplicate"), (_c("n") > max_observations, "observation_cap"))
 
 
+@operator
+def history_values(plan, rows):
+    """Samples of each batch have a type; a batch without samples is sound."""
+    bad = rows.groupBy("batch_id").agg(F.bool_or(_c("value_kind").isNull()).alias("bad"))
+    return verdict(plan.select("batch_id").join(bad, "batch_id", "left").fillna(False, ["bad"]), (_c("bad"), "value"))
+
+
 @operator
 def duplicate_samples(samples):
     """Points with more than one sample at an instant."""

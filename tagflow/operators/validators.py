@@ -26,7 +26,7 @@ def of(op: Operator, batch: str = "batch_id", **params) -> Validator:
 
 #: Fixed names: the feeds' validators.
 NAMED: dict[str, tuple[Validator, ...]] = {
-    "history_window_coverage": (of(coverage.history_coverage), of(coverage.history_columns), of(coverage.history_rows)),
+    "history_window_coverage": (of(coverage.history_coverage), of(coverage.history_columns), of(coverage.history_rows), of(coverage.history_values)),
     "equipment_query_coverage": (of(coverage.rules_coverage), of(coverage.rules_rows)),
     "metadata_references": (of(coverage.metadata_page_chain, "site_ref"), of(coverage.entity_link_verdicts), of(coverage.entity_shape_verdicts)),
 }

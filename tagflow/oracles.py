@@ -42,8 +42,10 @@ SELECT batch_id, reason = '' AS ok, reason FROM (SELECT p.batch_id, CASE WHEN le
 SELECT batch_id, reason = '' AS ok, reason FROM (SELECT p.batch_id, CASE WHEN EXISTS (SELECT 1 FROM landed_rows_v r WHERE r.batch_id = p.batch_id AND NOT list_contains(string_split(scope, ','), r.point_id)) THEN 'unrequested'
     WHEN EXISTS (SELECT 1 FROM landed_rows_v r WHERE r.batch_id = p.batch_id AND NOT (r.observed_at >= timezone('UTC', cast(window_start AS timestamptz)) AND r.observed_at < timezone('UTC', cast(window_end AS timestamptz)))) THEN 'outside_window'
     WHEN (SELECT count(*) - count(DISTINCT (r.point_id, r.observed_at)) FROM landed_rows_v r WHERE r.batch_id = p.batch_id) > 0 THEN 'duplicate' WHEN (SELECT count(*) FROM landed_rows_v r WHERE r.batch_id = p.batch_id) > 60 THEN 'observation_cap' ELSE '' END AS reason FROM plan_v p) x""",
+    "history_values": """
+SELECT p.batch_id, NOT coalesce(bad, false) AS ok, CASE WHEN bad THEN 'value' ELSE '' END AS reason FROM plan_v p LEFT JOIN (SELECT batch_id, bool_or(value_kind IS NULL) AS bad FROM landed_rows_v GROUP BY batch_id) r ON r.batch_id = p.batch_id""",
     "history_verdicts": """
-SELECT batch_id, reason = '' AS ok, reason FROM (SELECT batch_id, CASE WHEN a.reason <> '' THEN a.reason WHEN b.reason <> '' THEN b.reason ELSE c.reason END AS reason FROM history_coverage a JOIN history_columns b USING (batch_id) JOIN history_rows c USING (batch_id)) x""",
+SELECT batch_id, reason = '' AS ok, reason FROM (SELECT batch_id, CASE WHEN a.reason <> '' THEN a.reason WHEN b.reason <> '' THEN b.reason WHEN c.reason <> '' THEN c.reason ELSE d.reason END AS reason FROM history_coverage a JOIN history_columns b USING (batch_id) JOIN history_rows c USING (batch_id) JOIN history_values d USING (batch_id)) x""",
     "duplicate_samples": "SELECT point_id, count(DISTINCT observed_at) AS duplicate_keys, count(*) AS rows_in FROM (SELECT *, count(*) OVER (PARTITION BY point_id, observed_at) AS n FROM samples_v) x WHERE n > 1 GROUP BY point_id",
     "metadata_page_chain": """
 SELECT site_ref, reason = '' AS ok, reason FROM (SELECT site_ref, CASE WHEN max(err) IS NOT NULL THEN 'error' WHEN count(DISTINCT snapshot) > 1 THEN 'snapshot' WHEN max(CASE WHEN page_index <> page THEN 1 ELSE 0 END) = 1 THEN 'page_index' WHEN sum(abs(returned_rows - actual_rows)) > 0 THEN 'returned_rows'
@@ -63,13 +65,13 @@ SELECT batch_id, reason = '' AS ok, reason, 'observed' AS label FROM (SELECT r.b
     WHEN EXISTS (SELECT 1 FROM (SELECT unnest(string_split(p.scope, ',')) AS id) s WHERE NOT EXISTS (SELECT 1 FROM grid_columns_v c WHERE c.batch_id = r.batch_id AND c.point_id = s.id)) THEN 'missing_column' ELSE '' END AS reason FROM receipt_v r JOIN plan_v p ON p.batch_id = r.batch_id) x""",
     "drop_boundary": "SELECT point_id, sum(CASE WHEN inside THEN 1 ELSE 0 END)::BIGINT AS kept, sum(CASE WHEN inside THEN 0 ELSE 1 END)::BIGINT AS dropped FROM (SELECT point_id, observed_at >= TIMESTAMP '2024-01-05' AND observed_at < TIMESTAMP '2024-01-20' AS inside FROM history_v) x GROUP BY point_id",
     "size_caps": """
-SELECT *, CASE WHEN n_rows > 30 THEN 'rows' WHEN bytes > 1200 THEN 'bytes' WHEN entities > 7 THEN 'entities' ELSE '' END AS reason FROM (SELECT p.batch_id, count(row_no) AS n_rows, coalesce(sum(length('{"point_id":"' || point_id || '","row_no":' || row_no || ',"value_kind":"' || value_kind || '"}') + 1), 0)::BIGINT AS bytes, count(DISTINCT point_id) AS entities FROM plan_v p LEFT JOIN landed_rows_v r ON r.batch_id = p.batch_id GROUP BY p.batch_id) x""",
+SELECT *, CASE WHEN n_rows > 30 THEN 'rows' WHEN bytes > 1200 THEN 'bytes' WHEN entities > 7 THEN 'entities' ELSE '' END AS reason FROM (SELECT p.batch_id, count(row_no) AS n_rows, coalesce(sum(length('{"point_id":"' || point_id || '","row_no":' || row_no || ',"value_kind":' || coalesce('"' || value_kind || '"', 'null') || '}') + 1), 0)::BIGINT AS bytes, count(DISTINCT point_id) AS entities FROM plan_v p LEFT JOIN landed_rows_v r ON r.batch_id = p.batch_id GROUP BY p.batch_id) x""",
     "quarantine_split": """
 SELECT batch_id, row_no, point_id, observed_at, batch_id IN (SELECT batch_id FROM history_verdicts WHERE ok) AS ok FROM landed_rows_v""",
     "accepted_rows": """
 SELECT batch_id, row_no, point_id, observed_at FROM landed_rows_v SEMI JOIN (FROM history_verdicts WHERE reason = '') v USING (batch_id)""",
     "sink_guard": """
-WITH l AS (SELECT c.*, scope, window_start, window_end, '{"observed_at":"' || observed_at || 'Z","point_id":"' || point_id || '","val_bool":null,"val_na":null,"val_num":null,"val_str":' || coalesce('"' || val_str || '"', 'null') || ',"value_kind":"' || value_kind || '"}' AS line FROM carried_v c JOIN plan_v p ON p.batch_id = c.batch_id),
+WITH l AS (SELECT c.*, scope, window_start, window_end, '{"observed_at":"' || observed_at || 'Z","point_id":"' || point_id || '","val_bool":null,"val_na":null,"val_num":null,"val_str":' || coalesce('"' || val_str || '"', 'null') || ',"value_kind":' || coalesce('"' || value_kind || '"', 'null') || '}' AS line FROM carried_v c JOIN plan_v p ON p.batch_id = c.batch_id),
 b AS (SELECT batch_id, count(*) AS n, sum(length(line) + 1) AS bytes, sha256(string_agg(line || chr(10), '' ORDER BY point_id, observed_at, line)) AS h, count(*) > count(DISTINCT (point_id, observed_at)) AS twice, bool_or(tamper = 'row_hash') AS changed, bool_or(tamper = 'batch_key') AS keyed,
   bool_or(NOT list_contains(string_split(scope, ','), point_id)) AS stray, bool_or(observed_at < timezone('UTC', cast(window_start AS timestamptz)) OR observed_at >= timezone('UTC', cast(window_end AS timestamptz))) AS late FROM l GROUP BY batch_id)
 SELECT batch_id, reason = '' AS ok, reason, n AS n_rows, CASE WHEN reason = '' THEN h END AS checksum FROM (SELECT *, CASE WHEN stray THEN 'scope' WHEN late THEN 'window' WHEN twice THEN 'duplicate' WHEN changed THEN 'row_hash' WHEN n > 24 THEN 'row_cap' WHEN bytes > 4300 THEN 'byte_cap' WHEN keyed THEN 'batch_key' ELSE '' END AS reason FROM b) x""",
@@ -312,14 +314,21 @@ WITH walk(batch_id, depth, ids, ws, we, s, n) AS (
 SELECT batch_id, depth, array_to_string(ids, ',') AS ids, ws AS window_start, we AS window_end, n AS n_rows, CASE WHEN n <= 3 THEN 'ready' ELSE 'quarantined' END AS state FROM walk WHERE n <= 3 OR depth = 12 OR (len(ids) <= 1 AND epoch_us(we) - epoch_us(ws) < 69120000000000)""",
     # --- sources, sinks and streams: what was written and read back
     "export_round_trip": "SELECT row_no::VARCHAR AS row_no, fsk, id, siteRef, NULL AS equipRef FROM equipment_v UNION ALL SELECT row_no::VARCHAR, fsk, id, siteRef, equipRef FROM points_v",
+    "mixed_exports": """
+SELECT row_no::VARCHAR AS row_no, id, siteRef, his FROM points_v""",
     "newest_export": "SELECT site_ref, site_uri FROM sites_v WHERE site_ref > 'site-05'",
     "certified_round_trip": "SELECT row_no, point_id, value_kind, strftime(observed_at, '%d') || '-' || row_no % 4 AS batch FROM history_v WHERE day(observed_at) <> 7",
     "landed_history": "SELECT * FROM history_coverage",
     "landed_cells": "SELECT batch_id, point_id, observed_at, value_kind AS cell FROM plan_rows_v WHERE value_kind <> 'error'",
     "landed_metadata": "SELECT * FROM metadata_page_chain",
     "landed_rules": "SELECT * FROM rules_coverage",
-    "raw_manifest": "SELECT batch_id, 'q-' || batch_id AS query_id, scope AS scope_ids, n AS row_count, sha256(batch_id || chr(10)) AS checksum, length(batch_id) + 1 AS byte_count FROM plan_v WHERE m > 11",
+    "landed_references": """
+SELECT kind, CASE WHEN n % 13 <> 5 THEN source_id END AS source_id, site_ref, CASE WHEN kind = 'point' AND n % 11 <> 4 THEN equipment_ref END AS parent_id, CASE WHEN kind = 'point' THEN CASE WHEN equipment_ref IS NULL THEN true WHEN n % 11 <> 4 THEN false END END AS site_level,
+  CASE WHEN kind = 'equipment' OR NOT historized THEN false WHEN n % 4 < 3 THEN true END AS historized FROM (SELECT *, cast(source_id[3:] AS bigint) AS n FROM harvest_v) x""",
+    "raw_manifest": "SELECT batch_id, 'q-' || batch_id AS query_id, scope AS scope_ids, n AS row_count, sha256(batch_id || chr(10)) AS checksum, length(batch_id) + 1 AS byte_count FROM plan_v",
     "inventory_round_trip": "SELECT siteRef AS site_ref, 'equipment' AS kind, id FROM classify_equipment WHERE outcome = 'accepted' UNION ALL SELECT siteRef, unnest(CASE WHEN historized THEN ['point', 'historized_point'] ELSE ['point'] END), id FROM classify_points WHERE outcome = 'accepted'",
+    "inventory_snapshot": """
+SELECT 'v-1' AS version, site_ref, kind, id FROM inventory_round_trip""",
     "history_days": "SELECT cast(observed_at AS date) AS obs_date, count(*) AS n FROM history_v WHERE day(observed_at) NOT IN (3, 4) OR row_no % 2 = 0 GROUP BY ALL",
     "csv_shards": "SELECT point_id, count(*) AS n, sum(row_no)::BIGINT AS row_sum, true AS bounded FROM history_v GROUP BY point_id",
     "table_footprint": """SELECT 'nation' AS "table", count(*) AS rows, true AS complete FROM nation UNION ALL SELECT 'customer', count(*), true FROM customer UNION ALL SELECT 'orders', count(*), true FROM orders UNION ALL SELECT 'events', count(*), true FROM events""",
@@ -327,10 +336,19 @@ SELECT batch_id, depth, array_to_string(ids, ',') AS ids, ws AS window_start, we
     "stream_dedup": "SELECT publication_id, batch_id FROM certified_batch_feed",
     "stored_merge": """
 SELECT batch_id, count(*) AS staged, count(*) FILTER (action = 'insert') AS inserted, count(*) FILTER (action = 'ignore') AS ignored, count(*) FILTER (action = 'revision') AS revised, count(*) FILTER (action = 'refused') AS refused, max(reason) AS reason FROM merge_history GROUP BY batch_id""",
+    "pinned_inventory": """
+WITH e AS (SELECT * FROM eligible_versions), f AS (SELECT * FROM e WHERE version::BIGINT % 5 <> 0),
+one AS (SELECT due_id, arg_max(version, (certified_at, version)) AS pin FROM dues_v JOIN e ON certified_at BETWEEN due_at - INTERVAL 72 HOUR AND due_at WHERE due_id % 2 = 0 GROUP BY due_id),
+two AS (SELECT due_id, arg_max(version, (certified_at, version)) AS v FROM dues_v JOIN f ON certified_at BETWEEN due_at - INTERVAL 72 HOUR AND due_at GROUP BY due_id)
+SELECT d.due_id, due_at, CASE WHEN pin IS NULL THEN v WHEN pin::BIGINT % 5 <> 0 THEN pin END AS version, CASE WHEN pin IS NOT NULL THEN CASE WHEN pin::BIGINT % 5 <> 0 THEN 'pinned' ELSE 'pin_not_eligible' END WHEN v IS NULL THEN 'none_eligible' ELSE 'selected' END AS state, coalesce(pin, v) AS pin
+FROM dues_v d LEFT JOIN one ON one.due_id = d.due_id LEFT JOIN two ON two.due_id = d.due_id""",
     "stream_merge": """
 SELECT cast(observed_at AS date) AS day, action, count(*) AS n FROM merge_history WHERE action IN ('insert', 'revision') GROUP BY ALL""",
-    "stream_checkpoint": "SELECT site_ref, through - 1 AS through FROM contiguous_through",
+    "stream_checkpoint": """
+SELECT j.site_ref, coalesce(c.through - 1, -1) AS through, max(window_no) > coalesce(max(c.through) - 1, -1) AS stuck FROM jobs_v j LEFT JOIN contiguous_through c ON c.site_ref = j.site_ref WHERE status = 'certified' GROUP BY j.site_ref, c.through""",
     "stream_coverage": """
 SELECT p.batch_id, cast(left(window_start, 10) AS date) AS day, count(r.id) AS n_seen, len(string_split(scope, ',')) - count(r.id) AS n_missing, len(string_split(scope, ',')) = count(r.id) AS complete
 FROM plan_v p LEFT JOIN (SELECT DISTINCT batch_id, point_id AS id FROM plan_rows_v WHERE value_kind <> 'error') r ON r.batch_id = p.batch_id GROUP BY p.batch_id, window_start, scope""",
+    "stream_pages": """
+SELECT v.batch_id, r = '' AS ok, r AS reason, CASE WHEN r = '' THEN n ELSE 0 END AS n_rows FROM (SELECT v.batch_id, l.n, CASE WHEN p.m = 20 AND l.n > p.n THEN 'returned_rows' ELSE v.reason END AS r FROM history_verdicts v JOIN plan_v p ON p.batch_id = v.batch_id JOIN (SELECT batch_id, count(*) AS n FROM landed_rows_v GROUP BY batch_id) l ON l.batch_id = v.batch_id WHERE p.m <> 11) v""",
 }

@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagflow.operators import coverage
+from tagflow.functions.normalize import instant_of
+from tagflow.operators import coverage, relate
 from tagflow.operators.store import HistoryStore
 from tagflow.sources import files
 from tagflow.sqlops import Graph, flat
@@ -99,7 +100,7 @@ def queries(graph: Graph) -> dict[str, Query]:
 
     def raw_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Fingerprints of landed files of sound batches, against their scope."""
-        plan = view(spark, sf_dir, "history_plan").where("m > 11").select("batch_id", _c("scope").alias("scope_ids"), "n")
+        plan = view(spark, sf_dir, "history_plan").select("batch_id", _c("scope").alias("scope_ids"), "n")
         folder = new_path(spark, "raw")
         plan.select("batch_id").write.option("maxRecordsPerFile", 1).text(folder)
         named = spark.read.text(folder).select(_c("value").alias("batch_id"), F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"))
@@ -177,9 +178,69 @@ def queries(graph: Graph) -> dict[str, Query]:
         return both.groupBy(_c("obs_date").alias("day"), "action").agg(F.count("*").alias("n"))
 
     def stream_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-        """The furthest window that each site's cursor reaches over a stream of certified windows."""
-        windows = _streamed(spark, view(spark, sf_dir, "jobs_v").where("status = 'certified'").select("site_ref", "window_no"), "windows")
-        return _drained(spark, streams.stream_checkpoint(windows), "append", "cursors").groupBy("site_ref").agg(F.max("through").alias("through"))
+        """The furthest window that each site's cursor reaches over a stream of certified windows, and whether it is stuck there."""
+        windows = view(spark, sf_dir, "jobs_v").where("status = 'certified'").select("site_ref", "window_no", instant_of(_c("window_end")).alias("at"))
+        end = windows.sparkSession.createDataFrame([("end", 0, "2030-01-01")], "site_ref string, window_no int, at string").withColumn("at", _c("at").cast("timestamp"))
+        moves = _drained(spark, streams.stream_checkpoint(_streamed(spark, windows.unionByName(end), "windows")), "append", "cursors")
+        last = moves.where("site_ref <> 'end'").groupBy("site_ref").agg(F.max(F.struct("through", "stuck")).alias("x"))
+        return last.select("site_ref", "x.through", "x.stuck")
+
+    def stream_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Landed grids as a stream, judged page by page against the plan: verdicts, and how many samples of each batch were let through."""
+        plan, pages = view(spark, sf_dir, "history_plan"), view(spark, sf_dir, "history_pages")
+        cols = view(spark, sf_dir, "grid_columns_v").groupBy("batch_id").agg(F.collect_list(F.struct("name", F.struct(_c("point_id").alias("id")).alias("meta"))).alias("cols"))
+        key = F.when(_c("m") == 13, "v").otherwise(F.concat(F.lit("v"), "point_id"))
+        cell = F.coalesce(F.concat(F.lit('"'), "value_kind", F.lit('"')), F.lit("[1]"))
+        at = F.concat(F.regexp_replace(_c("observed_at").cast("string"), " ", "T"), F.lit("Z"))
+        line = F.concat(F.lit('{"ts":"'), at, F.lit('","'), key, F.lit('":'), cell, F.lit("}"))
+        rows = view(spark, sf_dir, "landed_rows_v").join(plan.select("batch_id", "m"), "batch_id").groupBy("batch_id").agg(F.array_join(F.collect_list(line), ",").alias("lines"))
+        named = pages.select("batch_id", "err", "complete", "truncated", "project", _c("site_ref").alias("site"), "query_id", "window_start", "window_end", _c("requested").alias("requested_ids"), _c("completed").alias("completed_ids"), "returned_rows", "total_rows")
+        meta = F.to_json(F.struct(*named.columns), {"ignoreNullFields": "false"})
+        whole = named.select("batch_id", meta.alias("meta")).join(cols, "batch_id", "left").join(rows, "batch_id", "left")
+        text = F.concat(F.lit('{"meta":'), "meta", F.lit(',"cols":'), F.coalesce(F.to_json("cols"), F.lit("[]")), F.lit(',"rows":['), F.coalesce("lines", F.lit("")), F.lit("]}"))
+        landed, root = new_path(spark, "landed"), new_path(spark, "judged")
+        whole.select(text).write.option("maxRecordsPerFile", 1).text(landed)
+        streams.stream_merge(streams.stream_pages(spark, landed, "*.txt"), streams.pages_into(plan, root), new_path(spark, "pages-state")).awaitTermination()
+        verdicts = spark.read.schema("batch_id string, ok boolean, reason string").parquet(f"{root}/verdicts")
+        counts = spark.read.schema("batch_id string, point_id string").parquet(f"{root}/rows").groupBy("batch_id").agg(F.count("*").alias("n"))
+        return verdicts.join(counts, "batch_id", "left").select("batch_id", "ok", "reason", F.coalesce("n", F.lit(0)).cast("long").alias("n_rows"))
+
+    def landed_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Entities of landed pages whose references are objects, texts or invalid, read back as ids."""
+        rows = view(spark, sf_dir, "harvest_v").withColumn("n", F.substring("source_id", 3, 9).try_cast("bigint"))
+        ref = lambda c, k: F.when(_c("n") % 3 == k % 3, F.concat(F.lit('{"_kind":"ref","val":"'), c, F.lit('","dis":"A Name"}'))).when(_c("n") % 3 == (k + 1) % 3, F.concat(F.lit('"r:'), c, F.lit(' A Name"'))).otherwise(F.concat(F.lit('"'), c, F.lit('"')))
+        his = F.when(~_c("historized"), F.when(_c("n") % 2 == 0, "null").otherwise('"false"')).when(_c("n") % 4 == 0, '{"_kind":"marker"}').when(_c("n") % 4 == 1, "true").when(_c("n") % 4 == 2, '"m:"').otherwise('"perhaps"')
+        parent = F.when(_c("equipment_ref").isNull(), F.when(_c("n") % 2 == 0, "null").otherwise('""')).when(_c("n") % 11 == 4, F.lit('"bad id!"')).otherwise(ref("equipment_ref", 1))
+        line = F.concat(F.lit('{"id":'), F.when(_c("n") % 13 == 5, F.concat(F.lit('{"_kind":"uri","val":"'), "source_id", F.lit('"}'))).otherwise(ref("source_id", 0)), F.lit(',"siteRef":'), ref("site_ref", 2), F.lit(',"equipRef":'), parent, F.lit(',"his":'), his, F.lit("}"))
+        pages = rows.groupBy("site_ref", "kind", F.floor(_c("n") / 200).alias("page")).agg(F.array_join(F.collect_list(line), ",").alias("lines"))
+        text = F.concat(F.lit('{"meta":{"kind":"'), F.when(_c("kind") == "point", "points").otherwise("equipment"), F.lit('","site":"'), "site_ref", F.lit('"},"cols":[],"rows":['), "lines", F.lit("]}"))
+        landed = new_path(spark, "entities")
+        pages.select(text).write.option("maxRecordsPerFile", 1).text(landed)
+        return files.entity_rows(files.read_metadata_pages(spark, landed)).select("kind", "source_id", "site_ref", "parent_id", "site_level", "historized")
+
+    def inventory_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Accepted entities as one snapshot file, checked by identity, checksum and sites when it is read."""
+        lists = view(spark, sf_dir, "normalise_entities").groupBy("site_ref").agg(*(F.array_sort(F.collect_list(F.when(cond, _c("source_id")))).alias(k) for k, cond in (("equipment_ids", _c("kind") == "equipment"), ("point_ids", _c("kind") == "point"), ("historized_point_ids", _c("historized")))))
+        sites = F.map_from_entries(F.collect_list(F.struct("site_ref", F.struct("equipment_ids", "point_ids", "historized_point_ids"))))
+        path = new_path(spark, "snapshot")
+        lists.agg(F.to_json(F.struct(F.lit("v-1").alias("version"), F.lit("t").alias("tenant_id"), F.lit("1001").alias("project_id"), sites.alias("sites")))).coalesce(1).write.text(path)
+        told = files.file_fingerprints(spark, f"{path}/*.txt").first()
+        return files.read_inventory(spark, told.path, "t", "1001", told.sha256, {r.site_ref for r in lists.select("site_ref").collect()})  # a row a site
+
+    def mixed_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """One export in several files whose columns stand in other orders, with quoted names, read by name."""
+        folder, rows = new_path(spark, "mixed"), view(spark, sf_dir, "points_v").select("row_no", "id", "siteRef", "his")
+        for k, cols in enumerate((("row_no", "id", "siteRef", "his"), ("his", "siteRef", "row_no", "id"), ("siteRef", "id", "his", "row_no"))):
+            rows.where(_c("row_no") % 3 == k).select(*cols).write.option("header", True).options(quoteAll=k == 1, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{folder}/part-{k}.csv")
+        return files.read_entity_export(spark, f"{folder}/*.csv/*.csv", ["row_no", "id", "siteRef"])
+
+    def pinned_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Due times pinned in two puts; between them some versions lose what they were eligible by."""
+        root, dues, eligible = new_path(spark, "pins"), view(spark, sf_dir, "dues_v"), view(spark, sf_dir, "eligible_versions")
+        relate.pin_versions(dues.where("due_id % 2 = 0"), eligible, root, 0)
+        left = eligible.where("cast(version AS bigint) % 5 <> 0")
+        relate.pin_versions(dues, left, root, 1)
+        return relate.pin_versions(dues, left, root, 1).join(relate.read_pins(spark, root).withColumnRenamed("version", "pin"), "due_id", "left")
 
     def stream_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
         """Planned batches once the watermark has passed their day: ids seen and missing, announced batches without rows too."""
@@ -192,5 +253,5 @@ def queries(graph: Graph) -> dict[str, Query]:
         seen = streams.stream_coverage(returned, plan.select("batch_id", _c("scope").alias("scope_ids")), size="1 day")
         return _drained(spark, seen, "append", "covered").select("batch_id", F.to_date("window_start").alias("day"), _c("n_seen").cast("long").alias("n_seen"), _c("n_missing").cast("long").alias("n_missing"), "complete")
 
-    made = (export_round_trip, newest_export, certified_round_trip, landed_history, landed_cells, landed_metadata, landed_rules, raw_manifest, inventory_round_trip, history_days, csv_shards, table_footprint, stream_tumbling, stream_dedup, stored_merge, stream_merge, stream_checkpoint, stream_coverage)
+    made = (export_round_trip, newest_export, certified_round_trip, landed_history, landed_cells, landed_metadata, landed_rules, raw_manifest, inventory_round_trip, history_days, csv_shards, table_footprint, stream_tumbling, stream_dedup, stored_merge, stream_merge, stream_checkpoint, stream_pages, stream_coverage, landed_references, inventory_snapshot, mixed_exports, pinned_inventory)
     return {q.__name__: q for q in made}

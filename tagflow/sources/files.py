@@ -2,28 +2,57 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagflow.functions.normalize import ZONED, historized_value, instant_with_zone, reference, typed_value, utc_clock
+from tagflow.operators.validators import settled
 from tagflow.tables import exists, materialize
 
 
+def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The first line's names of every file below ``path``, quoted ones unquoted; only the starts of files are read, by Spark's own stores."""
+    files = [r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()]  # a path a file
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs, out = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf), {}
+    for name in files:
+        place = jvm.org.apache.hadoop.fs.Path(name)
+        raw, codec = place.getFileSystem(conf).open(place), codecs.getCodec(place)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(raw) if codec else raw, "UTF-8"))
+        line = lines.readLine()
+        lines.close()
+        out[name] = next(csv.reader([(line or "").lstrip("\ufeff")]), [])
+    return out
+
+
 def read_entity_export(spark: SparkSession, path: str, required: list[str], max_bytes: int | None = None, max_rows: int | None = None) -> DataFrame:
-    """CSV with a header, all strings, an empty cell as an empty one; a byte-order mark is tolerated.
+    """CSV with a header in each file, all strings, an empty cell as an empty one; a byte-order mark is tolerated.
 
-    Refused are a missing or repeated column, a row with more or fewer cells than the header, and
-    files over ``max_bytes`` or ``max_rows``.
+    Files may have their columns in any order, which are read by name; the result has those of the
+    first file, by path, and ones that only others have after them (empty where absent). Refused are
+    files without a required column or with a repeated one, a row with more or fewer cells than its
+    header, and files over ``max_bytes`` or ``max_rows`` together.
     """
-    head = spark.read.text(path).limit(1).first()
-    names = [x.strip().strip('"') for x in (head[0] if head else "").lstrip("\ufeff").split(",")]
-    missing = [c for c in required if c not in names]
-    if missing or len(set(names)) < len(names):
-        raise ValueError(f"bad header: missing {missing}, columns {names}")
+    heads = _headers(spark, path)
+    for name, names in sorted(heads.items()):
+        missing = [c for c in required if c not in names]
+        if missing or len(set(names)) < len(names):
+            raise ValueError(f"bad header of {name}: missing {missing}, columns {names}")
+    if not heads:
+        raise ValueError(f"no export at {path}")
     if max_bytes is not None and (spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0) > max_bytes:
         raise ValueError(f"{path} is over {max_bytes} bytes")
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField("_corrupt", T.StringType())])
-    rows = spark.read.csv(path, header=True, schema=schema, enforceSchema=True, columnNameOfCorruptRecord="_corrupt", mode="PERMISSIVE")
+    alike: dict[tuple[str, ...], list[str]] = {}
+    for name, names in sorted(heads.items()):
+        alike.setdefault(tuple(names), []).append(name)
+    rows = None
+    for names, own in alike.items():
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField("_corrupt", T.StringType())])
+        part = spark.read.csv(own, header=True, schema=schema, enforceSchema=True, columnNameOfCorruptRecord="_corrupt", mode="PERMISSIVE")
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
     bad = rows.where("_corrupt IS NOT NULL").limit(3).collect()
     if bad:
         raise ValueError(f"rows whose cells differ from the header, among others {[r['_corrupt'] for r in bad]}")
@@ -52,26 +81,61 @@ WINDOWED = {"query_id": "string", "window_start": "string", "window_end": "strin
 CHAINED = {"kind": "string", "page": "long", "page_index": "long", "next_page": "string"}
 
 
-def _receipts(spark: SparkSession, path: str, fields: dict[str, str]) -> DataFrame:
+def receipts_of(pages: DataFrame, fields: dict[str, str]) -> DataFrame:
     """Pages with their receipt fields as columns (null where absent or of another type), and ``actual_rows``."""
-    pages = read_pages(spark, path)
     meta = (F.try_variant_get("meta", f"$.{k}", t).alias(k) for k, t in fields.items())
     return pages.select("path", *meta, F.coalesce(F.size("rows"), F.lit(0)).cast("long").alias("actual_rows"), "cols", "rows")
 
 
 def read_history_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed wide grids of samples, one row a page."""
-    return _receipts(spark, path, RECEIPT | WINDOWED)
+    return receipts_of(read_pages(spark, path), RECEIPT | WINDOWED)
 
 
 def read_metadata_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed equipment or point pages, with their snapshot and place in the chain."""
-    return _receipts(spark, path, RECEIPT | {"snapshot": "string"} | CHAINED)
+    return receipts_of(read_pages(spark, path), RECEIPT | {"snapshot": "string"} | CHAINED)
 
 
 def read_rules_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed grids of detections, with their local day and zone."""
-    return _receipts(spark, path, RECEIPT | WINDOWED | {"day": "string", "timezone": "string", "requested_count": "long"} | CHAINED)
+    return receipts_of(read_pages(spark, path), RECEIPT | WINDOWED | {"day": "string", "timezone": "string", "requested_count": "long"} | CHAINED)
+
+
+def entity_rows(pages: DataFrame) -> DataFrame:
+    """Entities of landed metadata pages: path, kind, source_id, site_ref, parent_id, site_level, historized, tags.
+
+    References may be texts or objects. An id, a site or a mark that is invalid is null; so is the
+    ``site_level`` of a point whose reference to equipment is there but invalid.
+    """
+    rows = pages.select("path", "kind", F.explode("rows").alias("tags"))
+    field = lambda k: F.try_variant_get("tags", f"$.{k}", "variant")
+    parent = field("equipRef")
+    lacks = parent.isNull() | F.is_variant_null(parent) | (F.try_variant_get(parent, "$", "string") == "")
+    point = F.col("kind") != "equipment"
+    return rows.select(
+        "path", F.when(point, "point").otherwise("equipment").alias("kind"), reference(field("id")).alias("source_id"), reference(field("siteRef")).alias("site_ref"), F.when(point, reference(parent)).alias("parent_id"),
+        F.when(point, F.when(F.coalesce(lacks, F.lit(False)), True).when(reference(parent).isNotNull(), False)).alias("site_level"), F.when(point, historized_value(field("his"))).otherwise(False).alias("historized"), F.to_json("tags").alias("tags"),
+    )
+
+
+def landed_samples(pages: DataFrame) -> DataFrame:
+    """Samples of landed history pages (with batch_id): batch_id, point_id, observed_at on a UTC clock, typed values, source fields.
+
+    A key without a column stands for itself, so that the checks find it; cells of columns that are
+    null are no samples. ``observed_at`` is null without a zone, ``value_kind`` where the value has no type.
+    """
+    cells = pages.sparkSession.sql(
+        """
+WITH r AS (
+  SELECT batch_id, transform(cols, x -> x.name) AS names, transform(cols, x -> coalesce(try_variant_get(x.meta, '$.id', 'string'), x.name)) AS ids, explode(rows) AS line
+  FROM {pages})
+SELECT r.batch_id, coalesce(get(r.ids, array_position(r.names, e.key) - 1), e.key) AS point_id, try_variant_get(r.line, '$.ts', 'string') AS ts, e.value AS cell
+FROM r, LATERAL variant_explode(r.line) e WHERE e.key <> 'ts' AND NOT (array_contains(r.names, e.key) AND is_variant_null(e.value))""",
+        pages=pages,
+    )
+    typed = (c.alias(k) for k, c in typed_value(F.col("cell")).items())
+    return cells.select("batch_id", "point_id", utc_clock(instant_with_zone(F.col("ts"))).alias("observed_at"), *typed, F.col("ts").alias("source_timestamp"), F.regexp_extract("ts", ZONED, 1).alias("source_timezone"))
 
 
 def history_wide_to_long(pages: DataFrame) -> DataFrame:
@@ -112,11 +176,16 @@ def verify_files(spark: SparkSession, path: str, receipts: DataFrame) -> DataFra
 
 
 def read_certified_jsonl(spark: SparkSession, path: str, schema: str, receipts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of the batches whose count is the receipt's, the other batches); a bad batch gives no rows."""
+    """(rows of the batches whose count is the receipt's, the other batches with their counts); a bad batch gives no rows.
+
+    Rows without a batch key are of no batch, so they are never among the good ones.
+    """
     rows = spark.read.schema(schema + ", batch_key string").json(path)
     counts = rows.groupBy("batch_key").agg(F.count("*").alias("n"))
-    bad = receipts.join(counts, "batch_key", "full").where(~F.col("n").eqNullSafe(F.col("row_count")))
-    return rows.join(bad.select("batch_key"), "batch_key", "left_anti"), bad
+    both = receipts.join(counts, "batch_key", "full")
+    verdicts = both.select(F.col("batch_key").alias("batch_id"), (F.col("n").eqNullSafe(F.col("row_count")) & F.col("batch_key").isNotNull()).alias("ok"))
+    good, _ = settled(rows.withColumn("batch_id", F.col("batch_key")), verdicts)
+    return good.drop("batch_id"), both.where(~F.col("n").eqNullSafe(F.col("row_count")) | F.col("batch_key").isNull())
 
 
 SITES = "struct<version:string,tenant_id:string,project_id:string,sites:map<string,struct<equipment_ids:array<string>,point_ids:array<string>,historized_point_ids:array<string>>>>"

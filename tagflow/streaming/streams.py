@@ -1,4 +1,4 @@
-"""Tumbling counts, deduplication, merges, coverage and cursors over a file stream."""
+"""Tumbling counts, deduplication, landed pages, merges, coverage and cursors over a file stream."""
 
 from __future__ import annotations
 
@@ -8,8 +8,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
 from tagflow.operators.store import HistoryStore
-from tagflow.sources.files import PAGE
+from tagflow.operators.validators import NAMED, fold, settled
+from tagflow.sources.files import PAGE, RECEIPT, WINDOWED, landed_samples, receipts_of
+from tagflow.tables import materialize
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,15 +30,44 @@ def stream_tumbling(events: DataFrame, lag: str = "5 minutes", size: str = "5 mi
 
 
 def stream_dedup(feed: DataFrame, key: str, at: str, lag: str = "5 minutes") -> DataFrame:
+    """The first delivery of each key; another one within ``lag`` of event time is left out, null keys count as one."""
     return feed.withWatermark(at, lag).dropDuplicatesWithinWatermark([key])
 
 
-def stream_pages(spark: SparkSession, folder: str) -> DataFrame:
+def stream_pages(spark: SparkSession, folder: str, names: str = "*.json") -> DataFrame:
     """Landed grids as they come, one row a file: path, meta, cols, rows."""
-    pages = spark.readStream.schema(PAGE).option("multiLine", True).option("pathGlobFilter", "*.json").json(folder)
+    pages = spark.readStream.schema(PAGE).option("multiLine", True).option("pathGlobFilter", names).json(folder)
     return pages.withColumn("path", F.col("_metadata.file_path"))
 
 
+def pages_into(plan: DataFrame, root: str, validator: str = "history_window_coverage", samples: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """For ``stream_merge`` over ``stream_pages``: each landed history page judged against a static plan, good batches' samples let through.
+
+    A micro-batch judges the planned batches whose pages are in it, by the named validators; a page of
+    no planned batch is ``unplanned``. Verdicts go to ``verdicts`` and samples of good batches to
+    ``rows`` below ``root``, in a folder of the micro-batch's number that is replaced as a whole, so one
+    that is run again gives the same; with ``samples`` they are handed on instead, as to ``merge_into``.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        pages = materialize(receipts_of(batch, RECEIPT | WINDOWED), "pages").withColumnsRenamed({"site": "site_ref", "requested_ids": "requested", "completed_ids": "completed"})
+        here = pages.select("batch_id").distinct()
+        own = plan.join(here, "batch_id", "left_semi")
+        columns = pages.select("batch_id", F.explode("cols").alias("c")).select("batch_id", F.col("c.name").alias("name"), F.try_variant_get("c.meta", "$.id", "string").alias("point_id"))
+        rows = materialize(landed_samples(pages), "samples")
+        judged = fold(own, NAMED[validator], {"plan": own, "pages": pages, "columns": columns, "rows": rows})
+        stray = here.join(plan.select("batch_id"), "batch_id", "left_anti").select("batch_id", F.lit(False).alias("ok"), F.lit("unplanned").alias("reason"))
+        verdicts = materialize(judged.unionByName(stray), "verdicts")
+        good, _ = settled(rows, verdicts)
+        if samples:
+            samples(good, batch_id)
+        else:
+            good.write.mode("overwrite").parquet(f"{root}/rows/put={batch_id}")
+        verdicts.write.mode("overwrite").parquet(f"{root}/verdicts/put={batch_id}")
+
+    return apply
+
+
 def stream_merge(staged: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str):
     """Run ``apply(batch, batch_id)`` on each micro-batch; applying a batch id twice must change nothing."""
     return staged.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -60,19 +93,37 @@ def stream_coverage(returned: DataFrame, batches: DataFrame, size: str = "5 minu
     return seen.join(batches, "batch_id").select("batch_id", F.col("w.start").alias("window_start"), F.size("ids").alias("n_seen"), missing.alias("n_missing"), (missing == 0).alias("complete"))
 
 
-def stream_checkpoint(certified: DataFrame, baseline: int = -1) -> DataFrame:
-    """(site_ref, through, gaps) whenever a site's cursor moves over windows without a gap; it never goes back.
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
-    ``certified`` streams (site_ref, window_no). State by site: the cursor, and the stretches of windows
-    that wait behind a gap, so it grows with the gaps and not with the windows; ``gaps`` says how many
-    there are. Windows that come again, or lie at or before the cursor, change nothing; null windows are left out.
+class Cursor(StatefulProcessor):
+    """A site's cursor (value state) and the stretches of windows that wait behind a gap (list state).
+
+    A timer runs while stretches wait: it is set anew whenever the cursor moves, and tells of a site
+    whose cursor has stood for ``wait_ms`` of event time behind a gap.
     """
 
-    def move(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        before, first, last = state.get if state.exists else (baseline, [], [])
-        through, new = before, sorted({int(w) for f in frames for w in f["window_no"]})
-        merged: list[list[int]] = []
-        for a, b in sorted([*zip(first, last), *((w, w) for w in new)]):
+    def __init__(self, baseline: int, wait_ms: int):
+        self.baseline, self.wait_ms = baseline, wait_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.through, self.waiting = handle.getValueState("through", "through long"), handle.getListState("waiting", "first long, last long")
+
+    def _at(self) -> int:
+        return self.through.get()[0] if self.through.exists() else self.baseline
+
+    def _told(self, key: tuple, through: int, gaps: int, stuck: bool) -> pd.DataFrame:
+        return pd.DataFrame({"site_ref": [key[0]], "through": [through], "gaps": [gaps], "stuck": [stuck]})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        before, new, last = self._at(), set(), 0
+        for f in rows:
+            new |= {int(w) for w in f["window_no"]}
+            last = max(last, int(f["at"].max().timestamp() * 1000))
+        waited = [(a, b) for a, b in self.waiting.get()] if self.waiting.exists() else []
+        through, merged = before, []
+        for a, b in sorted([*waited, *((w, w) for w in new)]):
             if merged and a <= merged[-1][1] + 1:
                 merged[-1][1] = max(merged[-1][1], b)
             else:
@@ -83,9 +134,36 @@ def stream_checkpoint(certified: DataFrame, baseline: int = -1) -> DataFrame:
                 through = max(through, b)
             else:
                 waiting.append((a, b))
-        state.update((through, [a for a, _ in waiting], [b for _, b in waiting]))
         if through > before:
-            yield pd.DataFrame({"site_ref": [key[0]], "through": [through], "gaps": [len(waiting)]})
+            self.through.update((through,))
+        self.waiting.put(waiting) if waiting else self.waiting.clear()
+        timers = [x if isinstance(x, int) else x[0] for x in self.handle.listTimers()]
+        if timers and (through > before or not waiting):
+            for t in timers:
+                self.handle.deleteTimer(t)
+            timers = []
+        if waiting and not timers:
+            self.handle.registerTimer(last + self.wait_ms)
+        if through > before:
+            yield self._told(key, through, len(waiting), False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.waiting.exists():
+            yield self._told(key, self._at(), len(list(self.waiting.get())), True)
 
-    rows = certified.select("site_ref", F.col("window_no").cast("long").alias("window_no")).where(F.col("window_no").isNotNull())
-    return rows.groupBy("site_ref").applyInPandasWithState(move, "site_ref string, through long, gaps long", "through long, first array<long>, last array<long>", "append", "NoTimeout")
+    def close(self) -> None:
+        pass
+
+
+def stream_checkpoint(certified: DataFrame, baseline: int = -1, wait_seconds: int = 3600, lag: str = "5 minutes") -> DataFrame:
+    """(site_ref, through, gaps, stuck) whenever a site's cursor moves over windows without a gap, and once it is stuck behind one.
+
+    ``certified`` streams (site_ref, window_no, at), ``at`` being when a window was certified; rows that come
+    more than ``lag`` after later ones are late and left out. The cursor never goes back. State by site: the
+    cursor, and the stretches of windows that wait behind a gap, so it grows with the gaps and not with
+    the windows. Windows that come again, or lie at or before the cursor, change nothing; null windows
+    and times are left out. The session's state store is set to RocksDB, which stateful processors need.
+    """
+    certified.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    rows = certified.select("site_ref", F.col("window_no").cast("long").alias("window_no"), "at").where("window_no IS NOT NULL AND at IS NOT NULL").withWatermark("at", lag)
+    return rows.groupBy("site_ref").transformWithStateInPandas(Cursor(baseline, 1000 * wait_seconds), "site_ref string, through long, gaps long, stuck boolean", "Append", "EventTime")
