@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagflow.operators.rollup import chunks
+from tagflow.plans.planning import dealt_rank
 from tagflow.sqlops import operator
+from tagflow.tables import materialize
 
 _c = F.col
 #: Rule days that a spine may have: a century's.
@@ -176,3 +178,86 @@ def fan_out_feeds(real_equipment: DataFrame, real_points: DataFrame, history: Da
     asked = made["equipment"].select("virtual_id", "source_id").crossJoin(F.broadcast(day)).join(counts, "source_id", "left")
     made["rules"] = kept("rules", asked.select("virtual_id", "rule_date", F.coalesce("detections", F.lit(0)).cast("long").alias("detections")))
     return made
+
+
+SHARD = "virtual_point string, copy long, site_ref string, source_id string, window_start string, window_end string, status string, samples long, ordered string"
+#: Real points by window that a fan-out broadcasts, at most; with more it joins by shuffle.
+BROADCAST_REAL, BROADCAST_BYTES = 500_000, 64 << 20
+
+
+def _real_windows(points: DataFrame, history: DataFrame, hour: str, windows: int) -> DataFrame:
+    """(seed, site_ref, id, w, status, samples, ordered) of accepted points by window; seeds are positions by site and id."""
+    real = points.where("outcome = 'accepted'").select(_c("siteRef").alias("site_ref"), "id", "historized").withColumn("all", F.lit(1))
+    seeds = dealt_rank(real, "all", F.concat_ws("/", "site_ref", F.substring("id", 1, 5)), ["site_ref", "id"], "seed").drop("all")
+    start = F.lit(hour).cast("timestamp_ntz")
+    covered = hour_coverage(points=points, history=history, hour=hour, windows=windows).withColumnRenamed("point_id", "id")
+    w = F.floor(F.timestamp_diff("MINUTE", start, _c("window_start")) / 5).cast("int")
+    return seeds.drop("historized").join(covered.select("id", w.alias("w"), _c("coverage").alias("status"), "samples", "ordered"), "id")
+
+
+def hour_fan_out(points: DataFrame, history: DataFrame, out: str, target: int, hour: str, windows: int = 12, shard_rows: int = 500_000) -> DataFrame:
+    """``target`` virtual points in each window of an hour, as gzip CSV shards of at most ``shard_rows`` rows by window below ``out``; the audit is returned.
+
+    Virtual point i copies real point i mod N, so real points are dealt out in turn, copy after copy.
+    A task makes one shard, in the order of its points, from a range and a table of real points by
+    window, which is broadcast behind a check of its size; so no virtual row is shuffled. With a larger
+    table the rows are joined by shuffle and put in order again, and shards are cut where files end.
+    """
+    spark = points.sparkSession
+    real = materialize(_real_windows(points, history, hour, windows), "real-windows")
+    size = real.agg(F.count("*").alias("rows"), F.count_distinct("seed").alias("n"), F.coalesce(F.sum(F.octet_length("ordered") + 100), F.lit(0)).alias("bytes")).first()
+    if not size.n or target < 1:
+        raise ValueError("there is no point to copy, or no copy to make")
+    shards = -(-target // shard_rows)
+    index = F.explode(F.sequence(_c("k") * shard_rows, F.least((_c("k") + 1) * shard_rows, F.lit(target)) - 1))
+    each = spark.range(0, windows * shards, 1, windows * shards).select(F.floor(_c("id") / shards).cast("int").alias("w"), (_c("id") % shards).alias("k")).select("w", index.alias("i"))
+    virtual = each.select("w", "i", (_c("i") % size.n).alias("seed"), F.floor(_c("i") / size.n).alias("copy"))
+    small = size.rows <= BROADCAST_REAL and size.bytes <= BROADCAST_BYTES
+    both = virtual.join(F.broadcast(real) if small else real, ["w", "seed"])
+    if not small:
+        both = both.repartitionByRange(windows * shards, "w", "i").sortWithinPartitions("w", "i")
+    start = F.lit(hour).cast("timestamp_ntz")
+    at = lambda k: F.date_format(start + F.make_dt_interval(mins=k * 5), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    name = F.concat(F.lit("c"), F.lpad(_c("copy").cast("string"), 6, "0"), F.lit("."), "id")
+    rows = both.select(name.alias("virtual_point"), "copy", "site_ref", _c("id").alias("source_id"), at(_c("w")).alias("window_start"), at(_c("w") + 1).alias("window_end"), "status", "samples", F.coalesce("ordered", F.lit("[]")).alias("ordered"), "w")
+    rows.write.partitionBy("w").options(header=True, compression="gzip", maxRecordsPerFile=shard_rows, escape='"').csv(out)
+    return hour_audit(real, out, target, windows, shard_rows)
+
+
+def hour_audit(real: DataFrame, out: str, target: int, windows: int = 12, shard_rows: int = 500_000) -> DataFrame:
+    """What ``hour_fan_out`` wrote, read back, against what the real points by window give: one row a window, PASS or FAIL.
+
+    Real point ``seed`` has target div N copies, and one more if it is among the first target mod N.
+    """
+    back = real.sparkSession.read.options(header=True, escape='"').schema(f"{SHARD}, w int").option("basePath", out).csv(out)
+    n = lambda s: F.count_if(_c("status") == s)
+    files = back.groupBy("w", F.input_file_name().alias("file")).agg(F.count("*").alias("rows"), n("observed").alias("observed"), n("not_historized").alias("not_historized"), F.sum("samples").alias("samples"), F.count_if(F.get_json_object("ordered", "$[0]").isNotNull()).alias("listed"))
+    made = files.groupBy("w").agg(F.count("*").alias("shards"), F.max("rows").alias("largest"), *(F.sum(c).alias(c) for c in ("rows", "observed", "not_historized", "samples", "listed")))
+    total = real.agg(F.count_distinct("seed").alias("n"))
+    copies = F.floor(F.lit(target) / _c("n")) + (_c("seed") < F.lit(target) % _c("n")).cast("long")
+    own = real.crossJoin(F.broadcast(total)).withColumn("copies", copies)  # a single aggregate
+    want = own.groupBy("w").agg(F.sum("copies").alias("want_rows"), F.sum(F.when(_c("status") == "observed", _c("copies")).otherwise(0)).alias("want_observed"), F.sum(F.when(_c("status") == "not_historized", _c("copies")).otherwise(0)).alias("want_not_historized"), F.sum(F.when(_c("status") == "observed", _c("copies") * _c("samples")).otherwise(0)).alias("want_samples"))
+    every = real.sparkSession.range(windows).select(_c("id").cast("int").alias("w")).join(want, "w", "left").join(made, "w", "left").fillna(0)
+    good = (_c("rows") == target) & (_c("rows") == _c("want_rows")) & (_c("observed") == _c("want_observed")) & (_c("listed") == _c("observed")) & (_c("not_historized") == _c("want_not_historized")) & (_c("samples") == _c("want_samples")) & (_c("largest") <= shard_rows) & (_c("shards") >= -(-target // shard_rows))
+    return every.select("w", "rows", "shards", "observed", "not_historized", (_c("rows") - _c("observed") - _c("not_historized")).alias("no_observation"), "samples", F.when(good, "PASS").otherwise("FAIL").alias("verdict"))
+
+
+def shard_feeds(made: dict[str, DataFrame], real_points: DataFrame, out: str, n: int, m: int, shard_rows: int = 500_000) -> DataFrame:
+    """``fan_out_feeds``'s tables as gzip CSV shards below ``out``, read back and audited: feed, rows, expected, shards, largest, verdict.
+
+    Expected are ``n`` equipment a site with ``m`` points each, a row of history a point, a row of rules an
+    equipment, and the detections that the rules' rows tell of.
+    """
+    spark, told = real_points.sparkSession, None
+    for name, df in made.items():
+        df.write.options(header=True, compression="gzip", maxRecordsPerFile=shard_rows).csv(f"{out}/{name}")
+        back = spark.read.option("header", True).schema(", ".join(f"{c} string" for c in df.columns)).csv(f"{out}/{name}")
+        one = back.groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("rows"), F.count(df.columns[0]).alias("named")).agg(F.sum("rows").alias("rows"), F.sum("named").alias("named"), F.count("*").alias("shards"), F.max("rows").alias("largest")).withColumn("feed", F.lit(name))
+        told = one if told is None else told.unionByName(one)
+    sites = made["equipment"].select("site_ref").distinct().agg(F.count("*").alias("sites"))
+    pointed = real_points.select("site_ref").distinct().join(made["equipment"].select("site_ref").distinct(), "site_ref").agg(F.count("*").alias("pointed"))
+    found = made["rules"].where("detections > 0").select("virtual_id").join(made["detections"].groupBy(_c("targetRef").alias("virtual_id")).agg(F.count("*").alias("kinds")), "virtual_id").agg(F.coalesce(F.sum("kinds"), F.lit(0)).alias("found"))
+    df = told.crossJoin(sites).crossJoin(pointed).crossJoin(found)  # single aggregates
+    expected = F.when(_c("feed").isin("equipment", "rules"), _c("sites") * n).when(_c("feed").isin("points", "history"), _c("pointed") * n * m).otherwise(_c("found"))
+    good = (_c("rows") == _c("expected")) & (_c("named") == _c("rows")) & (_c("largest") <= shard_rows)
+    return df.withColumn("expected", expected).select("feed", "rows", "expected", "shards", "largest", F.when(F.coalesce(good, F.lit(False)) | ((_c("expected") == 0) & (F.coalesce("rows", F.lit(0)) == 0)), "PASS").otherwise("FAIL").alias("verdict"))

@@ -39,7 +39,10 @@ def batch_checksum(rows, max_rows=100_000):
 
 @operator
 def site_inventory(entities, exclusions):
-    """Ids by site without the excluded ones, in batches of ids by rank; an exclusion of an unknown id refuses its site."""
+    """Sorted ids by site without the excluded ones; an exclusion of an unknown id refuses its site.
+
+    A site's ids are one list, as its inventory is; ``assign_batches`` cuts them into bounded ones.
+    """
     known = entities.select("site_ref", "source_id").distinct()
     unknown = exclusions.select("site_ref", "source_id").distinct().join(known, ["site_ref", "source_id"], "left_anti").groupBy("site_ref").agg(F.count("*").alias("unknown"))
     kept = known.join(exclusions.select("site_ref", "source_id"), ["site_ref", "source_id"], "left_anti")

@@ -253,6 +253,14 @@ SELECT site_ref, id AS source_id, len(list_filter(range(400), lambda k: k % n =
     "rule_scope_coverage": """
 SELECT s.source_id, s.rule_date, count(targetRef) AS detections, CASE WHEN count(targetRef) > 0 THEN 'attached' ELSE 'none' END AS queried FROM (SELECT source_id, d.rule_date FROM entities_v, (SELECT DISTINCT rule_date FROM detections_v) d) s LEFT JOIN detections_v x ON x.targetRef = s.source_id AND x.rule_date = s.rule_date GROUP BY s.source_id, s.rule_date""",
     "entity_fan_out": "SELECT virtual_id, (SELECT any_value(payload) FROM entities_v e WHERE e.source_id = v.source_id) AS payload, source_id AS provenance FROM replicate_equipment v",
+    "hour_fan_out": """
+WITH r AS (SELECT id, historized, row_number() OVER (ORDER BY siteRef, id) - 1 AS seed, count(*) OVER () AS n FROM classify_points WHERE outcome = 'accepted'),
+c AS (SELECT r.id, historized, (2 * n + 17) // n + CASE WHEN seed < (2 * n + 17) % n THEN 1 ELSE 0 END AS copies, w, count(h.row_no) AS s, any_value(2 * n + 17) AS target FROM r, (SELECT unnest(range(12)) AS w) t LEFT JOIN history_v h ON h.point_id = r.id AND h.observed_at >= TIMESTAMP '2024-01-03 10:00:00' + to_minutes(5 * w) AND h.observed_at < TIMESTAMP '2024-01-03 10:00:00' + to_minutes(5 * w + 5) GROUP BY r.id, historized, seed, n, w)
+SELECT w::INTEGER AS w, sum(copies)::BIGINT AS rows, ((any_value(target) + 4999) // 5000)::BIGINT AS shards, sum(CASE WHEN historized AND s > 0 THEN copies ELSE 0 END)::BIGINT AS observed, sum(CASE WHEN NOT historized THEN copies ELSE 0 END)::BIGINT AS not_historized, sum(CASE WHEN historized AND s = 0 THEN copies ELSE 0 END)::BIGINT AS no_observation, sum(CASE WHEN historized THEN copies * s ELSE 0 END)::BIGINT AS samples, 'PASS' AS verdict FROM c GROUP BY w""",
+    "feed_shards": """
+WITH e AS (SELECT site_ref, id, count(*) OVER (PARTITION BY site_ref) AS n, row_number() OVER (PARTITION BY site_ref ORDER BY id) - 1 AS i FROM real_equipment_v), p AS (SELECT count(DISTINCT site_ref) AS pointed FROM real_points_v WHERE site_ref IN (SELECT site_ref FROM e)),
+d AS (SELECT sum(len(list_filter(range(40), lambda k: k % n = i)) * kinds) AS found FROM e JOIN (SELECT targetRef, count(DISTINCT ruleRef) AS kinds FROM detections_v WHERE rule_date = (SELECT max(rule_date) FROM detections_v) GROUP BY targetRef) x ON targetRef = id)
+SELECT feed, rows, rows AS expected, 'PASS' AS verdict FROM (SELECT unnest(['equipment', 'rules', 'points', 'history', 'detections']) AS feed, unnest([40 * sites, 40 * sites, 200 * pointed, 200 * pointed, coalesce(found, 0)])::BIGINT AS rows FROM (SELECT count(DISTINCT site_ref) AS sites FROM e) s, p, d) y""",
     # --- normalisation
     "flatten_kinds": """
 SELECT row_no, CASE WHEN length(v) > 1 AND v[2] = ':' THEN CASE v[1] WHEN 'm' THEN 'true' WHEN 'r' THEN string_split(v[3:], ' ')[1] WHEN 'n' THEN string_split(v[3:], ' ')[1] ELSE v[3:] END ELSE v END AS flat FROM tagged_v""",

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagflow.functions.normalize import instant_of
-from tagflow.operators import coverage, relate
+from tagflow.operators import coverage, fanout, relate
 from tagflow.operators.store import HistoryStore
 from tagflow.sources import files
 from tagflow.sqlops import Graph, flat
@@ -253,5 +253,17 @@ def queries(graph: Graph) -> dict[str, Query]:
         seen = streams.stream_coverage(returned, plan.select("batch_id", _c("scope").alias("scope_ids")), size="1 day")
         return _drained(spark, seen, "append", "covered").select("batch_id", F.to_date("window_start").alias("day"), _c("n_seen").cast("long").alias("n_seen"), _c("n_missing").cast("long").alias("n_missing"), "complete")
 
-    made = (export_round_trip, newest_export, certified_round_trip, landed_history, landed_cells, landed_metadata, landed_rules, raw_manifest, inventory_round_trip, history_days, csv_shards, table_footprint, stream_tumbling, stream_dedup, stored_merge, stream_merge, stream_checkpoint, stream_pages, stream_coverage, landed_references, inventory_snapshot, mixed_exports, pinned_inventory)
+    def hour_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The one-hour fan-out of twice as many virtual points as there are real ones, and some, with its audit by window."""
+        points, history = view(spark, sf_dir, "classify_points"), view(spark, sf_dir, "history_v")
+        target = 2 * points.where("outcome = 'accepted'").count() + 17
+        return fanout.hour_fan_out(points, history, new_path(spark, "hour"), target, "2024-01-03 10:00:00", shard_rows=5_000)
+
+    def feed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Three feeds of virtual sites as gzip shards, audited by feed."""
+        views = {k: view(spark, sf_dir, f"{k}_v") for k in ("real_equipment", "real_points", "history", "detections")}
+        made = fanout.fan_out_feeds(**views, out=new_path(spark, "feeds"), n=40, m=5, window="2024-01-03 10:00:00")
+        return fanout.shard_feeds(made, views["real_points"], new_path(spark, "feed-shards"), 40, 5, shard_rows=2_000).select("feed", "rows", "expected", "verdict")
+
+    made = (export_round_trip, newest_export, certified_round_trip, landed_history, landed_cells, landed_metadata, landed_rules, raw_manifest, inventory_round_trip, history_days, csv_shards, table_footprint, stream_tumbling, stream_dedup, stored_merge, stream_merge, stream_checkpoint, stream_pages, stream_coverage, landed_references, inventory_snapshot, mixed_exports, pinned_inventory, hour_fan_out, feed_shards)
     return {q.__name__: q for q in made}

@@ -90,7 +90,8 @@ class Graph:
     """Named nodes, each an operator bound to base tables or other nodes.
 
     A node named in ``shared`` that several nodes of one query read is written once and read by each
-    of them, rather than computed for each.
+    of them, rather than computed for each. It is written while the query's DataFrame is built, so
+    ``frame`` runs jobs; one who wants a plan only takes a graph without ``shared``.
     """
 
     def __init__(self, tables: tuple[str, ...], shared: tuple[str, ...] = ()):

@@ -63,9 +63,10 @@ def test_stream_equals_batch(spark, tmp_path):
 
 
 def test_normalise_columns(spark):
-    df = spark.createDataFrame([("r:a.b Name",), ("bad id!",), ("m:",), ("maybe",), ("n:4 kW",)], "v string")
+    df = spark.createDataFrame([("r:a.b Name",), ("bad id!",), ("m:",), ("maybe",), ("n:4 kW",), ("p-1 x",), ("m:abc",), ("p-1",)], "v string")
     got = [tuple(r) for r in df.select(normalize.normalise_ref(F.col("v")), normalize.historized_flag(F.col("v")), normalize.flatten_kind(F.col("v"))).collect()]
     assert got[0][0] == "a.b" and got[2][1] is True and got[3][1] is None and got[4][2] == "4" and got[2][2] == "true"
+    assert [r[0] for r in got] == ["a.b", None, "m:", "maybe", None, None, "m:abc", "p-1"] and got[6][2] == "true"
     typed = spark.sql("SELECT parse_json(x) AS v FROM VALUES ('true'), ('1'), ('\"1\"'), ('{\"_kind\":\"na\"}') t(x)")
     rows = typed.select(*(c.alias(k) for k, c in normalize.typed_value(F.col("v")).items())).collect()
     assert [r.val_bool for r in rows] == [True, None, None, None] and rows[1].val_num == 1 and rows[2].val_str == "1" and rows[3].val_na
@@ -78,13 +79,15 @@ def _run(spark, df, name, mode="append"):
 
 
 def test_checkpoint_moves_over_windows_without_gaps(spark, tmp_path):
-    steps = [[("a", 0), ("a", 2), ("b", 1), ("b", None)], [("a", 1), ("a", 2)], [("b", 0), ("a", 0), ("a", 5)]]
+    steps = [[("a", 0, 0), ("a", 2, 0), ("b", 1, 0), ("b", None, 0)], [("a", 1, 60), ("a", 2, 60)], [("b", 0, 120), ("a", 0, 120), ("a", 5, 120)], [("end", 0, 9000)]]
     for i, rows in enumerate(steps):
-        spark.createDataFrame(rows, "site_ref string, window_no int").coalesce(1).write.parquet(str(tmp_path / f"d{i}"))
-    raw = spark.readStream.schema("site_ref string, window_no int").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "d*"))
-    got = [(r.site_ref, r.through) for r in _run(spark, streams.stream_checkpoint(raw), "cursors")]
+        spark.createDataFrame(rows, "site_ref string, window_no int, s long").selectExpr("site_ref", "window_no", "timestamp_seconds(s) AS at").coalesce(1).write.parquet(str(tmp_path / f"d{i}"))
+    raw = spark.readStream.schema("site_ref string, window_no int, at timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "d*"))
+    got = [(r.site_ref, r.through, r.gaps, r.stuck) for r in _run(spark, streams.stream_checkpoint(raw, wait_seconds=600), "cursors") if r.site_ref != "end"]
     assert len(got) == len(set(got))
-    assert {s: max(t for x, t in got if x == s) for s in "ab"} == {"a": 2, "b": 1}
+    assert {s: max(t for x, t, _, _ in got if x == s) for s in "ab"} == {"a": 2, "b": 1}
+    # a waits for 3 and 4 behind 5, and is told of once its wait is over; b never is
+    assert [x for x in got if x[3]] == [("a", 2, 1, True)]
 
 
 def test_coverage_of_batches(spark, tmp_path):
@@ -196,19 +199,68 @@ def test_stream_dedup(spark, tmp_path):
 
 
 def test_stream_merge_twice_changes_nothing(spark, tmp_path):
-    kind = "row_no long, point_id string, observed_at string, val_num string"
-    typed = lambda rows: spark.createDataFrame(rows, kind).selectExpr("row_no", "point_id", "cast(observed_at AS timestamp) AS observed_at", "cast(val_num AS decimal(18,2)) AS val_num")
-    first = typed([(1, "p", "2024-01-01", "1"), (2, "q", "2024-01-01", "2")])
-    second = typed([(3, "p", "2024-01-01", "9"), (4, "q", "2024-01-01", "2"), (5, "r", "2024-01-02", None)])
-    base, revisions = str(tmp_path / "base"), str(tmp_path / "revisions")
-    apply = streams.merge_into(base, revisions)
+    from tagflow.operators.store import HistoryStore
+
+    kind = "batch_id string, point_id string, observed_at string, val_num string"
+    typed = lambda rows: spark.createDataFrame(rows, kind).selectExpr("batch_id", "'t' AS tenant_id", "'1' AS project_id", "point_id", "cast(observed_at AS timestamp_ntz) AS observed_at", "'num' AS value_kind", "cast(val_num AS decimal(18,2)) AS val_num")
+    first = typed([("a", "p", "2024-01-01", "1"), ("a", "q", "2024-01-01", "2")])
+    second = typed([("b", "p", "2024-01-01", "9"), ("b", "q", "2024-01-01", "2"), ("b", "r", "2024-01-02", None)])
+    store = HistoryStore(spark, str(tmp_path / "store"), buckets=2)
+    apply = streams.merge_into(store)
     for batch_id, batch in enumerate((first, second, second)):
         apply(batch, min(batch_id, 1))
-        stored = {(r.point_id, r.val_num and str(r.val_num)) for r in spark.read.schema(streams.SAMPLES).parquet(base).collect()}
-    assert stored == {("p", "1.00"), ("q", "2.00"), ("r", None)}
-    assert [(r.point_id, str(r.val_num)) for r in spark.read.schema(streams.SAMPLES).parquet(revisions).collect()] == [("p", "9.00")]
-    source = tmp_path / "s"
-    second.write.parquet(str(source))
-    raw = spark.readStream.schema(second.schema).parquet(str(source))
-    assert streams.stream_merge(raw, streams.merge_into(base, revisions), str(tmp_path / "cp")).awaitTermination(120)
-    assert spark.read.schema(streams.SAMPLES).parquet(base).count() == 3
+    assert {(r.point_id, r.val_num and float(r.val_num)) for r in store.read().collect()} == {("p", 1.0), ("q", 2.0), ("r", None)} and store.read().count() == 3
+    assert [(r.point_id, float(r.val_num)) for r in store.read("revisions").collect()] == [("p", 9.0)]
+    second.write.parquet(str(tmp_path / "s"))
+    raw = spark.readStream.schema(second.schema).parquet(str(tmp_path / "s"))
+    assert streams.stream_merge(raw, lambda b, k: apply(b, k + 2), str(tmp_path / "cp")).awaitTermination(120)
+    assert store.read().count() == 3 and store.read("revisions").count() == 1
+
+
+def test_files_with_columns_in_other_orders_are_read_by_name(spark, tmp_path):
+    import gzip
+
+    folder = tmp_path / "e"
+    folder.mkdir()
+    (folder / "a.csv").write_text('id,"site, ref",fsk\np-1,s,1\n')
+    (folder / "b.csv").write_text('\ufefffsk,id,"site, ref"\n2,p-2,t\n', encoding="utf-8")
+    with gzip.open(folder / "c.csv.gz", "wt") as f:
+        f.write('"site, ref",fsk,id,extra\nu,3,p-3,x\n')
+    got = files.read_entity_export(spark, str(folder / "*"), ["id", "site, ref"])
+    assert got.columns == ["id", "site, ref", "fsk", "extra"] and sorted(tuple(r) for r in got.collect()) == [("p-1", "s", "1", ""), ("p-2", "t", "2", ""), ("p-3", "u", "3", "x")]
+    for bad in ("fsk,id\n1,p\n", 'id,"site, ref",id\np,s,p\n'):
+        (folder / "d.csv").write_text(bad)
+        with pytest.raises(ValueError, match="d.csv"):
+            files.read_entity_export(spark, str(folder / "*"), ["id", "site, ref"])
+
+
+def test_rows_without_a_batch_are_never_good(spark, tmp_path):
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "x.jsonl").write_text('{"v":1,"batch_key":"a"}\n{"v":2}\n{"v":3,"batch_key":"b"}\n')
+    receipts = spark.createDataFrame([("a", 1), ("b", 2), (None, 1), ("gone", 1)], "batch_key string, row_count long")
+    good, bad = files.read_certified_jsonl(spark, str(tmp_path / "j"), "v int", receipts)
+    assert [r.v for r in good.collect()] == [1] and {r.batch_key for r in bad.collect()} == {None, "b", "gone"}
+
+
+def test_pages_are_judged_once_and_only_good_ones_let_through(spark, tmp_path):
+    scope = ["p-1", "p-2"]
+    meta = {"batch_id": "b1", "project": "1", "site": "s", "complete": True, "truncated": False, "query_id": "q", "window_start": "2024-01-01T06:00:00+06:00", "window_end": "2024-01-01T00:05:00Z", "requested_ids": scope, "completed_ids": scope, "returned_rows": 1, "total_rows": 1}
+    cols = [{"name": "ts", "meta": {}}, {"name": "v0", "meta": {"id": "p-1"}}, {"name": "p-2"}]
+    good = {"meta": meta, "cols": cols, "rows": [{"ts": "2024-01-01T02:01:00+02:00", "v0": 1.5, "p-2": {"_kind": "na"}}]}
+    late = {"meta": meta | {"batch_id": "b2"}, "cols": cols, "rows": [{"ts": "2024-01-01T02:01:00Z", "v0": 1}]}
+    stray = {"meta": meta | {"batch_id": "b3"}, "cols": cols, "rows": [{"ts": "2024-01-01T00:01:00Z", "other": None}]}
+    untyped = {"meta": meta | {"batch_id": "b4"}, "cols": cols, "rows": [{"ts": "2024-01-01T00:01:00Z", "v0": [1]}]}
+    empty = {"meta": meta | {"batch_id": "b5", "returned_rows": 0, "total_rows": 0}, "cols": cols, "rows": []}
+    unplanned = {"meta": meta | {"batch_id": "b9"}, "cols": cols, "rows": good["rows"]}
+    land = tmp_path / "land"
+    land.mkdir()
+    for k, page in enumerate((good, late, stray, untyped, empty, unplanned)):
+        (land / f"{k}.json").write_text(json.dumps(page))
+    plan = spark.createDataFrame([(f"b{k}", "1", "s", meta["window_start"], meta["window_end"], scope) for k in range(1, 7)], "batch_id string, project string, site_ref string, window_start string, window_end string, scope array<string>")
+    into = streams.pages_into(plan, str(tmp_path / "out"))
+    for k in range(2):  # with another checkpoint the pages come again as the same micro-batch
+        assert streams.stream_merge(streams.stream_pages(spark, str(land)), into, str(tmp_path / f"cp{k}")).awaitTermination(240)
+    told = {r.batch_id: r.reason for r in spark.read.parquet(str(tmp_path / "out" / "verdicts")).collect()}
+    assert told == {"b1": "", "b2": "outside_window", "b3": "unrequested", "b4": "value", "b5": "", "b9": "unplanned"}
+    rows = spark.read.parquet(str(tmp_path / "out" / "rows")).collect()
+    assert {(r.batch_id, r.point_id, str(r.observed_at), r.value_kind) for r in rows} == {("b1", "p-1", "2024-01-01 00:01:00", "num"), ("b1", "p-2", "2024-01-01 00:01:00", "na")} and len(rows) == 2

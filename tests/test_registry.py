@@ -40,9 +40,9 @@ def test_same_rows(spark, duck, name):
 
 #: Outcomes that must occur at the next scale, by query and column.
 BRANCHES = {
-    ("classify_points", "outcome"): 9, ("history_coverage", "reason"): 13, ("history_columns", "reason"): 5, ("history_rows", "reason"): 4, ("rules_coverage", "reason"): 14, ("rules_rows", "reason"): 5, ("metadata_page_chain", "reason"): 7, ("observed_coverage", "reason"): 4,
-    ("entity_links", "link"): 5, ("entity_shape", "fault"): 6, ("sink_guard", "reason"): 4, ("run_status", "reason"): 5, ("site_reconcile", "state"): 7, ("asof_inventory", "state"): 3, ("replay_admission", "verdict"): 6, ("replay_filter", "verdict"): 7,
-    ("merge_history", "action"): 3, ("merge_receipts", "action"): 3, ("batch_evidence", "evidence"): 4, ("stale_batches", "reason"): 2, ("hour_coverage", "coverage"): 3, ("split_batches", "state"): 2, ("plan_guard", "verdict"): 3,
+    ("classify_points", "outcome"): 9, ("history_coverage", "reason"): 13, ("history_columns", "reason"): 5, ("history_rows", "reason"): 4, ("rules_coverage", "reason"): 14, ("rules_rows", "reason"): 6, ("metadata_page_chain", "reason"): 7, ("observed_coverage", "reason"): 4,
+    ("entity_links", "link"): 5, ("entity_shape", "fault"): 6, ("sink_guard", "reason"): 8, ("entity_guard", "reason"): 7, ("rule_guard", "reason"): 6, ("history_verdicts", "reason"): 18, ("metadata_verdicts", "reason"): 6, ("size_caps", "reason"): 4, ("completion_scope", "reason"): 5, ("shrink_guard", "reason"): 3, ("merge_history_reject", "reason"): 3, ("entity_changes", "change"): 2, ("stream_checkpoint", "stuck"): 2, ("pinned_inventory", "state"): 4, ("run_status", "reason"): 5, ("site_reconcile", "state"): 7, ("asof_inventory", "state"): 4, ("replay_admission", "verdict"): 6, ("replay_filter", "verdict"): 7,
+    ("merge_history", "action"): 4, ("merge_receipts", "action"): 3, ("batch_evidence", "evidence"): 4, ("stale_batches", "reason"): 2, ("hour_coverage", "coverage"): 3, ("split_batches", "state"): 2, ("plan_guard", "verdict"): 3,
 }
 
 
