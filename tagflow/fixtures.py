@@ -211,7 +211,7 @@ SELECT cast(p_partkey - k + floor((k - 1) / 2) AS bigint) AS parent_id, p_partke
 SELECT run_id, scheduled_at, kind, concat('n-', substring(id, 3)) AS source_id, siteRef AS site_ref, equipment_ref, historized, CASE WHEN row_no % 23 <> 6 THEN concat('v', cast(row_no % 13 AS string)) END AS payload
 FROM (SELECT 'equipment' AS kind, id, siteRef, cast(NULL AS string) AS equipment_ref, false AS historized, row_no FROM {c} WHERE outcome = 'accepted'
       UNION ALL SELECT 'point', id, siteRef, nullif(trim(equipRef), ''), historized, row_no FROM {classified} WHERE outcome = 'accepted') e
-CROSS JOIN (SELECT 'm-1' AS run_id, cast('2024-01-08 03:00:00' AS timestamp_ntz) AS scheduled_at UNION ALL SELECT 'm-2', cast('2024-01-15 03:00:00' AS timestamp_ntz) UNION ALL SELECT 'm-3', cast('2023-12-25 03:00:00' AS timestamp_ntz)) r
+CROSS JOIN (SELECT 'm-1' AS run_id, cast('2024-01-08 03:00:00' AS timestamp_ntz) AS scheduled_at UNION ALL SELECT 'm-2', cast('2024-01-15 03:00:00' AS timestamp_ntz) UNION ALL SELECT 'm-3', cast('2023-12-20 03:00:00' AS timestamp_ntz)) r
 WHERE run_id <> 'm-2' OR row_no % 31 <> 4"""),
     "harvest_v": Operator("SELECT kind, source_id, site_ref, equipment_ref, historized, payload FROM {harvests_v} WHERE run_id = 'm-1'"),
     "part_v": Operator("SELECT kind, source_id, site_ref, equipment_ref, historized, payload FROM {harvests_v} WHERE run_id = 'm-2'"),

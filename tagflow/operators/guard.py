@@ -64,7 +64,7 @@ def guarded(feed: str, receipts: DataFrame, rows: DataFrame, *faults: tuple[Colu
 
 
 @operator
-def sink_guard(plan, carried, receipts, max_rows=24, max_bytes=4_300):
+def sink_guard(plan, carried, receipts, max_rows=24, max_bytes=3_500):
     """History batches: requested points, inside the window, each key once, hashes, caps, batch key."""
     start, end = (utc_clock(instant_with_zone(_c(c))) for c in ("window_start", "window_end"))
     own = carried.join(plan.select("batch_id", "scope", start.alias("s"), end.alias("e")), "batch_id")

@@ -74,7 +74,7 @@ SELECT batch_id, row_no, point_id, observed_at FROM landed_rows_v SEMI JOIN (FRO
 WITH l AS (SELECT c.*, scope, window_start, window_end, '{"observed_at":"' || observed_at || 'Z","point_id":"' || point_id || '","val_bool":null,"val_na":null,"val_num":null,"val_str":' || coalesce('"' || val_str || '"', 'null') || ',"value_kind":' || coalesce('"' || value_kind || '"', 'null') || '}' AS line FROM carried_v c JOIN plan_v p ON p.batch_id = c.batch_id),
 b AS (SELECT batch_id, count(*) AS n, sum(length(line) + 1) AS bytes, sha256(string_agg(line || chr(10), '' ORDER BY point_id, observed_at, line)) AS h, count(*) > count(DISTINCT (point_id, observed_at)) AS twice, bool_or(tamper = 'row_hash') AS changed, bool_or(tamper = 'batch_key') AS keyed,
   bool_or(NOT list_contains(string_split(scope, ','), point_id)) AS stray, bool_or(observed_at < timezone('UTC', cast(window_start AS timestamptz)) OR observed_at >= timezone('UTC', cast(window_end AS timestamptz))) AS late FROM l GROUP BY batch_id)
-SELECT batch_id, reason = '' AS ok, reason, n AS n_rows, CASE WHEN reason = '' THEN h END AS checksum FROM (SELECT *, CASE WHEN stray THEN 'scope' WHEN late THEN 'window' WHEN twice THEN 'duplicate' WHEN changed THEN 'row_hash' WHEN n > 24 THEN 'row_cap' WHEN bytes > 4300 THEN 'byte_cap' WHEN keyed THEN 'batch_key' ELSE '' END AS reason FROM b) x""",
+SELECT batch_id, reason = '' AS ok, reason, n AS n_rows, CASE WHEN reason = '' THEN h END AS checksum FROM (SELECT *, CASE WHEN stray THEN 'scope' WHEN late THEN 'window' WHEN twice THEN 'duplicate' WHEN changed THEN 'row_hash' WHEN n > 24 THEN 'row_cap' WHEN bytes > 3500 THEN 'byte_cap' WHEN keyed THEN 'batch_key' ELSE '' END AS reason FROM b) x""",
     "entity_guard": """
 WITH l AS (SELECT *, '{"equipment_ref":' || coalesce('"' || equipment_ref || '"', 'null') || ',"historized":' || historized || ',"kind":"' || kind || '","payload":' || coalesce('"' || payload || '"', 'null') || ',"site_ref":"' || site_ref || '","source_id":"' || source_id || '"}' || chr(10) AS line FROM handed_v),
 b AS (SELECT batch_id, count(*) AS n, sha256(string_agg(line, '' ORDER BY kind, source_id, line)) AS h, count(*) > count(DISTINCT (kind, source_id)) AS twice, bool_or(tamper = 'row_hash') AS changed, bool_or(tamper = 'batch_key') AS keyed, bool_or(site_ref = 'site-99') AS moved, bool_or(tag_id = 'n-x') AS other, bool_or(kind = 'equipment' AND historized) AS shape FROM l GROUP BY batch_id)

@@ -81,7 +81,7 @@ def _run(spark, df, name, mode="append"):
 def test_checkpoint_moves_over_windows_without_gaps(spark, tmp_path):
     steps = [[("a", 0, 0), ("a", 2, 0), ("b", 1, 0), ("b", None, 0)], [("a", 1, 60), ("a", 2, 60)], [("b", 0, 120), ("a", 0, 120), ("a", 5, 120)], [("end", 0, 9000)]]
     for i, rows in enumerate(steps):
-        spark.createDataFrame(rows, "site_ref string, window_no int, s long").selectExpr("site_ref", "window_no", "timestamp_seconds(s) AS at").coalesce(1).write.parquet(str(tmp_path / f"d{i}"))
+        spark.createDataFrame(rows, "site_ref string, window_no int, s long").selectExpr("site_ref", "window_no", "timestamp_seconds(s + 1700000000) AS at").coalesce(1).write.parquet(str(tmp_path / f"d{i}"))
     raw = spark.readStream.schema("site_ref string, window_no int, at timestamp").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "d*"))
     got = [(r.site_ref, r.through, r.gaps, r.stuck) for r in _run(spark, streams.stream_checkpoint(raw, wait_seconds=600), "cursors") if r.site_ref != "end"]
     assert len(got) == len(set(got))

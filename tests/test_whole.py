@@ -51,13 +51,13 @@ def test_bounded_batches_as_by_brute_force(spark):
 
 
 def test_batches_are_bounded_and_faults_are_per_batch(spark):
-    from tagflow.operators import coverage
+    from tagflow.operators import coverage, validators
 
     plan = registry.GRAPH.frame(spark, DATA, "history_plan")
     assert plan.selectExpr("max(size(scope)) AS n").first().n <= 8
     verdicts = registry.GRAPH.frame(spark, DATA, "history_coverage")
     rows = registry.GRAPH.frame(spark, DATA, "landed_rows_v")
-    split = coverage.quarantine_split(rows=rows, verdicts=verdicts)
+    split = validators.quarantine_split(rows=rows, verdicts=verdicts)
     assert split.count() == rows.count() and {r.ok for r in split.select("ok").distinct().collect()} == {True, False}
     assert coverage.history_rows(plan=plan, rows=rows, max_observations=1).where("reason = 'observation_cap'").count() > 0
 
