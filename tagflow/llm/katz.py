@@ -272,6 +272,7 @@ class Katz:
 
 
 def load(spark: SparkSession, folder: str) -> Katz:
+    """The model that ``train`` wrote to ``folder``; one of an empty table has no frequent words and knows no other."""
     hot = spark.read.parquet(f"{folder}/hot").orderBy("id").collect()  # at most HOT rows
     meta = json.loads(spark.read.parquet(f"{folder}/meta").first()["meta"])
     return Katz(folder, [bytes(r.word) for r in hot], np.array([r.c for r in hot], np.int64), meta)

@@ -98,7 +98,11 @@ def cuts(n: int, capacity: int = CAPACITY, piece: int = PIECE) -> list[tuple[int
 
 
 def pieces(docs: DataFrame, spec: str, end_id: int = 0, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text", cut: Callable[[int], list[tuple[int, int]]] = cuts) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens[, ids]): every id of every row in one piece; ``cut`` gives (start, length) of so many ids."""
+    """(doc_id, start, length, ids_crc32, doc_tokens[, ids]): every id of every row in one piece; ``cut`` gives (start, length) of so many ids.
+
+    A null or empty text is the end id alone; repeated rows and null ids keep their rows; an empty
+    table gives none; very long texts are read whole; further columns are not read.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(spec)
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
     end = np.array([end_id], "<u4").tobytes()

@@ -9,22 +9,27 @@ from tagflow.llm.common import table
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents; edge cases as in ``simhash.near_duplicates``."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages archived and read back; edge cases as in ``warc.round_trip``."""
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed; edge cases as in ``packing.pack_documents``."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without lines that repeated windows hold; edge cases as in ``linedup.dedup_lines``."""
     return linedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents hold; edge cases as in ``decontaminate.leaks``."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 

@@ -88,7 +88,11 @@ def outside(text: Column, kind: str) -> Column:
 
 
 def labelled_samples(rows: DataFrame, text_col: str = "text") -> DataFrame:
-    """(token, random): values that the fixed patterns find, and long words without a long digit run."""
+    """(token, random): values that the fixed patterns find, and long words without a long digit run.
+
+    Of every row's whole text, null as empty, repeats counted each for itself; ids and further
+    columns are not read, and an empty table gives none.
+    """
     text, none = text_of(rows, text_col), F.array().cast("array<string>")
     values = F.when(text.rlike(ASSIGN_MAY), F.filter(F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2)), lambda x: F.length(x) >= 12)).otherwise(none)
     keys = F.when(text.contains("AKIA"), F.regexp_extract_all(text, F.lit(ACCESS), F.lit(0))).otherwise(none)

@@ -401,3 +401,44 @@ def test_a_damaged_record_loses_no_other():
         assert got[0][1] == 0 and got[-1][2] == len(data) and all(a[2] == b[1] for a, b in zip(got, got[1:]))
         kept = {x[3]["record_id"] for x in got if x[0] == "record"}
         assert {f"urn:{k}" for k in range(200) if k not in hurt} <= kept
+
+
+def test_quality_features_by_hand():
+    r = random.Random(8)
+    texts = ["", " \n\t ", "one", "A b! c# 12, d|e. f.\nA b!\n\nA b! c# 12, d|e. f.\n", "a b c d e " * 4 + "\u00e9t\u00e9 \u4e16\u754c", *("".join(r.choices("ab C1.,|!#\n", k=300)) for _ in range(20))]
+    for t in texts:
+        raw, words = t.encode(), t.encode().split()
+        n, size, lines = len(words), max(1, len(t.encode())), [x for x in t.encode().split(b"\n") if x.strip()]
+        m, share = max(1, n), lambda chars: sum(c in chars for c in raw) / size  # noqa: B023
+        grams = [tuple(words[i : i + 5]) for i in range(n - 4)]
+        want = {
+            "log_words": np.log1p(n), "word_length": sum(map(len, words)) / m, "upper_share": share(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"), "digit_share": share(b"0123456789"), "symbol_share": share(b"#*$%&|<>@^~_=+{}[]\\/"),
+            "bang_share": raw.count(b"!") / size, "stop_share": raw.count(b".") / m, "comma_share": raw.count(b",") / m, "pipe_share": raw.count(b"|") / m, "line_words": n / max(1, len(lines)),
+            "repeated_lines": 1 - len(set(lines)) / max(1, len(lines)), "distinct_words": len(set(words)) / m, "repeated_grams": 1 - len(set(grams)) / max(1, len(grams)),
+            "capital_words": sum(w.isupper() for w in words) / m, "end_symbols": sum(w[-1:] in (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">", b"!") for w in words) / m, "longest_word": np.log1p(max(map(len, words), default=0)),
+        }
+        assert np.allclose(gam.features(t), [want[k] for k in gam.FEATURES], atol=1e-12), t
+
+
+def test_toxicity_of_long_texts_is_that_of_the_whole(monkeypatch):
+    r = np.random.default_rng(4)
+    model = toxicity.Cnn()
+    for k in (0, 1, 2, 5, 23, 400, 3000):
+        h = [r.integers(0, 1 << 63, k).astype(np.uint64), r.integers(0, 1 << 63, 7).astype(np.uint64)]
+        monkeypatch.setattr(toxicity, "SEGMENT", 50_000)
+        whole = model.score(h)
+        monkeypatch.setattr(toxicity, "SEGMENT", 11)
+        assert np.allclose(model.score(h), whole, atol=1e-6)
+
+
+def test_training_ends_when_unseen_rows_get_no_better():
+    r = np.random.default_rng(5)
+    rows = [r.integers(0, 1 << 63, 30).astype(np.uint64) for _ in range(300)]
+    y = r.integers(0, 2, 300).astype(np.float32)  # nothing to learn
+    steps = []
+    model = toxicity.Cnn()
+    vectors = model.vectors
+    model.vectors = lambda h: steps.append(len(h)) or vectors(h)
+    model.fit(rows[:240], y[:240], (rows[240:], y[240:]))
+    assert sum(n <= toxicity.BATCH and n != 60 for n in steps) < toxicity.STEPS
+    assert model.loss(rows[240:], y[240:]) < 1.5
