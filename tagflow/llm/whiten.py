@@ -195,10 +195,9 @@ def _summed(rows: DataFrame, dim: int, per_batch: Callable[[np.ndarray], np.ndar
 
     whole = per_batch(np.zeros((0, dim), np.int64))
     kind, wide = ("long", "decimal(38,0)") if whole.dtype == np.int64 else ("double", "double")
-    cells = rows.mapInArrow(run, f"i int, j int, v {kind}").groupBy("i", "j").agg(F.sum(F.col("v").cast(wide)).alias("v")).collect()  # a row an entry
+    cells = rows.mapInArrow(run, f"i int, j int, v {kind}").groupBy("i", "j").agg(F.sum(F.col("v").cast(wide)).alias("v")).toArrow()  # a row an entry
     out = np.zeros(whole.shape, object if whole.dtype == np.int64 else float)
-    for r in cells:
-        out[r.i, r.j] = int(r.v) if whole.dtype == np.int64 else r.v
+    out[cells["i"].to_numpy(), cells["j"].to_numpy()] = [int(v) for v in cells["v"].to_pylist()] if whole.dtype == np.int64 else cells["v"].to_numpy()
     return out
 
 
