@@ -192,7 +192,9 @@ def _real_windows(points: DataFrame, history: DataFrame, hour: str, windows: int
     start = F.lit(hour).cast("timestamp_ntz")
     covered = hour_coverage(points=points, history=history, hour=hour, windows=windows).withColumnRenamed("point_id", "id")
     w = F.floor(F.timestamp_diff("MINUTE", start, _c("window_start")) / 5).cast("int")
-    return seeds.drop("historized").join(covered.select("id", w.alias("w"), _c("coverage").alias("status"), "samples", "ordered"), "id")
+    seen = _c("coverage") == "observed"  # what a point that is not historised has was not asked for
+    own = covered.select("id", w.alias("w"), _c("coverage").alias("status"), F.when(seen, _c("samples")).otherwise(0).alias("samples"), F.when(seen, _c("ordered")).alias("ordered"))
+    return seeds.drop("historized").join(own, "id")
 
 
 def hour_fan_out(points: DataFrame, history: DataFrame, out: str, target: int, hour: str, windows: int = 12, shard_rows: int = 500_000) -> DataFrame:
