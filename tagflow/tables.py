@@ -6,6 +6,8 @@ import gc
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,15 +48,25 @@ def drop_unused_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+@contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Writes within drop the files of their own shuffles as they end, where disk is short; nothing may use their plans again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, label: str, drop_shuffles: bool = False) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared folder and read it back.
 
     A lost executor costs a re-read, not the stages before. Spark drops a shuffle's files once
-    nothing refers to it; ``drop_shuffles`` asks for that at once, where disk is short.
+    nothing refers to it; with ``drop_shuffles`` it does as the write ends.
     """
     spark, path, schema = df.sparkSession, new_path(df.sparkSession, label), df.schema
-    df.write.option("compression", "zstd").parquet(path)
-    if drop_shuffles:
-        del df
-        drop_unused_shuffles(spark)
+    with brief_shuffles(spark) if drop_shuffles else nullcontext():
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
