@@ -9,18 +9,21 @@ The model is tables in one folder: ``ngrams`` (order, bucket; h, w, c, cw) with
 weight) with alpha(h)·c(h), partitioned by bucket; ``hot`` and ``meta`` with the frequent words and
 a handful of numbers. Any texts can be scored from them later (``load``, ``score``).
 
-Training. One pass counts words. One shuffle brings the pairs, summed by batch and packed, to their
+Training. One pass counts words. One shuffle brings the pairs, packed by batch, to their
 buckets, where they are counted and written; the weights come from the written pairs by one
-aggregation over histories. Words seen twice and with at least a HOT-th of all training tokens, at
+aggregation over histories. Words seen twice and with at least a HOT-th of all tokens, at
 most HOT of them, are broadcast with their counts and dealt by (h, w); other words are dealt by w,
 so a bucket knows its words' counts and no word's share of the corpus lands in one bucket.
 
-Scoring. One shuffle brings every token with its history to its bucket, whose task reads the
-bucket's two count tables and evaluates token by token: the pair's discounted count if it was
-seen, else, one order down, the word's probability, to which the history's weight is still owed.
-What a bucket returns is summed by document: the tokens that owe a weight are listed by document and
-history, and joined with ``weights``. The denominator c(h) of a token is charged where h itself is
-looked up, as every word but the end is the history of just one token.
+Scoring. A bucket's task evaluates its tokens by the bucket's counts: the pair's discounted count if
+it was seen, else, one order down, the word's probability, to which the history's weight is still
+owed. Where a corpus is scored by a model of its own rows (``katz_scores``), that is the task which
+counts them, and the shuffle of training brings the rows that are only scored along; other texts
+(``score``) are dealt the same way to tasks that read the bucket's two count tables. What a bucket
+returns is summed by document: tokens of pairs seen up to K_GT times by their count, as their
+discounts are known when all buckets are counted, and the tokens that owe a weight by history, to be
+joined with ``weights``. The denominator c(h) of a token is charged where h itself is looked up, as
+every word but the end is the history of just one token.
 """
 
 from __future__ import annotations
@@ -40,18 +43,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagflow.llm.common import fold, materialize, new_path, table, text_of
-from tagflow.tables import drop_unused_shuffles
+from tagflow.tables import brief_shuffles
 
 K_GT = 5
 EPSILON = 1e-4
 #: A word is hot with 1/HOT of the training tokens, so at most HOT words are broadcast.
 HOT = 50_000
-#: Training tokens a bucket of the tables; tokens that a scoring task gets at once.
-BUCKET_TOKENS, SCORE_TOKENS = 1_500_000, 2_500_000
+#: Tokens a bucket of the tables; tokens of other texts that a scoring task gets at once.
+BUCKET_TOKENS, SCORE_TOKENS = 2_000_000, 2_500_000
 FLUSH_TOKENS = 1_500_000
 CACHE_WORDS = 300_000
 END = b"\n"
 START = -1
+WEIGHTS = "h long, total long, weight double, bucket int"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -72,21 +76,27 @@ def discounts(n: list[int]) -> list[float]:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(word binary, c long) over rows with a text; one end token a row."""
+    """(word binary, c long, other long) over rows of (text, learn): occurrences in rows to learn from, and in others; one end token a row."""
+    names = ["word", "c", "other"]
+
+    def sums(learnt: Counter, other: Counter) -> pa.RecordBatch:
+        words = list(learnt.keys() | other.keys())
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), *(pa.array([x[w] for w in words], pa.int64()) for x in (learnt, other))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got, size = Counter({END: len(b)}), 0
-            for t in b.column(0):
+            got, size = (Counter(), Counter()), 0
+            for t, learn in zip(b.column(0), b.column(1).to_pylist()):
                 w = words_of(t.as_py())
-                got.update(w)
+                w.append(END)
+                got[not learn].update(w)
                 size += len(w)
                 if size > 2 * FLUSH_TOKENS:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.binary()), pa.array(list(got.values()), pa.int64())], names=["word", "c"])
-                    got, size = Counter(), 0
-            yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.binary()), pa.array(list(got.values()), pa.int64())], names=["word", "c"])
+                    yield sums(*got)
+                    got, size = (Counter(), Counter()), 0
+            yield sums(*got)
 
-    return docs.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return docs.select("text", "learn").mapInArrow(run, "word binary, c long, other long").groupBy("word").agg(F.sum("c").alias("c"), F.sum("other").alias("other"))
 
 
 class _Ids(dict):
@@ -122,15 +132,16 @@ def _from_planes(raw: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-PACKED = ("bucket", "uw", "uh", "pairs", "hi", "reps", "at", "uid", "all_uid", "all_id")
+PACKED = ("bucket", "uw", "uh", "pairs", "hi", "reps", "at", "uid", "learn", "all_uid", "all_id")
 
 
-def _packed(w, h, row, uid, ids, deal, with_rows: bool) -> pa.RecordBatch:
+def _packed(w, h, row, uid, ids, learn, deal, with_rows: bool) -> pa.RecordBatch:
     """One row per bucket: its words, the pairs of each, and, if asked, the document rows these are from.
 
     Words and histories are listed once (``uw``, ``uh``); ``pairs`` says how many pairs a word has,
     ``hi`` which history each has, ``reps`` how often it occurs and ``at`` in which of the rows
-    ``uid``. The first bucket also lists all rows with their ids.
+    ``uid``, of which ``learn`` says whether they are learned from. The first bucket also lists all
+    rows with their ids.
     """
     bucket = deal(w, h)
     order = np.lexsort((h, w, bucket))
@@ -148,14 +159,14 @@ def _packed(w, h, row, uid, ids, deal, with_rows: bool) -> pa.RecordBatch:
         blobs = [*longs, *(x.astype(np.int32) for x in ints)]
         if with_rows:
             present, at = np.unique(row[lo:hi], return_inverse=True)
-            blobs += [at.astype(np.int32), uid[present], *((uid, ids) if lo == 0 else (uid[:0], ids[:0]))]
-        for c, v in zip(cols, (int(bucket[lo]), *(squeeze(_planes(x)) for x in blobs), *[b""] * (9 - len(blobs)))):
+            blobs += [at.astype(np.int32), uid[present], learn[present], *((uid, ids) if lo == 0 else (uid[:0], ids[:0]))]
+        for c, v in zip(cols, (int(bucket[lo]), *(squeeze(_planes(x)) for x in blobs), *[b""] * (10 - len(blobs)))):
             c.append(v)
     return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k else pa.int32()) for k, c in enumerate(cols)], names=list(PACKED))
 
 
 def occurrences(docs: DataFrame, hot, n_buckets: int, parts: int = 1, with_rows: bool = True) -> DataFrame:
-    """Every (history, word) of every row of (uid, id, text), packed by bucket and batch.
+    """Every (history, word) of every row of (uid, id, learn, text), packed by bucket and batch.
 
     With ``parts`` a bucket's tokens are dealt out once more, by history.
     """
@@ -165,24 +176,24 @@ def occurrences(docs: DataFrame, hot, n_buckets: int, parts: int = 1, with_rows:
         get, n_hot = lookup.__getitem__, len(hot.value)
         deal = lambda w, h: _deal(w, h, n_hot, n_buckets) * np.int32(parts) + ((h * 0x9E3779B1 >> 20) % parts).astype(np.int32)
         held: list[tuple[np.ndarray, np.ndarray, int]] = []
-        rows: list[tuple[int, int]] = []
+        rows: list[tuple[int, int, bool]] = []
         size = 0
 
         def flush():
             w, h = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
             row = np.repeat([x[2] for x in held], [len(x[0]) for x in held])
-            uid, ids = (np.array([r[k] for r in rows], np.int64) for k in (0, 1))
-            return _packed(w, h, row, uid, ids, deal, with_rows)
+            uid, ids, learn = (np.array([r[k] for r in rows], t) for k, t in enumerate((np.int64, np.int64, np.uint8)))
+            return _packed(w, h, row, uid, ids, learn, deal, with_rows)
 
         for b in batches:
-            for uid, ident, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            for uid, ident, learn, text in zip(*(b.column(k).to_pylist() for k in range(3)), b.column(3)):
                 words = words_of(text.as_py())
                 words.append(END)
                 before = START
                 for at in range(0, len(words), FLUSH_TOKENS):
                     part = words[at : at + FLUSH_TOKENS]
                     w = np.fromiter(map(get, part), np.int64, len(part))
-                    rows.append((uid, ident))
+                    rows.append((uid, ident, learn))
                     held.append((w, np.r_[before, w[:-1]], len(rows) - 1))
                     before, size = w[-1], size + len(w)
                     if size >= FLUSH_TOKENS:
@@ -191,7 +202,7 @@ def occurrences(docs: DataFrame, hot, n_buckets: int, parts: int = 1, with_rows:
         if held:
             yield flush()
 
-    packed = docs.select("uid", "id", "text").mapInArrow(run, "bucket int, " + ", ".join(f"{x} binary" for x in PACKED[1:]))
+    packed = docs.select("uid", "id", "learn", "text").mapInArrow(run, "bucket int, " + ", ".join(f"{x} binary" for x in PACKED[1:]))
     n = n_buckets * parts
     return packed.repartition(n, "bucket").sortWithinPartitions("bucket")
 
@@ -207,20 +218,76 @@ def _arrays(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 
 
 NGRAMS = "order int, bucket int, h long, w long, c long, cw long"
+#: Tokens whose pair was seen 1 to K_GT times, by row: their discounts are known only when all pairs are counted.
+RARE = [f"r{r}" for r in range(1, K_GT + 1)]
+SCORED = "uid long, id long, h long, n int, known int, base double, s double, " + ", ".join(f"{r} int" for r in RARE)
+BOTH = f"{NGRAMS}, {SCORED.replace('h long, ', '')}"
+
 
+def _part(schema: str, **cols) -> pa.RecordBatch:
+    """Rows of ``schema``; columns without values are null, a single value is that of all rows."""
+    types = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
+    size, arrays, names = max(np.size(x) for x in cols.values() if np.ndim(x)), [], []
+    for name, kind in (x.split() for x in schema.split(", ")):
+        x, names = cols.get(name), [*names, name]
+        arrays.append(pa.nulls(size, types[kind]) if x is None else pa.array(np.broadcast_to(np.asarray(x, types[kind].to_pandas_dtype()), size), types[kind]))
+    return pa.RecordBatch.from_arrays(arrays, names=names)
 
-def _count(bucket: int, rows: list[dict], hot_c: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One bucket's rows of ``ngrams``."""
-    uw, uh, up, pi, reps = _arrays(rows)
-    c = np.bincount(pi, reps, len(up)).astype(np.int64)
-    of_w = up // len(uh)
-    c_word = np.bincount(of_w, c, len(uw)).astype(np.int64)
-    cold = uw >= len(hot_c)
-    c_word[~cold] = hot_c[uw[~cold]]
-    names = [x.split()[0] for x in NGRAMS.split(", ")]
-    for order, h, w, n, cw in ((2, uh[up % len(uh)], uw[of_w], c, c_word[of_w]), (1, np.zeros(cold.sum(), np.int64), uw[cold], c_word[cold], c_word[cold])):
-        fixed = (pa.array(np.full(len(w), v, np.int32)) for v in (order, bucket))
-        yield pa.RecordBatch.from_arrays([*fixed, *map(pa.array, (h, w, n, cw))], names=names)
+
+class _Tokens:
+    """The tokens of one bucket: distinct words and histories, their pairs, and with ``with_rows`` each token's pair and row."""
+
+    def __init__(self, rows: list[dict], with_rows: bool):
+        self.uw, self.uh, up, pi, reps = _arrays(rows)
+        self.of_w, self.of_h, self.codes = up // len(self.uh), up % len(self.uh), up
+        if not with_rows:
+            self.counted = np.bincount(pi, reps, len(up)).astype(np.int64)
+            return
+        grow = zstandard.ZstdDecompressor().decompress
+        arr = lambda name, t: [_from_planes(grow(x[name]), t) for x in rows]
+        uid = arr("uid", np.int64)
+        starts = np.cumsum([0] + [len(x) for x in uid[:-1]])
+        self.row, self.uid = np.concatenate([x + np.int32(o) for x, o in zip(arr("at", np.int32), starts)]), np.concatenate(uid)
+        self.all_uid, self.all_id = np.concatenate(arr("all_uid", np.int64)), np.concatenate(arr("all_id", np.int64))
+        self.pair = np.repeat(pi, reps)
+        self.counted = np.bincount(self.pair[np.concatenate(arr("learn", np.uint8))[self.row] > 0], minlength=len(up))
+
+    def sums(self, c_word: np.ndarray, c_pair: np.ndarray, m: dict, schema: str, bucket: int | None = None) -> Iterator[pa.RecordBatch]:
+        """Sums by row, then the tokens that back off, by row and history, given the words' and pairs' counts.
+
+        Each token is evaluated from the highest order down: a seen pair ends it there, any other
+        is passed to the order below, and owes its history's weight.
+        """
+        of = lambda order: {} if bucket is None else {"order": order, "bucket": bucket}
+        yield _part(schema, uid=self.all_uid, id=self.all_id, **of(0))
+        n, token = len(self.uid), self.pair
+        add = lambda v: np.bincount(self.row, v, n)
+        seen, rare = c_pair > 0, (c_pair > 0) & (c_pair <= K_GT)
+        higher = np.where(rare, 0.0, np.log10(np.where(seen, (1 - EPSILON) * c_pair, 1.0)))
+        lower = np.log10(word_probability(c_word, m))
+        owed = np.where((self.uw != m["end"]) & (c_word > 0), np.log10(np.maximum(c_word, 1)), 0.0)
+        s_pair = np.where(seen, higher, lower[self.of_w]) - owed[self.of_w]
+        base = np.log10((c_word + 0.5) / (m["N"] + 0.5 * (m["V"] + 1)))[self.of_w]
+        of_rare = np.flatnonzero(rare[token])
+        times = np.bincount(self.row[of_rare].astype(np.int64) * K_GT + c_pair[token[of_rare]] - 1, minlength=n * K_GT).reshape(n, K_GT)
+        yield _part(schema, uid=self.uid, n=add(None), known=add((c_word > 0)[self.of_w][token]), base=add(base[token]), s=add(s_pair[token]), **dict(zip(RARE, times.T)), **of(0))
+        off = np.flatnonzero(~seen[token])
+        back, n = np.unique(self.row[off].astype(np.int64) * len(self.uh) + self.of_h[token[off]], return_counts=True)
+        yield _part(schema, uid=self.uid[back // len(self.uh)], h=self.uh[back % len(self.uh)], n=n, **of(-1))
+
+
+def _count(bucket: int, rows: list[dict], hot_c: np.ndarray, m: dict, scored: bool) -> Iterator[pa.RecordBatch]:
+    """One bucket's rows of ``ngrams``; with ``scored`` also its sums (order 0) and what is owed (order -1)."""
+    schema = BOTH if scored else NGRAMS
+    t = _Tokens(rows, scored)
+    c, cold = t.counted, t.uw >= len(hot_c)
+    c_word = np.bincount(t.of_w, c, len(t.uw)).astype(np.int64)
+    c_word[~cold] = hot_c[t.uw[~cold]]
+    k, kw = np.flatnonzero(c), np.flatnonzero(cold & (c_word > 0))
+    yield _part(schema, order=2, bucket=bucket, h=t.uh[t.of_h[k]], w=t.uw[t.of_w[k]], c=c[k], cw=c_word[t.of_w[k]])
+    yield _part(schema, order=1, bucket=bucket, h=0, w=t.uw[kw], c=c_word[kw], cw=c_word[kw])
+    if scored:
+        yield from t.sums(c_word, c, m, schema, bucket)
 
 
 def _by_bucket(batches: Iterator[pa.RecordBatch], use) -> Iterator[pa.RecordBatch]:
@@ -252,13 +319,13 @@ def discounted(c, d: list[float]):
 
 
 def unigram_model(counts: DataFrame) -> dict:
-    """N, V, discounts and the unknown class's mass; ``counts`` as of word_counts."""
+    """N, tokens of other rows, V, discounts and the unknown class's mass; ``counts`` as of word_counts."""
     n_r = [F.count_if(F.col("c") == r).alias(f"n{r}") for r in range(1, K_GT + 2)]
-    got = counts.agg(F.sum("c").alias("N"), F.count("*").alias("V"), F.sum(F.when(F.col("c") > K_GT, F.col("c"))).alias("big"), *n_r).first()
+    got = counts.agg(F.sum("c").alias("N"), F.sum("other").alias("other"), F.count_if(F.col("c") > 0).alias("V"), F.sum(F.when(F.col("c") > K_GT, F.col("c"))).alias("big"), *n_r).first()
     n, big = [got[f"n{r}"] for r in range(1, K_GT + 2)], got["big"] or 0
     d, total = discounts(n), got["N"] or 0
     kept = sum(d[r - 1] * r * n[r - 1] for r in range(1, K_GT + 1)) + (1 - EPSILON) * big
-    return {"N": total, "V": got["V"], "d": d, "unknown": 1 - kept / total if total else 1.0}
+    return {"N": total, "other": got["other"] or 0, "V": got["V"], "d": d, "unknown": 1 - kept / total if total else 1.0}
 
 
 @dataclass
@@ -278,33 +345,25 @@ def load(spark: SparkSession, folder: str) -> Katz:
     return Katz(folder, [bytes(r.word) for r in hot], np.array([r.c for r in hot], np.int64), meta)
 
 
-def train(docs: DataFrame, text_col: str = "text", folder: str | None = None) -> Katz:
-    """Write the model of all rows of ``docs`` to ``folder`` (by default one that goes with the application).
-
-    Null texts are empty: the end token alone. Repeated rows count each for itself, very long texts
-    are read whole, an empty table gives a model in which every word is unknown with probability 1.
-    Further columns are not read. Words are told apart by 62 bits of XXH64 unless hot.
-    """
-    spark = docs.sparkSession
-    folder = folder or new_path(spark, "katz")
-    zstd = {"compression": "zstd"}
-    rows = docs.select(F.lit(0).cast("long").alias("uid"), F.lit(0).cast("long").alias("id"), text_of(docs, text_col).alias("text"))
+def _fit(rows: DataFrame, folder: str, scored: bool) -> Katz:
+    """The model of the rows of (uid, id, learn, text) that are to be learned from, in ``folder``; with ``scored`` also all rows' sums."""
+    spark, zstd = rows.sparkSession, {"compression": "zstd"}
     # a word seen once is never hot, so that the table need not spell it
-    counts = materialize(word_counts(rows).select(F.when(F.col("c") > 1, F.col("word")).alias("word"), "c"), "words", drop_shuffles=True)
+    whole = F.col("c") + F.col("other")
+    counts = materialize(word_counts(rows).select(F.when(whole > 1, F.col("word")).alias("word"), "c", "other"), "words", drop_shuffles=True)
     uni = unigram_model(counts)
-    least = max(2, -(-uni["N"] // HOT))
-    hot = counts.where(F.col("c") >= least).orderBy(F.desc("c"), "word").collect()  # at most HOT rows
+    tokens = uni["N"] + uni.pop("other")
+    hot = counts.where(whole >= max(2, -(-tokens // HOT))).orderBy(whole.desc(), "word").collect()  # at most HOT rows
     words, hot_c = [bytes(r.word) for r in hot], np.array([r.c for r in hot], np.int64)
     frequent = spark.createDataFrame([(k, r.word, r.c) for k, r in enumerate(hot)], "id int, word binary, c long")
     frequent.coalesce(1).write.options(**zstd).parquet(f"{folder}/hot")
-    n_buckets = 1 + uni["N"] // BUCKET_TOKENS
-    shared = spark.sparkContext.broadcast(words)
-    dealt = occurrences(rows, shared, n_buckets, with_rows=False)
-    count = lambda bucket, packed: _count(bucket, packed, hot_c)
-    counted = dealt.mapInArrow(lambda batches: _by_bucket(batches, count), NGRAMS)
-    counted.write.partitionBy("order", "bucket").options(**zstd).parquet(f"{folder}/ngrams")
-    del dealt, counted
-    drop_unused_shuffles(spark)
+    n_buckets = 1 + tokens // BUCKET_TOKENS
+    meta = uni | {"n_buckets": n_buckets, "end": int(_Ids(words)[END])}
+    dealt = occurrences(rows, spark.sparkContext.broadcast(words), n_buckets, with_rows=scored)
+    count = lambda bucket, packed: _count(bucket, packed, hot_c, meta, scored)
+    counted = dealt.mapInArrow(lambda batches: _by_bucket(batches, count), BOTH if scored else NGRAMS)
+    with brief_shuffles(spark):
+        counted.write.partitionBy("order", "bucket").options(**zstd).parquet(f"{folder}/ngrams")
 
     pairs = spark.read.schema(NGRAMS).parquet(f"{folder}/ngrams").where("order = 2")
     seen = {r.r: r.n for r in pairs.where(F.col("c") <= K_GT + 1).groupBy(F.col("c").alias("r")).agg(F.count("*").alias("n")).collect()}  # at most six rows
@@ -314,13 +373,24 @@ def train(docs: DataFrame, text_col: str = "text", folder: str | None = None) ->
     weight = F.col("left") / F.greatest(1 - F.col("p"), F.lit(uni["unknown"]))
     n_parts = 1 + n_buckets // 16
     weights = history.select("h", "total", weight.alias("weight"), F.pmod(F.xxhash64("h"), F.lit(n_parts)).cast("int").alias("bucket"))
-    weights.repartition(n_parts, "bucket").write.partitionBy("bucket").options(**zstd).parquet(f"{folder}/weights")
-    del history, weights
-    drop_unused_shuffles(spark)
-    first = spark.read.parquet(f"{folder}/weights").where(F.col("h") == START).select("total").first() if seen or uni["N"] else None
-    meta = uni | {"d2": d, "starts": first.total if first else 0, "n_buckets": n_buckets, "end": int(_Ids(words)[END])}
+    with brief_shuffles(spark):
+        weights.repartition(n_parts, "bucket").write.partitionBy("bucket").options(**zstd).parquet(f"{folder}/weights")
+    first = spark.read.schema(WEIGHTS).parquet(f"{folder}/weights").where(F.col("h") == START).select("total").first() if uni["N"] else None
+    meta |= {"d2": d, "starts": first.total if first else 0}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.parquet(f"{folder}/meta")
-    return load(spark, folder)
+    return Katz(folder, words, hot_c, meta)
+
+
+def train(docs: DataFrame, text_col: str = "text", folder: str | None = None) -> Katz:
+    """Write the model of all rows of ``docs`` to ``folder`` (by default one that goes with the application).
+
+    Null texts are empty: the end token alone. Repeated rows count each for itself, very long texts
+    are read whole, an empty table gives a model in which every word is unknown with probability 1.
+    Further columns are not read. Words are told apart by 62 bits of XXH64 unless hot.
+    """
+    zero = F.lit(0).cast("long")
+    rows = docs.select(zero.alias("uid"), zero.alias("id"), F.lit(True).alias("learn"), text_of(docs, text_col).alias("text"))
+    return _fit(rows, folder or new_path(docs.sparkSession, "katz"), scored=False)
 
 
 class _Tables:
@@ -345,54 +415,47 @@ def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarr
     return np.where(keys[order[at]] == wanted, values[order[at]], 0)
 
 
-SCORED = "uid long, id long, h long, n int, known int, base double, s double"
-
-
 def _evaluate(bucket: int, rows: list[dict], tables: _Tables, hot_c: np.ndarray, m: dict) -> Iterator[pa.RecordBatch]:
-    """One bucket's sums by row, and its tokens that back off, by row and history."""
-    grow = zstandard.ZstdDecompressor().decompress
-    arr = lambda name, t: [_from_planes(grow(x[name]), t) for x in rows]
-    uid = arr("uid", np.int64)
-    starts = np.cumsum([0] + [len(x) for x in uid[:-1]])
-    row, uid = np.concatenate([x + np.int32(o) for x, o in zip(arr("at", np.int32), starts)]), np.concatenate(uid)
-    yield _part(uid=np.concatenate(arr("all_uid", np.int64)), id=np.concatenate(arr("all_id", np.int64)))
-    uw, uh, up, pi, reps = _arrays(rows)
-
-    c_word = _found(*tables.read(1, bucket, ["w", "c"]), uw)
-    is_hot = uw < len(hot_c)
-    c_word[is_hot] = hot_c[uw[is_hot]]
+    """One bucket's sums by row, and its tokens that back off, by row and history, from the stored tables."""
+    t = _Tokens(rows, True)
+    c_word = _found(*tables.read(1, bucket, ["w", "c"]), t.uw)
+    is_hot = t.uw < len(hot_c)
+    c_word[is_hot] = hot_c[t.uw[is_hot]]
     w, h, c = tables.read(2, bucket, ["w", "h", "c"])
-    wi, hi = np.searchsorted(uw, w), np.searchsorted(uh, h)
-    ours = (uw[np.minimum(wi, len(uw) - 1)] == w) & (uh[np.minimum(hi, len(uh) - 1)] == h)
-    c_pair = _found(wi[ours] * len(uh) + hi[ours], c[ours], up)
+    wi, hi = np.searchsorted(t.uw, w), np.searchsorted(t.uh, h)
+    ours = (t.uw[np.minimum(wi, len(t.uw) - 1)] == w) & (t.uh[np.minimum(hi, len(t.uh) - 1)] == h)
+    c_pair = _found(wi[ours] * len(t.uh) + hi[ours], c[ours], t.codes)
     del w, h, c, wi, hi, ours
+    yield from t.sums(c_word, c_pair, m, SCORED)
 
-    of_w = up // len(uh)
-    d = np.r_[0.0, m["d2"]]
-    higher = np.log10(np.where(c_pair > K_GT, (1 - EPSILON) * c_pair, d[np.minimum(c_pair, K_GT)] * c_pair) + (c_pair == 0))
-    lower = np.log10(word_probability(c_word, m))
-    owed = np.where((uw != m["end"]) & (c_word > 0), np.log10(np.maximum(c_word, 1)), 0.0)
-    s_pair = np.where(c_pair > 0, higher, lower[of_w]) - owed[of_w]
-    base = np.log10((c_word + 0.5) / (m["N"] + 0.5 * (m["V"] + 1)))[of_w]
-    token = np.repeat(pi, reps)
-    add = lambda v: np.bincount(row, v, len(uid))
-    yield _part(uid=uid, n=add(None), known=add((c_word > 0)[of_w][token]), base=add(base[token]), s=add(s_pair[token]))
-    off = np.flatnonzero((c_pair == 0)[token])
-    back, n = np.unique(row[off].astype(np.int64) * len(uh) + (up % len(uh))[token[off]], return_counts=True)
-    yield _part(uid=uid[back // len(uh)], h=uh[back % len(uh)], n=n)
-
-
-def _part(**cols: np.ndarray) -> pa.RecordBatch:
-    """Rows in the columns of SCORED; ids and histories without a value are null, sums are 0."""
-    types = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
-    size, arrays, names = len(cols["uid"]), [], []
-    for name, kind in (x.split() for x in SCORED.split(", ")):
-        names.append(name)
-        if name in cols:
-            arrays.append(pa.array(np.asarray(cols[name]).astype(types[kind].to_pandas_dtype()), types[kind]))
-        else:
-            arrays.append(pa.nulls(size, types[kind]) if kind == "long" else pa.array(np.zeros(size), types[kind], safe=False))
-    return pa.RecordBatch.from_arrays(arrays, names=names)
+
+NO_ID = -(1 << 63)
+
+
+def _scorable(docs: DataFrame, id_col: str, text_col: str, learn) -> DataFrame:
+    return docs.select(F.monotonically_increasing_id().alias("uid"), F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("id"), learn.alias("learn"), text_of(docs, text_col).alias("text"))
+
+
+def _settled(found: DataFrame, model: Katz) -> DataFrame:
+    """Scores by row from the buckets' sums: rare pairs get their discounts, tokens that backed off their histories' weights."""
+    spark, m = found.sparkSession, model.meta
+    weights = spark.read.schema(WEIGHTS).parquet(f"{model.folder}/weights").select("h", F.log10("weight").alias("weight"))
+    backs, is_hot = found.where("h IS NOT NULL").select("uid", "h", "n"), F.col("h") < len(model.words)
+    small = F.broadcast(weights.where(is_hot))  # at most HOT + 1 rows
+    backed = backs.where(is_hot).join(small, "h").unionByName(backs.where(~is_hot).join(weights.where(~is_hot), "h"))
+    owed = backed.select("uid", (F.col("n") * F.col("weight")).alias("s"))
+    rare = sum((F.col(r) * F.lit(float(np.log10(d * k))) for k, (r, d) in enumerate(zip(RARE, m["d2"]), 1)), F.lit(0.0))
+    own = found.where("h IS NULL").select("uid", "id", "n", "known", "base", F.col("s") + rare if m["N"] else F.col("s"))
+    own = own.toDF("uid", "id", "n", "known", "base", "s")
+    total = own.unionByName(owed, allowMissingColumns=True).groupBy("uid").agg(F.max("id").alias("id"), *(F.sum(x).alias(x) for x in ("n", "known", "base", "s")))
+    return total.select(
+        F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"),
+        F.col("n").cast("long").alias("n_tokens"),
+        F.col("known").cast("long").alias("n_known"),
+        F.lit(m["N"]).cast("long").alias("train_tokens"),
+        F.col("base").alias("base_score"),
+        (F.col("s") - F.lit(float(np.log10(m["starts"])) if m["starts"] else 0.0)).alias("score"),
+    )
 
 
 def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -403,40 +466,27 @@ def score(docs: DataFrame, model: Katz, id_col: str = "doc_id", text_col: str =
     Further columns are not read. Texts may be others than those that the model is of.
     """
     spark, m, folder, hot_c = docs.sparkSession, model.meta, model.folder, model.counts
-    no_id = -(1 << 63)
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.coalesce(docs[id_col].cast("long"), F.lit(no_id)).alias("id"), text_of(docs, text_col).alias("text"))
     size = docs.agg(F.sum(F.octet_length(text_of(docs, text_col)))).first()[0] or 0
     parts = max(1, -(-(size // 6) // (m["n_buckets"] * SCORE_TOKENS)))
-    shared = spark.sparkContext.broadcast(model.words)
-    dealt = occurrences(rows, shared, m["n_buckets"], parts)
-    drop_unused_shuffles(spark)  # the training's, if it was just before
+    dealt = occurrences(_scorable(docs, id_col, text_col, F.lit(False)), spark.sparkContext.broadcast(model.words), m["n_buckets"], parts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _Tables(folder)
         return _by_bucket(batches, lambda bucket, packed: _evaluate(bucket // parts, packed, tables, hot_c, m))
 
-    found = materialize(dealt.mapInArrow(run, SCORED), "katz", drop_shuffles=True)
-    weights = spark.read.schema("h long, total long, weight double, bucket int").parquet(f"{folder}/weights").select("h", F.log10("weight").alias("weight"))
-    backs, is_hot = found.where("h IS NOT NULL").select("uid", "h", "n"), F.col("h") < len(model.words)
-    small = F.broadcast(weights.where(is_hot))  # at most HOT + 1 rows
-    backed = backs.where(is_hot).join(small, "h").unionByName(backs.where(~is_hot).join(weights.where(~is_hot), "h"))
-    zero = F.lit(0)
-    backed = backed.select("uid", F.lit(None).cast("long").alias("id"), zero.alias("n"), zero.alias("known"), F.lit(0.0).alias("base"), (F.col("n") * F.col("weight")).alias("s"))
-    sums = found.where("h IS NULL").drop("h").unionByName(backed).groupBy("uid")
-    total = sums.agg(F.max("id").alias("id"), *(F.sum(x).alias(x) for x in ("n", "known", "base", "s")))
-    return total.select(
-        F.when(F.col("id") != no_id, F.col("id")).alias("doc_id"),
-        F.col("n").cast("long").alias("n_tokens"),
-        F.col("known").cast("long").alias("n_known"),
-        F.lit(m["N"]).cast("long").alias("train_tokens"),
-        F.col("base").alias("base_score"),
-        (F.col("s") - F.lit(float(np.log10(m["starts"])) if m["starts"] else 0.0)).alias("score"),
-    )
+    return _settled(materialize(dealt.mapInArrow(run, SCORED), "katz", drop_shuffles=True), model)
 
 
 def katz_scores(docs: DataFrame, train_rows, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``score`` of all rows by the model of those where the boolean column ``train_rows`` holds (null: not)."""
-    return score(docs, train(docs.where(F.coalesce(train_rows, F.lit(False))), text_col), id_col, text_col)
+    """``score`` of all rows by the model of those where the boolean column ``train_rows`` holds (null: not).
+
+    The texts are dealt out once, for counting and for scoring: a bucket's task has the whole counts
+    of its words and pairs, so it writes them and evaluates its tokens by them.
+    """
+    spark = docs.sparkSession
+    folder = new_path(spark, "katz")
+    model = _fit(_scorable(docs, id_col, text_col, F.coalesce(train_rows, F.lit(False))), folder, scored=True)
+    return _settled(spark.read.schema(BOTH).parquet(f"{folder}/ngrams").where("order < 1"), model)
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
