@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import re
 import tempfile
 import uuid
@@ -42,24 +41,22 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
-def drop_unused_shuffles(spark: SparkSession) -> None:
-    """Have Spark drop the files of shuffles that nothing refers to any more, now rather than at its next collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 @contextmanager
-def brief_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Writes within drop the files of their own shuffles as they end, where disk is short; nothing may use their plans again."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+def setting(spark: SparkSession, key: str, value) -> Iterator[None]:
+    """The session's ``key`` is ``value`` within, and what it was after."""
     before = spark.conf.get(key)
-    spark.conf.set(key, "true")
+    spark.conf.set(key, str(value))
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
+def brief_shuffles(spark: SparkSession):
+    """Writes within drop the files of their own shuffles as they end, where disk is short; nothing may use their plans again."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def materialize(df: DataFrame, label: str, drop_shuffles: bool = False) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared folder and read it back.
 
