@@ -43,16 +43,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagflow.llm.common import fold, materialize, new_path, table, text_of
-from tagflow.tables import brief_shuffles
+from tagflow.tables import brief_shuffles, setting
 
 K_GT = 5
 EPSILON = 1e-4
 #: A word is hot with 1/HOT of the training tokens, so at most HOT words are broadcast.
 HOT = 50_000
 #: Tokens a bucket of the tables; tokens of other texts that a scoring task gets at once.
-BUCKET_TOKENS, SCORE_TOKENS = 2_000_000, 2_500_000
+BUCKET_TOKENS, SCORE_TOKENS = 1_500_000, 2_500_000
 FLUSH_TOKENS = 1_500_000
 CACHE_WORDS = 300_000
+#: Rows that a task hands on at once; partitions that it writes at once without sorting its rows.
+BATCH_ROWS, WRITERS = 50_000, 8
 END = b"\n"
 START = -1
 WEIGHTS = "h long, total long, weight double, bucket int"
@@ -224,14 +226,16 @@ SCORED = "uid long, id long, h long, n int, known int, base double, s double, "
 BOTH = f"{NGRAMS}, {SCORED.replace('h long, ', '')}"
 
 
-def _part(schema: str, **cols) -> pa.RecordBatch:
-    """Rows of ``schema``; columns without values are null, a single value is that of all rows."""
+def _part(schema: str, **cols) -> Iterator[pa.RecordBatch]:
+    """Rows of ``schema`` in small batches; columns without values are null, a single value is that of all rows."""
     types = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64()}
-    size, arrays, names = max(np.size(x) for x in cols.values() if np.ndim(x)), [], []
-    for name, kind in (x.split() for x in schema.split(", ")):
-        x, names = cols.get(name), [*names, name]
-        arrays.append(pa.nulls(size, types[kind]) if x is None else pa.array(np.broadcast_to(np.asarray(x, types[kind].to_pandas_dtype()), size), types[kind]))
-    return pa.RecordBatch.from_arrays(arrays, names=names)
+    fields = [x.split() for x in schema.split(", ")]
+    size = max(np.size(x) for x in cols.values() if np.ndim(x))
+    for lo in range(0, size, BATCH_ROWS):
+        n = min(BATCH_ROWS, size - lo)
+        own = {k: x[lo : lo + n] if np.ndim(x) else np.full(n, x) for k, x in cols.items()}
+        arrays = [pa.array(own[name].astype(types[kind].to_pandas_dtype()), types[kind]) if name in own else pa.nulls(n, types[kind]) for name, kind in fields]
+        yield pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in fields])
 
 
 class _Tokens:
@@ -259,7 +263,7 @@ class _Tokens:
         is passed to the order below, and owes its history's weight.
         """
         of = lambda order: {} if bucket is None else {"order": order, "bucket": bucket}
-        yield _part(schema, uid=self.all_uid, id=self.all_id, **of(0))
+        yield from _part(schema, uid=self.all_uid, id=self.all_id, **of(0))
         n, token = len(self.uid), self.pair
         add = lambda v: np.bincount(self.row, v, n)
         seen, rare = c_pair > 0, (c_pair > 0) & (c_pair <= K_GT)
@@ -270,10 +274,10 @@ class _Tokens:
         base = np.log10((c_word + 0.5) / (m["N"] + 0.5 * (m["V"] + 1)))[self.of_w]
         of_rare = np.flatnonzero(rare[token])
         times = np.bincount(self.row[of_rare].astype(np.int64) * K_GT + c_pair[token[of_rare]] - 1, minlength=n * K_GT).reshape(n, K_GT)
-        yield _part(schema, uid=self.uid, n=add(None), known=add((c_word > 0)[self.of_w][token]), base=add(base[token]), s=add(s_pair[token]), **dict(zip(RARE, times.T)), **of(0))
+        yield from _part(schema, uid=self.uid, n=add(None), known=add((c_word > 0)[self.of_w][token]), base=add(base[token]), s=add(s_pair[token]), **dict(zip(RARE, times.T)), **of(0))
         off = np.flatnonzero(~seen[token])
         back, n = np.unique(self.row[off].astype(np.int64) * len(self.uh) + self.of_h[token[off]], return_counts=True)
-        yield _part(schema, uid=self.uid[back // len(self.uh)], h=self.uh[back % len(self.uh)], n=n, **of(-1))
+        yield from _part(schema, uid=self.uid[back // len(self.uh)], h=self.uh[back % len(self.uh)], n=n, **of(-1))
 
 
 def _count(bucket: int, rows: list[dict], hot_c: np.ndarray, m: dict, scored: bool) -> Iterator[pa.RecordBatch]:
@@ -284,8 +288,8 @@ def _count(bucket: int, rows: list[dict], hot_c: np.ndarray, m: dict, scored: bo
     c_word = np.bincount(t.of_w, c, len(t.uw)).astype(np.int64)
     c_word[~cold] = hot_c[t.uw[~cold]]
     k, kw = np.flatnonzero(c), np.flatnonzero(cold & (c_word > 0))
-    yield _part(schema, order=2, bucket=bucket, h=t.uh[t.of_h[k]], w=t.uw[t.of_w[k]], c=c[k], cw=c_word[t.of_w[k]])
-    yield _part(schema, order=1, bucket=bucket, h=0, w=t.uw[kw], c=c_word[kw], cw=c_word[kw])
+    yield from _part(schema, order=2, bucket=bucket, h=t.uh[t.of_h[k]], w=t.uw[t.of_w[k]], c=c[k], cw=c_word[t.of_w[k]])
+    yield from _part(schema, order=1, bucket=bucket, h=0, w=t.uw[kw], c=c_word[kw], cw=c_word[kw])
     if scored:
         yield from t.sums(c_word, c, m, schema, bucket)
 
@@ -362,7 +366,7 @@ def _fit(rows: DataFrame, folder: str, scored: bool) -> Katz:
     dealt = occurrences(rows, spark.sparkContext.broadcast(words), n_buckets, with_rows=scored)
     count = lambda bucket, packed: _count(bucket, packed, hot_c, meta, scored)
     counted = dealt.mapInArrow(lambda batches: _by_bucket(batches, count), BOTH if scored else NGRAMS)
-    with brief_shuffles(spark):
+    with brief_shuffles(spark), setting(spark, "spark.sql.maxConcurrentOutputFileWriters", WRITERS):
         counted.write.partitionBy("order", "bucket").options(**zstd).parquet(f"{folder}/ngrams")
 
     pairs = spark.read.schema(NGRAMS).parquet(f"{folder}/ngrams").where("order = 2")
