@@ -81,9 +81,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(word binary, c long, other long) over rows of (text, learn): occurrences in rows to learn from, and in others; one end token a row."""
     names = ["word", "c", "other"]
 
-    def sums(learnt: Counter, other: Counter) -> pa.RecordBatch:
-        words = list(learnt.keys() | other.keys())
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), *(pa.array([x[w] for w in words], pa.int64()) for x in (learnt, other))], names=names)
+    def sums(*got: Counter) -> Iterator[pa.RecordBatch]:
+        for k, x in enumerate(got):
+            c = [pa.array(list(x.values()), pa.int64()), pa.array(np.zeros(len(x), np.int64))]
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.binary()), c[k], c[1 - k]], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -94,9 +95,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 got[not learn].update(w)
                 size += len(w)
                 if size > 2 * FLUSH_TOKENS:
-                    yield sums(*got)
+                    yield from sums(*got)
                     got, size = (Counter(), Counter()), 0
-            yield sums(*got)
+            yield from sums(*got)
 
     return docs.select("text", "learn").mapInArrow(run, "word binary, c long, other long").groupBy("word").agg(F.sum("c").alias("c"), F.sum("other").alias("other"))
 
@@ -146,7 +147,13 @@ def _packed(w, h, row, uid, ids, learn, deal, with_rows: bool) -> pa.RecordBatch
     rows with their ids.
     """
     bucket = deal(w, h)
-    order = np.lexsort((h, w, bucket))
+    # most histories are the word before, so that one look-up of distinct values ranks words and histories
+    own = np.flatnonzero(h != np.r_[START, w[:-1]])
+    own = np.union1d(own, [0])
+    ranks = np.unique(np.concatenate([w, h[own]]), return_inverse=True)[1]
+    rank_w, rank_h = ranks[: len(w)], np.r_[0, ranks[: len(w) - 1]]
+    rank_h[own] = ranks[len(w) :]
+    order = np.lexsort((rank_w << 32 | rank_h, bucket))
     w, h, row, bucket = w[order], h[order], row[order], bucket[order]
     edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
     squeeze = zstandard.ZstdCompressor(level=3).compress
