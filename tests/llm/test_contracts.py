@@ -332,6 +332,18 @@ def test_katz_scores_other_texts_from_stored_tables(spark, docs, tmp_path, monke
     assert len(once) == docs.count() and all(abs(again[i].score - r.score) < 1e-6 * abs(r.score) and again[i].n_tokens == r.n_tokens for i, r in once.items())
 
 
+def test_katz_counted_and_scored_at_once_is_as_from_stored_tables(spark, docs):
+    from tagflow.llm import katz
+
+    learn = F.pmod(F.col("doc_id"), F.lit(5)) != 1
+    got = {r.doc_id: r for r in katz.katz_scores(docs, learn).collect()}
+    stored = {r.doc_id: r for r in katz.score(docs, katz.train(docs.where(learn))).collect()}
+    assert got.keys() == stored.keys() and len(got) == docs.count()
+    for i, r in stored.items():
+        assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (r.n_tokens, r.n_known, r.train_tokens)
+        assert abs(got[i].score - r.score) < 1e-9 * abs(r.score) and abs(got[i].base_score - r.base_score) < 1e-9 * abs(r.base_score)
+
+
 def test_long_rows_do_not_keep_others_from_being_learned(spark, monkeypatch):
     from tagflow.llm import labelled
 
