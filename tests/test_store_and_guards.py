@@ -174,6 +174,17 @@ def test_a_large_real_site_is_joined_by_shuffle(spark, tmp_path, monkeypatch):
     assert read(str(tmp_path / "a")) == read(str(tmp_path / "b")) and {r.verdict for r in told.collect()} == {"PASS"}
 
 
+def test_shuffled_fan_out_cuts_no_shard(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fanout, "BROADCAST_REAL", 0)
+    monkeypatch.setattr(fanout, "TASK_ROWS", 1_000)
+    points, history = (registry.GRAPH.frame(spark, DATA, n) for n in ("classify_points", "history_v"))
+    told = fanout.hour_fan_out(points, history, str(tmp_path / "c"), 3_000, "2024-01-03 10:00:00", windows=2, shard_rows=70).collect()
+    assert [(r.rows, r.shards, r.verdict) for r in told] == [(3_000, 43, "PASS")] * 2
+    for w in ("w=0", "w=1"):
+        names = sorted([r[0] for r in spark.read.csv(str(f), header=True).select("virtual_point").collect()] for f in (tmp_path / "c" / w).glob("*.csv.gz"))
+        assert sorted(map(len, names)) == [3_000 % 70] + [70] * 42 and len({v for f in names for v in f}) == 3_000
+
+
 def test_spines_refuse_too_many_windows_and_days(spark, monkeypatch):
     points = spark.createDataFrame([("p", "accepted")], "id string, outcome string")
     windows = spark.range(20).selectExpr("cast(id AS int) AS window_no")
