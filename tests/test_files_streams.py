@@ -264,3 +264,12 @@ def test_pages_are_judged_once_and_only_good_ones_let_through(spark, tmp_path):
     assert told == {"b1": "", "b2": "outside_window", "b3": "unrequested", "b4": "value", "b5": "", "b9": "unplanned"}
     rows = spark.read.parquet(str(tmp_path / "out" / "rows")).collect()
     assert {(r.batch_id, r.point_id, str(r.observed_at), r.value_kind) for r in rows} == {("b1", "p-1", "2024-01-01 00:01:00", "num"), ("b1", "p-2", "2024-01-01 00:01:00", "na")} and len(rows) == 2
+
+
+def test_landed_files_are_dealt_to_all_tasks(spark, tmp_path):
+    from tagflow import roundtrips
+
+    path = roundtrips._files(spark.range(40).coalesce(1).selectExpr("concat('b-', id) AS value"), str(tmp_path / "landed"))
+    made = sorted((tmp_path / "landed").glob("*.txt"))
+    assert sorted(f.read_text() for f in made) == sorted(f"b-{k}\n" for k in range(40))
+    assert len({f.name.split("-")[1] for f in made}) >= 8 and spark.read.text(path).count() == 40
