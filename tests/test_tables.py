@@ -23,7 +23,7 @@ def test_brief_shuffles_leave_whole_tables(spark):
     assert got.count() == 1000 and got.distinct().count() == 1000
 
 
-@pytest.mark.parametrize("name", ["certified_batch_feed", "merge_receipts"])
+@pytest.mark.parametrize("name", ["certified_batch_feed", "merge_receipts", "dedupe_feed"])
 def test_joins_of_written_tables_are_not_broadcast_for_their_small_files(spark, name):
     plan = registry.GRAPH.frame(spark, "/root/testdata/sf0.001", name)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
