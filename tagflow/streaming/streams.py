@@ -34,9 +34,9 @@ def stream_dedup(feed: DataFrame, key: str, at: str, lag: str = "5 minutes") ->
     return feed.withWatermark(at, lag).dropDuplicatesWithinWatermark([key])
 
 
-def stream_pages(spark: SparkSession, folder: str, names: str = "*.json") -> DataFrame:
-    """Landed grids as they come, one row a file: path, meta, cols, rows."""
-    pages = spark.readStream.schema(PAGE).option("multiLine", True).option("pathGlobFilter", names).json(folder)
+def stream_pages(spark: SparkSession, folder: str, names: str = "*.json", lines: bool = False) -> DataFrame:
+    """Landed grids as they come, one row a file, or with ``lines`` one row a line of files that hold many: path, meta, cols, rows."""
+    pages = spark.readStream.schema(PAGE).option("multiLine", not lines).option("pathGlobFilter", names).json(folder)
     return pages.withColumn("path", F.col("_metadata.file_path"))
 
 
