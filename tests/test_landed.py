@@ -15,7 +15,7 @@ def _lands(spark, label: str) -> set[str]:
     return {s.getPath().toString() for s in found or ()}
 
 
-@pytest.mark.parametrize(("name", "label"), [("landed_references", "entities"), ("landed_cells", "grids"), ("stream_pages", "landed"), ("landed_rules", "rules-pages")])
+@pytest.mark.parametrize(("name", "label"), [("landed_references", "entities"), ("landed_cells", "grids"), ("stream_pages", "landed"), ("landed_rules", "rules-pages"), ("landed_history", "history-pages"), ("landed_metadata", "metadata-pages")])
 def test_landed_pages_share_files(spark, name, label):
     before = _lands(spark, label)
     registry.QUERIES[name](spark, SMALL)
