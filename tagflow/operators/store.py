@@ -80,5 +80,6 @@ class HistoryStore:
 
     def _write(self, table: str, rows: DataFrame, put: int) -> None:
         out = rows.select(*(x.split()[0] for x in SAMPLE.replace("38,18", "38;18").split(", ")), "obs_date", "bucket").withColumn("put", F.lit(put).cast("long"))
-        out = out.repartition("obs_date", "bucket").sortWithinPartitions("obs_date", "bucket", "observed_at", "point_id")
+        # a bucket's day that is large is written by several tasks
+        out = out.hint("rebalance", _c("obs_date"), _c("bucket")).sortWithinPartitions("obs_date", "bucket", "observed_at", "point_id")
         out.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("obs_date", "bucket", "put").parquet(f"{self.root}/{table}")
