@@ -29,8 +29,17 @@ def stream_tumbling(events: DataFrame, lag: str = "5 minutes", size: str = "5 mi
     return events.withWatermark("ts", lag).groupBy(w.alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.col("w.start").alias("window_start"), "event_type", "n")
 
 
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def stream_dedup(feed: DataFrame, key: str, at: str, lag: str = "5 minutes") -> DataFrame:
-    """The first delivery of each key; another one within ``lag`` of event time is left out, null keys count as one."""
+    """The first delivery of each key; another one within ``lag`` of event time is left out, null keys count as one.
+
+    State holds every key of ``lag``, so it is kept on disk: the session's state store is set to RocksDB, all of an executor's
+    in one memory of a bounded size.
+    """
+    feed.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    feed.sparkSession.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     return feed.withWatermark(at, lag).dropDuplicatesWithinWatermark([key])
 
 
@@ -93,9 +102,6 @@ def stream_coverage(returned: DataFrame, batches: DataFrame, size: str = "5 minu
     return seen.join(batches, "batch_id").select("batch_id", F.col("w.start").alias("window_start"), F.size("ids").alias("n_seen"), missing.alias("n_missing"), (missing == 0).alias("complete"))
 
 
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 class Cursor(StatefulProcessor):
     """A site's cursor (value state) and the stretches of windows that wait behind a gap (list state).
 
