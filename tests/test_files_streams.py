@@ -172,6 +172,30 @@ def test_raw_manifest_refuses_cut_responses(spark, tmp_path):
     assert done.byte_count == 4 and spark.read.json(str(tmp_path / "m")).count() == 1
 
 
+def test_raw_files_are_listed_by_tasks_in_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "FOLDER_FILES", 20)
+    contents = spark.range(1_000).selectExpr("concat('b/', id) AS name", "concat('text ', id) AS content")
+    land = tmp_path / "land"
+    for _ in range(2):  # again, as after a failure
+        named = {r.name: r.file for r in files.write_files(contents, f"file://{land}").collect()}
+    assert sorted(str(f.relative_to(land)) for f in land.rglob("*") if f.is_file()) == sorted(named.values()) and (land / named["b/7"]).read_text() == "text 7"
+    assert max(sum(1 for _ in d.iterdir()) for d in land.iterdir()) < 60
+    batches = contents.selectExpr("name AS batch_id", "array(name) AS scope_ids")
+    receipts = spark.createDataFrame([(n, f, "q", [n], 1, False) for n, f in named.items()], "batch_id string, file string, query_id string, completed_ids array<string>, row_count long, truncated boolean")
+    made = files.write_raw_manifest(spark, f"file://{land}", receipts, batches, str(tmp_path / "m"), nested=True)
+    assert made.count() == 1_000 and made.where("batch_id = 'b/7' AND byte_count = 6 AND checksum = sha2('text 7', 256)").count() == 1
+    assert not any(str(land) in f for f in made.inputFiles())
+    for k, extra in enumerate((land / "x.txt", (land / named["b/7"]).parent / "x.txt", land / "more" / "x.txt")):
+        extra.parent.mkdir(exist_ok=True)
+        extra.write_text("x")
+        with pytest.raises(ValueError, match="no_receipt"):
+            files.write_raw_manifest(spark, f"file://{land}", receipts, batches, str(tmp_path / f"e{k}"), nested=True)
+        extra.unlink()
+    (land / named["b/9"]).unlink()
+    with pytest.raises(ValueError, match="no_file"):
+        files.write_raw_manifest(spark, f"file://{land}", receipts, batches, str(tmp_path / "l"), nested=True)
+
+
 def test_history_days_are_replaced_and_shards_bounded(spark, tmp_path):
     day = lambda d, v: spark.createDataFrame([(v, d)], "v int, d string").selectExpr("v", "cast(d AS timestamp) AS observed_at")
     files.write_history(day("2024-01-01", 1).union(day("2024-01-02", 2)), str(tmp_path / "h"))

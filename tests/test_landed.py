@@ -3,7 +3,7 @@
 import pytest
 
 from tagflow import registry
-from tagflow.tables import shared_dir
+from tagflow.tables import folders, shared_dir
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -22,3 +22,11 @@ def test_landed_pages_share_files(spark, name, label):
     (folder,) = _lands(spark, label) - before
     pages, files = spark.read.text(folder), spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder)
     assert pages.count() > 20 and files.count() <= 4  # as many as there are tasks
+
+
+def test_raw_files_lie_in_folders_that_tasks_list(spark):
+    before = _lands(spark, "raw")
+    registry.QUERIES["raw_manifest"](spark, SMALL)
+    (root,) = {r for r in _lands(spark, "raw") - before if "/raw-plan" not in r}
+    assert folders(spark, root) and spark.read.format("binaryFile").load(root).count() == 0
+    assert spark.read.format("binaryFile").load(f"{root}/*").count() > 20
